@@ -76,13 +76,16 @@ def vtype(v: Column) -> Column:
 
 
 def format_scalar(v: Column, t: Column | None = None) -> Column:
-    """Python ``str`` of one variant value; nested objects / lists as JSON text."""
+    """Python ``str`` of one variant value; nested objects / lists as JSON text.
+    Branches are ordered by how common the type is (strings first)."""
     t = vtype(v) if t is None else t
-    return (F.when(v.isNull() | (t == "VOID"), _lit("None"))
+    return (F.when(t == "STRING", v.cast("string"))
+            .when(t == "BIGINT", v.cast("string"))
+            .when(v.isNull() | (t == "VOID"), _lit("None"))
             .when(t == "BOOLEAN",
                   F.when(F.try_variant_get(v, "$", "boolean"), _lit("True")).otherwise(_lit("False")))
             # a literal such as 100.0 is stored as an exact DECIMAL(p,0): print it as a float
-            .when(t.rlike(_EXACT_INT_DECIMAL), F.concat(v.cast("string"), _lit(".0")))
+            .when(t.startswith("DECIMAL") & t.rlike(_EXACT_INT_DECIMAL), F.concat(v.cast("string"), _lit(".0")))
             .when(t == "DOUBLE", py_float_str(F.try_variant_get(v, "$", "double")))
             .when(t.startswith("OBJECT") | t.startswith("ARRAY"), F.to_json(v))
             .otherwise(v.cast("string")))
@@ -152,19 +155,26 @@ def iso_epoch(s: Column) -> Column:
 
 
 def timestamp_candidates(fields: Column) -> Column:
-    """T5: candidates in field order, ``array<struct<iso: boolean, v: variant>>``.
+    """T5: candidates in field order,
+    ``array<struct<iso: boolean, v: variant, epoch: double>>``.
+
+    A top-level ``timestamps`` value, a top-level ``@timestamp`` value (its
+    epoch parsed here, once), or the last ``timestamps`` value inside an
+    object field; the last candidate wins."""
+    no_epoch = F.lit(None).cast("double")
 
-    A top-level ``timestamps`` value, a top-level ``@timestamp`` value, or the
-    last ``timestamps`` value inside an object field; the last one wins."""
     def per_field(a):
         nested = F.try_element_at(
             F.filter(F.map_entries(as_object(a["v"])), lambda s: F.lower(s["key"]) == TIMESTAMPS_KEY),
             F.lit(-1))
         return (F.when(a["lk"] == LABEL_KEY, None)
-                .when(a["lk"] == TIMESTAMPS_KEY, F.struct(F.lit(False).alias("iso"), a["v"].alias("v")))
-                .when(a["lk"] == ISO_TIMESTAMP_KEY, F.struct(F.lit(True).alias("iso"), a["v"].alias("v")))
+                .when(a["lk"] == TIMESTAMPS_KEY,
+                      F.struct(F.lit(False).alias("iso"), a["v"].alias("v"), no_epoch.alias("epoch")))
+                .when(a["lk"] == ISO_TIMESTAMP_KEY,
+                      F.struct(F.lit(True).alias("iso"), a["v"].alias("v"),
+                               F.when(a["t"] == "STRING", iso_epoch(a["v"].cast("string"))).alias("epoch")))
                 .when(a["t"].startswith("OBJECT") & nested.isNotNull(),
-                      F.struct(F.lit(False).alias("iso"), nested["value"].alias("v"))))
+                      F.struct(F.lit(False).alias("iso"), nested["value"].alias("v"), no_epoch.alias("epoch"))))
     return F.filter(F.transform(fields, per_field), lambda c: c.isNotNull())
 
 
@@ -180,7 +190,7 @@ def first_timestamp(c: Column) -> tuple[Column, Column]:
     first_t = vtype(first)
     first_num = F.try_variant_get(first, "$", "double")
     value = (F.when(c.isNull(), None)
-             .when(c["iso"], iso_epoch(v.cast("string")))
+             .when(c["iso"], c["epoch"])
              .when(arr.isNotNull(),
                    F.when((F.size(arr) == 0) | first.isNull() | (first_t == "VOID"), None)
                    .otherwise(first_num))
@@ -191,10 +201,11 @@ def first_timestamp(c: Column) -> tuple[Column, Column]:
     return value, F.coalesce(bad, F.lit(False))
 
 
-def iso_error(fields: Column) -> Column:
-    """Any top-level ``@timestamp`` that is not valid ISO text (null included)."""
-    return F.exists(fields, lambda a: (a["lk"] == ISO_TIMESTAMP_KEY) & ~F.coalesce(
-        (a["t"] == "STRING") & iso_epoch(a["v"].cast("string")).isNotNull(), F.lit(False)))
+def iso_error(candidates: Column) -> Column:
+    """Any top-level ``@timestamp`` that is not valid ISO text (null
+    included). Every such field is a candidate, so the check reuses the
+    epoch parsed there."""
+    return F.exists(candidates, lambda c: c["iso"] & c["epoch"].isNull())
 
 
 def label_of(v: Column) -> Column:
@@ -221,12 +232,12 @@ def render_records(df: DataFrame, v: str = "v", keep: list[str] | None = None,
     record, the second derives text, timestamp and label from it."""
     keep = keep or []
     step1 = df.select(*keep, F.col(v).alias("_v"), annotated_fields(F.col(v)).alias("_f"))
-    fields = F.col("_f")
-    cand = F.try_element_at(timestamp_candidates(fields), F.lit(-1))
-    step2 = step1.select(*keep, "_v", "_f", cand.alias("_c"))
+    step2 = step1.select(*keep, "_v", "_f", timestamp_candidates(F.col("_f")).alias("_cs"))
+    step3 = step2.select(*keep, "_v", "_f", F.try_element_at(F.col("_cs"), F.lit(-1)).alias("_c"),
+                         iso_error(F.col("_cs")).alias("_iso_bad"))
     ts, t7_bad = first_timestamp(F.col("_c"))
-    err = iso_error(F.col("_f")) | t7_bad
-    out = step2.select(
+    err = F.col("_iso_bad") | t7_bad
+    out = step3.select(
         *keep,
         F.when(err, _lit("")).otherwise(fields_text(F.col("_f"))).alias("text_representation"),
         F.when(err, F.lit(None).cast("double")).otherwise(ts).alias("timestamp"),

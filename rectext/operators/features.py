@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rectext.functions.render import render_records
 from rectext.operators.records import drop_corrupt, parse_lines
+from rectext.session import spread
 
 FEATURE_COLUMNS = ["text_representation", "timestamp", "label", "source_file"]
 
@@ -25,7 +26,7 @@ def featurize(lines: DataFrame, value_col: str = "value", keep: list[str] | None
     """Lines ``(value, source_file, ...)`` -> ``text_representation,
     timestamp, label, source_file``. Corrupt lines are dropped (P1/P2);
     one narrow plan: no shuffle and no Python worker."""
-    records = drop_corrupt(parse_lines(lines, value_col))
+    records = drop_corrupt(parse_lines(spread(lines), value_col))
     return featurize_records(records, keep=keep, with_error=with_error)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -82,3 +83,18 @@ def ensure_dir(uri: str) -> None:
     p = local_path(uri)
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
+    partitions than that (a small single-row-group file, a few small files).
+
+    CPU-heavy per-row work (parsing and rendering records) then uses every
+    core. Inputs that are already split -- the normal case at scale, one
+    task per ~128 MB split -- are returned unchanged, with no shuffle."""
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
