@@ -75,15 +75,16 @@ def prune_nulls_variant(v: Column) -> Column:
     return F.to_json(kept)
 
 
-def stringify_ids(v: Column, id_key: str = "$oid") -> Column:
-    """Replace every extended-JSON object id ``{"$oid": "..."}`` by its
-    string, at any depth (inside lists and objects alike).
-
-    Works on the JSON text of a variant: an object id is an object whose only
-    key is ``$oid``; it is rewritten in place, so key order and all other
-    values stay as they are. Returns a variant."""
+def stringify_ids(text: Column, id_key: str = "$oid") -> Column:
+    """In JSON text, replace every extended-JSON object id
+    ``{"$oid": "..."}`` by its string, at any depth (inside lists and objects
+    alike). Everything else keeps its exact text, so numbers such as
+    ``100.0`` keep their form (re-serialising a parsed record would not).
+
+    An object id is an object whose only key is ``$oid``; inside JSON strings
+    quotes are escaped, so text that merely looks like one is not touched."""
     pattern = r'\{\s*"' + _re_escape(id_key) + r'"\s*:\s*("(?:[^"\\]|\\.)*")\s*\}'
-    return F.parse_json(F.regexp_replace(F.to_json(v), pattern, "$1"))
+    return F.regexp_replace(text, pattern, "$1")
 
 
 def _re_escape(s: str) -> str:

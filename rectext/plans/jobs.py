@@ -18,6 +18,7 @@ from rectext.operators.records import CORRUPT_COL, drop_corrupt, parse_lines, st
 from rectext.sinks.writers import (FEATURE_SCHEMA, load_by_source, read_collections, read_table,
                                    write_collections, write_csv_by_key)
 from rectext.sources.json_files import FLAT_JSON_GLOB, JSON_GLOB, read_lines, scan_json_auto
+from rectext.session import spread
 from rectext.sources.text import line_count, read_text
 
 
@@ -62,7 +63,7 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
         F.map_filter(as_object(F.col("v")), lambda k, x: ~F.is_variant_null(x)).alias("_m"))
     docs = (pruned.filter(F.size("_m") > 0)                                  # P4
             .select(F.col("source_file"),
-                    F.parse_json(F.to_json("_m")).alias("v"),                # P5
+                    F.to_json("_m").alias("value"),                          # P5
                     safe_name(F.col("source_file")).alias("collection"),
                     base_name(F.col("source_file")).alias("file")))
     if drop_existing:
@@ -70,14 +71,14 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
         write_collections(new_docs, target)
     else:
         from rectext.sinks.writers import insert_ignore
-        keyed = docs.withColumn(key, F.try_variant_get(F.col("v"), "$." + key, "string"))
+        keyed = docs.withColumn(key, F.get_json_object(F.col("value"), "$." + key))
         try:
             existing = read_collections(spark, target).select(
                 F.try_variant_get(F.try_parse_json("value"), "$." + key, "string").alias(key))
         except Exception:  # no target yet (the read fails eagerly on a missing path)
             existing = None
         new_docs = insert_ignore(keyed, existing, key).drop(key)
-        (new_docs.select(F.to_json("v").alias("value"), "collection")
+        (new_docs.select("value", "collection")
          .write.mode("append").partitionBy("collection").text(target))
     totals = collection_count(read_collections(spark, target))
     return import_summary(docs if drop_existing else new_docs, totals)
@@ -94,8 +95,9 @@ def extract_featurize_load(spark: SparkSession, collections: str, table: str) ->
     the feature table, replacing those source files only (K3). Returns the
     table read back."""
     docs = read_collections(spark, collections)
-    lines = docs.select(F.col("value"), F.concat(F.col("collection"), F.lit(".json")).alias("source_file"))
-    records = drop_corrupt(parse_lines(lines)).withColumn("v", stringify_ids(F.col("v")))
+    lines = docs.select(stringify_ids(F.col("value")).alias("value"),
+                        F.concat(F.col("collection"), F.lit(".json")).alias("source_file"))
+    records = drop_corrupt(parse_lines(spread(lines)))
     features = featurize_records(records, keep=["source_file"])
     load_by_source(features, table)
     return read_table(spark, table, FEATURE_SCHEMA)

@@ -346,8 +346,7 @@ def q_discover_files(spark, sf):
 # ------------------------------------------------------------------ collections: S7, K2, A4, A3
 
 def _write_document_collections(spark, sf, root):
-    docs = document_lines(spark, sf).select(F.try_parse_json("value").alias("v"), "collection")
-    write_collections(docs, root)
+    write_collections(document_lines(spark, sf), root)
 
 
 @query("collection_scan", "SELECT source AS collection, doc_id FROM documents")
@@ -456,7 +455,7 @@ def q_stringify_ids(spark, sf):
     rec = F.to_json(F.struct(oid("c_custkey").alias("_id"), F.col("c_name"),
                              F.struct(oid("c_nationkey").alias("owner")).alias("meta"),
                              F.array(oid("c_custkey"), oid("c_nationkey")).alias("refs")))
-    v = stringify_ids(F.parse_json(rec))
+    v = F.parse_json(stringify_ids(rec))
     return c.select(F.try_variant_get(v, "$._id", "string").alias("_id"), "c_name",
                     F.try_variant_get(v, "$.meta.owner", "string").alias("owner"),
                     F.array_join(F.try_variant_get(v, "$.refs", "array<string>"), ",").alias("refs"))
@@ -633,7 +632,7 @@ def q_featurize_load(spark, sf):
     base = work_dir(spark, "e2e")
     lines = event_lines(spark, sf)
     oid = F.concat(F.lit('{"_id":{"$oid":"'), F.lpad(F.col("event_id").cast("string"), 24, "0"), F.lit('"},'))
-    recs = lines.select(F.try_parse_json(F.concat(oid, F.expr("substring(value, 2)"))).alias("v"),
+    recs = lines.select(F.concat(oid, F.expr("substring(value, 2)")).alias("value"),
                         F.regexp_replace("source_file", r"\.json$", "").alias("collection"))
     write_collections(recs, base + "/collections")
     return jobs.extract_featurize_load(spark, base + "/collections", base + "/table")

@@ -30,6 +30,8 @@ def write_csv_by_key(df: DataFrame, path: str, key: str = "source_file", mode: s
     reads back exactly with ``multiLine``)."""
     (df.write.mode(mode).partitionBy(key)
      .option("header", True)
+     # the CSV writer trims values by default; keep texts exactly
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("partitionOverwriteMode", "dynamic")
      .csv(path))
 
@@ -42,13 +44,14 @@ def read_csv_by_key(spark: SparkSession, path: str, schema: T.StructType = FEATU
             .csv(path).select(*[f.name for f in schema.fields]))
 
 
-def write_collections(records: DataFrame, path: str, v: str = "v", collection: str = "collection",
+def write_collections(records: DataFrame, path: str, value: str = "value", collection: str = "collection",
                       mode: str = "overwrite") -> None:
-    """K2 (+K5 / K6): records as JSON lines, one folder per collection.
+    """K2 (+K5 / K6): records as JSON lines (their text as given), one
+    folder per collection.
 
     ``partitionOverwriteMode=dynamic`` replaces exactly the collections in
     this batch and keeps the others (drop-and-reload per collection)."""
-    (records.select(F.to_json(F.col(v)).alias("value"), F.col(collection).alias("collection"))
+    (records.select(F.col(value).alias("value"), F.col(collection).alias("collection"))
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("collection").text(path))
 
