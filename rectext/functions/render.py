@@ -57,14 +57,14 @@ def py_float_str(x: Column) -> Column:
     exp = F.regexp_extract(java, r"E(-?[0-9]+)$", 1).cast("int")
     sci = F.concat(mant, _lit("e"), F.when(exp < 0, "-").otherwise("+"),
                    F.lpad(F.abs(exp).cast("string"), 2, "0"))
-    return (F.when(x.isNull(), None)
+    # the common range first: there Java's and Python's shortest digits agree
+    return (F.when((a >= 1e-3) & (a < 1e7), java)
+            .when(x.isNull(), None)
+            .when(a == 0, java)
             .when(F.isnan(x), "nan")
             .when(x == float("inf"), "inf")
             .when(x == float("-inf"), "-inf")
-            .when(a == 0, java)
-            .when((a >= 1e-3) & (a < 1e7), java)
-            .when((a >= 1e7) & (a < 1e16), big)
-            .when((a >= 1e-4) & (a < 1e-3), small)
+            .when(a < 1e16, F.when(a >= 1e7, big).when(a >= 1e-4, small).otherwise(sci))
             .otherwise(sci))
 
 
@@ -223,29 +223,59 @@ FEATURE_SCHEMA = T.StructType([
 ])
 
 
+_COLUMNS: dict = {}
+
+
+def _shared(key: str, build) -> Column:
+    """Build a large expression once per SparkContext and reuse it.
+
+    The renderer's expressions only name fixed internal columns, so the same
+    (unresolved) Column serves every DataFrame; building the tree costs
+    thousands of Python-to-JVM calls, planning it per query does not."""
+    from pyspark import SparkContext
+    k = (id(SparkContext._active_spark_context), key)
+    col = _COLUMNS.get(k)
+    if col is None:
+        col = _COLUMNS[k] = build()
+    return col
+
+
 def render_records(df: DataFrame, v: str = "v", keep: list[str] | None = None,
                    with_error: bool = False) -> DataFrame:
     """Render a DataFrame with a variant column of records into
     ``text_representation, timestamp, label`` (plus ``keep`` columns).
 
-    Two projections: the first computes the annotated field array once per
-    record, the second derives text, timestamp and label from it."""
+    Staged projections: the annotated field array and the timestamp
+    candidates are computed once per record and then shared by text,
+    timestamp, label and the error flag."""
     keep = keep or []
-    step1 = df.select(*keep, F.col(v).alias("_v"), annotated_fields(F.col(v)).alias("_f"))
-    step2 = step1.select(*keep, "_v", "_f", timestamp_candidates(F.col("_f")).alias("_cs"))
-    step3 = step2.select(*keep, "_v", "_f", F.try_element_at(F.col("_cs"), F.lit(-1)).alias("_c"),
-                         iso_error(F.col("_cs")).alias("_iso_bad"))
-    ts, t7_bad = first_timestamp(F.col("_c"))
-    err = F.col("_iso_bad") | t7_bad
-    out = step3.select(
+    step1 = df.select(*keep, F.col(v).alias("_v"),
+                      _shared("fields", lambda: annotated_fields(F.col("_v"))).alias("_f"))
+    step2 = step1.select(*keep, "_v", "_f",
+                         _shared("cands", lambda: timestamp_candidates(F.col("_f"))).alias("_cs"))
+    step3 = step2.select(*keep, "_v", "_f",
+                         F.try_element_at(F.col("_cs"), F.lit(-1)).alias("_c"),
+                         _shared("iso_bad", lambda: iso_error(F.col("_cs"))).alias("_iso_bad"))
+    step4 = step3.select(*keep, "_v", "_f",
+                         _shared("ts", lambda: struct_of(first_timestamp(F.col("_c")))).alias("_t"),
+                         "_iso_bad")
+    err = F.col("_iso_bad") | F.col("_t.bad")
+    text = _shared("text", lambda: fields_text(F.col("_f")))
+    label = _shared("label", lambda: label_of(F.col("_v")))
+    out = step4.select(
         *keep,
-        F.when(err, _lit("")).otherwise(fields_text(F.col("_f"))).alias("text_representation"),
-        F.when(err, F.lit(None).cast("double")).otherwise(ts).alias("timestamp"),
-        F.when(err, F.lit(None).cast("string")).otherwise(label_of(F.col("_v"))).alias("label"),
+        F.when(err, _lit("")).otherwise(text).alias("text_representation"),
+        F.when(err, F.lit(None).cast("double")).otherwise(F.col("_t.value")).alias("timestamp"),
+        F.when(err, F.lit(None).cast("string")).otherwise(label).alias("label"),
         *([err.alias("is_error")] if with_error else []))
     return out
 
 
+def struct_of(pair: tuple[Column, Column]) -> Column:
+    value, bad = pair
+    return F.struct(value.alias("value"), bad.alias("bad"))
+
+
 # ---------------------------------------------------------------- typed input
 
 def _typed_value(c: Column, dt: T.DataType, depth: int = 0) -> Column:
@@ -257,8 +287,8 @@ def _typed_value(c: Column, dt: T.DataType, depth: int = 0) -> Column:
     elif isinstance(dt, (T.DoubleType, T.FloatType)):
         s = py_float_str(c.cast("double"))
     elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        s = F.when(F.unix_micros(c.cast("timestamp_ntz").cast("timestamp")) % 1000000 == 0,
-                   F.date_format(c, "yyyy-MM-dd HH:mm:ss")) \
+        # Python prints the fraction (6 digits) only when it is not zero
+        s = F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "yyyy-MM-dd HH:mm:ss")) \
             .otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     elif isinstance(dt, T.DateType):
         s = F.date_format(c, "yyyy-MM-dd")

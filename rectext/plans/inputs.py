@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rectext.session import spread
 from rectext.sinks.files import write_named_lines
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -31,22 +32,14 @@ def event_source(event_id: Column, n_files: int = 4) -> Column:
     return F.concat(F.lit("events_"), (event_id % n_files).cast("string"), F.lit(".json"))
 
 
-def _props(props_json: Column, extra: Column | None = None) -> Column:
-    """The ``props`` JSON object, optionally with extra leading members (JSON text)."""
-    if extra is None:
-        return F.try_parse_json(props_json)
-    body = F.substring(props_json, 2, 1 << 30)
-    return F.try_parse_json(F.when(extra.isNull(), props_json).otherwise(
-        F.concat(F.lit("{"), extra, F.lit(","), body)))
-
-
-def event_lines(spark: SparkSession, sf_dir: str, kind: str = "plain") -> DataFrame:
+def event_lines(spark: SparkSession, sf_dir: str, kind: str | tuple = "plain") -> DataFrame:
     """Each event as one JSON line: ``event_id, value, source_file``.
 
     Keys are written in a non-sorted order on purpose (user_id, event_id,
-    value, props, @timestamp, label): the renderer sorts them.
+    value, props, @timestamp, label): the renderer sorts them. The line is
+    assembled from JSON pieces (``props`` already is JSON text).
 
-    kinds:
+    kinds (one or several):
       * ``plain``: as above;
       * ``nested_ts``: even ids carry ``props.timestamps = [id * 10]``; ids
         divisible by 5 carry ``props.@timestamp = "x<id>"`` (plain text);
@@ -54,28 +47,32 @@ def event_lines(spark: SparkSession, sf_dir: str, kind: str = "plain") -> DataFr
       * ``bad_iso``: ids divisible by 9 have ``@timestamp`` without fraction;
       * ``damaged``: lines of ids ending in 7 are cut by 5 characters.
     """
-    ev = table(spark, sf_dir, "events")
+    kinds = {kind} if isinstance(kind, str) else set(kind)
+    ev = spread(table(spark, sf_dir, "events"))
     eid = F.col("event_id")
     iso = F.date_format("ts", ISO_FORMAT)
-    extra = None
-    if kind == "bad_iso":
+    if "bad_iso" in kinds:
         iso = F.when(eid % 9 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(iso)
-    if kind == "nested_ts":
+    props = F.col("props")
+    head = F.lit("{")
+    if "nested_ts" in kinds:
         ts_member = F.when(eid % 2 == 0, F.concat(F.lit('"timestamps":['), (eid * 10).cast("string"), F.lit("]")))
         at_member = F.when(eid % 5 == 0, F.concat(F.lit('"@timestamp":"x'), eid.cast("string"), F.lit('"')))
         extra = F.concat_ws(",", ts_member, at_member)
-        extra = F.when(extra == "", None).otherwise(extra)
-    rec = F.struct(F.col("user_id"), eid.alias("event_id"), F.col("value"),
-                   _props(F.col("props"), extra).alias("props"),
-                   iso.alias("@timestamp"), F.col("event_type").alias("label"))
-    line = F.to_json(rec)
-    if kind == "nested_ts":
-        line = F.when(eid % 3 == 0, F.regexp_replace(line, r"^\{", '{"timestamps":null,')).otherwise(line)
-    if kind == "damaged":
+        props = F.when(extra == "", props).otherwise(
+            F.concat(F.lit("{"), extra, F.lit(","), F.substring(props, 2, 1 << 30)))
+        head = F.when(eid % 3 == 0, F.lit('{"timestamps":null,')).otherwise(head)
+    line = F.concat(head, F.lit('"user_id":'), F.col("user_id").cast("string"),
+                    F.lit(',"event_id":'), eid.cast("string"),
+                    F.lit(',"value":'), F.col("value").cast("string"),
+                    F.lit(',"props":'), props,
+                    F.lit(',"@timestamp":"'), iso,
+                    F.lit('","label":'), json_scalar(F.col("event_type")), F.lit("}"))
+    if "damaged" in kinds:
         cut = F.expr("substring(_line, 1, length(_line) - 5)")
-        return (ev.select(eid, line.alias("_line"), event_source(eid).alias("source_file"))
-                .select(eid, F.when(eid % 10 == 7, cut).otherwise(F.col("_line")).alias("value"),
-                        "source_file"))
+        staged = ev.select(eid, line.alias("_line"), event_source(eid).alias("source_file"))
+        return staged.select(eid, F.when(eid % 10 == 7, cut).otherwise(F.col("_line")).alias("value"),
+                             "source_file")
     return ev.select(eid, line.alias("value"), event_source(eid).alias("source_file"))
 
 
@@ -83,7 +80,7 @@ def timestamp_form_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 / R11 input: ``timestamps`` in six forms by ``event_id % 6``:
     0 ``[value, user_id]``, 1 ``user_id``, 2 ``"<value>"`` (a string),
     3 ``[]``, 4 ``["<value>"]``, 5 ``["x<id>"]`` (not a number: error row)."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     eid, val, uid = F.col("event_id"), F.col("value"), F.col("user_id")
     k = eid % 6
     ts = (F.when(k == 0, F.to_json(F.array(val, uid.cast("double"))))
@@ -101,7 +98,7 @@ def timestamp_form_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as a JSON record ``{doc_id, text, lang, n_chars}`` with
     its ``source`` as collection: ``doc_id, value, collection``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     rec = F.struct("doc_id", "text", "lang", "n_chars")
     return docs.select("doc_id", F.to_json(rec).alias("value"), F.col("source").alias("collection"))
 

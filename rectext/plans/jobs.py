@@ -18,7 +18,7 @@ from rectext.operators.records import CORRUPT_COL, drop_corrupt, parse_lines, st
 from rectext.sinks.writers import (FEATURE_SCHEMA, load_by_source, read_collections, read_table,
                                    write_collections, write_csv_by_key)
 from rectext.sources.json_files import FLAT_JSON_GLOB, JSON_GLOB, read_lines, scan_json_auto
-from rectext.session import spread
+from rectext.session import path_exists, spread
 from rectext.sources.text import line_count, read_text
 
 
@@ -72,11 +72,10 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
     else:
         from rectext.sinks.writers import insert_ignore
         keyed = docs.withColumn(key, F.get_json_object(F.col("value"), "$." + key))
-        try:
+        existing = None
+        if path_exists(spark, target):
             existing = read_collections(spark, target).select(
-                F.try_variant_get(F.try_parse_json("value"), "$." + key, "string").alias(key))
-        except Exception:  # no target yet (the read fails eagerly on a missing path)
-            existing = None
+                F.get_json_object(F.col("value"), "$." + key).alias(key))
         new_docs = insert_ignore(keyed, existing, key).drop(key)
         (new_docs.select("value", "collection")
          .write.mode("append").partitionBy("collection").text(target))

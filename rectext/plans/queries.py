@@ -22,7 +22,7 @@ from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt,
 from rectext.plans import jobs
 from rectext.plans.inputs import (ISO_FORMAT, document_lines, event_lines, event_source, json_scalar,
                                   table, timestamp_form_lines, write_array_files)
-from rectext.session import work_dir
+from rectext.session import spread, work_dir
 from rectext.sinks.files import write_named_lines
 from rectext.sinks.writers import (append_ignore, drop_reload, load_by_source, read_collections,
                                    read_csv_by_key, read_table, write_collections, write_csv_by_key)
@@ -91,14 +91,14 @@ ORDERS_COLS = [("o_orderkey", "i"), ("o_custkey", "i"), ("o_orderstatus", "s"),
 @query("record_text_wide", _typed_sql(LINEITEM_COLS, "lineitem"))
 def q_record_text_wide(spark, sf):
     """T2 on a typed table: lineitem, 11 columns in declared order."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     return li.select(typed_text(li).alias("text_representation"))
 
 
 @query("record_text_orders", _typed_sql(ORDERS_COLS, "orders"))
 def q_record_text_orders(spark, sf):
     """T2 on a typed table: orders."""
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"))
     return o.select(typed_text(o).alias("text_representation"))
 
 
@@ -179,7 +179,7 @@ def q_custom_map(spark, sf):
 # ------------------------------------------------------------------ files: S1-S6, P1, A2, A5
 
 def _write_event_files(spark, sf, root, kinds=("damaged",), extra_bad_file=False):
-    lines = event_lines(spark, sf, kinds[0]) if len(kinds) == 1 else _combined_lines(spark, sf, kinds)
+    lines = event_lines(spark, sf, kinds)
     named = lines.select(F.col("source_file").alias("name"), "value", "event_id")
     if extra_bad_file:
         bad = lines.filter(F.col("event_id") % 10 == 7).select(
@@ -188,19 +188,6 @@ def _write_event_files(spark, sf, root, kinds=("damaged",), extra_bad_file=False
     write_named_lines(named, root, "name", "value", ["event_id"]).collect()
 
 
-def _combined_lines(spark, sf, kinds):
-    """Event lines with several defects at once: bad ISO text (id % 9 = 0),
-    nested timestamps (as ``nested_ts``) and cut lines (id % 10 = 7)."""
-    base = event_lines(spark, sf, "nested_ts").withColumnRenamed("value", "_n")
-    bad = event_lines(spark, sf, "bad_iso").select("event_id", F.col("value").alias("_b"))
-    j = base.join(bad, "event_id")
-    line = F.when(F.col("event_id") % 9 == 0, F.col("_b")).otherwise(F.col("_n"))
-    cut = F.expr("substring(_l, 1, length(_l) - 5)")
-    return (j.select("event_id", line.alias("_l"), "source_file")
-            .select("event_id", F.when(F.col("event_id") % 10 == 7, cut).otherwise(F.col("_l")).alias("value"),
-                    "source_file"))
-
-
 @query("scan_ndjson", f"""
 SELECT {EVENT_SOURCE_SQL} AS source,
        CASE WHEN event_id % 10 = 7 THEN NULL ELSE event_id END AS event_id,

@@ -98,3 +98,12 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() < n:
         return df.repartition(n)
     return df
+
+
+def path_exists(spark: SparkSession, uri: str) -> bool:
+    """Whether a file or folder exists, asked of the cluster's file system
+    (metadata only; works for HDFS and object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path))

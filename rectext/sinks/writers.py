@@ -96,10 +96,8 @@ def append_ignore(spark: SparkSession, batch: DataFrame, table_path: str, key: s
                   partition_by: list[str] | None = None) -> DataFrame:
     """K4 against a Parquet table: compute the new rows and append them.
     Single-writer contract (no concurrent appenders). Returns the inserted rows' count frame."""
-    try:
-        existing = spark.read.parquet(table_path)
-    except Exception:  # first load: no table yet
-        existing = None
+    from rectext.session import path_exists
+    existing = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
     new_rows = insert_ignore(batch, existing, key)
     writer = new_rows.write.mode("append")
     if partition_by:
