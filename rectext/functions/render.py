@@ -287,9 +287,10 @@ def _typed_value(c: Column, dt: T.DataType, depth: int = 0) -> Column:
     elif isinstance(dt, (T.DoubleType, T.FloatType)):
         s = py_float_str(c.cast("double"))
     elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        # Python prints the fraction (6 digits) only when it is not zero
-        s = F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "yyyy-MM-dd HH:mm:ss")) \
-            .otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        # Spark prints the fraction without trailing zeros, Python prints all
+        # six digits (and none when the fraction is zero)
+        t = c.cast("string")
+        s = F.when(t.contains("."), F.rpad(t, 26, "0")).otherwise(t)
     elif isinstance(dt, T.DateType):
         s = F.date_format(c, "yyyy-MM-dd")
     elif isinstance(dt, T.ArrayType):

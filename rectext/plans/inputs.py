@@ -27,9 +27,38 @@ def json_scalar(c: Column) -> Column:
     return j.substr(F.lit(2), F.length(j) - 2)
 
 
-def event_source(event_id: Column, n_files: int = 4) -> Column:
-    """``events_<id % n>.json``: the input file an event line belongs to."""
-    return F.concat(F.lit("events_"), (event_id % n_files).cast("string"), F.lit(".json"))
+# Every generated input file is bounded: keys are cut into spans, and a
+# source with keys beyond the first span gets numbered files
+# (``<stem>-<n>.<ext>``), so no file -- one writer task by nature -- grows
+# with the table.
+EVENT_FILES = 4
+EVENT_SPAN = 4_000_000      # 4 event files per span: at most 1,000,000 lines a file
+CUSTOMER_SPAN = 1_000_000   # 25 nations: about 40,000 records per array file
+DOCUMENT_SPAN = 5_000       # documents per file of one source
+
+
+def chunked(stem: Column, ext: str, key: Column, span: int) -> Column:
+    """``stem + ext`` for keys in the first span, ``stem-<n> + ext`` after."""
+    n = F.floor(key / F.lit(span)).cast("bigint")
+    return F.concat(stem, F.when(n == 0, F.lit("")).otherwise(F.concat(F.lit("-"), n.cast("string"))),
+                    F.lit(ext))
+
+
+def chunked_sql(stem: str, ext: str, key: str, span: int) -> str:
+    """The same file name in SQL."""
+    return (f"{stem} || CASE WHEN {key} // {span} = 0 THEN '' "
+            f"ELSE '-' || CAST({key} // {span} AS VARCHAR) END || '{ext}'")
+
+
+def event_source(event_id: Column) -> Column:
+    """``events_<id % 4>.json`` (numbered past the first span): the input
+    file an event line belongs to."""
+    stem = F.concat(F.lit("events_"), (event_id % EVENT_FILES).cast("string"))
+    return chunked(stem, ".json", event_id, EVENT_SPAN)
+
+
+EVENT_SOURCE_SQL = chunked_sql(f"'events_' || CAST(event_id % {EVENT_FILES} AS VARCHAR)", ".json",
+                               "event_id", EVENT_SPAN)
 
 
 def event_lines(spark: SparkSession, sf_dir: str, kind: str | tuple = "plain") -> DataFrame:

@@ -20,8 +20,9 @@ from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize
 from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines,
                                        prune_nulls_json, stringify_ids)
 from rectext.plans import jobs
-from rectext.plans.inputs import (ISO_FORMAT, document_lines, event_lines, event_source, json_scalar,
-                                  table, timestamp_form_lines, write_array_files)
+from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL, EVENT_SPAN, ISO_FORMAT, chunked,
+                                  chunked_sql, document_lines, event_lines, table, timestamp_form_lines,
+                                  write_array_files)
 from rectext.session import spread, work_dir
 from rectext.sinks.files import write_named_lines
 from rectext.sinks.writers import (append_ignore, drop_reload, load_by_source, read_collections,
@@ -48,7 +49,6 @@ def query(name: str, sql: str | None = None):
 EVENT_TEXT_SQL = ("'[event_id] ' || CAST(event_id AS VARCHAR) || ' [props] {[k] ' || (props::JSON ->> 'k')"
                   " || '} [user_id] ' || CAST(user_id AS VARCHAR) || ' [value] ' || CAST(value AS VARCHAR)")
 EVENT_TS_SQL = "epoch_us(ts) / 1e6"
-EVENT_SOURCE_SQL = "'events_' || CAST(event_id % 4 AS VARCHAR) || '.json'"
 
 FEATURIZE_SQL = f"""
 SELECT {EVENT_TEXT_SQL} AS text_representation, {EVENT_TS_SQL} AS "timestamp",
@@ -183,7 +183,8 @@ def _write_event_files(spark, sf, root, kinds=("damaged",), extra_bad_file=False
     named = lines.select(F.col("source_file").alias("name"), "value", "event_id")
     if extra_bad_file:
         bad = lines.filter(F.col("event_id") % 10 == 7).select(
-            F.lit("events_bad.ndjson").alias("name"), "value", "event_id")
+            chunked(F.lit("events_bad"), ".ndjson", F.col("event_id"), EVENT_SPAN).alias("name"),
+            "value", "event_id")
         named = named.unionByName(bad)
     write_named_lines(named, root, "name", "value", ["event_id"]).collect()
 
@@ -238,8 +239,8 @@ SELECT {EVENT_SOURCE_SQL} AS source,
        false AS is_empty
 FROM events GROUP BY 1
 UNION ALL
-SELECT 'events_bad.ndjson', 0, CAST(count(*) AS BIGINT), 0, 0, true
-FROM events WHERE event_id % 10 = 7""")
+SELECT {chunked_sql("'events_bad'", ".ndjson", "event_id", EVENT_SPAN)}, 0, CAST(count(*) AS BIGINT), 0, 0, true
+FROM events WHERE event_id % 10 = 7 GROUP BY 1""")
 def q_batch_audit(spark, sf):
     """Per-file audit, including a file with no valid line."""
     root = work_dir(spark, "batch_audit")
@@ -249,12 +250,14 @@ def q_batch_audit(spark, sf):
                         "n_without_timestamp", "is_empty")
 
 
-CUSTOMER_ARRAY_SQL = "'customers_' || CAST(c_nationkey AS VARCHAR) || '.json'"
+CUSTOMER_ARRAY_SQL = chunked_sql("'customers_' || CAST(c_nationkey AS VARCHAR)", ".json", "c_custkey",
+                                 CUSTOMER_SPAN)
 
 
 def _write_customer_arrays(spark, sf, root):
     cust = table(spark, sf, "customer")
-    name = F.concat(F.lit("customers_"), F.col("c_nationkey").cast("string"), F.lit(".json"))
+    name = chunked(F.concat(F.lit("customers_"), F.col("c_nationkey").cast("string")), ".json",
+                   F.col("c_custkey"), CUSTOMER_SPAN)
     write_array_files(cust, root, name, "c_custkey").collect()
 
 
@@ -295,19 +298,23 @@ def q_scan_json_auto(spark, sf):
 
 # file layout for discovery, by source number n: n % 5 ->
 #   0 "srcN.json" (plus a copy under .ipynb_checkpoints/), 1 "srcN.JSON",
-#   2 "sub/srcN.ndjson", 3 "sub/deep/srcN.Json", 4 "srcN.txt" (not JSON)
-_DISCOVER_SQL_NAME = """CASE CAST(substr(source, 4) AS INTEGER) % 5
-    WHEN 0 THEN source || '.json' WHEN 1 THEN source || '.JSON'
-    WHEN 2 THEN 'sub/' || source || '.ndjson' WHEN 3 THEN 'sub/deep/' || source || '.Json' END"""
+#   2 "sub/srcN.ndjson", 3 "sub/deep/srcN.Json", 4 "srcN.txt" (not JSON);
+# a source past DOCUMENT_SPAN documents continues in "srcN-1.json", ...
+_DISCOVER_SQL_NAME = f"""CASE CAST(substr(source, 4) AS INTEGER) % 5
+    WHEN 0 THEN {chunked_sql("source", ".json", "doc_id", DOCUMENT_SPAN)}
+    WHEN 1 THEN {chunked_sql("source", ".JSON", "doc_id", DOCUMENT_SPAN)}
+    WHEN 2 THEN {chunked_sql("'sub/' || source", ".ndjson", "doc_id", DOCUMENT_SPAN)}
+    WHEN 3 THEN {chunked_sql("'sub/deep/' || source", ".Json", "doc_id", DOCUMENT_SPAN)} END"""
 
 
 def _discover_name(source: F.Column) -> F.Column:
     n = F.substring(source, 4, 1 << 20).cast("int") % 5
-    return (F.when(n == 0, F.concat(source, F.lit(".json")))
-            .when(n == 1, F.concat(source, F.lit(".JSON")))
-            .when(n == 2, F.concat(F.lit("sub/"), source, F.lit(".ndjson")))
-            .when(n == 3, F.concat(F.lit("sub/deep/"), source, F.lit(".Json")))
-            .otherwise(F.concat(source, F.lit(".txt"))))
+    doc = F.col("doc_id")
+    return (F.when(n == 0, chunked(source, ".json", doc, DOCUMENT_SPAN))
+            .when(n == 1, chunked(source, ".JSON", doc, DOCUMENT_SPAN))
+            .when(n == 2, chunked(F.concat(F.lit("sub/"), source), ".ndjson", doc, DOCUMENT_SPAN))
+            .when(n == 3, chunked(F.concat(F.lit("sub/deep/"), source), ".Json", doc, DOCUMENT_SPAN))
+            .otherwise(chunked(source, ".txt", doc, DOCUMENT_SPAN)))
 
 
 @query("discover_files", f"""
@@ -370,10 +377,11 @@ def q_json_roundtrip(spark, sf):
         "collection")
 
 
-@query("import_summary", """
-SELECT source || '.json' AS file, source AS collection, CAST(count(*) AS BIGINT) AS inserted,
-       CAST(count(*) AS BIGINT) AS total_in_collection
-FROM documents GROUP BY source""")
+@query("import_summary", f"""
+SELECT {chunked_sql("source", ".json", "doc_id", DOCUMENT_SPAN)} AS file,
+       {chunked_sql("source", "", "doc_id", DOCUMENT_SPAN)} AS collection,
+       CAST(count(*) AS BIGINT) AS inserted, CAST(count(*) AS BIGINT) AS total_in_collection
+FROM documents GROUP BY 1, 2""")
 def q_import_summary(spark, sf):
     """One file per source (every fifth source a pretty JSON array,
     the rest NDJSON) imported into collections, then summarised."""
@@ -382,9 +390,10 @@ def q_import_summary(spark, sf):
     d = table(spark, sf, "documents")
     n = F.substring(F.col("source"), 4, 1 << 20).cast("int")
     as_array = d.filter(n % 5 == 1).select("doc_id", "text", "lang", "source", "n_chars")
-    write_array_files(as_array, src, F.concat(F.col("source"), F.lit(".json")), "doc_id").collect()
+    file_name = chunked(F.col("source"), ".json", F.col("doc_id"), DOCUMENT_SPAN)
+    write_array_files(as_array, src, file_name, "doc_id").collect()
     lines = d.filter(n % 5 != 1).select(
-        F.concat(F.col("source"), F.lit(".json")).alias("name"),
+        file_name.alias("name"),
         F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("value"), "doc_id")
     write_named_lines(lines, src, "name", "value", ["doc_id"]).collect()
     summary = jobs.import_documents(spark, src, target)

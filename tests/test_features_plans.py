@@ -82,3 +82,15 @@ def test_event_line_kinds_parse(spark, kind):
     n = lines.count()
     feats = featurize(lines).count()
     assert n == 1000 and feats == (900 if kind == "damaged" else 1000)
+
+
+def test_chunked_names_agree_with_sql(spark):
+    import duckdb
+
+    from rectext.plans.inputs import chunked, chunked_sql
+    ids = list(range(0, 50, 3))
+    df = spark.createDataFrame([(i,) for i in ids], "k long")
+    got = sorted(r[0] for r in df.select(chunked(F.lit("f"), ".json", F.col("k"), 10)).collect())
+    sql = f"SELECT {chunked_sql(chr(39) + 'f' + chr(39), '.json', 'k', 10)} FROM range(0, 50, 3) t(k)"
+    want = sorted(r[0] for r in duckdb.sql(sql).fetchall())
+    assert got == want and "f.json" in got and "f-4.json" in got
