@@ -34,7 +34,10 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     others = [c for c in lines.columns if c != value_col]
     parsed = (lines.filter(line.rlike(r"\S"))
               .select(*others, line.alias("_line"), F.try_parse_json(line).alias("_p")))
-    items = F.coalesce(as_list(F.col("_p")), F.array(F.col("_p")))
+    # only a line starting with '[' can hold an array: a failed variant cast
+    # is costly, so objects never attempt it
+    items = F.when(F.col("_line").rlike(r"^[ \t\r]*\["),
+                   F.coalesce(as_list(F.col("_p")), F.array(F.col("_p")))).otherwise(F.array(F.col("_p")))
     exploded = parsed.select(*others, "_line", F.explode(items).alias("_item"))
     ok = is_record(F.col("_item"))
     return exploded.select(

@@ -108,7 +108,7 @@ WORDS_SQL = r"string_split_regex(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s
 @query("format_list", f"SELECT doc_id, array_to_string({WORDS_SQL}, ', ') AS words FROM documents")
 def q_format_list(spark, sf):
     """A list of items (all words of a document) joined by ', '."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     return d.select("doc_id", format_list(tokens(F.col("text"))).alias("words"))
 
 
@@ -601,7 +601,7 @@ SELECT doc_id, CAST(len({WORDS_SQL}) AS INTEGER) AS n_tokens,
 FROM documents""")
 def q_truncate_tokens(spark, sf):
     """M3: texts cut to 510 whitespace tokens (512 with the two special tokens)."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     kept = truncate_tokens(F.col("text"))
     return d.select("doc_id", F.size(tokens(F.col("text"))).alias("n_tokens"),
                     F.size(kept).alias("n_kept"), F.array_join(kept, " ").alias("kept_text"))
@@ -611,7 +611,7 @@ def q_truncate_tokens(spark, sf):
 def q_embed_text(spark, sf):
     """M2: one embedding per document (hashed bag of its first 510 tokens,
     L2-normalised, 64 floats). No SQL form."""
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return embed_text(d, "text").select("doc_id", "embedding")
 
 
