@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "featurize",            # J1 core: 100k JSON event records -> features (variant path)
+    "featurize_typed",      # J1 fast path: the same records as typed columns
     "record_text_wide",     # T2 typed path: 600k lineitem rows
     "drop_corrupt",         # S4 + P1 + J1 over written NDJSON files with damaged lines
     "batch_audit",          # A5 over files

@@ -321,3 +321,77 @@ def typed_text(df: DataFrame, columns: list[str] | None = None) -> Column:
              for f in fields
              if f.name.lower() not in (LABEL_KEY, TIMESTAMPS_KEY, ISO_TIMESTAMP_KEY)]
     return F.concat_ws(FIELD_SEPARATOR, *parts) if parts else _lit("")
+
+
+def _typed_first_timestamp(c: Column, dt: T.DataType) -> tuple[Column, Column]:
+    """T7 on a typed candidate column: ``(epoch double, is_error)``."""
+    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+               T.DecimalType, T.BooleanType)
+    no = F.lit(False)
+    if isinstance(dt, T.ArrayType):
+        first = F.try_element_at(c, F.lit(1))
+        et = dt.elementType
+        if isinstance(et, numeric):
+            return first.cast("double"), no
+        if isinstance(et, T.StringType):
+            val = first.try_cast("double")
+            return val, F.coalesce(first.isNotNull() & val.isNull(), no)
+        return F.lit(None).cast("double"), F.coalesce(first.isNotNull(), no)
+    if isinstance(dt, numeric):
+        return c.cast("double"), no
+    return F.lit(None).cast("double"), no
+
+
+def render_typed(df: DataFrame, keep: list[str] | None = None, with_error: bool = False) -> DataFrame:
+    """J1 on a DataFrame with a known schema (the fast path: plain,
+    code-generated expressions, no variant).
+
+    Columns are fields in declared order. The timestamp rules are resolved
+    from the schema: the last candidate column wins (``timestamps``,
+    ``@timestamp``, or a ``timestamps`` field of a struct column); every
+    ``@timestamp`` column must hold valid ISO text. Null counts as a JSON
+    null (``None`` in the text), so use this path for complete records."""
+    keep = keep or []
+    fields = [f for f in df.schema.fields if f.name not in keep]
+    cands = []          # (kind, column, type) in field order
+    iso_cols = []
+    for f in fields:
+        lk = f.name.lower()
+        col = F.col(f"`{f.name}`")
+        if lk == LABEL_KEY:
+            continue
+        if lk == TIMESTAMPS_KEY:
+            cands.append(("ts", col, f.dataType))
+        elif lk == ISO_TIMESTAMP_KEY:
+            cands.append(("iso", col, f.dataType))
+            iso_cols.append((col, f.dataType))
+        elif isinstance(f.dataType, T.StructType):
+            subs = [s for s in f.dataType.fields if s.name.lower() == TIMESTAMPS_KEY]
+            if subs:
+                cands.append(("ts", col[subs[-1].name], subs[-1].dataType))
+    bad = F.lit(False)
+    for col, dt in iso_cols:
+        ok = iso_epoch(col).isNotNull() if isinstance(dt, T.StringType) else F.lit(False)
+        bad = bad | ~F.coalesce(ok, F.lit(False))
+    if not cands:
+        ts, t7_bad = F.lit(None).cast("double"), F.lit(False)
+    else:
+        kind, col, dt = cands[-1]
+        if kind == "iso":
+            ts, t7_bad = (iso_epoch(col) if isinstance(dt, T.StringType) else F.lit(None).cast("double")), \
+                F.lit(False)
+        else:
+            ts, t7_bad = _typed_first_timestamp(col, dt)
+    label_field = next((f for f in fields if f.name == LABEL_KEY), None)
+    label = (F.when(F.col(LABEL_KEY).isNull(), None).otherwise(_typed_value(F.col(LABEL_KEY), label_field.dataType))
+             if label_field is not None else F.lit(None).cast("string"))
+    staged = df.select(*keep, typed_text(df, [f.name for f in fields]).alias("_text"), ts.alias("_ts"),
+                       label.alias("_label"),
+                       (bad | t7_bad).alias("_err"))
+    err = F.col("_err")
+    return staged.select(
+        *keep,
+        F.when(err, _lit("")).otherwise(F.col("_text")).alias("text_representation"),
+        F.when(err, F.lit(None).cast("double")).otherwise(F.col("_ts")).alias("timestamp"),
+        F.when(err, F.lit(None).cast("string")).otherwise(F.col("_label")).alias("label"),
+        *([err.alias("is_error")] if with_error else []))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rectext.functions.render import render_records
+from rectext.functions.render import render_records, render_typed
 from rectext.operators.records import drop_corrupt, parse_lines
 from rectext.session import spread
 
@@ -30,6 +30,16 @@ def featurize(lines: DataFrame, value_col: str = "value", keep: list[str] | None
     return featurize_records(records, keep=keep, with_error=with_error)
 
 
+def featurize_typed(df: DataFrame, keep: list[str] | None = None, with_error: bool = False) -> DataFrame:
+    """J1 fast path for records whose schema is known (a typed table, or
+    JSON read with a declared schema): same contract, fields in declared
+    order, expressions Spark compiles to code."""
+    keep = keep if keep is not None else [c for c in ["source_file"] if c in df.columns]
+    out = render_typed(spread(df), keep=keep, with_error=with_error)
+    first = ["text_representation", "timestamp", "label"]
+    return out.select(*first, *[c for c in out.columns if c not in first])
+
+
 # M1: fixed values -- the eleven label names and their codes.
 LABEL_CODES = {
     "benign": 0,

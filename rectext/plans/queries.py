@@ -16,12 +16,13 @@ from rectext.functions.render import format_list, iso_epoch, typed_text
 from rectext.operators.audit import collection_count, corrupt_count
 from rectext.operators.embed import embed_text, map_batches
 from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize, featurize_records,
-                                        tokens, truncate_tokens)
+                                        featurize_typed, tokens, truncate_tokens)
 from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines,
                                        prune_nulls_json, stringify_ids)
 from rectext.plans import jobs
 from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL, EVENT_SPAN, ISO_FORMAT, chunked,
-                                  chunked_sql, document_lines, event_lines, table, timestamp_form_lines,
+                                  chunked_sql, document_lines, event_lines, event_source, table,
+                                  timestamp_form_lines,
                                   write_array_files)
 from rectext.session import spread, work_dir
 from rectext.sinks.files import write_named_lines
@@ -68,6 +69,19 @@ def q_featurize(spark: SparkSession, sf: str) -> DataFrame:
     return featurize(event_lines(spark, sf)).select(*FEATURE_COLUMNS)
 
 
+@query("featurize_typed", FEATURIZE_SQL)
+def q_featurize_typed(spark, sf):
+    """J1 fast path on typed records: the events table as typed columns
+    (``props`` parsed with its declared schema), same output as ``featurize``."""
+    ev = table(spark, sf, "events")
+    typed = ev.select(
+        F.date_format("ts", ISO_FORMAT).alias("@timestamp"), "event_id",
+        F.col("event_type").alias("label"),
+        F.from_json("props", "k bigint").alias("props"), "user_id", "value",
+        event_source(F.col("event_id")).alias("source_file"))
+    return featurize_typed(typed).select(*FEATURE_COLUMNS)
+
+
 @query("record_text", f"SELECT {EVENT_TEXT_SQL} AS text_representation FROM events")
 def q_record_text(spark, sf):
     """Text only."""
