@@ -315,12 +315,17 @@ def _typed_value(c: Column, dt: T.DataType, depth: int = 0) -> Column:
 
 def typed_text(df: DataFrame, columns: list[str] | None = None) -> Column:
     """T2 on a typed DataFrame: ``[col] value`` in declared column order,
-    ``label`` / ``timestamps`` / ``@timestamp`` columns left out."""
+    ``label`` / ``timestamps`` / ``@timestamp`` columns left out. The
+    expression is built once per schema and reused."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    parts = [F.concat(_lit(f"[{f.name}] "), _typed_value(F.col(f"`{f.name}`"), f.dataType))
-             for f in fields
-             if f.name.lower() not in (LABEL_KEY, TIMESTAMPS_KEY, ISO_TIMESTAMP_KEY)]
-    return F.concat_ws(FIELD_SEPARATOR, *parts) if parts else _lit("")
+    fields = [f for f in fields if f.name.lower() not in (LABEL_KEY, TIMESTAMPS_KEY, ISO_TIMESTAMP_KEY)]
+
+    def build():
+        parts = [F.concat(_lit(f"[{f.name}] "), _typed_value(F.col(f"`{f.name}`"), f.dataType))
+                 for f in fields]
+        return F.concat_ws(FIELD_SEPARATOR, *parts) if parts else _lit("")
+    key = "typed_text:" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in fields)
+    return _shared(key, build)
 
 
 def _typed_first_timestamp(c: Column, dt: T.DataType) -> tuple[Column, Column]:
