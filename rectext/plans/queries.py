@@ -523,46 +523,50 @@ def q_load_by_source(spark, sf):
     return read_table(spark, tbl)
 
 
-def _customer_batch(spark, sf, cond, tag, keyed=True):
-    c = table(spark, sf, "customer")
-    key = F.concat(F.lit("c"), F.col("c_custkey").cast("string")) if keyed else F.lit(None).cast("string")
-    return c.filter(cond).select(key.alias("_id"), "c_name", F.lit(tag).alias("batch"))
-
-
 @query("insert_ignore", """
-SELECT 'c' || CAST(c_custkey AS VARCHAR) AS _id, c_name, 'A' AS batch FROM customer WHERE c_custkey % 2 = 0
+SELECT 'c' || CAST(c_custkey AS VARCHAR) AS _id, c_name, 'A' AS batch FROM customer
+UNION ALL
+SELECT 'c' || CAST(b.c_custkey * 2 AS VARCHAR), b.c_name, 'B' FROM customer b
+WHERE b.c_mktsegment <> 'BUILDING'
+  AND NOT EXISTS (SELECT 1 FROM customer a WHERE a.c_custkey = b.c_custkey * 2)
 UNION ALL
-SELECT 'c' || CAST(c_custkey AS VARCHAR), c_name, 'B' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0
+SELECT NULL, c_name, 'B' FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL
-SELECT NULL, c_name, 'B' FROM customer WHERE c_custkey % 7 = 0""")
+SELECT NULL, c_name, 'B' FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def q_insert_ignore(spark, sf):
-    """K4: batch A, then batch B (each row twice, some rows without id);
-    ids already present keep their first row, rows without id always insert."""
+    """K4: batch A holds every customer under id ``c<key>``; batch B holds
+    every customer twice under id ``c<2 * key>``, except BUILDING customers,
+    who come without id. Ids already present keep their first row, repeated
+    ids in a batch insert once, rows without id always insert."""
     tbl = work_dir(spark, "insert_ignore")
-    a = _customer_batch(spark, sf, F.col("c_custkey") % 2 == 0, "A")
+    c = table(spark, sf, "customer")
+    a = c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("_id"), "c_name",
+                 F.lit("A").alias("batch"))
     append_ignore(spark, a, tbl)
-    b = _customer_batch(spark, sf, F.col("c_custkey") % 3 == 0, "B")
-    b = b.unionByName(b).unionByName(_customer_batch(spark, sf, F.col("c_custkey") % 7 == 0, "B", keyed=False))
-    append_ignore(spark, b, tbl)
+    b_id = F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("c"), (F.col("c_custkey") * 2).cast("string")))
+    b = c.select(b_id.alias("_id"), "c_name", F.lit("B").alias("batch"))
+    append_ignore(spark, b.unionByName(b), tbl)
     return spark.read.parquet(tbl).select("_id", "c_name", "batch")
 
 
 @query("drop_reload", """
-SELECT c_mktsegment AS collection, 'c' || CAST(c_custkey AS VARCHAR) AS _id, 'A' AS batch
-FROM customer WHERE c_mktsegment <> 'BUILDING'
-UNION ALL
-SELECT c_mktsegment, 'c' || CAST(c_custkey AS VARCHAR), 'B'
-FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0""")
+SELECT c_mktsegment AS collection,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'b' ELSE 'c' END || CAST(c_custkey AS VARCHAR) AS _id,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'B' ELSE 'A' END AS batch
+FROM customer""")
 def q_drop_reload(spark, sf):
-    """K5: collections per market segment; the BUILDING collection is
-    dropped and reloaded with a smaller batch, the others stay."""
+    """K5: every customer loaded into a collection per market segment; then
+    the BUILDING collection is dropped and reloaded with new ids, the other
+    collections stay as they were."""
     tbl = work_dir(spark, "drop_reload")
     c = table(spark, sf, "customer")
-    key = F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("_id")
-    first = c.select(F.col("c_mktsegment").alias("collection"), key, F.lit("A").alias("batch"))
+    first = c.select(F.col("c_mktsegment").alias("collection"),
+                     F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("_id"), F.lit("A").alias("batch"))
     drop_reload(first, tbl)
-    second = c.filter((F.col("c_mktsegment") == "BUILDING") & (F.col("c_custkey") % 2 == 0)).select(
-        F.col("c_mktsegment").alias("collection"), key, F.lit("B").alias("batch"))
+    second = c.filter(F.col("c_mktsegment") == "BUILDING").select(
+        F.col("c_mktsegment").alias("collection"),
+        F.concat(F.lit("b"), F.col("c_custkey").cast("string")).alias("_id"), F.lit("B").alias("batch"))
     drop_reload(second, tbl)
     return spark.read.schema("_id string, batch string, collection string").parquet(tbl).select(
         "collection", "_id", "batch")
