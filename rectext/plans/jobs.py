@@ -23,7 +23,7 @@ from rectext.sources.text import line_count, read_text
 
 
 def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str = "csv",
-                    recursive: bool = True, glob: str = JSON_GLOB):
+                    recursive: bool = True, glob: str = JSON_GLOB, ignore_corrupt_files: bool = False):
     """All JSON files under ``root`` -> feature rows, written per source
     file (``fmt`` = ``csv`` for K1 or ``table`` for K3).
 
@@ -31,7 +31,8 @@ def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str
     per-file audit (A5; a second pass, run only if asked) and an
     ``Observation`` with batch totals filled in by the write itself (no
     extra pass)."""
-    records = parse_lines(read_lines(spark, root, recursive, glob))
+    records = parse_lines(spread(read_lines(spark, root, recursive, glob,
+                                            ignore_corrupt_files=ignore_corrupt_files)))
     rendered = featurize_records(records.filter(F.col("v").isNotNull()), keep=["source_file"],
                                  with_error=True)
     metrics = Observation("featurize")

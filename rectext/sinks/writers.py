@@ -59,8 +59,9 @@ def write_collections(records: DataFrame, path: str, value: str = "value", colle
 def read_collections(spark: SparkSession, path: str) -> DataFrame:
     """All documents of all collections: ``collection, value`` (JSON
     text), ``source_file``. An empty collection simply has no rows."""
+    from rectext.sources.json_files import file_path
     return (spark.read.schema("value string, collection string").text(path)
-            .select("collection", "value", F.col("_metadata.file_path").alias("source_file")))
+            .select("collection", "value", file_path("_metadata.file_path").alias("source_file")))
 
 
 def load_by_source(features: DataFrame, table_path: str, key: str = "source_file") -> None:

@@ -20,6 +20,14 @@ CHECKPOINT_FOLDER = ".ipynb_checkpoints"
 MAX_ARRAY_FILE_BYTES = 1 << 30
 
 
+def file_path(uri) -> F.Column:
+    """A file URI as Spark reports it (``_metadata.file_path``, ``binaryFile``
+    paths: percent-encoded, ``a%20b.json``) decoded back to the path text
+    (``a b.json``). Only %-escapes are decoded: a literal ``+`` stays."""
+    c = F.col(uri) if isinstance(uri, str) else uri
+    return F.coalesce(F.try_url_decode(F.regexp_replace(c, r"\+", "%2B")), c)
+
+
 def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -36,23 +44,29 @@ def discover_files(spark: SparkSession, root, recursive: bool = True,
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.load(_paths(root))
-    return (df.select(F.col("path"), F.col("length"), F.col("modificationTime").alias("modification_time"))
+    return (df.select(file_path("path").alias("path"), F.col("length"),
+                      F.col("modificationTime").alias("modification_time"))
             .filter(~F.col("path").contains("/" + CHECKPOINT_FOLDER + "/")))
 
 
 def read_lines(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-               wholetext: bool = False) -> DataFrame:
+               wholetext: bool = False, ignore_corrupt_files: bool = False) -> DataFrame:
     """Text lines (or whole files) with their file: ``value, source_file``.
 
     Files are split into ~``spark.sql.files.maxPartitionBytes`` pieces, so a
-    single huge NDJSON file is read by many tasks."""
+    single huge NDJSON file is read by many tasks. ``root`` may be a file, a
+    folder or a glob pattern (``s3a://bucket/x*.json``). With
+    ``ignore_corrupt_files`` an unreadable file (a broken compressed file)
+    is skipped instead of failing the batch (P13)."""
     reader = spark.read
+    if ignore_corrupt_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.text(_paths(root), wholetext=wholetext)
-    return df.select(F.col("value"), F.col("_metadata.file_path").alias("source_file"))
+    return df.select(F.col("value"), file_path("_metadata.file_path").alias("source_file"))
 
 
 def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB) -> DataFrame:
@@ -70,7 +84,7 @@ def scan_json_array(spark: SparkSession, paths) -> DataFrame:
     if not paths:
         return parse_lines(spark.createDataFrame([], "value string, source_file string"))
     whole = spark.read.text(paths, wholetext=True)
-    return parse_lines(whole.select(F.col("value"), F.col("_metadata.file_path").alias("source_file")))
+    return parse_lines(whole.select(F.col("value"), file_path("_metadata.file_path").alias("source_file")))
 
 
 def file_format_stats(lines_records: DataFrame) -> DataFrame:

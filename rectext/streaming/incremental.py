@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rectext.operators.features import featurize_records
 from rectext.operators.records import drop_corrupt, parse_lines
-from rectext.sources.json_files import JSON_GLOB
+from rectext.sources.json_files import JSON_GLOB, file_path
 
 
 def featurize_stream(spark: SparkSession, input_dir: str, table_path: str, checkpoint: str,
@@ -30,7 +30,7 @@ def featurize_stream(spark: SparkSession, input_dir: str, table_path: str, check
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(input_dir).select(
-        F.col("value"), F.col("_metadata.file_path").alias("source_file"))
+        F.col("value"), file_path("_metadata.file_path").alias("source_file"))
     features = featurize_records(drop_corrupt(parse_lines(lines)), keep=["source_file"])
     writer = (features.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint)

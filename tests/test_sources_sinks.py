@@ -124,3 +124,42 @@ def test_sample_lines_and_count(spark, tmpuri):
     assert [r[0] for r in lines.orderBy(F.col("value").substr(6, 3).cast("int")).collect()][:2] == ["Line 1", "Line 2"]
     lines.write.text(tmpuri)
     assert line_count(read_text(spark, tmpuri)).first()["n_lines"] == 10
+
+
+def test_glob_path_and_corrupt_file_skip(spark, tmp_path):
+    import gzip
+    from rectext.sources.json_files import read_lines
+    root = str(tmp_path)
+    _write(root, "x1.json", '{"a":1}\n')
+    _write(root, "x2.json", '{"a":2}\n')
+    _write(root, "y.json", '{"a":3}\n')
+    rows = read_lines(spark, os.path.join(root, "x*.json"), recursive=False).collect()
+    assert sorted(r["value"] for r in rows) == ['{"a":1}', '{"a":2}']
+    with open(os.path.join(root, "z.json.gz"), "wb") as f:
+        f.write(gzip.compress(b'{"a":4}\n')[:-8])         # truncated: unreadable
+    kept = read_lines(spark, root, glob="*", ignore_corrupt_files=True).collect()
+    assert {'{"a":1}', '{"a":2}', '{"a":3}'} <= {r["value"] for r in kept}
+
+
+def test_import_empty_folder_and_summary(spark, tmp_path, tmpuri):
+    from rectext.plans.jobs import import_documents
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert import_documents(spark, str(empty), tmpuri + "/a").count() == 0
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a b.json").write_text('{"_id":"1","x":null,"y":2}\n{"x":null,"z":null}\n')
+    (src / "arr.json").write_text(PRETTY)
+    rows = {r["file"]: r for r in import_documents(spark, str(src), tmpuri + "/b").collect()}
+    assert (rows["a b.json"]["collection"], rows["a b.json"]["inserted"]) == ("a_b", 1)
+    assert (rows["arr.json"]["collection"], rows["arr.json"]["total_in_collection"]) == ("arr", 2)
+
+
+def test_source_file_is_decoded_path(spark, tmp_path):
+    from rectext.sources.json_files import discover_files, read_lines
+    root = str(tmp_path)
+    _write(root, "a b+c%.json", '{"a":1}\n')
+    (line,) = read_lines(spark, root).collect()
+    assert line["source_file"].endswith("/a b+c%.json")
+    (f,) = discover_files(spark, root).collect()
+    assert f["path"] == line["source_file"]
