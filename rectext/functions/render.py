@@ -233,7 +233,8 @@ def _shared(key: str, build) -> Column:
     (unresolved) Column serves every DataFrame; building the tree costs
     thousands of Python-to-JVM calls, planning it per query does not."""
     from pyspark import SparkContext
-    k = (id(SparkContext._active_spark_context), key)
+    sc = SparkContext._active_spark_context
+    k = (sc.applicationId if sc is not None else None, key)
     col = _COLUMNS.get(k)
     if col is None:
         col = _COLUMNS[k] = build()
