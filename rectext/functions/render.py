@@ -246,30 +246,30 @@ def render_records(df: DataFrame, v: str = "v", keep: list[str] | None = None,
     """Render a DataFrame with a variant column of records into
     ``text_representation, timestamp, label`` (plus ``keep`` columns).
 
-    Staged projections: the annotated field array and the timestamp
-    candidates are computed once per record and then shared by text,
-    timestamp, label and the error flag."""
+    Staged projections. The annotated field array (structs of variants, the
+    costly part to copy) is built once and consumed by the very next
+    projection, which derives the text, the timestamp candidates and the
+    label from it; later steps only carry those small columns."""
     keep = keep or []
     step1 = df.select(*keep, F.col(v).alias("_v"),
                       _shared("fields", lambda: annotated_fields(F.col("_v"))).alias("_f"))
-    step2 = step1.select(*keep, "_v", "_f",
-                         _shared("cands", lambda: timestamp_candidates(F.col("_f"))).alias("_cs"))
-    step3 = step2.select(*keep, "_v", "_f",
+    step2 = step1.select(*keep,
+                         _shared("text", lambda: fields_text(F.col("_f"))).alias("_text"),
+                         _shared("cands", lambda: timestamp_candidates(F.col("_f"))).alias("_cs"),
+                         _shared("label", lambda: label_of(F.col("_v"))).alias("_label"))
+    step3 = step2.select(*keep, "_text", "_label",
                          F.try_element_at(F.col("_cs"), F.lit(-1)).alias("_c"),
                          _shared("iso_bad", lambda: iso_error(F.col("_cs"))).alias("_iso_bad"))
-    step4 = step3.select(*keep, "_v", "_f",
+    step4 = step3.select(*keep, "_text", "_label",
                          _shared("ts", lambda: struct_of(first_timestamp(F.col("_c")))).alias("_t"),
                          "_iso_bad")
     err = F.col("_iso_bad") | F.col("_t.bad")
-    text = _shared("text", lambda: fields_text(F.col("_f")))
-    label = _shared("label", lambda: label_of(F.col("_v")))
-    out = step4.select(
+    return step4.select(
         *keep,
-        F.when(err, _lit("")).otherwise(text).alias("text_representation"),
+        F.when(err, _lit("")).otherwise(F.col("_text")).alias("text_representation"),
         F.when(err, F.lit(None).cast("double")).otherwise(F.col("_t.value")).alias("timestamp"),
-        F.when(err, F.lit(None).cast("string")).otherwise(label).alias("label"),
+        F.when(err, F.lit(None).cast("string")).otherwise(F.col("_label")).alias("label"),
         *([err.alias("is_error")] if with_error else []))
-    return out
 
 
 def struct_of(pair: tuple[Column, Column]) -> Column:
