@@ -226,7 +226,7 @@ def q_drop_corrupt(spark, sf):
     """P1 / P2 + J1: corrupt lines dropped, the rest featurized."""
     root = work_dir(spark, "drop_corrupt")
     _write_event_files(spark, sf, root)
-    recs = drop_corrupt(scan_ndjson(spark, root))
+    recs = drop_corrupt(scan_ndjson(spark, root, spread_input=True))
     feats = featurize_records(recs, keep=["source_file"])
     return feats.select("text_representation", "timestamp", "label",
                         _basename("source_file").alias("source_file"))

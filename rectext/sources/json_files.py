@@ -69,10 +69,18 @@ def read_lines(spark: SparkSession, root, recursive: bool = True, glob: str | No
     return df.select(F.col("value"), file_path("_metadata.file_path").alias("source_file"))
 
 
-def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB) -> DataFrame:
+def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
+                spread_input: bool = False) -> DataFrame:
     """Permissive NDJSON scan. One row per record candidate:
-    ``source_file, v`` (variant, null when corrupt) and ``_corrupt_record``."""
-    return parse_lines(read_lines(spark, root, recursive, glob))
+    ``source_file, v`` (variant, null when corrupt) and ``_corrupt_record``.
+
+    ``spread_input``: when heavy per-record work follows (rendering), lines
+    arriving in fewer splits than cores are spread first; split inputs are
+    left as they are. Off by default: a scan read twice (format detection)
+    would shuffle twice."""
+    from rectext.session import spread
+    lines = read_lines(spark, root, recursive, glob)
+    return parse_lines(spread(lines) if spread_input else lines)
 
 
 def scan_json_array(spark: SparkSession, paths) -> DataFrame:
