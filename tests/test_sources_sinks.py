@@ -163,3 +163,19 @@ def test_source_file_is_decoded_path(spark, tmp_path):
     assert line["source_file"].endswith("/a b+c%.json")
     (f,) = discover_files(spark, root).collect()
     assert f["path"] == line["source_file"]
+
+
+def test_featurize_files_job_metrics_and_table(spark, tmp_path, tmpuri):
+    from rectext.plans.jobs import featurize_files
+    root = str(tmp_path)
+    _write(root, "a.json", '{"m":"x","label":"benign","timestamps":[1]}\n{bad\n'
+                           '{"m":"y","@timestamp":"nope"}\n{"m":"z"}\n')
+    _write(root, "sub/b.ndjson", '{"m":"w","timestamps":[2]}\n')
+    feats, audit, metrics = featurize_files(spark, root, out=tmpuri, fmt="table")
+    m = metrics.get
+    assert (m["n_records"], m["n_errors"], m["n_without_timestamp"]) == (4, 1, 1)
+    table_rows = sorted((r["text_representation"], r["label"]) for r in read_table(spark, tmpuri).collect())
+    assert table_rows == [("", None), ("[m] w", None), ("[m] x", "benign"), ("[m] z", None)]
+    aud = {os.path.basename(r["source_file"]): r for r in audit.collect()}
+    assert (aud["a.json"]["n_records"], aud["a.json"]["n_corrupt"], aud["a.json"]["n_errors"]) == (3, 1, 1)
+    assert aud["b.ndjson"]["is_empty"] is False
