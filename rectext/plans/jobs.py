@@ -77,6 +77,8 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
         if path_exists(spark, target):
             existing = read_collections(spark, target).select(
                 F.get_json_object(F.col("value"), "$." + key).alias(key))
+        # ``existing`` lists the target's files now, before the append below,
+        # so recomputing ``new_docs`` for the summary gives the same rows
         new_docs = insert_ignore(keyed, existing, key).drop(key)
         (new_docs.select("value", "collection")
          .write.mode("append").partitionBy("collection").text(target))

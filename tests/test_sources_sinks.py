@@ -179,3 +179,15 @@ def test_featurize_files_job_metrics_and_table(spark, tmp_path, tmpuri):
     aud = {os.path.basename(r["source_file"]): r for r in audit.collect()}
     assert (aud["a.json"]["n_records"], aud["a.json"]["n_corrupt"], aud["a.json"]["n_errors"]) == (3, 1, 1)
     assert aud["b.ndjson"]["is_empty"] is False
+
+
+def test_import_insert_ignore_twice(spark, tmp_path, tmpuri):
+    from rectext.plans.jobs import import_documents
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "c.json").write_text('{"_id":"1","v":1}\n{"_id":"2","v":2}\n{"v":3}\n')
+    first = {r["file"]: r for r in import_documents(spark, str(src), tmpuri, drop_existing=False).collect()}
+    assert (first["c.json"]["inserted"], first["c.json"]["total_in_collection"]) == (3, 3)
+    again = {r["file"]: r for r in import_documents(spark, str(src), tmpuri, drop_existing=False).collect()}
+    # keyed rows are ignored the second time, the row without _id is new again
+    assert (again["c.json"]["inserted"], again["c.json"]["total_in_collection"]) == (1, 4)
