@@ -50,7 +50,8 @@ def discover_files(spark: SparkSession, root, recursive: bool = True,
 
 
 def read_lines(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-               wholetext: bool = False, ignore_corrupt_files: bool = False) -> DataFrame:
+               wholetext: bool = False, ignore_corrupt_files: bool = False,
+               with_file_size: bool = False) -> DataFrame:
     """Text lines (or whole files) with their file: ``value, source_file``.
 
     Files are split into ~``spark.sql.files.maxPartitionBytes`` pieces, so a
@@ -66,11 +67,12 @@ def read_lines(spark: SparkSession, root, recursive: bool = True, glob: str | No
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.text(_paths(root), wholetext=wholetext)
-    return df.select(F.col("value"), file_path("_metadata.file_path").alias("source_file"))
+    extra = [F.col("_metadata.file_size").alias("file_size")] if with_file_size else []
+    return df.select(F.col("value"), file_path("_metadata.file_path").alias("source_file"), *extra)
 
 
 def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-                spread_input: bool = False) -> DataFrame:
+                spread_input: bool = False, with_file_size: bool = False) -> DataFrame:
     """Permissive NDJSON scan. One row per record candidate:
     ``source_file, v`` (variant, null when corrupt) and ``_corrupt_record``.
 
@@ -79,7 +81,7 @@ def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | N
     left as they are. Off by default: a scan read twice (format detection)
     would shuffle twice."""
     from rectext.session import spread
-    lines = read_lines(spark, root, recursive, glob)
+    lines = read_lines(spark, root, recursive, glob, with_file_size=with_file_size)
     return parse_lines(spread(lines) if spread_input else lines)
 
 
@@ -113,13 +115,12 @@ def scan_json_auto(spark: SparkSession, root, recursive: bool = True, glob: str
     so they flow straight through. One aggregate names the files without a
     valid line; only those file paths (metadata, not rows) reach the driver
     and are read whole. Returns ``source_file, v, format``."""
-    records = scan_ndjson(spark, root, recursive, glob)
-    stats = file_format_stats(records)
-    sizes = discover_files(spark, root, recursive, glob or "*").select(
-        F.col("path").alias("source_file"), "length")
+    records = scan_ndjson(spark, root, recursive, glob, with_file_size=True)
+    stats = records.groupBy("source_file").agg(
+        F.count_if(F.col("v").isNotNull()).alias("n_valid"), F.max("file_size").alias("length"))
     array_files = [r["source_file"] for r in
-                   stats.filter(F.col("n_valid") == 0).join(sizes, "source_file")
-                   .filter(F.col("length") <= max_array_bytes).select("source_file").collect()]
+                   stats.filter((F.col("n_valid") == 0) & (F.col("length") <= max_array_bytes))
+                   .select("source_file").collect()]
     ndjson = records.filter(F.col("v").isNotNull()).select(
         "source_file", "v", F.lit("ndjson").alias("format"))
     arrays = scan_json_array(spark, array_files).filter(F.col("v").isNotNull()).select(
