@@ -21,14 +21,26 @@ FEATURE_SCHEMA = T.StructType([
 ])
 
 
-def write_csv_by_key(df: DataFrame, path: str, key: str = "source_file", mode: str = "overwrite") -> None:
+def rebalanced(df: DataFrame, key: str, rebalance: bool = True) -> DataFrame:
+    """Group rows of one key into few output files without a hot task.
+
+    The ``rebalance`` hint shuffles by ``key`` and lets AQE coalesce small
+    keys into one task each and split a key above the advisory partition
+    size across several tasks. Without it, every task writes a file for
+    every key it holds (tasks x keys small files). Needs AQE (Spark's
+    default); without AQE the hint is a plain hash repartition."""
+    return df.hint("rebalance", key) if rebalance else df
+
+
+def write_csv_by_key(df: DataFrame, path: str, key: str = "source_file", mode: str = "overwrite",
+                     rebalance: bool = True) -> None:
     """K1: CSV with header, one folder per ``key`` value (the input file).
 
-    No ``coalesce(1)`` and no ``repartition(key)``: each task writes the
-    rows it holds for a key, so a file holding a third of all rows is still
-    written by many tasks. Spark's default quoting / escaping is kept (it
-    reads back exactly with ``multiLine``)."""
-    (df.write.mode(mode).partitionBy(key)
+    No ``coalesce(1)``: rows are rebalanced by key (``rebalanced``), so a
+    small input gets about one file and an input holding a third of all
+    rows is still written by many tasks. Spark's default quoting / escaping
+    is kept (it reads back exactly with ``multiLine``)."""
+    (rebalanced(df, key, rebalance).write.mode(mode).partitionBy(key)
      .option("header", True)
      # the CSV writer trims values by default; keep texts exactly
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -51,8 +63,8 @@ def write_collections(records: DataFrame, path: str, value: str = "value", colle
 
     ``partitionOverwriteMode=dynamic`` replaces exactly the collections in
     this batch and keeps the others (drop-and-reload per collection)."""
-    (records.select(F.col(value).alias("value"), F.col(collection).alias("collection"))
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    out = records.select(F.col(value).alias("value"), F.col(collection).alias("collection"))
+    (rebalanced(out, "collection").write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("collection").text(path))
 
 
@@ -64,11 +76,13 @@ def read_collections(spark: SparkSession, path: str) -> DataFrame:
             .select("collection", "value", file_path("_metadata.file_path").alias("source_file")))
 
 
-def load_by_source(features: DataFrame, table_path: str, key: str = "source_file") -> None:
+def load_by_source(features: DataFrame, table_path: str, key: str = "source_file",
+                   rebalance: bool = True) -> None:
     """K3: write features to a Parquet table partitioned by ``source_file``,
     replacing only the source files present in this batch (dynamic partition
-    overwrite): loading a file twice leaves the table unchanged."""
-    (features.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    overwrite): loading a file twice leaves the table unchanged. Rows are
+    rebalanced by source file first (few files per source, no hot task)."""
+    (rebalanced(features, key, rebalance).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(key).parquet(table_path))
 
 
