@@ -145,15 +145,7 @@ def pretty_record(df: DataFrame, indent: int = 4) -> Column:
 def write_array_files(df: DataFrame, root: str, name: Column, order: str) -> DataFrame:
     """Write rows as pretty-printed JSON array files, one per ``name``:
     ``[`` line, records separated by ``,``, ``]`` line. Returns the small
-    per-file summary (already written)."""
-    body = pretty_record(df)
-    recs = df.select(name.alias("name"), F.col(order).alias("_o"), body.alias("_b"))
-    # first / last record of each file: one aggregate row per file; AQE
-    # broadcasts it at run time when its measured size is small
-    ends = recs.groupBy("name").agg(F.min("_o").alias("_first"), F.max("_o").alias("_last"))
-    lines = (recs.join(ends, "name")
-             .select("name", "_o", F.concat(
-                 F.when(F.col("_o") == F.col("_first"), F.lit("[\n")).otherwise(F.lit("")),
-                 F.col("_b"),
-                 F.when(F.col("_o") == F.col("_last"), F.lit("\n]")).otherwise(F.lit(","))).alias("value")))
-    return write_named_lines(lines, root, "name", "value", ["_o"])
+    per-file summary (lazy: run an action to write)."""
+    recs = df.select(name.alias("name"), F.col(order).alias("_o"), pretty_record(df).alias("value"))
+    return write_named_lines(recs, root, "name", "value", ["_o"],
+                             header="[\n", separator=",\n", footer="\n]\n")

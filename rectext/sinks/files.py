@@ -26,10 +26,13 @@ def _arrow_fs(uri: str):
 
 
 def write_named_lines(df: DataFrame, root: str, name_col: str = "name", value_col: str = "value",
-                      order_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Write ``value_col`` lines into ``root/<name_col>``; returns a lazy
-    DataFrame ``name, n_lines`` (one row per file); run an action on it to
-    write (it is small)."""
+                      order_cols: list[str] | None = None, num_partitions: int | None = None,
+                      header: str = "", separator: str = "\n", footer: str = "\n") -> DataFrame:
+    """Write the ``value_col`` texts of each ``name_col`` into ``root/<name>``:
+    ``header``, the texts joined by ``separator`` (in ``order_cols`` order),
+    ``footer``. The defaults give one line per value; ``"[\n"``, ``",\n"``,
+    ``"\n]\n"`` give a JSON array. Returns a lazy DataFrame ``name, n_lines``
+    (one row per file); run an action on it to write (it is small)."""
     root = root.rstrip("/")
     order_cols = order_cols or []
     parts = df.repartition(num_partitions, name_col) if num_partitions else df.repartition(name_col)
@@ -43,21 +46,27 @@ def write_named_lines(df: DataFrame, root: str, name_col: str = "name", value_co
         fs, base = _arrow_fs(root)
         cur, stream, n = None, None, 0
         done = []
+
+        def close():
+            stream.write(footer.encode("utf-8"))
+            stream.close()
+            done.append((cur, n))
+
         for pdf in batches:
             for name, grp in pdf.groupby("name", sort=False):
                 if name != cur:
                     if stream is not None:
-                        stream.close()
-                        done.append((cur, n))
+                        close()
                     target = posixpath.join(base, name)
                     fs.create_dir(posixpath.dirname(target), recursive=True)
                     stream, cur, n = fs.open_output_stream(target), name, 0
+                    stream.write(header.encode("utf-8"))
                 vals = grp["value"].fillna("")
-                stream.write(("\n".join(vals) + "\n").encode("utf-8"))
+                text = separator.join(vals)
+                stream.write(((separator if n else "") + text).encode("utf-8"))
                 n += len(vals)
         if stream is not None:
-            stream.close()
-            done.append((cur, n))
+            close()
         yield pd.DataFrame(done, columns=["name", "n_lines"])
 
     return parts.mapInPandas(write, "name string, n_lines long")

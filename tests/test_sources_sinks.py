@@ -191,3 +191,23 @@ def test_import_insert_ignore_twice(spark, tmp_path, tmpuri):
     again = {r["file"]: r for r in import_documents(spark, str(src), tmpuri, drop_existing=False).collect()}
     # keyed rows are ignored the second time, the row without _id is new again
     assert (again["c.json"]["inserted"], again["c.json"]["total_in_collection"]) == (1, 4)
+
+
+def test_named_files_and_arrays(spark, tmpuri):
+    import json
+
+    from rectext.plans.inputs import write_array_files
+    from rectext.sinks.files import write_named_lines
+    df = spark.range(0, 30).select(F.col("id"), (F.col("id") % 3).cast("string").alias("g"),
+                                   F.concat(F.lit('x"'), F.col("id").cast("string")).alias("s"))
+    summary = write_array_files(df.select("id", "s", "g"), tmpuri, F.concat(F.lit("sub/a"), F.col("g"), F.lit(".json")),
+                                "id").collect()
+    assert sorted((r["name"], r["n_lines"]) for r in summary) == [("sub/a0.json", 10), ("sub/a1.json", 10),
+                                                                  ("sub/a2.json", 10)]
+    with open(os.path.join(local_path(tmpuri), "sub", "a1.json")) as f:
+        recs = json.load(f)
+    assert [r["id"] for r in recs] == list(range(1, 30, 3)) and recs[0]["s"] == 'x"1'
+    write_named_lines(df.select(F.lit("l.txt").alias("name"), F.col("s").alias("value"), "id"),
+                      tmpuri, order_cols=["id"]).collect()
+    with open(os.path.join(local_path(tmpuri), "l.txt")) as f:
+        assert f.read().splitlines() == [f'x"{i}' for i in range(30)]
