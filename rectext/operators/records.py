@@ -20,7 +20,7 @@ def is_record(v: Column) -> Column:
     return F.coalesce(F.size(as_object(v)) > 0, F.lit(False))
 
 
-def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, value_col: str = "value", keep_raw: bool = False) -> DataFrame:
     """One row per record candidate.
 
     * blank lines are dropped;
@@ -28,7 +28,9 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     * every other line yields one row.
 
     Output: the input columns but ``value_col``, then ``v`` (the record, null
-    when corrupt) and ``_corrupt_record`` (the raw line when corrupt, else null).
+    when corrupt) and ``_corrupt_record`` (the raw line when corrupt, else null);
+    with ``keep_raw`` also ``_raw``: the line of a valid record that had a
+    line of its own (not an array item), so it can be stored as written.
     """
     line = F.col(value_col)
     others = [c for c in lines.columns if c != value_col]
@@ -36,14 +38,19 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
               .select(*others, line.alias("_line"), F.try_parse_json(line).alias("_p")))
     # only a line starting with '[' can hold an array: a failed variant cast
     # is costly, so objects never attempt it
+    arr = as_list(F.col("_p"))
     items = F.when(F.col("_line").rlike(r"^[ \t\r]*\["),
-                   F.coalesce(as_list(F.col("_p")), F.array(F.col("_p")))).otherwise(F.array(F.col("_p")))
-    exploded = parsed.select(*others, "_line", F.explode(items).alias("_item"))
+                   F.coalesce(arr, F.array(F.col("_p")))).otherwise(F.array(F.col("_p")))
+    if keep_raw:
+        parsed = parsed.withColumn("_own", ~F.col("_line").rlike(r"^[ \t\r]*\[") | arr.isNull())
+    exploded = parsed.select(*others, "_line", *(["_own"] if keep_raw else []),
+                             F.explode(items).alias("_item"))
     ok = is_record(F.col("_item"))
     return exploded.select(
         *others,
         F.when(ok, F.col("_item")).alias("v"),
-        F.when(~ok, F.col("_line")).alias(CORRUPT_COL))
+        F.when(~ok, F.col("_line")).alias(CORRUPT_COL),
+        *([F.when(ok & F.col("_own"), F.col("_line")).alias("_raw")] if keep_raw else []))
 
 
 def drop_corrupt(records: DataFrame) -> DataFrame:

@@ -58,13 +58,17 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
     collection named after it (P7), NDJSON or array (S5), all-null rows
     dropped (P4), null fields pruned (P5), then drop-and-reload (K5) or
     insert-ignore on ``key`` (K4). Returns the summary (A3)."""
-    recs = scan_json_auto(spark, folder, recursive=False, glob=FLAT_JSON_GLOB)
+    recs = scan_json_auto(spark, folder, recursive=False, glob=FLAT_JSON_GLOB, keep_raw=True)
     pruned = recs.select(
-        "source_file",
+        "source_file", "_raw", F.size(as_object(F.col("v"))).alias("_n"),
         F.map_filter(as_object(F.col("v")), lambda k, x: ~F.is_variant_null(x)).alias("_m"))
+    # a record with nothing to prune keeps its own text (numbers such as 1.0
+    # stay as written); pruned records and array items are re-serialised
+    kept_text = F.when((F.size("_m") == F.col("_n")) & F.col("_raw").isNotNull(), F.col("_raw")) \
+        .otherwise(F.to_json("_m"))
     docs = (pruned.filter(F.size("_m") > 0)                                  # P4
             .select(F.col("source_file"),
-                    F.to_json("_m").alias("value"),                          # P5
+                    kept_text.alias("value"),                                # P5
                     safe_name(F.col("source_file")).alias("collection"),
                     base_name(F.col("source_file")).alias("file")))
     if drop_existing:

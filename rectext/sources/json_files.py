@@ -72,7 +72,7 @@ def read_lines(spark: SparkSession, root, recursive: bool = True, glob: str | No
 
 
 def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-                spread_input: bool = False, with_file_size: bool = False) -> DataFrame:
+                spread_input: bool = False, with_file_size: bool = False, keep_raw: bool = False) -> DataFrame:
     """Permissive NDJSON scan. One row per record candidate:
     ``source_file, v`` (variant, null when corrupt) and ``_corrupt_record``.
 
@@ -82,7 +82,7 @@ def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | N
     would shuffle twice."""
     from rectext.session import spread
     lines = read_lines(spark, root, recursive, glob, with_file_size=with_file_size)
-    return parse_lines(spread(lines) if spread_input else lines)
+    return parse_lines(spread(lines) if spread_input else lines, keep_raw=keep_raw)
 
 
 def scan_json_array(spark: SparkSession, paths) -> DataFrame:
@@ -107,22 +107,25 @@ def file_format_stats(lines_records: DataFrame) -> DataFrame:
 
 
 def scan_json_auto(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-                   max_array_bytes: int = MAX_ARRAY_FILE_BYTES) -> DataFrame:
+                   max_array_bytes: int = MAX_ARRAY_FILE_BYTES, keep_raw: bool = False) -> DataFrame:
     """A file with at least one valid NDJSON record is NDJSON;
     any other file is read as one JSON array.
 
     Valid NDJSON records need no per-file decision (an array file has none),
     so they flow straight through. One aggregate names the files without a
     valid line; only those file paths (metadata, not rows) reach the driver
-    and are read whole. Returns ``source_file, v, format``."""
-    records = scan_ndjson(spark, root, recursive, glob, with_file_size=True)
+    and are read whole. Returns ``source_file, v, format`` (and ``_raw``,
+    the record's own line, with ``keep_raw``)."""
+    records = scan_ndjson(spark, root, recursive, glob, with_file_size=True, keep_raw=keep_raw)
     stats = records.groupBy("source_file").agg(
         F.count_if(F.col("v").isNotNull()).alias("n_valid"), F.max("file_size").alias("length"))
     array_files = [r["source_file"] for r in
                    stats.filter((F.col("n_valid") == 0) & (F.col("length") <= max_array_bytes))
                    .select("source_file").collect()]
+    raw = ["_raw"] if keep_raw else []
     ndjson = records.filter(F.col("v").isNotNull()).select(
-        "source_file", "v", F.lit("ndjson").alias("format"))
+        "source_file", "v", F.lit("ndjson").alias("format"), *raw)
     arrays = scan_json_array(spark, array_files).filter(F.col("v").isNotNull()).select(
-        "source_file", "v", F.lit("array").alias("format"))
+        "source_file", "v", F.lit("array").alias("format"),
+        *([F.lit(None).cast("string").alias("_raw")] if keep_raw else []))
     return ndjson.unionByName(arrays)

@@ -211,3 +211,13 @@ def test_named_files_and_arrays(spark, tmpuri):
                       tmpuri, order_cols=["id"]).collect()
     with open(os.path.join(local_path(tmpuri), "l.txt")) as f:
         assert f.read().splitlines() == [f'x"{i}' for i in range(30)]
+
+
+def test_import_keeps_unpruned_record_text(spark, tmp_path, tmpuri):
+    from rectext.plans.jobs import import_documents
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "n.json").write_text('{"a":1.0,"b":"x"}\n{"a":2.0,"z":null}\n[{"a":3.0}]\n')
+    import_documents(spark, str(src), tmpuri).collect()
+    texts = sorted(r["value"] for r in read_collections(spark, tmpuri).collect())
+    assert texts == ['{"a":1.0,"b":"x"}', '{"a":2}', '{"a":3}']
