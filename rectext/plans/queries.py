@@ -17,8 +17,8 @@ from rectext.operators.audit import collection_count, corrupt_count
 from rectext.operators.embed import embed_text, map_batches
 from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize, featurize_records,
                                         featurize_typed, tokens, truncate_tokens)
-from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines,
-                                       prune_nulls_json, stringify_ids)
+from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, prune_nulls_json,
+                                       stringify_ids)
 from rectext.plans import jobs
 from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL, EVENT_SPAN, ISO_FORMAT, chunked,
                                   chunked_sql, document_lines, event_lines, event_source, table,
@@ -30,7 +30,7 @@ from rectext.sinks.writers import (append_ignore, drop_reload, load_by_source, r
                                    read_csv_by_key, read_table, write_collections, write_csv_by_key)
 from rectext.sources.json_files import (discover_files, read_lines, scan_json_array, scan_json_auto,
                                         scan_ndjson)
-from rectext.sources.text import line_count, read_text, sample_lines
+from rectext.sources.text import sample_lines
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -579,7 +579,7 @@ def q_line_count(spark, sf):
     """S9 + A1 (J3): write one line per event, count the lines of the folder."""
     root = work_dir(spark, "lines")
     event_lines(spark, sf).select("value").write.text(root)
-    return line_count(read_text(spark, root))
+    return jobs.count_lines(spark, root)
 
 
 @query("sample_lines", "SELECT 'Line ' || CAST(event_id + 1 AS VARCHAR) AS value FROM events")

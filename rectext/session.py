@@ -3,7 +3,6 @@ shared scratch folder every job that materialises data must use."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,12 +78,6 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def ensure_dir(uri: str) -> None:
-    p = local_path(uri)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-
-
 def spread(df, min_partitions: int | None = None):
     """Round-robin ``df`` over the cluster's cores when it arrives in fewer
     partitions than that (a small single-row-group file, a few small files).

@@ -98,12 +98,14 @@ def scan_json_array(spark: SparkSession, paths) -> DataFrame:
 
 
 def file_format_stats(lines_records: DataFrame) -> DataFrame:
-    """Per file: record candidates, valid records, corrupt candidates.
-    A partial aggregate per task, then one row per file: skew-proof."""
+    """Per file: record candidates, valid records, corrupt candidates (and
+    the file size when the scan carries ``file_size``). A partial aggregate
+    per task, then one row per file: skew-proof."""
+    size = [F.max("file_size").alias("length")] if "file_size" in lines_records.columns else []
     return lines_records.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n_candidates"),
         F.count_if(F.col("v").isNotNull()).alias("n_valid"),
-        F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("n_corrupt"))
+        F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("n_corrupt"), *size)
 
 
 def scan_json_auto(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
@@ -117,8 +119,7 @@ def scan_json_auto(spark: SparkSession, root, recursive: bool = True, glob: str
     and are read whole. Returns ``source_file, v, format`` (and ``_raw``,
     the record's own line, with ``keep_raw``)."""
     records = scan_ndjson(spark, root, recursive, glob, with_file_size=True, keep_raw=keep_raw)
-    stats = records.groupBy("source_file").agg(
-        F.count_if(F.col("v").isNotNull()).alias("n_valid"), F.max("file_size").alias("length"))
+    stats = file_format_stats(records)
     array_files = [r["source_file"] for r in
                    stats.filter((F.col("n_valid") == 0) & (F.col("length") <= max_array_bytes))
                    .select("source_file").collect()]
