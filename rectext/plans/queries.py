@@ -31,6 +31,7 @@ from rectext.sinks.writers import (append_ignore, drop_reload, load_by_source, r
 from rectext.sources.json_files import (discover_files, read_lines, scan_json_array, scan_json_auto,
                                         scan_ndjson)
 from rectext.sources.text import sample_lines
+from rectext.streaming.incremental import featurize_stream
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -203,6 +204,18 @@ def _write_event_files(spark, sf, root, kinds=("damaged",), extra_bad_file=False
     write_named_lines(named, root, "name", "value", ["event_id"]).collect()
 
 
+@query("featurize_stream", FEATURIZE_SQL)
+def q_featurize_stream(spark, sf):
+    """J1 as Structured Streaming: event records written as NDJSON files, one
+    ``availableNow`` run of the file stream into the feature table
+    (checkpointed), the table read back."""
+    base = work_dir(spark, "stream")
+    _write_event_files(spark, sf, base + "/in", kinds=("plain",))
+    featurize_stream(spark, base + "/in", base + "/table", base + "/checkpoint").awaitTermination()
+    t = read_table(spark, base + "/table")
+    return t.select("text_representation", "timestamp", "label", _basename("source_file").alias("source_file"))
+
+
 @query("scan_ndjson", f"""
 SELECT {EVENT_SOURCE_SQL} AS source,
        CASE WHEN event_id % 10 = 7 THEN NULL ELSE event_id END AS event_id,
