@@ -32,15 +32,22 @@ def rebalanced(df: DataFrame, key: str, rebalance: bool = True) -> DataFrame:
     return df.hint("rebalance", key) if rebalance else df
 
 
+CSV_PARTITION = "source_key"
+
+
 def write_csv_by_key(df: DataFrame, path: str, key: str = "source_file", mode: str = "overwrite",
                      rebalance: bool = True) -> None:
     """K1: CSV with header, one folder per ``key`` value (the input file).
 
-    No ``coalesce(1)``: rows are rebalanced by key (``rebalanced``), so a
-    small input gets about one file and an input holding a third of all
-    rows is still written by many tasks. Spark's default quoting / escaping
-    is kept (it reads back exactly with ``multiLine``)."""
-    (rebalanced(df, key, rebalance).write.mode(mode).partitionBy(key)
+    Every file keeps all columns, ``source_file`` included (the folder is
+    named by a copy of it, ``source_key``), so a single CSV reads like one
+    written per input. No ``coalesce(1)``: rows are rebalanced by key
+    (``rebalanced``), so a small input gets about one file and an input
+    holding a third of all rows is still written by many tasks. Spark's
+    default quoting / escaping is kept (it reads back exactly with
+    ``multiLine``)."""
+    out = df.withColumn(CSV_PARTITION, F.col(key))
+    (rebalanced(out, CSV_PARTITION, rebalance).write.mode(mode).partitionBy(CSV_PARTITION)
      .option("header", True)
      # the CSV writer trims values by default; keep texts exactly
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -48,11 +55,11 @@ def write_csv_by_key(df: DataFrame, path: str, key: str = "source_file", mode: s
      .csv(path))
 
 
-def read_csv_by_key(spark: SparkSession, path: str, schema: T.StructType = FEATURE_SCHEMA,
-                    key: str = "source_file") -> DataFrame:
+def read_csv_by_key(spark: SparkSession, path: str, schema: T.StructType = FEATURE_SCHEMA) -> DataFrame:
     """Read back what K1 wrote. The given schema fixes the types (no
-    inference pass); the key comes back from the folder names as a string."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+    inference pass)."""
+    full = T.StructType(schema.fields + [T.StructField(CSV_PARTITION, T.StringType(), True)])
+    return (spark.read.schema(full).option("header", True).option("multiLine", True)
             .csv(path).select(*[f.name for f in schema.fields]))
 
 
