@@ -221,3 +221,14 @@ def test_import_keeps_unpruned_record_text(spark, tmp_path, tmpuri):
     import_documents(spark, str(src), tmpuri).collect()
     texts = sorted(r["value"] for r in read_collections(spark, tmpuri).collect())
     assert texts == ['{"a":1.0,"b":"x"}', '{"a":2}', '{"a":3}']
+
+
+def test_missing_folder_is_an_error(spark, tmp_path, tmpuri):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from rectext.plans.jobs import import_documents
+    with pytest.raises(AnalysisException):
+        import_documents(spark, str(tmp_path / "nope"), tmpuri)
+    with pytest.raises(AnalysisException):
+        discover_files(spark, str(tmp_path / "nope")).collect()
