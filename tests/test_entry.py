@@ -52,3 +52,17 @@ def test_scale_featurize_sf01(spark):
     orows = res.fetchall()
     assert len(rows) == len(orows) == 100_000
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
+
+
+@pytest.mark.parametrize("name", ["featurize", "featurize_typed", "iso_epoch", "record_text_wide"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert digest(rows, df.columns)[0] == digest(res.fetchall(), ocols)[0]
