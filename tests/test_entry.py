@@ -66,3 +66,17 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert digest(rows, df.columns)[0] == digest(res.fetchall(), ocols)[0]
+
+
+@pytest.mark.parametrize("name", ["featurize", "row_errors", "first_timestamp", "safe_name", "record_text_wide"])
+def test_results_do_not_depend_on_ansi_mode(spark, con, name):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    res = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert digest(rows, df.columns)[0] == digest(res.fetchall(), ocols)[0]
