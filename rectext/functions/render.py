@@ -185,7 +185,7 @@ def first_timestamp(c: Column) -> tuple[Column, Column]:
     other item is an error); a number gives itself; anything else null."""
     v = c["v"]
     t = vtype(v)
-    arr = as_list(v)
+    arr = F.when(t.startswith("ARRAY"), as_list(v))     # no failing cast on scalars
     first = F.try_element_at(arr, F.lit(1))
     first_t = vtype(first)
     first_num = F.try_variant_get(first, "$", "double")
