@@ -117,7 +117,8 @@ def insert_ignore(batch: DataFrame, existing: DataFrame | None, key: str = "_id"
 def append_ignore(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "_id",
                   partition_by: list[str] | None = None) -> DataFrame:
     """K4 against a Parquet table: compute the new rows and append them.
-    Single-writer contract (no concurrent appenders). Returns the inserted rows' count frame."""
+    Single-writer contract (no concurrent appenders). Returns the (lazy) rows
+    that were appended."""
     from rectext.session import path_exists
     existing = spark.read.parquet(table_path) if path_exists(spark, table_path) else None
     new_rows = insert_ignore(batch, existing, key)
@@ -130,6 +131,7 @@ def append_ignore(spark: SparkSession, batch: DataFrame, table_path: str, key: s
 
 def drop_reload(batch: DataFrame, table_path: str, collection: str = "collection") -> None:
     """K5: replace the collections present in ``batch`` (drop, then load),
-    keeping every other collection of the table."""
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    keeping every other collection of the table (rebalanced by collection:
+    few files per collection, no hot task)."""
+    (rebalanced(batch, collection).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(collection).parquet(table_path))
