@@ -28,8 +28,10 @@ def rebalanced(df: DataFrame, key: str, rebalance: bool = True) -> DataFrame:
     keys into one task each and split a key above the advisory partition
     size across several tasks. Without it, every task writes a file for
     every key it holds (tasks x keys small files). Needs AQE (Spark's
-    default); without AQE the hint is a plain hash repartition."""
-    return df.hint("rebalance", key) if rebalance else df
+    default): without it the hint would be a plain hash repartition, one task
+    for a hot key, so the write then stays shuffle-free instead."""
+    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    return df.hint("rebalance", key) if rebalance and aqe else df
 
 
 CSV_PARTITION = "source_key"

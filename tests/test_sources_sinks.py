@@ -232,3 +232,14 @@ def test_missing_folder_is_an_error(spark, tmp_path, tmpuri):
         import_documents(spark, str(tmp_path / "nope"), tmpuri)
     with pytest.raises(AnalysisException):
         discover_files(spark, str(tmp_path / "nope")).collect()
+
+
+def test_rebalance_only_with_aqe(spark):
+    from rectext.sinks.writers import rebalanced
+    df = spark.range(10).withColumn("k", F.col("id") % 2)
+    assert "RebalancePartitions" in rebalanced(df, "k")._jdf.queryExecution().analyzed().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert rebalanced(df, "k") is df
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
