@@ -3,7 +3,7 @@
 Jobs run on the session spark-submit provides (``getOrCreate``); paths are
 URIs (local, HDFS, ``s3a://``). Each prints one JSON line of counts.
 
-    featurize   <input> <output> [--format csv|table] [--audit <path>]
+    featurize   <input> <output> [--format csv|table] [--audit <path>] [--schema <ddl>]
     import      <folder> <collections> [--insert-ignore]
     line-count  <path>
     load        <collections> <table>
@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--format", choices=["csv", "table"], default="csv")
     f.add_argument("--audit", help="also write the per-file audit (a second pass) as Parquet here")
     f.add_argument("--ignore-corrupt-files", action="store_true")
+    f.add_argument("--schema", help="DDL schema of the records: use the typed fast path")
     i = sub.add_parser("import", help="*.json files of a folder -> collections (J2)")
     i.add_argument("folder")
     i.add_argument("collections")
@@ -50,7 +51,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     args = _parser().parse_args(argv)
     if args.job == "featurize":
         _, audit, metrics = jobs.featurize_files(spark, args.input, args.output, fmt=args.format,
-                                                 ignore_corrupt_files=args.ignore_corrupt_files)
+                                                 ignore_corrupt_files=args.ignore_corrupt_files,
+                                                 schema=args.schema)
         result = dict(metrics.get)
         if args.audit:
             audit.write.mode("overwrite").parquet(args.audit)

@@ -243,3 +243,18 @@ def test_rebalance_only_with_aqe(spark):
         assert rebalanced(df, "k") is df
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_featurize_files_typed_matches_variant(spark, tmp_path):
+    from rectext.plans.jobs import featurize_files
+    root = str(tmp_path)
+    _write(root, "e.json", '{"@timestamp":"2024-01-02T03:04:05.5Z","a":1,"label":"dirb","s":{"b":"x"}}\n'
+                           '{"@timestamp":"bad","a":2,"label":"benign","s":{"b":"y"}}\n'
+                           '{broken\n'
+                           '{"@timestamp":"2024-01-02T03:04:06.0Z","a":3,"label":"x","s":{"b":"z"}}\n')
+    schema = "`@timestamp` string, a bigint, label string, s struct<b: string>"
+    v_feats, v_audit, _ = featurize_files(spark, root)
+    t_feats, t_audit, _ = featurize_files(spark, root, schema=schema)
+    assert sorted(map(tuple, t_feats.collect())) == sorted(map(tuple, v_feats.collect()))
+    cols = ["n_records", "n_corrupt", "n_errors", "n_without_timestamp", "is_empty"]
+    assert [tuple(r) for r in t_audit.select(cols).collect()] == [tuple(r) for r in v_audit.select(cols).collect()]
