@@ -30,8 +30,9 @@ def _typed_records(spark: SparkSession, root, schema, recursive: bool, glob: str
 
     from rectext.sources.json_files import file_path
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
+        full = f"{schema}, {CORRUPT_COL} string"
+    else:
+        full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     reader = (spark.read.schema(full).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COL))
     if glob:
@@ -41,7 +42,8 @@ def _typed_records(spark: SparkSession, root, schema, recursive: bool, glob: str
     if ignore_corrupt_files:
         reader = reader.option("ignoreCorruptFiles", "true")
     df = reader.json(root if isinstance(root, str) else list(root))
-    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields],
+    fields = [c for c in df.columns if c != CORRUPT_COL]
+    return df.select(*[F.col(f"`{c}`") for c in fields],
                      file_path("_metadata.file_path").alias("source_file"), F.col(CORRUPT_COL))
 
 
