@@ -40,14 +40,15 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
 
 
-def test_scale_featurize_sf01(spark):
-    """The flagship query on sf0.1 (100,000 records) against its oracle."""
+@pytest.mark.parametrize("name", ["featurize", "featurize_typed"])
+def test_scale_featurize_sf01(spark, name):
+    """The flagship query (both routes) on sf0.1, 100,000 records, against its oracle."""
     sf = "/root/testdata/sf0.1"
     c = duckdb.connect()
     c.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet')")
-    df = E.queries()["featurize"](spark, sf)
+    df = E.queries()[name](spark, sf)
     rows = [tuple(r) for r in df.collect()]
-    res = c.execute(E.oracle_sql()["featurize"])
+    res = c.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert len(rows) == len(orows) == 100_000
