@@ -7,6 +7,10 @@ only the files that arrived since the last run and stops; the checkpoint
 retried run neither loses nor repeats a file. The same expressions as the
 batch job are used; the output is the feature table partitioned by
 ``source_file``.
+
+No ``rebalance`` before the sink: adaptive execution does not re-plan
+streaming micro-batches, so the hint would be a plain hash repartition (a
+hot source file in one task); each task writes the files it holds instead.
 """
 
 from __future__ import annotations
