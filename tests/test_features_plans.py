@@ -94,3 +94,14 @@ def test_chunked_names_agree_with_sql(spark):
     sql = f"SELECT {chunked_sql(chr(39) + 'f' + chr(39), '.json', 'k', 10)} FROM range(0, 50, 3) t(k)"
     want = sorted(r[0] for r in duckdb.sql(sql).fetchall())
     assert got == want and "f.json" in got and "f-4.json" in got
+
+
+def test_spread_only_when_too_few_partitions(spark):
+    from rectext.session import spread
+    n = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, numPartitions=n * 2)
+    assert spread(many) is many
+    one = spark.range(0, 100, numPartitions=1)
+    spread_one = spread(one)
+    assert spread_one.rdd.getNumPartitions() == n
+    assert sorted(r[0] for r in spread_one.collect()) == list(range(100))
