@@ -11,12 +11,16 @@ similarity. Steps:
    similarity share at least ``overlap(n)`` sketch values, so they meet in
    the list of one of the rarest ``size - overlap + 1`` values of each
    sketch, and only those enter the lists. Common passages stay out this way;
-3. in each list all members are compared with one pivot, then members that
-   components still separate with each other, so no list gives all its pairs
-   while no link between classes is lost;
-4. the union sketch drops pairs far below the similarity, exact Jaccard on
-   the full sets confirms the others;
-5. components of the confirmed links.
+3. lists with the same pivot form a cluster; its members are compared with
+   the pivot only, and links give components;
+4. clusters whose members are still apart go on with their full sets: the
+   same rarest-first lists, now exact, leave out a text of which too few
+   shingles occur in any other one. What stays is compared with further
+   pivots, and at last members outside a cluster's largest component with
+   those of other components. So no list gives all its pairs, and no link
+   between classes is lost;
+5. each comparison: the union sketch drops pairs far below the similarity,
+   exact Jaccard on the full sets confirms the others.
 """
 
 from __future__ import annotations
@@ -109,27 +113,53 @@ def classes(sets: DataFrame) -> DataFrame:
 def overlap(k: int, percent: int) -> int:
     """Least number of common values of two full sketches of similar sets:
     of the k smallest values of the union, each lies in both sets with the
-    similarity's probability; six standard deviations below the mean."""
+    similarity's probability; five standard deviations below the mean."""
     t = percent / 100
-    return max(1, math.floor(k * t - 6 * math.sqrt(k * t * (1 - t))))
+    return max(1, math.floor(k * t - 5 * math.sqrt(k * t * (1 - t))))
 
 
-def inverted_lists(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``value, node, n``: the values by which representatives meet."""
-    postings = nodes.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
+def _rarest(postings: DataFrame, least) -> DataFrame:
+    """``list, node, n``: of ``node, n, m, value`` (m values of each node),
+    for each node its ``m - least + 1`` rarest values that another node has
+    too. A value that no other node has comes first in the order, so those
+    only fill places."""
     shared = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    # A set of up to k shingles is its own sketch. It shares at least percent
-    # of its size with any similar one, but no more than k - (100 - percent)
-    # / percent * k of them need be in a larger partner's sketch.
-    small = F.least(F.ceil(F.col("m") * percent / 100), F.lit(max(1, k - math.ceil(k * (100 - percent) / percent))))
-    least = F.when(F.col("n") <= k, F.greatest(small, F.lit(1))).otherwise(overlap(k, percent))
     held = (postings.join(shared, "value").groupBy("node")
             .agg(F.first("n").alias("n"), F.first("m").alias("m"),
                  F.sort_array(F.collect_list(F.struct("df", "value"))).alias("rare")))
-    # Values that no other sketch has come first in the order; they fill places.
     room = (F.col("m") - least + 1) - (F.col("m") - F.size("rare"))
     return (held.filter(room > 0).select("node", "n", F.explode(F.slice("rare", 1, room.cast("int"))).alias("x"))
-            .select(F.col("x.value").alias("value"), "node", "n"))
+            .select(F.col("x.value").alias("list"), "node", "n"))
+
+
+def sketch_lists(nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Inverted lists of sketch values."""
+    postings = nodes.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
+    # A set of up to k shingles is its own sketch. It shares at least percent
+    # of its size with any similar one, but no more than k - (100 - percent)
+    # / percent * k of them need be in a larger partner's sketch.
+    small = F.least(F.ceil(F.col("m") * percent / 100), F.lit(max(1, k - math.ceil(k * (100 - percent) / percent))))
+    return _rarest(postings, F.when(F.col("n") <= k, F.greatest(small, F.lit(1))).otherwise(overlap(k, percent)))
+
+
+def full_lists(texts: DataFrame, percent: int) -> DataFrame:
+    """Inverted lists of the full sets of ``node, text``: exact."""
+    def start():
+        shingler = Shingler()
+        return lambda ids, raws: {"node": ids, "sets": [shingler.hashes(t) for t in raws]}
+
+    sets = map_rows(texts.select("node", "text"), "node long, sets array<long>", start)
+    postings = sets.select("node", F.size("sets").alias("n"), F.size("sets").alias("m"), F.explode("sets").alias("value"))
+    return _rarest(postings, F.ceil(F.col("m") * percent / 100))
+
+
+def clusters(lists: DataFrame) -> DataFrame:
+    """``list, node, n, ln``: lists that have the same pivot as one, named by
+    it (``ln``: its size). The pivot is the member first by a hash of its id,
+    so the lists of similar texts mostly choose the same one."""
+    pivot = (lists.groupBy("list").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("x"), F.count(F.lit(1)).alias("c"))
+             .filter("c > 1").select("list", F.col("x.node").alias("p"), F.col("x.n").alias("ln")))
+    return lists.join(pivot, "list").select(F.col("p").alias("list"), "node", "n", "ln").distinct()
 
 
 def _fit(percent: int):
@@ -142,41 +172,45 @@ def _pairs(p: DataFrame, percent: int) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Each member of a list with the list's pivot: the member first by a
-    hash of its id, so lists of the same texts choose the same one."""
-    pivot = lists.groupBy("value").agg(F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("p"), F.col("n").alias("pn"))).alias("x"),
-                                       F.count(F.lit(1)).alias("c")).filter("c > 1").select("value", "x.p", "x.pn")
-    return _pairs(lists.join(pivot, "value").select(F.col("p").alias("a"), F.col("node").alias("b"),
-                                                    F.col("pn").alias("na"), F.col("n").alias("nb")), percent)
+def mixed(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of clusters whose members are in several components so far, with
+    each member's ``component`` and ``main``, the cluster's largest one."""
+    own = (groups.select("list", "node", "n").join(found, "node", "left")
+           .withColumn("component", F.coalesce("component", "node")))
+    most = (own.groupBy("list", "component").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("list").agg(F.max(F.struct("c", "component")).alias("x"), F.count(F.lit(1)).alias("parts"))
+            .filter("parts > 1").select("list", F.col("x.component").alias("main")))
+    return own.join(most, "list")
 
 
-def remaining_pairs(lists: DataFrame, found: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of list members that are in different components so far: in each
-    list, the members outside the list's largest component with all members
-    of other components."""
-    own = (lists.join(found.select("node", "component"), "node", "left")
-           .withColumn("component", F.coalesce("component", "node")))
-    most = (own.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("value").agg(F.max(F.struct("c", "component")).alias("x"), F.count(F.lit(1)).alias("parts"))
-            .filter("parts > 1").select("value", F.col("x.component").alias("main")))
-    mixed = saved(own.join(most, "value"), "mixed-lists")
-    out = mixed.filter("component <> main").select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    all_ = mixed.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "main")
-    met = (out.join(all_, "value").filter((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))))
-    return _pairs(met, percent).join(tested, ["a", "b"], "left_anti")
+def pivot_pairs(groups: DataFrame, percent: int, pivots: int, seed: int) -> DataFrame:
+    """Members of mixed clusters with ``pivots`` members of each, chosen by hashes."""
+    first = [F.min(F.struct(F.xxhash64("node", F.lit(seed + i)).alias("h"), "node", "n", "component")) for i in range(pivots)]
+    chosen = (groups.groupBy("list").agg(F.array_distinct(F.array(*first)).alias("p"))
+              .select("list", F.explode("p").alias("p")).select("list", F.col("p.node").alias("a"), F.col("p.n").alias("na"), F.col("p.component").alias("ca")))
+    met = groups.select("list", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb")).join(chosen, "list")
+    return _pairs(met.filter("ca <> cb"), percent)
+
+
+def remaining_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """Members outside a mixed cluster's largest component with all its
+    members in other components."""
+    out = groups.filter("component <> main").select("list", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    all_ = groups.select("list", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "main")
+    met = out.join(all_, "list").filter((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
+    return _pairs(met, percent)
 
 
 def union_sketch_filter(pairs: DataFrame, nodes: DataFrame, percent: int, k: int = 64) -> DataFrame:
     """Pairs whose estimate from the ``k`` smallest values of the union is
-    not six standard deviations below the similarity."""
+    not five standard deviations below the similarity."""
     s = nodes.select("node", F.slice("sketch", 1, k).alias("s"))
     x = (pairs.join(s.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
          .join(s.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     t = percent / 100
-    return x.filter(common >= F.size(union) * t - 6 * F.sqrt(F.size(union) * t * (1 - t))).select("a", "b")
+    return x.filter(common >= F.size(union) * t - 5 * F.sqrt(F.size(union) * t * (1 - t))).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -210,7 +244,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return map_rows(x, "a long, b long", start)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id,
     kept``. Texts are linked if 100 * intersection >= percent * union of
     their sets of 5-word shingles (A-Z lower-cased; a shorter text is one
@@ -224,26 +258,36 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, doc_id: st
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = saved(sketches(named, k), "sketches")
     nodes = classes(sets)
-    lists = saved(inverted_lists(nodes.select("node", "n", "sketch"), k, percent), "lists")
     keyed = named.withColumn("text_key", F.xxhash64("text"))
 
+    def texts_of(wanted):
+        x = nodes.join(wanted, "node").select("node", F.col("rep").alias("doc_id"), "text_key")
+        return (keyed.join(x, ["doc_id", "text_key"]).groupBy("doc_id", "text_key")
+                .agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text"))
+
     def links(pairs):
         near = saved(union_sketch_filter(pairs, nodes, percent), "near")
         ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        wanted = nodes.join(ends, "node").select("node", F.col("rep").alias("doc_id"), "text_key")
-        texts = (keyed.join(wanted, ["doc_id", "text_key"]).groupBy("doc_id", "text_key")
-                 .agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text"))
-        return saved(confirmed(near, texts, percent), "links")
-
-    first = saved(pivot_pairs(lists, percent), "pairs")
-    found = links(first)
-    second = saved(remaining_pairs(lists, components(found), first, percent), "pairs")
+        return saved(confirmed(near, texts_of(ends), percent), "links")
+
+    groups = saved(clusters(sketch_lists(nodes.select("node", "n", "sketch"), k, percent)), "clusters")
+    tested = saved(_pairs(groups.select(F.col("list").alias("a"), F.col("node").alias("b"), F.col("ln").alias("na"), F.col("n").alias("nb")), percent), "pairs")
+    found = links(tested)
+    joined = components(found)
+    apart = mixed(groups, joined).select("node").distinct()
+    groups = saved(clusters(full_lists(texts_of(apart), percent)), "clusters")
+    for seed in (1, 1 + pivots):
+        pairs = saved(pivot_pairs(mixed(groups, joined), percent, pivots, seed).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested, found = tested.unionByName(pairs), found.unionByName(links(pairs))
+        joined = components(found)
+    rest = saved(remaining_pairs(saved(mixed(groups, joined), "mixed"), percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = found.unionByName(links(rest))
     ids = sets.filter("set_key is not null and doc_id is not null").select("doc_id", "set_key").distinct()
     # An id with several texts links their classes, each to the smallest.
     several = (ids.join(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id"), "doc_id")
                .join(nodes.select("set_key", "node"), "set_key"))
     several = several.join(several.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b"))
-    joined = components(found.unionByName(links(second)).unionByName(several))
+    joined = components(found.unionByName(several))
     of_node = nodes.select("set_key", "node", "rep").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_set = of_node.join(of_node.groupBy("component").agg(F.min("rep").alias("smallest")), "component").select("set_key", "smallest")
     out = sets.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
