@@ -182,17 +182,8 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
           "base_failed boolean, kept boolean, class_distance double, word_distance double, nearest_lang string")
 
 
-def quality_rules(docs: DataFrame, references: list[dict], rules: Rules = Rules(), doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
-    """One row per document: word, symbol and repetition counts of the whole
-    text, the base rules' verdict and ``kept``.
-
-    A document is kept if the base rules pass and the nearest language is
-    within both distances; a distance is null where its guard says that the
-    text is too short, or without any reference, and then doesn't reject. A
-    null or empty text has no words (all counts 0, ``base_failed``). Equal
-    rows give equal rows; a null id stays null; further columns of ``docs``
-    are not read."""
+def assessor(references: list[dict], rules: Rules = Rules()):
+    """``f(raw) -> `` the counts and verdict of a text (see ``quality_rules``)."""
     class_of = _class_of_byte()
     vocabulary = sorted({w for r in references for w, _ in r["words"]})
     place = {w: i for i, w in enumerate(vocabulary)}
@@ -208,33 +199,58 @@ def quality_rules(docs: DataFrame, references: list[dict], rules: Rules = Rules(
     white, symbol = np.zeros(256, bool), np.zeros(256, bool)
     white[list(WHITE)] = symbol[list(SYMBOLS)] = True
 
+    def one(raw: bytes | None) -> tuple:
+        raw = raw or b""
+        h = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
+        points = int(h[class_of >= 0].sum())
+        words = raw.split()
+        n, repeats = len(words), n_repeat_words(words)
+        failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
+        dc = dw = nearest = None
+        if langs:
+            scores = np.zeros(len(langs))
+            if points >= rules.class_min_chars:
+                p = np.bincount(class_of[class_of >= 0], h[class_of >= 0], len(CLASSES)) / points
+                scores += (class_d := js_distance(p, class_refs))
+            letters = common_words_of(raw)
+            if (total := sum(letters.values())) >= rules.word_min_words:
+                q = np.array([letters.get(w, 0) for w in vocabulary]) / total * is_member
+                scores += (word_d := js_distance(np.hstack([q, 1 - q.sum(1, keepdims=True)]), word_refs))
+            best = int(np.argmin(scores))
+            nearest = langs[best]
+            dc = float(class_d[best]) if points >= rules.class_min_chars else None
+            dw = float(word_d[best]) if total >= rules.word_min_words else None
+        near = (dc is None or dc <= rules.max_class_distance) and (dw is None or dw <= rules.max_word_distance)
+        return (n, points - int(h[white].sum()), int(h[symbol].sum()), n_dup_lines(raw), repeats, failed, near and not failed, dc, dw, nearest)
+
+    return one
+
+
+def quality_rules(docs: DataFrame, references: list[dict], rules: Rules = Rules(), doc_id: str = "doc_id",
+                  text: str = "text") -> DataFrame:
+    """One row per document: word, symbol and repetition counts of the whole
+    text, the base rules' verdict and ``kept``.
+
+    A document is kept if the base rules pass and the nearest language is
+    within both distances; a distance is null where its guard says that the
+    text is too short, or without any reference, and then doesn't reject. A
+    null or empty text has no words (all counts 0, ``base_failed``). Equal
+    rows give equal rows; a null id stays null; further columns of ``docs``
+    are not read."""
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+
     def start():
-        def one(raw: bytes | None):
-            raw = raw or b""
-            h = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-            points = int(h[class_of >= 0].sum())
-            words = raw.split()
-            n, repeats = len(words), n_repeat_words(words)
-            failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
-            dc = dw = nearest = None
-            if langs:
-                scores = np.zeros(len(langs))
-                if points >= rules.class_min_chars:
-                    p = np.bincount(class_of[class_of >= 0], h[class_of >= 0], len(CLASSES)) / points
-                    scores += (class_d := js_distance(p, class_refs))
-                letters = common_words_of(raw)
-                if (total := sum(letters.values())) >= rules.word_min_words:
-                    q = np.array([letters.get(w, 0) for w in vocabulary]) / total * is_member
-                    scores += (word_d := js_distance(np.hstack([q, 1 - q.sum(1, keepdims=True)]), word_refs))
-                best = int(np.argmin(scores))
-                nearest = langs[best]
-                dc = float(class_d[best]) if points >= rules.class_min_chars else None
-                dw = float(word_d[best]) if total >= rules.word_min_words else None
-            near = (dc is None or dc <= rules.max_class_distance) and (dw is None or dw <= rules.max_word_distance)
-            return (n, points - int(h[white].sum()), int(h[symbol].sum()), n_dup_lines(raw), repeats, failed,
-                    near and not failed, dc, dw, nearest)
-
-        names = [x.split()[0] for x in SCHEMA.split(", ")]
+        one = assessor(references, rules)
         return lambda ids, texts: dict(zip(names, [ids, *zip(*map(one, texts))]))
 
     return map_rows(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")), SCHEMA, start)
+
+
+def passes(text, references: list[dict], rules: Rules = Rules()):
+    """The verdict as a column, for filters that keep a table's own columns."""
+    @F.pandas_udf("boolean")
+    def verdict(texts):
+        one = assessor(references, rules)
+        return texts.map(lambda t: bool(one(None if t is None else t.encode())[6]))
+
+    return verdict(text)

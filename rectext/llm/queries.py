@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rectext.llm import licenses, near_dedup, packing, quality, token_counts
+from pyspark.sql import functions as F
+
+from rectext.llm import (lang_id, licenses, line_dedup, near_dedup, packing, quality, quotations, sentence_pieces, token_counts,
+                         vp_search)
 from rectext.llm.common import saved, table
 
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quotation_linking(spark, sf_dir):
+    """``conversations`` in mail form (turns that quote the turns before
+    them): own texts and reply trees, one row a message."""
+    mails = quotations.as_replies(table(spark, sf_dir, "conversations"))
+    return quotations.link_quotations(mails, text="mail")
+
+
 def op2_license_scan(spark, sf_dir):
     """``documents``: base places and the rules' labels, one row a document."""
     return licenses.license_scan(table(spark, sf_dir, "documents"))
@@ -21,6 +32,27 @@ def op3_quality_rules(spark, sf_dir):
     return quality.quality_rules(docs, quality.language_references(docs))
 
 
+def op4_vantage_point_search(spark, sf_dir):
+    """``embeddings``: 20 nearest of each row whose id is divisible by 20."""
+    return vp_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_language_id(spark, sf_dir):
+    """``documents``: predicted language and calibrated score, one row a document."""
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark, sf_dir):
+    """``documents`` without repeated chunks of lines."""
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_removed", "removed_bytes", F.crc32("text").alias("text_crc32"), "text")
+
+
+def op8_sentence_pieces(spark, sf_dir):
+    """``documents``: pieces of whole texts, parity with the sentencepiece library and round trip."""
+    return sentence_pieces.encode_documents(table(spark, sf_dir, "documents"), PIECE_BPE, with_ids=False)
+
+
 def op7_near_dedup(spark, sf_dir):
     """``documents``: near-duplicate classes at five words and similarity 0.75."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -37,12 +69,27 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.limits_table(saved(token_counts.length_histogram(lengths), "length-histogram"))
 
 
-QUERIES = {
-    "op2_license_scan": op2_license_scan,
-    "op3_quality_rules": op3_quality_rules,
-    "op7_near_dedup": op7_near_dedup,
-    "op9_packing": op9_packing,
-    "op10_token_counts": op10_token_counts,
+QUERIES = {f.__name__: f for f in (
+    op1_quotation_linking, op2_license_scan, op3_quality_rules, op4_vantage_point_search, op5_language_id, op6_line_dedup,
+    op7_near_dedup, op8_sentence_pieces, op9_packing, op10_token_counts)}
+
+ORACLE = {
+    # The mail form quotes the turn before at level one, so each turn answers it.
+    "op1_quotation_linking": """
+        SELECT conv_id, turn, coalesce(text, '') AS own_text, least(turn, 2) AS max_level,
+               CASE WHEN turn >= 1 THEN 1 ELSE 0 END + CASE WHEN turn >= 2 THEN 1 ELSE 0 END AS n_quoted,
+               CASE WHEN turn >= 1 THEN 1 ELSE 0 END + CASE WHEN turn >= 2 THEN 1 ELSE 0 END AS n_linked,
+               CASE WHEN turn >= 1 THEN turn - 1 END AS parent_order, 0::BIGINT AS root_order, turn AS depth
+        FROM conversations""",
+    # Factor one makes the search exact.
+    "op4_vantage_point_search": """
+        WITH good AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+            FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 20""",
 }
-
-ORACLE: dict[str, str] = {}
