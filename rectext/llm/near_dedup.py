@@ -16,10 +16,10 @@ similarity. Steps:
 4. clusters whose members are still apart go on with their full sets: the
    same rarest-first lists, now exact, leave out a text of which too few
    shingles occur in any other one. What stays is compared with further
-   pivots, and at last members outside a cluster's largest component with
-   those of other components. So no list gives all its pairs, and no link
-   between classes is lost;
-5. each comparison: the union sketch drops pairs far below the similarity,
+   pivots, and at last, block by block, members outside a cluster's largest
+   component with those of other components; a block gives only its links.
+   So no list gives all its pairs, and no link between classes is lost;
+5. each comparison with a pivot: the union sketch drops pairs far below the similarity,
    exact Jaccard on the full sets confirms the others.
 """
 
@@ -142,14 +142,18 @@ def sketch_lists(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     return _rarest(postings, F.when(F.col("n") <= k, F.greatest(small, F.lit(1))).otherwise(overlap(k, percent)))
 
 
-def full_lists(texts: DataFrame, percent: int) -> DataFrame:
-    """Inverted lists of the full sets of ``node, text``: exact."""
+def full_sets(texts: DataFrame) -> DataFrame:
+    """``node, hashes`` of ``node, text``."""
     def start():
         shingler = Shingler()
-        return lambda ids, raws: {"node": ids, "sets": [shingler.hashes(t) for t in raws]}
+        return lambda ids, raws: {"node": ids, "hashes": [shingler.hashes(t) for t in raws]}
 
-    sets = map_rows(texts.select("node", "text"), "node long, sets array<long>", start)
-    postings = sets.select("node", F.size("sets").alias("n"), F.size("sets").alias("m"), F.explode("sets").alias("value"))
+    return map_rows(texts.select("node", "text"), "node long, hashes array<long>", start)
+
+
+def full_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """Inverted lists of full sets: exact."""
+    postings = sets.select("node", F.size("hashes").alias("n"), F.size("hashes").alias("m"), F.explode("hashes").alias("value"))
     return _rarest(postings, F.ceil(F.col("m") * percent / 100))
 
 
@@ -192,13 +196,37 @@ def pivot_pairs(groups: DataFrame, percent: int, pivots: int, seed: int) -> Data
     return _pairs(met.filter("ca <> cb"), percent)
 
 
-def remaining_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """Members outside a mixed cluster's largest component with all its
-    members in other components."""
-    out = groups.filter("component <> main").select("list", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    all_ = groups.select("list", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "main")
-    met = out.join(all_, "list").filter((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
-    return _pairs(met, percent)
+def remaining_links(groups: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """``a, b``: links between members outside a mixed cluster's largest
+    component and its members in other components. Both sides are dealt to
+    blocks of about ``block`` members, and each pair of blocks is one group:
+    it counts common shingles with an index of its members' sets."""
+    deal = lambda seed, n: F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col(n) / block)).cast("int")
+    over = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / block).cast("int") - 1))
+    sizes = groups.groupBy("list").agg(F.count(F.lit(1)).alias("members"), F.count_if(F.col("component") != F.col("main")).alias("others"))
+    rows = groups.join(sizes, "list").join(sets, "node")
+    one = rows.filter("component <> main").select("list", deal(1, "others").alias("x"), over("members").alias("y"), "node", "component", "hashes")
+    two = rows.filter("others > 0").select(F.col("list").alias("l2"), over("others").alias("x2"), deal(2, "members").alias("y2"),
+                                           F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("hashes").alias("hashes2"))
+
+    def compare(left, right):
+        import pandas as pd
+        found: list = []
+        if len(left) and len(right):
+            sizes = np.array([len(h) for h in right["hashes2"]])
+            values, owner = np.concatenate(list(right["hashes2"])), np.repeat(np.arange(len(right)), sizes)
+            by = np.argsort(values, kind="stable")
+            values, owner = values[by], owner[by]
+            nodes, parts = right["node2"].to_numpy(), right["component2"].to_numpy()
+            for node, part, h in zip(left["node"], left["component"], left["hashes"]):
+                first, last = np.searchsorted(values, h, "left"), np.searchsorted(values, h, "right")
+                hits = np.concatenate([owner[i:j] for i, j in zip(first, last) if j > i] or [owner[:0]])
+                both = np.bincount(hits, minlength=len(right))
+                near = (100 * both >= percent * (len(h) + sizes - both)) & (parts != part)
+                found += [(node, int(x)) for x in nodes[near]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return one.groupBy("list", "x", "y").cogroup(two.groupBy("l2", "x2", "y2")).applyInPandas(compare, "a long, b long").distinct()
 
 
 def union_sketch_filter(pairs: DataFrame, nodes: DataFrame, percent: int, k: int = 64) -> DataFrame:
@@ -244,7 +272,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return map_rows(x, "a long, b long", start)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: int = 8, block: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id,
     kept``. Texts are linked if 100 * intersection >= percent * union of
     their sets of 5-word shingles (A-Z lower-cased; a shorter text is one
@@ -271,17 +299,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: in
         return saved(confirmed(near, texts_of(ends), percent), "links")
 
     groups = saved(clusters(sketch_lists(nodes.select("node", "n", "sketch"), k, percent)), "clusters")
-    tested = saved(_pairs(groups.select(F.col("list").alias("a"), F.col("node").alias("b"), F.col("ln").alias("na"), F.col("n").alias("nb")), percent), "pairs")
-    found = links(tested)
+    found = links(saved(_pairs(groups.select(F.col("list").alias("a"), F.col("node").alias("b"), F.col("ln").alias("na"), F.col("n").alias("nb")), percent), "pairs"))
     joined = components(found)
-    apart = mixed(groups, joined).select("node").distinct()
-    groups = saved(clusters(full_lists(texts_of(apart), percent)), "clusters")
-    for seed in (1, 1 + pivots):
-        pairs = saved(pivot_pairs(mixed(groups, joined), percent, pivots, seed).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested, found = tested.unionByName(pairs), found.unionByName(links(pairs))
-        joined = components(found)
-    rest = saved(remaining_pairs(saved(mixed(groups, joined), "mixed"), percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-    found = found.unionByName(links(rest))
+    full = saved(full_sets(texts_of(mixed(groups, joined).select("node").distinct())), "sets")
+    groups = saved(clusters(full_lists(full, percent)), "clusters")
+    found = found.unionByName(links(saved(pivot_pairs(mixed(groups, joined), percent, pivots, 1), "pairs")))
+    rest = saved(mixed(groups, components(found)), "mixed")
+    found = found.unionByName(saved(remaining_links(rest, full, percent, block), "links"))
     ids = sets.filter("set_key is not null and doc_id is not null").select("doc_id", "set_key").distinct()
     # An id with several texts links their classes, each to the smallest.
     several = (ids.join(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id"), "doc_id")
