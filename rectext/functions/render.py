@@ -108,9 +108,12 @@ def format_value(v: Column, t: Column | None = None) -> Column:
 
 
 def format_list(arr: Column) -> Column:
-    """T1 for a typed array column: items as Python ``str``, joined by ``", "``."""
-    return F.array_join(F.transform(arr, lambda e: F.coalesce(e.cast("string"), _lit("None"))),
-                        LIST_SEPARATOR)
+    """T1 for a typed array column: items as Python ``str``, joined by ``", "``.
+    The item type is constant, so Catalyst keeps one branch."""
+    return F.array_join(F.transform(arr, lambda e: F.coalesce(
+        F.when(F.typeof(e) == "boolean", F.initcap(e.cast("string")))
+        .when(F.typeof(e).isin("double", "float"), py_float_str(e.try_cast("double")))
+        .otherwise(e.cast("string")), _lit("None"))), LIST_SEPARATOR)
 
 
 def annotated_fields(v: Column) -> Column:

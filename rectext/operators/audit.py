@@ -36,16 +36,18 @@ def collection_count(docs: DataFrame, collection: str = "collection") -> DataFra
     return docs.groupBy(collection).agg(F.count(F.lit(1)).alias("n_documents"))
 
 
-def import_summary(imported: DataFrame, totals: DataFrame) -> DataFrame:
-    """A3: per file ``file, collection, inserted, total_in_collection, time``.
-
-    ``imported`` holds one row per inserted document with ``file`` and
-    ``collection``; ``totals`` holds ``collection, n_documents`` of the target
-    after the load. Both sides are one row per file / collection after the
-    aggregate, so the join is tiny."""
-    per_file = imported.groupBy("file", "collection").agg(F.count(F.lit(1)).alias("inserted"))
-    return (per_file.join(totals.withColumnRenamed("n_documents", "total_in_collection"),
-                          "collection", "left")
-            .select("file", "collection", "inserted",
-                    F.coalesce(F.col("total_in_collection"), F.lit(0)).alias("total_in_collection"),
+def import_summary(files: DataFrame, attempted: DataFrame, inserted: DataFrame, totals: DataFrame) -> DataFrame:
+    """A3: a row for every file, with or without records: ``file,
+    collection, attempted, inserted, total_in_collection, time``.
+
+    ``files``: ``source_file, file, collection``; ``attempted`` and
+    ``inserted``: a row for each document with its ``source_file``;
+    ``totals``: ``collection, n_documents`` of the target after the load. All
+    joins are between one row per file or collection."""
+    count = lambda df, name: df.groupBy("source_file").agg(F.count(F.lit(1)).alias(name))
+    zero = lambda name: F.coalesce(F.col(name), F.lit(0)).alias(name)
+    return (files.join(count(attempted, "attempted"), "source_file", "left")
+            .join(count(inserted, "inserted"), "source_file", "left")
+            .join(totals.withColumnRenamed("n_documents", "total_in_collection"), "collection", "left")
+            .select("file", "collection", zero("attempted"), zero("inserted"), zero("total_in_collection"),
                     F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("time")))

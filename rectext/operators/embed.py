@@ -1,7 +1,7 @@
 """Text embedding (M2) and the per-batch user-function hook.
 
-The default encoder is Spark ML's own hashing bag of tokens with an L2
-normaliser: JVM-side, no Python worker. A real model is plugged in through
+The default encoder is a hashing bag of tokens with an L2 norm, in native
+expressions: JVM-side, no Python worker. A real model is plugged in through
 ``predict_batch_udf`` (Arrow batches, the model loaded once per Python
 worker), the way Spark runs batch inference.
 """
@@ -14,37 +14,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rectext.operators.features import truncate_tokens
+from rectext.operators.features import MAX_TOKENS, SPECIAL_TOKENS, tokens, truncate_tokens
 
 DEFAULT_DIM = 64
 
 
 def embed_text(df: DataFrame, text_col: str = "text", out_col: str = "embedding",
                dim: int = DEFAULT_DIM, make_predict_fn: Callable | None = None,
-               batch_size: int = 64) -> DataFrame:
+               batch_size: int = 64, max_tokens: int | None = MAX_TOKENS - SPECIAL_TOKENS) -> DataFrame:
     """M2 (+M3): ``out_col`` = ``array<float>`` embedding of ``text_col``.
 
-    Texts are first cut to 510 whitespace tokens (M3). Without
-    ``make_predict_fn``: hashed term counts of the tokens (``dim`` buckets),
-    L2-normalised, deterministic across runs and machines. With it: the
-    function must return ``predict(np.ndarray[str]) -> np.ndarray[n, dim]``
-    and is run by ``predict_batch_udf``."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import predict_batch_udf, vector_to_array
-
+    Without ``make_predict_fn``: counts of the first ``max_tokens``
+    whitespace tokens (None: all) in ``dim`` buckets (the first eight hex
+    digits of a token's md5, modulo ``dim``), L2-normalised; a text without
+    tokens gives zeros. With it: the function must return
+    ``predict(np.ndarray[str]) -> np.ndarray[n, dim]`` and is run by
+    ``predict_batch_udf`` on whole texts, since a model truncates by its own
+    tokens."""
     if make_predict_fn is not None:
+        from pyspark.ml.functions import predict_batch_udf
         udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
                                 batch_size=batch_size)
-        text = F.array_join(truncate_tokens(F.col(text_col)), " ")
-        return df.withColumn(out_col, udf(text))
-
-    tmp_tokens, tmp_tf, tmp_norm = "_emb_tokens", "_emb_tf", "_emb_norm"
-    staged = df.withColumn(tmp_tokens, truncate_tokens(F.col(text_col)))
-    tf = HashingTF(inputCol=tmp_tokens, outputCol=tmp_tf, numFeatures=dim)
-    norm = Normalizer(inputCol=tmp_tf, outputCol=tmp_norm, p=2.0)
-    out = norm.transform(tf.transform(staged))
-    return (out.withColumn(out_col, vector_to_array(F.col(tmp_norm), "float32"))
-            .drop(tmp_tokens, tmp_tf, tmp_norm))
+        return df.withColumn(out_col, udf(F.col(text_col)))
+
+    own = tokens(F.col(text_col)) if max_tokens is None else truncate_tokens(F.col(text_col), max_tokens)
+    buckets = F.transform(F.filter(F.coalesce(own, F.array().cast("array<string>")), lambda t: t != ""),
+                          lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim)))
+    staged = df.withColumn("_buckets", buckets)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.size(F.filter("_buckets", lambda x: x == b)))
+    staged = staged.withColumn("_counts", counts)
+    norm = F.sqrt(F.aggregate("_counts", F.lit(0).cast("bigint"), lambda s, c: s + c * c).cast("double"))
+    return (staged.withColumn("_norm", norm)
+            .withColumn(out_col, F.transform("_counts", lambda c: F.when(F.col("_norm") > 0, c / F.col("_norm")).otherwise(0.0).cast("float")))
+            .drop("_buckets", "_counts", "_norm"))
 
 
 def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from rectext.functions.render import render_records, render_typed
 from rectext.operators.records import drop_corrupt, parse_lines
-from rectext.session import spread
 
 FEATURE_COLUMNS = ["text_representation", "timestamp", "label", "source_file"]
 
@@ -26,7 +25,7 @@ def featurize(lines: DataFrame, value_col: str = "value", keep: list[str] | None
     """Lines ``(value, source_file, ...)`` -> ``text_representation,
     timestamp, label, source_file``. Corrupt lines are dropped (P1/P2);
     one narrow plan: no shuffle and no Python worker."""
-    records = drop_corrupt(parse_lines(spread(lines), value_col))
+    records = drop_corrupt(parse_lines(lines, value_col))
     return featurize_records(records, keep=keep, with_error=with_error)
 
 
@@ -35,7 +34,7 @@ def featurize_typed(df: DataFrame, keep: list[str] | None = None, with_error: bo
     JSON read with a declared schema): same contract, fields in declared
     order, expressions Spark compiles to code."""
     keep = keep if keep is not None else [c for c in ["source_file"] if c in df.columns]
-    out = render_typed(spread(df), keep=keep, with_error=with_error)
+    out = render_typed(df, keep=keep, with_error=with_error)
     first = ["text_representation", "timestamp", "label"]
     return out.select(*first, *[c for c in out.columns if c not in first])
 
@@ -74,5 +73,6 @@ def tokens(text: Column) -> Column:
 
 def truncate_tokens(text: Column, max_tokens: int = MAX_TOKENS - SPECIAL_TOKENS) -> Column:
     """M3: the first ``max_tokens`` whitespace tokens (510 = 512 minus the two
-    special tokens of the encoder), as an array."""
-    return F.slice(tokens(text), 1, max_tokens)
+    special tokens of the encoder), as an array. The text isn't split past
+    the cut."""
+    return F.slice(F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), r"\s+", max_tokens + 1), 1, max_tokens)

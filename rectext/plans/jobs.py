@@ -15,10 +15,10 @@ from rectext.functions.render import as_object
 from rectext.operators.audit import batch_audit, collection_count, import_summary
 from rectext.operators.features import featurize_records
 from rectext.operators.records import CORRUPT_COL, drop_corrupt, parse_lines, stringify_ids
-from rectext.sinks.writers import (FEATURE_SCHEMA, load_by_source, read_collections, read_table,
+from rectext.sinks.writers import (FEATURE_SCHEMA, clear_partitions, insert_ignore, load_by_source, read_collections, read_table,
                                    write_collections, write_csv_by_key)
-from rectext.sources.json_files import FLAT_JSON_GLOB, JSON_GLOB, read_lines, scan_json_auto
-from rectext.session import path_exists, spread
+from rectext.sources.json_files import FLAT_JSON_GLOB, JSON_GLOB, discover_files, scan_json_auto, scan_json_records
+from rectext.session import path_exists, work_dir
 from rectext.sources.text import line_count, read_text
 
 
@@ -67,8 +67,7 @@ def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str
         good = typed.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
         rendered = featurize_typed(good, keep=["source_file"], with_error=True)
     else:
-        records = parse_lines(spread(read_lines(spark, root, recursive, glob,
-                                                ignore_corrupt_files=ignore_corrupt_files)))
+        records = scan_json_records(spark, root, recursive, glob, ignore_corrupt_files).drop("format")
         rendered = featurize_records(records.filter(F.col("v").isNotNull()), keep=["source_file"],
                                      with_error=True)
     metrics = Observation("featurize")
@@ -97,38 +96,47 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
                      key: str = "_id") -> DataFrame:
     """Every ``*.json`` file of ``folder`` (not recursive) into the
     collection named after it (P7), NDJSON or array (S5), all-null rows
-    dropped (P4), null fields pruned (P5), then drop-and-reload (K5) or
-    insert-ignore on ``key`` (K4). Returns the summary (A3)."""
+    dropped (P4), null fields pruned (P5). ``key`` stays unique in each
+    collection (K4); with ``drop_existing`` the collections of all files are
+    replaced (K5), also of a file that has no record left, else only new keys
+    are added. Returns the summary (A3), a row for every file: ``attempted``
+    records, ``inserted`` ones and the collection's total.
+
+    The input is parsed once: the new documents are written to the shared
+    folder first, and table and counts come from there."""
+    files = (discover_files(spark, folder, recursive=False, glob=FLAT_JSON_GLOB)
+             .select(F.col("path").alias("source_file"), safe_name(F.col("path")).alias("collection")))
     recs = scan_json_auto(spark, folder, recursive=False, glob=FLAT_JSON_GLOB, keep_raw=True)
     pruned = recs.select(
         "source_file", "_raw", F.size(as_object(F.col("v"))).alias("_n"),
         F.map_filter(as_object(F.col("v")), lambda k, x: ~F.is_variant_null(x)).alias("_m"))
     # a record with nothing to prune keeps its own text (numbers such as 1.0
-    # stay as written); pruned records and array items are re-serialised
+    # stay as written); pruned records are re-serialised
     kept_text = F.when((F.size("_m") == F.col("_n")) & F.col("_raw").isNotNull(), F.col("_raw")) \
         .otherwise(F.to_json("_m"))
     docs = (pruned.filter(F.size("_m") > 0)                                  # P4
-            .select(F.col("source_file"),
-                    kept_text.alias("value"),                                # P5
-                    safe_name(F.col("source_file")).alias("collection"),
-                    base_name(F.col("source_file")).alias("file")))
+            .select(safe_name(F.col("source_file")).alias("collection"),
+                    F.get_json_object(kept_text, "$." + key).alias(key),
+                    F.col("source_file"), kept_text.alias("value")))         # P5
+    base = work_dir(spark, "import")
+    docs.write.parquet(base + "/parsed")
+    docs = spark.read.schema(docs.schema).parquet(base + "/parsed")
+    existing = None
+    if not drop_existing and path_exists(spark, target):
+        existing = read_collections(spark, target).select(
+            "collection", F.get_json_object(F.col("value"), "$." + key).alias(key))
+    insert_ignore(docs, existing, ["collection", key]).write.parquet(base + "/new")
+    new_docs = spark.read.schema(docs.schema).parquet(base + "/new")
     if drop_existing:
-        new_docs = docs
         write_collections(new_docs, target)
-    else:
-        from rectext.sinks.writers import insert_ignore
-        keyed = docs.withColumn(key, F.get_json_object(F.col("value"), "$." + key))
-        existing = None
         if path_exists(spark, target):
-            existing = read_collections(spark, target).select(
-                F.get_json_object(F.col("value"), "$." + key).alias(key))
-        # ``existing`` lists the target's files now, before the append below,
-        # so recomputing ``new_docs`` for the summary gives the same rows
-        new_docs = insert_ignore(keyed, existing, key).drop(key)
-        (new_docs.select("value", "collection")
-         .write.mode("append").partitionBy("collection").text(target))
-    totals = collection_count(read_collections(spark, target))
-    return import_summary(docs if drop_existing else new_docs, totals)
+            emptied = files.join(new_docs.select("collection").distinct(), "collection", "left_anti").select("collection").distinct()
+            clear_partitions(spark, target, "collection", [r["collection"] for r in emptied.collect()])
+    else:
+        new_docs.select("value", "collection").write.mode("append").partitionBy("collection").text(target)
+    totals = (collection_count(read_collections(spark, target)) if path_exists(spark, target)
+              else spark.createDataFrame([], "collection string, n_documents long"))
+    return import_summary(files.withColumn("file", base_name(F.col("source_file"))), docs, new_docs, totals)
 
 
 def count_lines(spark: SparkSession, path) -> DataFrame:
@@ -144,7 +152,7 @@ def extract_featurize_load(spark: SparkSession, collections: str, table: str) ->
     docs = read_collections(spark, collections)
     lines = docs.select(stringify_ids(F.col("value")).alias("value"),
                         F.concat(F.col("collection"), F.lit(".json")).alias("source_file"))
-    records = drop_corrupt(parse_lines(spread(lines)))
+    records = drop_corrupt(parse_lines(lines))
     features = featurize_records(records, keep=["source_file"])
     load_by_source(features, table)
     return read_table(spark, table, FEATURE_SCHEMA)

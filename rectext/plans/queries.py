@@ -239,7 +239,7 @@ def q_drop_corrupt(spark, sf):
     """P1 / P2 + J1: corrupt lines dropped, the rest featurized."""
     root = work_dir(spark, "drop_corrupt")
     _write_event_files(spark, sf, root)
-    recs = drop_corrupt(scan_ndjson(spark, root, spread_input=True))
+    recs = drop_corrupt(scan_ndjson(spark, root))
     feats = featurize_records(recs, keep=["source_file"])
     return feats.select("text_representation", "timestamp", "label",
                         _basename("source_file").alias("source_file"))
@@ -407,7 +407,8 @@ def q_json_roundtrip(spark, sf):
 @query("import_summary", f"""
 SELECT {chunked_sql("source", ".json", "doc_id", DOCUMENT_SPAN)} AS file,
        {chunked_sql("source", "", "doc_id", DOCUMENT_SPAN)} AS collection,
-       CAST(count(*) AS BIGINT) AS inserted, CAST(count(*) AS BIGINT) AS total_in_collection
+       CAST(count(*) AS BIGINT) AS attempted, CAST(count(*) AS BIGINT) AS inserted,
+       CAST(count(*) AS BIGINT) AS total_in_collection
 FROM documents GROUP BY 1, 2""")
 def q_import_summary(spark, sf):
     """One file per source (every fifth source a pretty JSON array,
@@ -424,7 +425,40 @@ def q_import_summary(spark, sf):
         F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("value"), "doc_id")
     write_named_lines(lines, src, "name", "value", ["doc_id"]).collect()
     summary = jobs.import_documents(spark, src, target)
-    return summary.select("file", "collection", "inserted", "total_in_collection")
+    return summary.select("file", "collection", "attempted", "inserted", "total_in_collection")
+
+
+@query("import_insert_ignore", f"""
+SELECT {EVENT_SOURCE_SQL} AS file, regexp_replace({EVENT_SOURCE_SQL}, '\\.json$', '') AS collection,
+       CAST(2 * count(*) AS BIGINT) AS attempted, CAST(count(DISTINCT event_id // 8) AS BIGINT) AS inserted,
+       CAST(count(DISTINCT event_id // 8) AS BIGINT) AS total_in_collection
+FROM events GROUP BY 1, 2""")
+def q_import_insert_ignore(spark, sf):
+    """Files that hold every ``_id`` several times, the same ids in
+    each file: unique per collection, not over all collections."""
+    base = work_dir(spark, "import_ids")
+    ev = event_lines(spark, sf)
+    rec = ev.select(F.col("source_file").alias("name"), F.concat(F.lit('{"_id":"'), F.floor(F.col("event_id") / 8).cast("string"), F.lit('",'),
+                    F.expr("substring(value, 2)")).alias("value"), "event_id")
+    write_named_lines(rec.unionByName(rec), base + "/in", "name", "value", ["event_id"]).collect()
+    summary = jobs.import_documents(spark, base + "/in", base + "/collections", drop_existing=False)
+    return summary.select("file", "collection", "attempted", "inserted", "total_in_collection")
+
+
+@query("featurize_files", f"""
+SELECT '[c_acctbal] ' || CAST(c_acctbal AS VARCHAR) || ' [c_custkey] ' || CAST(c_custkey AS VARCHAR) || ' [c_mktsegment] ' || c_mktsegment
+       || ' [c_name] ' || c_name || ' [c_nationkey] ' || CAST(c_nationkey AS VARCHAR) AS text_representation,
+       CAST(NULL AS DOUBLE) AS "timestamp", CAST(NULL AS VARCHAR) AS label, {CUSTOMER_ARRAY_SQL} AS source_file
+FROM customer
+UNION ALL
+SELECT {EVENT_TEXT_SQL}, {EVENT_TS_SQL}, event_type, {EVENT_SOURCE_SQL} FROM events WHERE event_id % 10 <> 7""")
+def q_featurize_files(spark, sf):
+    """J1 over a folder of indented array files and NDJSON files with cut lines."""
+    root = work_dir(spark, "featurize_files")
+    _write_customer_arrays(spark, sf, root)
+    _write_event_files(spark, sf, root)
+    features, _, _ = jobs.featurize_files(spark, root)
+    return features.select("text_representation", "timestamp", "label", _basename("source_file").alias("source_file"))
 
 
 # ------------------------------------------------------------------ cleaning: P4-P8
@@ -531,7 +565,7 @@ def q_load_by_source(spark, sf):
     tbl = work_dir(spark, "features_table")
     feats = featurize(event_lines(spark, sf)).select(*FEATURE_COLUMNS)
     load_by_source(feats, tbl)
-    again = feats.filter(F.col("source_file") == "events_1.json").withColumn("label", F.upper("label"))
+    again = feats.filter(F.col("source_file").rlike("^events_1[.-]")).withColumn("label", F.upper("label"))
     load_by_source(again, tbl)
     return read_table(spark, tbl)
 
@@ -638,10 +672,14 @@ def q_truncate_tokens(spark, sf):
                     F.size(kept).alias("n_kept"), F.array_join(kept, " ").alias("kept_text"))
 
 
-@query("embed_text")
+@query("embed_text", f"""
+WITH t AS (SELECT doc_id, [('0x' || substr(md5(w), 1, 8))::BIGINT % 64 FOR w IN list_slice({WORDS_SQL}, 1, 510) IF w <> ''] AS b FROM documents),
+c AS (SELECT doc_id, [len(list_filter(b, lambda x: x = k)) FOR k IN range(64)] AS n FROM t),
+s AS (SELECT doc_id, n, sqrt(list_sum([x * x FOR x IN n])::DOUBLE) AS norm FROM c)
+SELECT doc_id, [CASE WHEN norm > 0 THEN (x / norm)::FLOAT ELSE 0::FLOAT END FOR x IN n] AS embedding FROM s""")
 def q_embed_text(spark, sf):
     """M2: one embedding per document (hashed bag of its first 510 tokens,
-    L2-normalised, 64 floats). No SQL form."""
+    L2-normalised, 64 floats)."""
     d = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return embed_text(d, "text").select("doc_id", "embedding")
 

@@ -79,18 +79,14 @@ def local_path(uri: str) -> str:
 
 
 def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
-    partitions than that (a small single-row-group file, a few small files).
-
-    CPU-heavy per-row work (parsing and rendering records) then uses every
-    core. Inputs that are already split -- the normal case at scale, one
-    task per ~128 MB split -- are returned unchanged, with no shuffle."""
-    if df.isStreaming:
-        return df
+    """Round-robin a *scan* over the cluster's cores when its files give
+    fewer partitions (a small file of one row group). For readers only: the
+    operators never call it, since asking a frame with a shuffle below for
+    its partitions would run that shuffle."""
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    if "Exchange" in df._jdf.queryExecution().sparkPlan().toString() or df.isStreaming:
+        raise ValueError("spread() takes a plain scan")
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def path_exists(spark: SparkSession, uri: str) -> bool:

@@ -99,21 +99,37 @@ def read_table(spark: SparkSession, table_path: str, schema: T.StructType = FEAT
     return spark.read.schema(schema).parquet(table_path).select(*[f.name for f in schema.fields])
 
 
-def insert_ignore(batch: DataFrame, existing: DataFrame | None, key: str = "_id") -> DataFrame:
+def insert_ignore(batch: DataFrame, existing: DataFrame | None, key: str | list[str] = "_id") -> DataFrame:
     """K4: the rows of ``batch`` to append so that ``key`` stays unique.
 
-    * rows without a key are always new (they never collide);
-    * inside the batch, one row per key (rows with equal keys are expected
-      to be equal, so the pick does not matter);
+    * rows without a key (null in one of its columns) are always new (they never collide);
+    * inside the batch, the first row of each key by its other columns, so the
+      pick doesn't depend on the run;
     * keys already in ``existing`` are ignored.
 
     Rows without a key bypass the join, so a null-key hot spot never lands
     in one shuffle partition; the de-duplication aggregates map-side first."""
-    keyed = batch.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    unkeyed = batch.filter(F.col(key).isNull())
+    keys = [key] if isinstance(key, str) else list(key)
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(f"`{k}`").isNotNull()
+    rest = [c for c in batch.columns if c not in keys]
+    keyed = (batch.filter(has_key).groupBy(*keys).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_first"))
+             .select(*keys, *[F.col(f"_first.`{c}`").alias(c) for c in rest]) if rest else batch.filter(has_key).distinct())
+    unkeyed = batch.filter(~has_key)
     if existing is not None:
-        keyed = keyed.join(existing.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
-    return keyed.unionByName(unkeyed)
+        keyed = keyed.join(existing.select(*keys).filter(has_key), keys, "left_anti")
+    return keyed.select(*batch.columns).unionByName(unkeyed)
+
+
+def clear_partitions(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
+    """Delete the folders ``column=value`` of a partitioned table: what a
+    replacing load does with sources that have no rows left."""
+    jvm = spark.sparkContext._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        folder = jvm.org.apache.hadoop.fs.Path(path, f"{column}={escape(value)}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def append_ignore(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "_id",

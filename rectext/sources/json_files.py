@@ -7,6 +7,8 @@ so one scan serves all files of a batch: no driver loop over files.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from rectext.operators.records import CORRUPT_COL, parse_lines
 JSON_GLOB = "*.{[jJ][sS][oO][nN],[nN][dD][jJ][sS][oO][nN]}"
 FLAT_JSON_GLOB = "*.[jJ][sS][oO][nN]"
 CHECKPOINT_FOLDER = ".ipynb_checkpoints"
-# Whole-file arrays are one task and one row each; Spark rows stop near 2 GB.
-MAX_ARRAY_FILE_BYTES = 1 << 30
+# Characters that a path pattern gives a meaning.
+_GLOB_CHARS = re.compile(r"([\[\]{}*?\\])")
 
 
 def file_path(uri) -> F.Column:
@@ -72,29 +74,34 @@ def read_lines(spark: SparkSession, root, recursive: bool = True, glob: str | No
 
 
 def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-                spread_input: bool = False, with_file_size: bool = False, keep_raw: bool = False) -> DataFrame:
+                with_file_size: bool = False, keep_raw: bool = False) -> DataFrame:
     """Permissive NDJSON scan. One row per record candidate:
-    ``source_file, v`` (variant, null when corrupt) and ``_corrupt_record``.
-
-    ``spread_input``: when heavy per-record work follows (rendering), lines
-    arriving in fewer splits than cores are spread first; split inputs are
-    left as they are. Off by default: a scan read twice (format detection)
-    would shuffle twice."""
-    from rectext.session import spread
+    ``source_file, v`` (variant, null when corrupt) and ``_corrupt_record``."""
     lines = read_lines(spark, root, recursive, glob, with_file_size=with_file_size)
-    return parse_lines(spread(lines) if spread_input else lines, keep_raw=keep_raw)
+    return parse_lines(lines, keep_raw=keep_raw)
 
 
-def scan_json_array(spark: SparkSession, paths) -> DataFrame:
+def _whole_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``source_file, items``: each file read whole, its JSON array cut into
+    the items' own texts (a file holding one object is one item); null if it
+    is neither. The paths are taken literally. A file that is too large for
+    one row (2 GB) is an error, never skipped."""
+    if not paths:
+        return spark.createDataFrame([], "source_file string, items array<string>")
+    whole = spark.read.text([_GLOB_CHARS.sub(r"\\\1", x) for x in paths], wholetext=True)
+    items = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", "array<string>")) \
+        .when(F.try_parse_json("value").isNotNull() & F.col("value").rlike(r"^\s*\{"), F.array("value"))
+    return whole.select(file_path("_metadata.file_path").alias("source_file"), items.alias("items"))
+
+
+def scan_json_array(spark: SparkSession, paths, keep_raw: bool = False) -> DataFrame:
     """Each file is one JSON array of records (or a single record).
 
-    Not splittable: one task and one row per file, as any whole-document
-    JSON reader; bounded by ``MAX_ARRAY_FILE_BYTES``."""
-    paths = _paths(paths)
-    if not paths:
-        return parse_lines(spark.createDataFrame([], "value string, source_file string"))
-    whole = spark.read.text(paths, wholetext=True)
-    return parse_lines(whole.select(F.col("value"), file_path("_metadata.file_path").alias("source_file")))
+    A file is one task and one row, as in any whole-document reader, but each
+    record is parsed by itself, so the limit on a parsed value holds for a
+    record and not for the file, and a number such as 100.0 keeps its form."""
+    files = _whole_files(spark, _paths(paths))
+    return parse_lines(files.select("source_file", F.explode("items").alias("value")), keep_raw=keep_raw)
 
 
 def file_format_stats(lines_records: DataFrame) -> DataFrame:
@@ -108,25 +115,44 @@ def file_format_stats(lines_records: DataFrame) -> DataFrame:
         F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("n_corrupt"), *size)
 
 
+def array_files(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB) -> list[str]:
+    """Files that hold one JSON array (or one indented object): the first
+    line that isn't blank begins so, isn't a JSON value itself, and the whole
+    file parses. Only the first split of a file is looked at and only the
+    paths of such files, which Spark's listing holds on the driver anyway,
+    come back."""
+    reader = spark.read
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    first = (reader.text(_paths(root)).select("value", file_path("_metadata.file_path").alias("source_file"),
+                                              F.col("_metadata.file_block_start").alias("at"))
+             .filter((F.col("at") == 0) & F.col("value").rlike(r"\S"))
+             .withColumn("n", F.monotonically_increasing_id())
+             .groupBy("source_file").agg(F.min_by("value", "n").alias("line")))
+    line = F.trim(F.col("line"))
+    found = first.filter((F.col("line").rlike(r"^\s*\[") & F.try_parse_json(line).isNull()) | (line == "{") | (line == "["))
+    candidates = [r["source_file"] for r in found.select("source_file").collect()]
+    return [r["source_file"] for r in _whole_files(spark, candidates).filter("items is not null").select("source_file").collect()]
+
+
+def scan_json_records(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
+                      ignore_corrupt_files: bool = False, keep_raw: bool = False) -> DataFrame:
+    """Record candidates of all files, each in its own format:
+    ``source_file, v`` (null when corrupt), ``_corrupt_record, format`` (and
+    ``_raw``). Array files are read whole, all others line by line."""
+    arrays = array_files(spark, root, recursive, glob)
+    lines = read_lines(spark, root, recursive, glob, ignore_corrupt_files=ignore_corrupt_files)
+    if not arrays:
+        return parse_lines(lines, keep_raw=keep_raw).withColumn("format", F.lit("ndjson"))
+    names = spark.createDataFrame([(x,) for x in arrays], "source_file string")
+    ndjson = parse_lines(lines.join(names, "source_file", "left_anti"), keep_raw=keep_raw)
+    whole = scan_json_array(spark, arrays, keep_raw=keep_raw)
+    return ndjson.withColumn("format", F.lit("ndjson")).unionByName(whole.withColumn("format", F.lit("array")))
+
+
 def scan_json_auto(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-                   max_array_bytes: int = MAX_ARRAY_FILE_BYTES, keep_raw: bool = False) -> DataFrame:
-    """A file with at least one valid NDJSON record is NDJSON;
-    any other file is read as one JSON array.
-
-    Valid NDJSON records need no per-file decision (an array file has none),
-    so they flow straight through. One aggregate names the files without a
-    valid line; only those file paths (metadata, not rows) reach the driver
-    and are read whole. Returns ``source_file, v, format`` (and ``_raw``,
-    the record's own line, with ``keep_raw``)."""
-    records = scan_ndjson(spark, root, recursive, glob, with_file_size=True, keep_raw=keep_raw)
-    stats = file_format_stats(records)
-    array_files = [r["source_file"] for r in
-                   stats.filter((F.col("n_valid") == 0) & (F.col("length") <= max_array_bytes))
-                   .select("source_file").collect()]
-    raw = ["_raw"] if keep_raw else []
-    ndjson = records.filter(F.col("v").isNotNull()).select(
-        "source_file", "v", F.lit("ndjson").alias("format"), *raw)
-    arrays = scan_json_array(spark, array_files).filter(F.col("v").isNotNull()).select(
-        "source_file", "v", F.lit("array").alias("format"),
-        *([F.lit(None).cast("string").alias("_raw")] if keep_raw else []))
-    return ndjson.unionByName(arrays)
+                   keep_raw: bool = False) -> DataFrame:
+    """The valid records of ``scan_json_records``."""
+    return scan_json_records(spark, root, recursive, glob, keep_raw=keep_raw).filter(F.col("v").isNotNull()).drop(CORRUPT_COL)

@@ -12,7 +12,8 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from rectext.session import get_spark
-    s = get_spark("local[4]", app="rectext-tests", shuffle_partitions=8)
+    s = get_spark("local[4]", app="rectext-tests", shuffle_partitions=8,
+                  extra={"spark.driver.memory": "6g"})
     yield s
 
 
