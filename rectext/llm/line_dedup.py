@@ -152,6 +152,8 @@ def _without(joined: DataFrame) -> DataFrame:
         import pandas as pd
 
         def one(t, spans):
+            if t is None:
+                return None
             raw, out, at = t.encode(), [], 0
             for c in sorted(spans, key=lambda c: c["start"]):
                 out.append(raw[at:c["start"]])

@@ -188,7 +188,7 @@ def assessor(references: list[dict], rules: Rules = Rules()):
     vocabulary = sorted({w for r in references for w, _ in r["words"]})
     place = {w: i for i, w in enumerate(vocabulary)}
     langs = [r["lang"] for r in references]
-    class_refs = np.array([r["classes"] for r in references]).reshape(len(langs), -1)
+    class_refs = np.array([r["classes"] for r in references]).reshape(len(langs), len(CLASSES))
     # Per language its own common words, and at last all others together.
     member = np.zeros((len(langs), len(vocabulary)))
     for i, r in enumerate(references):
