@@ -1,8 +1,10 @@
 """Line dedup by content-defined chunks of lines.
 
 The lines of a text are hashed, and a rolling hash over the last ``window``
-line hashes decides where a chunk ends. A boundary depends on nearby lines
-only, so a passage is cut alike wherever it stands. Chunks of two or more
+line hashes decides where a chunk ends: after a line whose rolling hash is
+smaller than those of both its neighbours. A boundary depends on nearby lines
+only, so a passage is cut alike wherever it stands, and a chunk has two lines
+at least and three on average. Chunks of two or more
 lines that occur again anywhere in the corpus are removed, after their bytes
 have been compared with the first occurrence, which stays.
 
@@ -25,13 +27,11 @@ from rectext.llm.common import map_rows, saved
 
 @dataclass(frozen=True)
 class Chunking:
-    """``window``: lines in the rolling hash. ``divisor``: a chunk ends where
-    the hash is divisible by it. ``long_line``: words from which a line is cut
+    """``window``: lines in the rolling hash. ``long_line``: words from which a line is cut
     into sentences. ``min_words``: chunks of fewer words are left alone (so
     are chunks of one line)."""
 
     window: int = 2
-    divisor: int = 2
     long_line: int = 40
     min_words: int = 12
 
@@ -54,18 +54,22 @@ def chunks(raw: bytes, how: Chunking, digest) -> list[tuple[int, int, int, int]]
             lines[-1][2] = True
         else:
             lines.append([s, e, False])
-    out, first, hashes = [], 0, []
-    for i, (s, e, closes) in enumerate(lines):
-        hashes.append(digest(raw[s:e].strip()))
-        rolled = 0
-        for h in hashes[-how.window:]:
-            rolled = (rolled * 0x9E3779B97F4A7C15 + h) & _MASK
-        cut = closes or i + 1 == len(lines) or (i > first and (rolled >> 32) % how.divisor == 0
-                                                 and not (i + 2 == len(lines) or lines[i + 1][2]))
-        if cut:
-            begin, end = lines[first][0], e
-            out.append((begin, end, i + 1 - first, len(raw[begin:end].split())))
-            first, hashes = i + 1, []
+    hashes = [digest(raw[s:e].strip()) for s, e, _ in lines]
+    out, first = [], 0                             # first line of a run without a closed edge
+    for last, (_, _, closes) in enumerate(lines):
+        if not closes and last + 1 < len(lines):
+            continue
+        rolled = []
+        for i in range(first, last + 1):
+            r = 0
+            for h in hashes[max(first, i - how.window + 1):i + 1]:
+                r = (r * 0x9E3779B97F4A7C15 + h) & _MASK
+            rolled.append(r ^ (r >> 29))
+        ends = [first + j for j in range(1, len(rolled) - 2) if rolled[j - 1] > rolled[j] < rolled[j + 1]]
+        for a, b in zip([first, *(i + 1 for i in ends)], [*ends, last]):
+            begin, end = lines[a][0], lines[b][1]
+            out.append((begin, end, b + 1 - a, len(raw[begin:end].split())))
+        first = last + 1
     return out
 
 
