@@ -20,7 +20,7 @@ from rectext.llm.common import saved, table  # noqa: E402
 from rectext.llm.queries import WORD_BPE  # noqa: E402
 
 #: Least calibrated probability of a language.
-MIN_SCORE = 0.5
+MIN_SCORE = 0.35
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ class Rules:
 
     min_words: int = 20
     max_repeat_percent: int = 30
-    max_class_distance: float = 0.25
+    max_class_distance: float = 0.33
     max_word_distance: float = 0.26
     class_min_chars: int = 200
     word_min_words: int = 150
