@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rectext.llm.common import arrow_schema, columns, map_rows
+from rectext.llm.common import arrow_schema, columns, map_rows, saved
 
 # White space of a word (tab, \n, \v, \f, \r, space) and symbols.
 WHITE = b" \t\n\x0b\x0c\r"
@@ -157,12 +157,12 @@ def language_references(docs: DataFrame, rules: Rules = Rules(), text: str = "te
             yield emptied()
 
     known = docs.select(F.col(text), F.col(lang)).filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    counted = (known.mapInArrow(count, "lang string, kind string, item binary, n long")
-               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
+    counted = saved(known.mapInArrow(count, "lang string, kind string, item binary, n long")
+                    .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), "language-counts")
+    everything = counted.filter("kind = 'word'").agg(F.sum("n")).first()[0] or 0
     totals = {(r["lang"], r["kind"]): r["n"] for r in
-              counted.groupBy("lang", "kind").agg(F.sum("n").alias("n"))
-              .join(counted.filter("kind = 'word'").agg(F.sum("n").alias("everything")))
-              .filter((F.col("kind") == "class") | (F.col("n") >= rules.language_share * F.col("everything")))
+              counted.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("words"))
+              .filter((F.col("kind") == "class") | (F.col("words") >= rules.language_share * everything))
               .select("lang", "kind", "n").collect()}
     langs = sorted(k for k, kind in totals if kind == "word" and totals[k, "word"])
     if not langs:
