@@ -11,7 +11,7 @@ reply tree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rectext.llm.common import saved
@@ -57,6 +57,20 @@ def normal_form(x: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(x, r"\s+", " ")))
 
 
+def _units(passages: Column, line_words: int) -> Column:
+    """``array<struct<level, place, is_whole, hash>>``: each passage whole,
+    and its lines of ``line_words`` words or more if it has several."""
+    def unit(level, place, whole, norm):
+        return F.struct(level.alias("level"), place.alias("place"), F.lit(whole).alias("is_whole"), F.unhex(F.md5(norm)).alias("hash"))
+
+    def of(p, i):
+        lines = F.filter(F.transform(p["bodies"], normal_form), lambda b: (F.size(p["bodies"]) > 1) & (F.size(F.split(b, " ")) >= line_words))
+        return F.concat(F.array(unit(p["level"], i, True, normal_form(F.array_join(p["bodies"], " ")))),
+                        F.transform(lines, lambda b: unit(p["level"], i, False, b)))
+
+    return F.flatten(F.transform(passages, of))
+
+
 def link_quotations(messages: DataFrame, thread: str = "conv_id", order: str = "turn", text: str = "text", line_words: int = 4) -> DataFrame:
     """One row per message: ``thread, order, own_text`` (without quotations
     and their introductions), ``max_level``, ``n_quoted``, ``n_linked``
@@ -74,13 +88,10 @@ def link_quotations(messages: DataFrame, thread: str = "conv_id", order: str = "
                         _without_introductions(_lines(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("lines"))
     m = m.withColumns({"passages": _passages(F.col("lines")), "max_level": F.array_max(F.transform("lines", lambda x: x["level"]))})
     own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n")
-    m = saved(m.select("thread", "ord", F.regexp_replace(F.regexp_replace(own, r"^(?:[ \t]*\n)+", ""), r"(?:\n[ \t]*)+$", "").alias("own_text"), "max_level", "passages"), "messages")
-
-    p = m.select("thread", "ord", F.posexplode("passages").alias("place", "p")).select("thread", "ord", "place", F.col("p.level").alias("level"), F.col("p.bodies").alias("bodies"))
-    whole = p.select("thread", "ord", "place", "level", F.lit(True).alias("is_whole"), normal_form(F.array_join("bodies", " ")).alias("norm"))
-    lines = (p.filter(F.size("bodies") > 1).select("thread", "ord", "place", "level", F.lit(False).alias("is_whole"), F.explode("bodies").alias("b"))
-             .withColumn("norm", normal_form(F.col("b"))).filter(F.size(F.split("norm", " ")) >= line_words).drop("b"))
-    units = whole.unionByName(lines).filter("ord is not null and thread is not null").withColumn("hash", F.md5("norm")).drop("norm")
+    # Of the passages only hashes are kept: the texts would be several times the input.
+    m = saved(m.select("thread", "ord", F.regexp_replace(F.regexp_replace(own, r"^(?:[ \t]*\n)+", ""), r"(?:\n[ \t]*)+$", "").alias("own_text"), "max_level",
+                       F.size(F.filter("passages", lambda x: x["level"] > 0)).alias("n_quoted"), _units(F.col("passages"), line_words).alias("units")), "messages")
+    units = m.filter("ord is not null and thread is not null").select("thread", "ord", F.inline("units"))
     originals = units.filter("level = 0").groupBy("thread", "hash").agg(F.min("ord").alias("first"))
     quoted = units.filter("level > 0")
     found = quoted.join(originals, ["thread", "hash"]).filter("first < ord")
@@ -90,9 +101,9 @@ def link_quotations(messages: DataFrame, thread: str = "conv_id", order: str = "
     linked = linked.select("thread", "ord", "n_linked", (-F.col("y.back")).alias("parent"))
 
     rows = (m.groupBy("thread", "ord").agg(F.array_join(F.array_sort(F.collect_set("own_text")), "\n").alias("own_text"), F.max("max_level").alias("max_level"),
-                                           F.sum(F.size(F.filter("passages", lambda x: x["level"] > 0))).alias("n_quoted"))
+                                           F.sum("n_quoted").alias("n_quoted"))
             if m.groupBy("thread", "ord").count().filter("count > 1 and thread is not null and ord is not null").limit(1).count() else
-            m.select("thread", "ord", "own_text", "max_level", F.size(F.filter("passages", lambda x: x["level"] > 0)).alias("n_quoted")))
+            m.select("thread", "ord", "own_text", "max_level", "n_quoted"))
     tree = saved(m.select("thread", "ord").filter("thread is not null and ord is not null").distinct().join(linked, ["thread", "ord"], "left")
                  .select("thread", "ord", "n_linked", "parent", F.coalesce("parent", "ord").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")), "replies")
     tree = doubled(tree)
@@ -112,15 +123,28 @@ def doubled(tree: DataFrame) -> DataFrame:
         tree = saved(tree.join(above, ["thread", "up"]).select("thread", "ord", "n_linked", "parent", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth")), "replies")
 
 
-def as_replies(conversations: DataFrame, levels: int = 2) -> DataFrame:
+def as_replies(conversations: DataFrame, levels: int = 2, block: int = 1024) -> DataFrame:
     """Conversations in the form of mail: every turn begins with an
     introduction and the turn before it, quoted, which quotes the turn before
-    that, to ``levels`` levels."""
+    that, to ``levels`` levels. A turn whose number follows no other, or
+    without conversation or number, quotes nothing; of several turns with one
+    number the largest text is quoted.
+
+    A window by number finds the turns before. Conversations are cut into
+    blocks of ``block`` numbers, each with copies of the last ``levels`` turns
+    of the block before, so a long one is spread over tasks and a text is
+    shuffled about once."""
     turns = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    out = turns.withColumn("mail", F.col("text"))
-    for _ in range(levels):
-        before = out.select("conv_id", (F.col("turn") + 1).alias("turn"), F.concat(F.lit("Turn "), F.col("turn").cast("string"), F.lit(" wrote:\n"),
-                            F.regexp_replace("mail", "(?m)^", "> ")).alias("quoted"))
-        out = (turns.join(before, ["conv_id", "turn"], "left")
-               .select("conv_id", "turn", "role", "text", F.concat(F.coalesce(F.concat("quoted", F.lit("\n\n")), F.lit("")), F.col("text")).alias("mail")))
-    return out
+    told = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    number = F.col("turn").cast("long")
+    home = F.floor(number / block)
+    dealt = turns.filter(told).withColumns({"number": number, "home": home, "block": F.explode(F.array_distinct(F.array(home, F.floor((number + levels) / block))))})
+    in_block = Window.partitionBy("conv_id", "block").orderBy("number")
+    near = dealt.withColumns({f"back{i}": F.max("text").over(in_block.rangeBetween(-i, -i)) for i in range(1, levels + 1)}).filter("block = home")
+    mail = F.lit(None).cast("string")
+    for i in range(levels, -1, -1):
+        text = F.col(f"back{i}") if i else F.col("text")
+        before = F.concat(F.lit("Turn "), (F.col("number") - i - 1).cast("string"), F.lit(" wrote:\n"), F.regexp_replace(mail, "(?m)^", "> "), F.lit("\n\n"))
+        mail = F.concat(F.coalesce(before, F.lit("")), text)
+    names = ["conv_id", "turn", "role", "text"]
+    return near.select(*names, mail.alias("mail")).unionByName(turns.filter(~told).select(*names, F.col("text").alias("mail")))
