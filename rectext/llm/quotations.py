@@ -115,12 +115,18 @@ def link_quotations(messages: DataFrame, thread: str = "conv_id", order: str = "
 
 def doubled(tree: DataFrame) -> DataFrame:
     """``up`` (an ancestor; a root's is itself) followed to the root, ``depth``
-    added up: each round doubles the steps, so a chain of n replies needs log n."""
-    while True:
-        above = tree.select("thread", F.col("ord").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        if not tree.join(above.filter("next <> up"), ["thread", "up"], "left_semi").limit(1).count():
-            return tree
-        tree = saved(tree.join(above, ["thread", "up"]).select("thread", "ord", "n_linked", "parent", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth")), "replies")
+    added up: each round doubles the steps, so a chain of n replies needs
+    log n. Only messages that haven't come to their root go on."""
+    names = ["thread", "ord", "n_linked", "parent", "up", "depth"]
+    known = tree.select(*names, F.col("parent").isNull().alias("at_root"))
+    finished, going = known.filter("at_root"), known.filter("not at_root")
+    while not going.isEmpty():
+        above = known.select("thread", F.col("ord").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), "at_root")
+        moved = saved(going.drop("at_root").join(above, ["thread", "up"])
+                      .select("thread", "ord", "n_linked", "parent", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), "at_root"), "replies")
+        finished, going = finished.unionByName(moved.filter("at_root")), moved.filter("not at_root")
+        known = finished.unionByName(going)
+    return finished.select(*names)
 
 
 def as_replies(conversations: DataFrame, levels: int = 2, block: int = 1024) -> DataFrame:
