@@ -84,9 +84,10 @@ def format_scalar(v: Column, t: Column | None = None) -> Column:
             .when(v.isNull() | (t == "VOID"), _lit("None"))
             .when(t == "BOOLEAN",
                   F.when(F.try_variant_get(v, "$", "boolean"), _lit("True")).otherwise(_lit("False")))
-            # a literal such as 100.0 is stored as an exact DECIMAL(p,0): print it as a float
-            .when(t.startswith("DECIMAL") & t.rlike(_EXACT_INT_DECIMAL), F.concat(v.cast("string"), _lit(".0")))
-            .when(t == "DOUBLE", py_float_str(F.try_variant_get(v, "$", "double")))
+            # a float literal is stored as an exact DECIMAL (100.0 without a scale): print it as a float;
+            # an integer past a long is a DECIMAL without a scale as well, and longer than those
+            .when((t == "DOUBLE") | (t.startswith("DECIMAL") & (t.rlike(_EXACT_INT_DECIMAL) | ~t.endswith(",0)"))),
+                  py_float_str(F.try_variant_get(v, "$", "double")))
             .when(t.startswith("OBJECT") | t.startswith("ARRAY"), F.to_json(v))
             .otherwise(v.cast("string")))
 

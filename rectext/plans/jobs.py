@@ -89,6 +89,11 @@ def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str
     else:
         audit = batch_audit(featurize_records(records, keep=["source_file", "v", CORRUPT_COL],
                                               with_error=True))
+    # From the listing, so that a blank or unreadable (skipped) file has its row. Spark lists no file of 0 bytes.
+    files = discover_files(spark, root, recursive, glob).select(F.col("path").alias("source_file"))
+    counts = ["n_records", "n_corrupt", "n_errors", "n_without_timestamp"]
+    audit = (files.join(audit, "source_file", "left")
+             .select("source_file", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts], F.coalesce("is_empty", F.lit(True)).alias("is_empty")))
     return features, audit, metrics
 
 

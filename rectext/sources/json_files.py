@@ -81,14 +81,15 @@ def scan_ndjson(spark: SparkSession, root, recursive: bool = True, glob: str | N
     return parse_lines(lines, keep_raw=keep_raw)
 
 
-def _whole_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _whole_files(spark: SparkSession, paths: list[str], ignore_corrupt_files: bool = False) -> DataFrame:
     """``source_file, items``: each file read whole, its JSON array cut into
     the items' own texts (a file holding one object is one item); null if it
     is neither. The paths are taken literally. A file that is too large for
     one row (2 GB) is an error, never skipped."""
     if not paths:
         return spark.createDataFrame([], "source_file string, items array<string>")
-    whole = spark.read.text([_GLOB_CHARS.sub(r"\\\1", x) for x in paths], wholetext=True)
+    reader = spark.read.option("ignoreCorruptFiles", "true") if ignore_corrupt_files else spark.read
+    whole = reader.text([_GLOB_CHARS.sub(r"\\\1", x) for x in paths], wholetext=True)
     items = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", "array<string>")) \
         .when(F.try_parse_json("value").isNotNull() & F.col("value").rlike(r"^\s*\{"), F.array("value"))
     return whole.select(file_path("_metadata.file_path").alias("source_file"), items.alias("items"))
@@ -115,13 +116,16 @@ def file_format_stats(lines_records: DataFrame) -> DataFrame:
         F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("n_corrupt"), *size)
 
 
-def array_files(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB) -> list[str]:
+def array_files(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
+                ignore_corrupt_files: bool = False) -> list[str]:
     """Files that hold one JSON array (or one indented object): the first
     line that isn't blank begins so, isn't a JSON value itself, and the whole
     file parses. Only the first split of a file is looked at and only the
     paths of such files, which Spark's listing holds on the driver anyway,
     come back."""
     reader = spark.read
+    if ignore_corrupt_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
@@ -134,7 +138,7 @@ def array_files(spark: SparkSession, root, recursive: bool = True, glob: str | N
     line = F.trim(F.col("line"))
     found = first.filter((F.col("line").rlike(r"^\s*\[") & F.try_parse_json(line).isNull()) | (line == "{") | (line == "["))
     candidates = [r["source_file"] for r in found.select("source_file").collect()]
-    return [r["source_file"] for r in _whole_files(spark, candidates).filter("items is not null").select("source_file").collect()]
+    return [r["source_file"] for r in _whole_files(spark, candidates, ignore_corrupt_files).filter("items is not null").select("source_file").collect()]
 
 
 def scan_json_records(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
@@ -142,7 +146,7 @@ def scan_json_records(spark: SparkSession, root, recursive: bool = True, glob: s
     """Record candidates of all files, each in its own format:
     ``source_file, v`` (null when corrupt), ``_corrupt_record, format`` (and
     ``_raw``). Array files are read whole, all others line by line."""
-    arrays = array_files(spark, root, recursive, glob)
+    arrays = array_files(spark, root, recursive, glob, ignore_corrupt_files)
     lines = read_lines(spark, root, recursive, glob, ignore_corrupt_files=ignore_corrupt_files)
     if not arrays:
         return parse_lines(lines, keep_raw=keep_raw).withColumn("format", F.lit("ndjson"))

@@ -32,6 +32,8 @@ CASES = [
     ('{"@timestamp":"2024-02-30T03:04:05.5Z","k":1}', "", None, None),
     ('{"a":{"x":{"y":1}},"b":1e-05,"c":1e20,"d":12345678.5}',
      '[a] {[x] {"y":1}} [b] 1e-05 [c] 1e+20 [d] 12345678.5', None, None),
+    ('{"a":0.00001,"b":2.50,"c":12345678901234567.5,"d":0.1234567890123456789,"e":100000000000000000.0}',
+     "[a] 1e-05 [b] 2.5 [c] 1.2345678901234568e+16 [d] 0.12345678901234568 [e] 1e+17", None, None),
     ('{"timestamps":[null,1]}', "", None, None),
     ('{"timestamps":[true]}', "", 1.0, None),
     ('{"timestamps":[{"a":1}],"k":1}', "", None, None),

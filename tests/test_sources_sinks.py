@@ -258,3 +258,17 @@ def test_featurize_files_typed_matches_variant(spark, tmp_path):
     assert sorted(map(tuple, t_feats.collect())) == sorted(map(tuple, v_feats.collect()))
     cols = ["n_records", "n_corrupt", "n_errors", "n_without_timestamp", "is_empty"]
     assert [tuple(r) for r in t_audit.select(cols).collect()] == [tuple(r) for r in v_audit.select(cols).collect()]
+
+
+def test_audit_names_files_without_records(spark, tmp_path):
+    import gzip
+
+    from rectext.plans.jobs import featurize_files
+    root = str(tmp_path)
+    _write(root, "a.json", '{"a":1}\n')
+    _write(root, "sub/blank.json", "\n \n")
+    with open(os.path.join(root, "cut.json.gz"), "wb") as f:
+        f.write(gzip.compress(b'{"a":4}\n' * 1000)[:20])         # unreadable
+    _, audit, _ = featurize_files(spark, root, glob="*", ignore_corrupt_files=True)
+    rows = {os.path.basename(r["source_file"]): (r["n_records"], r["is_empty"]) for r in audit.collect()}
+    assert rows == {"a.json": (1, False), "blank.json": (0, True), "cut.json.gz": (0, True)}
