@@ -166,6 +166,16 @@ def test_quotation_links_and_reply_order(spark):
     assert quotations.link_quotations(df.limit(0)).count() == 0
 
 
+def test_mail_form_quotes_over_block_edges(spark):
+    rows = [("c", i, "u", f"t{i}") for i in range(6)] + [(None, 1, "u", "x"), ("c", None, "u", "y"), ("d", 5, "u", None), ("d", 7, "u", "z")]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r["mail"] for r in quotations.as_replies(df, block=2).collect()}
+    assert len(got) == len(rows) and got["c", 0] == "t0" and got["c", 1] == "Turn 0 wrote:\n> t0\n\nt1"
+    for i in range(2, 6):
+        assert got["c", i] == f"Turn {i - 1} wrote:\n> Turn {i - 2} wrote:\n> > t{i - 2}\n> \n> t{i - 1}\n\nt{i}"
+    assert (got[None, 1], got["c", None], got["d", 5], got["d", 7]) == ("x", "y", "", "z")
+
+
 def test_quotation_plan_has_no_python(spark):
     df = spark.createDataFrame([(a, b, c) for a, b, c in MAILS], "conv_id string, turn long, text string")
     plan = quotations.link_quotations(df)._jdf.queryExecution().executedPlan().toString()
