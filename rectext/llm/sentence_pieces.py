@@ -73,9 +73,10 @@ def read_model(raw: bytes) -> Model:
     return Model(pieces, spec.get(3, UNIGRAM), bool(spec.get(35, 0)), norm.get(2, b""), bool(norm.get(3, 1)), bool(norm.get(4, 1)))
 
 
-def build(model: Model):
+def build(model: Model, spelled_marks: bool = False):
     """A ``Tokenizer`` with the model's pieces. Its input is what
-    ``normalised`` gives: marks for blanks, with the prefix."""
+    ``normalised`` gives: marks for blanks, with the prefix. With
+    ``spelled_marks`` decoding keeps a mark that byte pieces spell."""
     from tokenizers import Tokenizer, decoders, models
     ids = {p: i for i, (p, _, _) in enumerate(model.pieces)}
     unk = next((i for i, p in enumerate(model.pieces) if p[2] == UNKNOWN), 0)
@@ -90,18 +91,20 @@ def build(model: Model):
     else:
         raise ValueError(f"model type {model.kind} has no counterpart in the tokenizers library")
     t = Tokenizer(core)
-    t.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(),
-                                   *([decoders.Strip(" ", 1, 0)] if model.dummy_prefix else [])])
+    mark, lead = decoders.Replace(MARK, " "), [decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []
+    # One replacement in the joined text is cheaper than one in each piece, but also takes marks spelled by byte pieces.
+    order = [mark, decoders.ByteFallback(), decoders.Fuse()] if spelled_marks else [decoders.ByteFallback(), decoders.Fuse(), mark]
+    t.decoder = decoders.Sequence([*order, *lead])
     return t
 
 
 class Coder:
-    """``encode(texts)`` and ``decode(ids)``. The text is cut before each run
-    of marks (no piece goes on into one), and the ids of a cut are kept in a
-    bounded cache; unseen cuts go to the tokenizer in one batch, which its
-    ``threads`` share."""
+    """``encode(texts)`` and ``decode(ids)``. A long text is cut into blocks
+    that end before a run of marks (no piece goes on into one), so that the
+    work grows with its length; all blocks go to the tokenizer in one batch,
+    which its ``threads`` share."""
 
-    def __init__(self, path: str, threads: int = 2, cache: int = 300_000):
+    def __init__(self, path: str, threads: int = 2, block: int = 4096):
         import os
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = "true", str(threads)
         with open(path, "rb") as f:
@@ -110,8 +113,11 @@ class Coder:
         self.charsmap = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
         self.tokenizer = build(self.model)
         inner = any(MARK in p.lstrip(MARK) for p, _, kind in self.model.pieces if kind in (NORMAL, USER_DEFINED))
-        self.cuts = re.compile("(?s).+" if inner or self.model.kind == UNIGRAM and not self.model.byte_fallback else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.known, self.bound = {}, cache
+        self.blocks = re.compile("(?s).+" if inner or self.model.kind == UNIGRAM and not self.model.byte_fallback
+                                 else f"(?s).{{1,{block}}}{MARK}*[^{MARK}]*")
+        # What decodes rows with the first byte of a mark's UTF-8 form as a byte piece.
+        self.spelling = build(self.model, spelled_marks=True) if self.model.byte_fallback else None
+        self.first_byte = next((i for i, (p, _, kind) in enumerate(self.model.pieces) if kind == BYTE and p == "<0xE2>"), -1)
 
     def normalised(self, text: str) -> str:
         if self.charsmap:
@@ -123,19 +129,16 @@ class Coder:
         return text.replace(" ", MARK)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [self.cuts.findall(self.normalised(t)) for t in texts]
-        known = self.known
-        missing = list({c for row in cut for c in row if c not in known})
-        if missing and len(known) > self.bound:
-            known = self.known = {}
-            missing = list({c for row in cut for c in row})
-        for at in range(0, len(missing), 20_000):
-            part = missing[at:at + 20_000]
-            known.update(zip(part, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False))))
-        return [[i for c in row for i in known[c]] for row in cut]
+        cut = [self.blocks.findall(self.normalised(t)) for t in texts]
+        coded = iter(self.tokenizer.encode_batch_fast([c for row in cut for c in row], add_special_tokens=False))
+        return [[i for _ in row for i in next(coded).ids] for row in cut]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        out = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        for at, row in enumerate(ids):
+            if self.first_byte in row:
+                out[at] = self.spelling.decode(row, skip_special_tokens=False)
+        return out
 
 
 SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, parity boolean, round_trip boolean, ids array<int>"

@@ -128,4 +128,9 @@ def test_sentence_pieces(docs):
         assert r["ids"] == sp.encode(text) and r["parity"] and r["round_trip"] and r["n_pieces"] == len(r["ids"])
     back = {r["doc_id"]: r["text"] for r in sentence_pieces.decode_documents(out, PIECE_BPE).collect()}
     assert all(back[i] == (t or "") for i, t in enumerate(TEXTS))
+    coder = sentence_pieces.Coder(PIECE_BPE, block=5)     # blocks end before a run of marks
+    odd = ["▁▁▁ ▁a  b" * 9, "x" * 50, " ", "", "a b c d e f g h " * 5]
+    assert coder.encode(odd) == [sp.encode(x) for x in odd]
+    spelled = [[sp.piece_to_id(f"<0x{b:02X}>") for b in "▁é".encode()]]
+    assert coder.decode(spelled) == [sp.decode(spelled[0])] == ["▁é"]
     assert sentence_pieces.encode_documents(docs.limit(0), PIECE_BPE).count() == 0
