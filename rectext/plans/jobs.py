@@ -15,61 +15,26 @@ from rectext.functions.render import as_object
 from rectext.operators.audit import batch_audit, collection_count, import_summary
 from rectext.operators.features import featurize_records
 from rectext.operators.records import CORRUPT_COL, drop_corrupt, parse_lines, stringify_ids
-from rectext.sinks.writers import (FEATURE_SCHEMA, clear_partitions, insert_ignore, load_by_source, read_collections, read_table,
+from rectext.sinks.writers import (CSV_PARTITION, FEATURE_SCHEMA, clear_partitions, insert_ignore, load_by_source, read_collections, read_table,
                                    write_collections, write_csv_by_key)
-from rectext.sources.json_files import FLAT_JSON_GLOB, JSON_GLOB, discover_files, scan_json_auto, scan_json_records
+from rectext.sources.json_files import FLAT_JSON_GLOB, JSON_GLOB, listed_files, scan_json_auto, scan_json_records
 from rectext.session import path_exists, work_dir
 from rectext.sources.text import line_count, read_text
 
 
-def _typed_records(spark: SparkSession, root, schema, recursive: bool, glob: str | None,
-                   ignore_corrupt_files: bool) -> DataFrame:
-    """Records read with a declared schema (Spark's JSON reader, PERMISSIVE):
-    the record columns, ``source_file`` and ``_corrupt_record``."""
-    from pyspark.sql import types as T
-
-    from rectext.sources.json_files import file_path
-    if isinstance(schema, str):
-        full = f"{schema}, {CORRUPT_COL} string"
-    else:
-        full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-    reader = (spark.read.schema(full).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COL))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if ignore_corrupt_files:
-        reader = reader.option("ignoreCorruptFiles", "true")
-    df = reader.json(root if isinstance(root, str) else list(root))
-    fields = [c for c in df.columns if c != CORRUPT_COL]
-    return df.select(*[F.col(f"`{c}`") for c in fields],
-                     file_path("_metadata.file_path").alias("source_file"), F.col(CORRUPT_COL))
-
-
 def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str = "csv",
-                    recursive: bool = True, glob: str = JSON_GLOB, ignore_corrupt_files: bool = False,
-                    schema=None):
+                    recursive: bool = True, glob: str = JSON_GLOB, ignore_corrupt_files: bool = False):
     """All JSON files under ``root`` -> feature rows, written per source
-    file (``fmt`` = ``csv`` for K1 or ``table`` for K3).
-
-    With ``schema`` (a ``StructType`` or DDL string of the records) the typed
-    fast path is used: Spark's JSON reader with that schema, then
-    ``featurize_typed``; without it, records are open-ended (variant).
+    file (``fmt`` = ``csv`` for K1 or ``table`` for K3). A load replaces the
+    rows of all these files, also of a file that has no record left.
 
     Returns ``(features, audit, metrics)``: the lazy feature frame, the lazy
     per-file audit (A5; a second pass, run only if asked) and an
     ``Observation`` with batch totals filled in by the write itself (no
     extra pass)."""
-    if schema is not None:
-        from rectext.operators.features import featurize_typed
-        typed = _typed_records(spark, root, schema, recursive, glob, ignore_corrupt_files)
-        good = typed.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-        rendered = featurize_typed(good, keep=["source_file"], with_error=True)
-    else:
-        records = scan_json_records(spark, root, recursive, glob, ignore_corrupt_files).drop("format")
-        rendered = featurize_records(records.filter(F.col("v").isNotNull()), keep=["source_file"],
-                                     with_error=True)
+    records = scan_json_records(spark, root, recursive, glob, ignore_corrupt_files).drop("format")
+    rendered = featurize_records(records.filter(F.col("v").isNotNull()), keep=["source_file"],
+                                 with_error=True)
     metrics = Observation("featurize")
     features = rendered.observe(
         metrics,
@@ -77,20 +42,21 @@ def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str
         F.count_if(F.col("is_error")).alias("n_errors"),
         F.count_if(F.col("timestamp").isNull() & ~F.col("is_error")).alias("n_without_timestamp"),
     ).select("text_representation", "timestamp", "label", "source_file")
+    files = listed_files(spark, root, recursive, glob)
     if out is not None:
-        if fmt == "csv":
-            write_csv_by_key(features, out)
+        write, folder = (write_csv_by_key, CSV_PARTITION) if fmt == "csv" else (load_by_source, "source_file")
+        if path_exists(spark, out):
+            # Rendered once into the shared folder: the rows to load, and the files that gave any, come from there.
+            base = work_dir(spark, "features")
+            features.write.parquet(base)
+            batch = spark.read.schema(features.schema).parquet(base)
+            write(batch, out)
+            emptied = files.join(batch.select("source_file").distinct(), "source_file", "left_anti")
+            clear_partitions(spark, out, folder, [r["source_file"] for r in emptied.collect()])
         else:
-            load_by_source(features, out)
-    if schema is not None:
-        ok = F.col(CORRUPT_COL).isNull()
-        scored = featurize_typed(typed, keep=["source_file", CORRUPT_COL], with_error=True)
-        audit = batch_audit(scored.withColumn("v", F.when(ok, F.lit(True))))
-    else:
-        audit = batch_audit(featurize_records(records, keep=["source_file", "v", CORRUPT_COL],
-                                              with_error=True))
-    # From the listing, so that a blank or unreadable (skipped) file has its row. Spark lists no file of 0 bytes.
-    files = discover_files(spark, root, recursive, glob).select(F.col("path").alias("source_file"))
+            write(features, out)
+    audit = batch_audit(featurize_records(records, keep=["source_file", "v", CORRUPT_COL], with_error=True))
+    # From the listing, so that an empty, blank or unreadable (skipped) file has its row.
     counts = ["n_records", "n_corrupt", "n_errors", "n_without_timestamp"]
     audit = (files.join(audit, "source_file", "left")
              .select("source_file", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts], F.coalesce("is_empty", F.lit(True)).alias("is_empty")))
@@ -109,8 +75,8 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
 
     The input is parsed once: the new documents are written to the shared
     folder first, and table and counts come from there."""
-    files = (discover_files(spark, folder, recursive=False, glob=FLAT_JSON_GLOB)
-             .select(F.col("path").alias("source_file"), safe_name(F.col("path")).alias("collection")))
+    files = (listed_files(spark, folder, recursive=False, glob=FLAT_JSON_GLOB)
+             .withColumn("collection", safe_name(F.col("source_file"))))
     recs = scan_json_auto(spark, folder, recursive=False, glob=FLAT_JSON_GLOB, keep_raw=True)
     pruned = recs.select(
         "source_file", "_raw", F.size(as_object(F.col("v"))).alias("_n"),

@@ -51,6 +51,20 @@ def discover_files(spark: SparkSession, root, recursive: bool = True,
             .filter(~F.col("path").contains("/" + CHECKPOINT_FOLDER + "/")))
 
 
+def listed_files(spark: SparkSession, root, recursive: bool = True, glob: str = JSON_GLOB) -> DataFrame:
+    """``source_file`` of every file that ``discover_files`` would list, and
+    of files of 0 bytes, which a scan leaves out. The names are those that
+    Spark's file index holds on the driver."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    names = spark.createDataFrame([(x,) for x in reader.load(_paths(root)).inputFiles()], "source_file string")
+    # such a listing writes file:///a for what a scan calls file:/a
+    one_slash = F.regexp_replace("source_file", r"^([A-Za-z0-9+.-]+):///", "$1:/")
+    return (names.select(file_path(one_slash).alias("source_file"))
+            .filter(~F.col("source_file").contains("/" + CHECKPOINT_FOLDER + "/")))
+
+
 def read_lines(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
                wholetext: bool = False, ignore_corrupt_files: bool = False,
                with_file_size: bool = False) -> DataFrame:

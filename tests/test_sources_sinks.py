@@ -245,19 +245,22 @@ def test_rebalance_only_with_aqe(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_featurize_files_typed_matches_variant(spark, tmp_path):
+def test_featurize_files_clears_emptied_sources(spark, tmp_path, tmpuri):
     from rectext.plans.jobs import featurize_files
     root = str(tmp_path)
-    _write(root, "e.json", '{"@timestamp":"2024-01-02T03:04:05.5Z","a":1,"label":"dirb","s":{"b":"x"}}\n'
-                           '{"@timestamp":"bad","a":2,"label":"benign","s":{"b":"y"}}\n'
-                           '{broken\n'
-                           '{"@timestamp":"2024-01-02T03:04:06.0Z","a":3,"label":"x","s":{"b":"z"}}\n')
-    schema = "`@timestamp` string, a bigint, label string, s struct<b: string>"
-    v_feats, v_audit, _ = featurize_files(spark, root)
-    t_feats, t_audit, _ = featurize_files(spark, root, schema=schema)
-    assert sorted(map(tuple, t_feats.collect())) == sorted(map(tuple, v_feats.collect()))
-    cols = ["n_records", "n_corrupt", "n_errors", "n_without_timestamp", "is_empty"]
-    assert [tuple(r) for r in t_audit.select(cols).collect()] == [tuple(r) for r in v_audit.select(cols).collect()]
+    for fmt, read in (("csv", read_csv_by_key), ("table", read_table)):
+        for name in "abcd":
+            _write(root, f"{name} 1.json", f'{{"m":"{name}"}}\n')
+        out = f"{tmpuri}/{fmt}"
+        featurize_files(spark, root, out=out, fmt=fmt)
+        assert sorted(r[0] for r in read(spark, out).collect()) == ["[m] a", "[m] b", "[m] c", "[m] d"]
+        _write(root, "a 1.json", '{"m":"new"}\n')
+        _write(root, "b 1.json", "")                   # 0 bytes
+        _write(root, "c 1.json", "{broken\n")
+        os.remove(os.path.join(root, "d 1.json"))      # not in the batch: its rows stay
+        _, _, metrics = featurize_files(spark, root, out=out, fmt=fmt)
+        assert sorted(r[0] for r in read(spark, out).collect()) == ["[m] d", "[m] new"]
+        assert metrics.get["n_records"] == 1
 
 
 def test_audit_names_files_without_records(spark, tmp_path):
@@ -267,8 +270,9 @@ def test_audit_names_files_without_records(spark, tmp_path):
     root = str(tmp_path)
     _write(root, "a.json", '{"a":1}\n')
     _write(root, "sub/blank.json", "\n \n")
+    _write(root, "none.json", "")
     with open(os.path.join(root, "cut.json.gz"), "wb") as f:
         f.write(gzip.compress(b'{"a":4}\n' * 1000)[:20])         # unreadable
     _, audit, _ = featurize_files(spark, root, glob="*", ignore_corrupt_files=True)
     rows = {os.path.basename(r["source_file"]): (r["n_records"], r["is_empty"]) for r in audit.collect()}
-    assert rows == {"a.json": (1, False), "blank.json": (0, True), "cut.json.gz": (0, True)}
+    assert rows == {"a.json": (1, False), "blank.json": (0, True), "none.json": (0, True), "cut.json.gz": (0, True)}
