@@ -1,16 +1,15 @@
-"""Line dedup by content-defined chunks of lines.
-
-The lines of a text are hashed, and a rolling hash over the last ``window``
-line hashes decides where a chunk ends: after a line whose rolling hash is
-smaller than those of both its neighbours. A boundary depends on nearby lines
-only, so a passage is cut alike wherever it stands, and a chunk has two lines
-at least and three on average. Chunks of two or more
-lines that occur again anywhere in the corpus are removed, after their bytes
-have been compared with the first occurrence, which stays.
-
-A line of ``long_line`` words or more is first cut after its sentences, which
-then count as its lines, and chunks don't reach over its ends: a passage
-written as one long line is several lines all the same.
+"""Line dedup by repeated runs of units.
+
+A unit is a sentence or what a line has beside its sentences; one of
+``long_line`` words or more is cut further, after words that their own hash
+chooses. Where a unit ends is told by the text next to it, so a passage has
+the same units wherever it stands. A run of units counts if it has
+``min_words`` words and two units, or one that alone has ``long_line`` words.
+Every run that stands at an earlier place of the corpus as well, byte for
+byte, is removed, in its full length: for each unit the shortest run that
+begins with it and the shortest that ends with it are compared, and together
+they cover exactly the units of all repeated runs. A unit's first place in the
+corpus is never removed.
 """
 
 from __future__ import annotations
@@ -27,49 +26,60 @@ from rectext.llm.common import map_rows, saved
 
 @dataclass(frozen=True)
 class Chunking:
-    """``window``: lines in the rolling hash. ``long_line``: words from which a line is cut
-    into sentences. ``min_words``: chunks of fewer words are left alone (so
-    are chunks of one line)."""
+    """``long_line``: words from which a sentence is cut further, after one
+    word of ``cut_every`` on average. ``min_words``: runs of fewer words are
+    left alone (so are single units of less than ``long_line`` words)."""
 
-    window: int = 2
     long_line: int = 40
     min_words: int = 12
+    cut_every: int = 4
 
 
-_LINE = re.compile(rb"[^\n]*[^\s][^\n]*")
-_SENTENCE = re.compile(rb"\S.*?(?:[.!?]+(?=\s)|\s*$)", re.S)
-_MASK = (1 << 64) - 1
+# A mark ends a sentence if white space or the end of the text follows.
+_SENTENCE = re.compile(rb"\S[^\n.!?]*+(?:[.!?]++(?=\S)[^\n.!?]*+)*+[.!?]*+")
+_WORD = re.compile(rb"\S+")
 
 
-def chunks(raw: bytes, how: Chunking, digest) -> list[tuple[int, int, int, int]]:
-    """``(start, end, lines, words)`` by byte of all chunks of a text. Blank
-    lines belong to none; ``digest(bytes) -> int`` hashes a line."""
-    lines = []                                     # start, end, closes a chunk
-    for m in _LINE.finditer(raw):
-        s, e = m.span()
-        if len(raw[s:e].split(None, how.long_line)) >= how.long_line:
-            if lines:
-                lines[-1][2] = True
-            lines += [[s + x.start(), s + x.end(), False] for x in _SENTENCE.finditer(raw[s:e])]
-            lines[-1][2] = True
-        else:
-            lines.append([s, e, False])
-    hashes = [digest(raw[s:e].strip()) for s, e, _ in lines]
-    out, first = [], 0                             # first line of a run without a closed edge
-    for last, (_, _, closes) in enumerate(lines):
-        if not closes and last + 1 < len(lines):
+def units(raw: bytes, how: Chunking, digest) -> list[tuple[int, int, int]]:
+    """``(start, end, words)`` by byte of all units of a text; white space
+    between them belongs to none. ``digest(bytes) -> int`` hashes a word."""
+    out = []
+    for m in _SENTENCE.finditer(raw):
+        s, sentence = m.start(), m[0].rstrip()
+        n = len(sentence.split())
+        if n < how.long_line:
+            out.append((s, s + len(sentence), n))
             continue
-        rolled = []
-        for i in range(first, last + 1):
-            r = 0
-            for h in hashes[max(first, i - how.window + 1):i + 1]:
-                r = (r * 0x9E3779B97F4A7C15 + h) & _MASK
-            rolled.append(r ^ (r >> 29))
-        ends = [first + j for j in range(1, len(rolled) - 2) if rolled[j - 1] > rolled[j] < rolled[j + 1]]
-        for a, b in zip([first, *(i + 1 for i in ends)], [*ends, last]):
-            begin, end = lines[a][0], lines[b][1]
-            out.append((begin, end, b + 1 - a, len(raw[begin:end].split())))
-        first = last + 1
+        n = 0
+        for w in _WORD.finditer(raw, s, s + len(sentence)):
+            first, n = (first if n else w.start()), n + 1
+            if digest(w[0]) % how.cut_every == 0:
+                out.append((first, w.end(), n))
+                n = 0
+        if n:
+            out.append((first, s + len(sentence), n))
+    return out
+
+
+def runs(raw: bytes, how: Chunking, digest) -> set[tuple[int, int]]:
+    """``(start, end)`` by byte of each unit's shortest run that counts, from
+    the unit on and up to the unit."""
+    found, out = units(raw, how, digest), set()
+    i = words = 0                                  # units i..j, of so many words
+    longest = -1                                   # the last begin for which a run was found
+    for j, (_, end, n) in enumerate(found):
+        words += n
+        begin = None
+        while i <= j and (words >= how.min_words and i < j or i == j and n >= how.long_line):
+            begin = i
+            if i > longest:
+                out.add((found[i][0], end))
+                longest = i
+            words -= found[i][2]
+            i += 1
+        if begin is not None:                      # the last that counts is the shortest up to j
+            out.add((found[begin][0], end))
+            i, words = begin, words + found[begin][2]
     return out
 
 
@@ -82,8 +92,8 @@ def _on_row(a: str, b: str):
     return F.col(f"{a}._key").eqNullSafe(F.col(f"{b}._key")) & F.col(f"{a}._id").eqNullSafe(F.col(f"{b}._id"))
 
 
-def repeated_chunks(docs: DataFrame, how: Chunking) -> DataFrame:
-    """``_id, _key, hash, start, end, first``: chunks (of ``_id, _key,
+def repeated_runs(docs: DataFrame, how: Chunking) -> DataFrame:
+    """``_id, _key, hash, start, end, first``: runs (of ``_id, _key,
     _text``) whose hash occurs twice or more; ``first`` marks one place of
     each hash, that with the smallest id, key and start."""
     ddl = "_id long, _key long, hash long, start int, end int"
@@ -93,79 +103,101 @@ def repeated_chunks(docs: DataFrame, how: Chunking) -> DataFrame:
 
         def f(ids, keys, texts):
             rows = [(i, k, xxhash.xxh3_64_intdigest(t[s:e]) - (1 << 63), s, e)
-                    for i, k, t in zip(ids, keys, texts) if t
-                    for s, e, n, words in chunks(t, how, xxhash.xxh3_64_intdigest) if n > 1 and words >= how.min_words]
+                    for i, k, t in zip(ids, keys, texts) if t for s, e in runs(t, how, xxhash.xxh3_64_intdigest)]
             return dict(zip(("_id", "_key", "hash", "start", "end"), map(list, zip(*rows)) if rows else [[]] * 5))
 
         return f
 
-    found = map_rows(docs.select("_id", "_key", "_text").filter("_text is not null"), ddl, start)
-    again = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("_id").isNull(), "_id", "_key", "start")).alias("at")).filter("n > 1")
-    return (found.join(again.select("hash", "at"), "hash")
-            .withColumn("first", F.coalesce(F.col("at._id").eqNullSafe(F.col("_id")) & (F.col("at._key") == F.col("_key")) & (F.col("at.start") == F.col("start")), F.lit(False)))
+    found = saved(map_rows(docs.select("_id", "_key", "_text").filter("_text is not null"), ddl, start), "found")
+    # Numbers only, which Spark adds up in place; the first place of an id follows from the few rows that are left.
+    again = saved(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")).filter("n > 1").select("hash", "least"), "again")
+    left = saved(found.join(again, "hash"), "repeated")
+    # Saved, so that the join below has a plain shuffle on both sides, which Spark can split at a common run.
+    at = saved(left.filter(F.col("_id").eqNullSafe(F.col("least"))).groupBy("hash").agg(F.min(F.struct("_key", "start")).alias("at")), "first")
+    return (left.join(at, "hash")
+            .withColumn("first", F.col("_id").eqNullSafe(F.col("least")) & (F.col("at._key") == F.col("_key")) & (F.col("at.start") == F.col("start")))
             .select("_id", "_key", "hash", "start", "end", "first"))
 
 
 def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with each text's repeated chunks removed, and ``n_removed``
-    (chunks) and ``removed_bytes``. The first occurrence of a chunk, by
-    document id, stays.
+    """``docs`` with each text's repeated runs removed, and ``n_removed``
+    (passages: runs that overlap are one) and ``removed_bytes``. The first
+    occurrence of a run, by document id, stays, but for units that it shares
+    with a run found still earlier.
 
     Null and empty texts stay as they are, with nothing removed; a text of
-    which all lines go becomes empty. Equal rows count as one document, so
+    which all units go becomes empty. Equal rows count as one document, so
     each of them keeps its first occurrences. A null id sorts last. Other
     columns pass through, whatever their names; an empty table stays empty."""
-    clash = [c for c in docs.columns if c in ("_id", "_key", "_text", "n_removed", "removed_bytes", "cuts")]
+    clash = [c for c in docs.columns if c in ("_id", "_key", "_text", "n_removed", "removed_bytes", "cuts", "_left")]
     if clash:                                      # set aside, given back below
         inner = docs.select(*[F.col(f"`{c}`").alias(f"__{c}" if c in clash else c) for c in docs.columns])
         done = line_dedup(inner, how, doc_id, text)
         return done.select(*[F.col(f"`__{c}`" if c in clash else f"`{c}`").alias(c) for c in docs.columns],
                            *[c for c in ("n_removed", "removed_bytes") if c not in clash])
     rows = _keyed(docs, doc_id, text)
-    spans = saved(repeated_chunks(rows, how), "chunks")
-    per_row = spans.groupBy("_id", "_key").agg(F.collect_set(F.struct("hash", "start", "end", "first")).alias("cuts"))
+    per_row = repeated_runs(rows, how).groupBy("_id", "_key").agg(F.collect_set(F.struct("hash", "start", "end", "first")).alias("cuts"))
 
     def places():
-        def f(ids, keys, texts, cuts):
-            out = [(i, k, c["hash"], c["start"], c["end"], c["first"], t[c["start"]:c["end"]])
-                   for i, k, t, found in zip(ids, keys, texts, cuts) for c in found]
+        def f(ids, keys, texts, *cuts):
+            out = [(i, k, h, s, e, first, t[s:e]) for i, k, t, *found in zip(ids, keys, texts, *cuts) for h, s, e, first in zip(*found)]
             return dict(zip(("_id", "_key", "hash", "start", "end", "first", "bytes"), map(list, zip(*out)) if out else [[]] * 7))
         return f
 
     held = (rows.select("_id", "_key", "_text").alias("d").join(per_row.alias("c"), _on_row("d", "c"))
-            .select("d._id", "d._key", "d._text", "c.cuts"))
+            .select("d._id", "d._key", "d._text", *[F.col(f"c.cuts.{x}").alias(x) for x in ("hash", "start", "end", "first")]))
     places_of = saved(map_rows(held, "_id long, _key long, hash long, start int, end int, first boolean, bytes binary", places), "places")
-    same = (places_of.filter("not first").alias("o").join(places_of.filter("first").select("hash", "bytes").distinct().alias("f"), "hash")
+    firsts = saved(places_of.filter("first").select("hash", "bytes").distinct(), "firsts")   # saved for the same reason as above
+    same = (places_of.filter("not first").alias("o").join(firsts.alias("f"), "hash")
             .filter(F.col("o.bytes") == F.col("f.bytes")).groupBy("_id", "_key").agg(F.collect_set(F.struct("start", "end")).alias("cuts")))
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_removed", T.LongType()), T.StructField("removed_bytes", T.LongType())])
+    schema = docs.schema
     names = docs.columns
     joined = (rows.alias("d").join(same.alias("c"), _on_row("d", "c"), "left")
               .select(*[F.col(f"d.`{c}`") for c in names], F.col("c.cuts").alias("cuts"), F.col("d._text").alias("_text")))
     kept = _without(joined)
-    return kept.select(*[(kept._text.cast(schema[text].dataType) if c == text else F.col(f"`{c}`")).alias(c) for c in names],
-                       F.coalesce(F.size("cuts"), F.lit(0)).cast("long").alias("n_removed"),
-                       F.coalesce(F.aggregate("cuts", F.lit(0), lambda n, c: n + c["end"] - c["start"]), F.lit(0)).cast("long").alias("removed_bytes"))
+    return kept.select(*[(F.when(F.col("cuts").isNull(), F.col("_text")).otherwise(F.col("_left.text")).cast(schema[text].dataType) if c == text
+                          else F.col(f"`{c}`")).alias(c) for c in names],
+                       F.coalesce("_left.n", F.lit(0)).cast("long").alias("n_removed"),
+                       F.coalesce("_left.size", F.lit(0)).cast("long").alias("removed_bytes"))
+
+
+def without(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+    """``raw`` without the byte ranges ``spans``, which may overlap; how many
+    ranges these are when joined, and their bytes. White space at a seam
+    goes, but for one line end, or one blank within a line, and the next line's indent."""
+    merged = []
+    for s, e in sorted(spans):
+        if merged and s <= merged[-1][1]:
+            merged[-1][1] = max(e, merged[-1][1])
+        else:
+            merged.append([s, e])
+    out, broken = b"", False
+    for s, e in zip([0, *(e for _, e in merged)], [*(s for s, _ in merged), len(raw)]):
+        part = raw[s:e]
+        if s and out:
+            body = out.rstrip()
+            broken, out = broken or b"\n" in out[len(body):], body
+        if part.strip():
+            lead = part[:len(part) - len(part.lstrip())]
+            if s:
+                broken = broken or b"\n" in lead
+                part = part[lead.rfind(b"\n") + 1:] if b"\n" in lead else part[len(lead):]
+                out += (b"\n" if broken else b" ") if out else b""
+            out, broken = out + part, False
+        else:
+            broken = broken or b"\n" in part
+    return out, len(merged), sum(e - s for s, e in merged)
 
 
 def _without(joined: DataFrame) -> DataFrame:
-    """``_text`` without the byte ranges ``cuts``; white space left at the
-    seams goes with them."""
-    @F.pandas_udf("string")
+    """``_left``: ``_text`` without the byte ranges ``cuts``, their number and size."""
+    @F.pandas_udf("text string, n long, size long")
     def cut(text, cuts):
         import pandas as pd
 
-        def one(t, spans):
-            if t is None:
-                return None
-            raw, out, at = t.encode(), [], 0
-            for c in sorted(spans, key=lambda c: c["start"]):
-                out.append(raw[at:c["start"]])
-                at = c["end"]
-            out.append(raw[at:])
-            parts = [p.strip(b"\n") if i else p.rstrip(b"\n") for i, p in enumerate(out)]
-            return b"\n".join(p for p in parts if p.strip()).decode()
-
-        return pd.Series([one(t, s) for t, s in zip(text, cuts)])
+        rows = [(None, 0, 0) if t is None or not len(c) else without(t.encode(), [(x["start"], x["end"]) for x in c]) for t, c in zip(text, cuts)]
+        return pd.DataFrame([(t if t is None else t.decode(), n, size) for t, n, size in rows], columns=["text", "n", "size"])
 
-    return joined.withColumn("_text", F.when(F.col("cuts").isNotNull(), cut("_text", F.coalesce("cuts", F.array().cast("array<struct<start:int,end:int>>")))).otherwise(F.col("_text")))
+    spans = F.coalesce("cuts", F.array().cast("array<struct<start:int,end:int>>"))
+    return joined.withColumn("_left", F.when(F.col("cuts").isNotNull(), cut(F.when(F.col("cuts").isNotNull(), F.col("_text")), spans)))

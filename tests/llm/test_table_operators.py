@@ -197,3 +197,39 @@ def test_pipeline_matches_its_stages(spark, sf):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).select(keys).collect())) == want and want
     kept = classes_of([(r["doc_id"], r["text"]) for r in docs.collect()])
     assert all(d == c for d, _, c in kept), "one document of each class"
+
+
+def test_line_dedup_removes_short_passages_like_brute_force(spark):
+    rnd = random.Random(11)
+    line = lambda n: " ".join(rnd.choice(WORDS) for _ in range(n))
+    passages = ["\n".join(line(rnd.randrange(9, 30)) + rnd.choice(["", ".", "!"]) for _ in range(n)) + "." for n in range(2, 7)]
+    passages += [" ".join(line(16) + "." for _ in range(n)) for n in (3, 4, 5)] + [line(60) + ".", line(130) + "."]
+    rows, own = [], {}
+    for p, passage in enumerate(passages):
+        for c in range(4):                         # on its own lines, and in the middle of a paragraph
+            a, b = f"{line(11)}. {line(13)}.", f"{line(12)}. {line(15)}."
+            gap = " " if c % 2 else "\n"
+            own[len(rows)] = (c, a + gap + b)
+            rows.append((len(rows), a + gap + passage + gap + b))
+    rows += [(len(rows), "Yes.\nNo.\n\nOf course."), (len(rows) + 1, "Yes.\nNo.\n\nOf course."), (len(rows) + 2, "a b c. " * 9)]
+    how, digest = line_dedup.Chunking(), __import__("xxhash").xxh3_64_intdigest
+    seen, want = set(), {}
+    for i, t in rows:                              # every run of every length, in order
+        raw, gone = t.encode(), set()
+        u = line_dedup.units(raw, how, digest)
+        assert b" ".join(raw[s:e] for s, e, _ in u).split() == raw.split(), "units leave out white space only"
+        for a in range(len(u)):
+            for b in range(a, len(u)):
+                words = sum(x[2] for x in u[a:b + 1])
+                if words >= (how.long_line if a == b else how.min_words):
+                    run = raw[u[a][0]:u[b][1]]
+                    gone |= set(range(a, b + 1)) if run in seen else set()
+                    seen.add(run)
+        want[i] = [raw[s:e] for k, (s, e, _) in enumerate(u) if k not in gone]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for r in line_dedup.line_dedup(df).collect():
+        got, i = r["text"].encode(), r["doc_id"]
+        assert b" ".join(got.split()) == b" ".join(b" ".join(want[i]).split())
+        if i in own:
+            assert r["text"] == (own[i][1] if own[i][0] else rows[i][1]), "the whole passage goes, own text stays"
+            assert r["n_removed"] == (own[i][0] > 0)
