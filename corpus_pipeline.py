@@ -32,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return docs.filter(quality.passes(F.col("text"), quality.language_references(docs)))
+    return docs.filter(quality.passes(F.col("text"), quality.language_references(docs), lang=F.col("lang")))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,13 +45,17 @@ def _class_of_byte() -> np.ndarray:
 @dataclass(frozen=True)
 class Rules:
     """``min_words`` / ``max_repeat_percent``: the base rules.
+
     ``max_class_distance`` / ``max_word_distance``: largest distance to the
     nearest language. Histograms of short texts are noise: the class rule
     needs ``class_min_chars`` characters, the word rule ``word_min_words``
-    words. ``common_share``: a common word's least share of its language's
-    words (so at most 1 / common_share words a language); ``language_share``:
-    least share of all words for a language to have a reference (so at most
-    1 / language_share references reach the tasks)."""
+    words. ``common_share``: a
+    common word's least share of its language's words (so at most 1 /
+    common_share words a language). ``language_share``: least share of all
+    words from which a language's reference judges every document; that of
+    a smaller language judges its own documents only. ``max_languages``: so
+    many references, by words, reach driver and tasks; documents of further
+    languages pass the distance rules."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -61,6 +65,7 @@ class Rules:
     word_min_words: int = 150
     common_share: float = 0.005
     language_share: float = 0.001
+    max_languages: int = 1000
 
 
 def repeated_starts(ids: np.ndarray, width: int) -> np.ndarray:
@@ -125,12 +130,14 @@ def common_words_of(raw: bytes) -> Counter:
 def language_references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang",
                         flush: int = 200_000) -> list[dict]:
     """References of the languages, measured over all documents with a text
-    and a language: ``{lang, classes: [share], words: [(word, share)]}``.
+    and a language: ``{lang, classes: [share], words: [(word, share)],
+    share}``, the last of all words. Every language that occurs has one, up to
+    ``max_languages``.
 
     Each task counts in a dictionary that it empties into the shuffle at
     ``flush`` words; Spark adds up. Only shares of at least ``common_share``
     come to the driver: by that bound, not more than 1 / common_share words
-    for each of 1 / language_share languages."""
+    for each of ``max_languages`` languages."""
     out = arrow_schema("lang string, kind string, item binary, n long")
     class_of = _class_of_byte()
 
@@ -160,11 +167,10 @@ def language_references(docs: DataFrame, rules: Rules = Rules(), text: str = "te
     counted = saved(known.mapInArrow(count, "lang string, kind string, item binary, n long")
                     .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), "language-counts")
     everything = counted.filter("kind = 'word'").agg(F.sum("n")).first()[0] or 0
-    totals = {(r["lang"], r["kind"]): r["n"] for r in
-              counted.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("words"))
-              .filter((F.col("kind") == "class") | (F.col("words") >= rules.language_share * everything))
-              .select("lang", "kind", "n").collect()}
-    langs = sorted(k for k, kind in totals if kind == "word" and totals[k, "word"])
+    found = (counted.groupBy("lang").agg(*[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in ("word", "class")])
+             .filter("class > 0").orderBy(F.desc_nulls_last("word"), "lang").limit(rules.max_languages).collect())
+    totals = {(r["lang"], k): r[k] or 0 for r in found for k in ("word", "class")}
+    langs = sorted(r["lang"] for r in found)
     if not langs:
         return []
     least = F.create_map(*[F.lit(x) for k in langs for x in (k, rules.common_share * totals[k, "word"])])
@@ -174,7 +180,8 @@ def language_references(docs: DataFrame, rules: Rules = Rules(), text: str = "te
         own = {(r["kind"], bytes(r["item"])): r["n"] for r in rows if r["lang"] == k}
         refs.append({"lang": k,
                      "classes": [own.get(("class", c.encode()), 0) / max(1, totals.get((k, "class"), 1)) for c in CLASSES],
-                     "words": sorted((w, n / totals[k, "word"]) for (kind, w), n in own.items() if kind == "word")})
+                     "words": sorted((w, n / totals[k, "word"]) for (kind, w), n in own.items() if kind == "word"),
+                     "share": totals[k, "word"] / max(1, everything)})
     return refs
 
 
@@ -182,9 +189,8 @@ SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
           "base_failed boolean, kept boolean, class_distance double, word_distance double, nearest_lang string")
 
 
-def assessor(references: list[dict], rules: Rules = Rules()):
-    """``f(raw) -> `` the counts and verdict of a text (see ``quality_rules``)."""
-    class_of = _class_of_byte()
+def _arrays(references: list[dict]) -> tuple:
+    """``references`` as arrays: languages, classes, vocabulary, membership, word shares."""
     vocabulary = sorted({w for r in references for w, _ in r["words"]})
     place = {w: i for i, w in enumerate(vocabulary)}
     langs = [r["lang"] for r in references]
@@ -195,11 +201,32 @@ def assessor(references: list[dict], rules: Rules = Rules()):
         for w, share in r["words"]:
             member[i, place[w]] = share
     word_refs = np.hstack([member, 1 - member.sum(1, keepdims=True)]) if langs else member
-    is_member = member > 0
+    return langs, class_refs, vocabulary, member > 0, word_refs
+
+
+def assessor(references: list[dict], rules: Rules = Rules()):
+    """``f(raw, lang) -> `` the counts and verdict of a text (see ``quality_rules``)."""
+    class_of = _class_of_byte()
+    everyone = _arrays([r for r in references if r["share"] >= rules.language_share])
+    small = {r["lang"]: _arrays([r]) for r in references if r["share"] < rules.language_share}
+    known = {r["lang"] for r in references}
     white, symbol = np.zeros(256, bool), np.zeros(256, bool)
     white[list(WHITE)] = symbol[list(SYMBOLS)] = True
 
-    def one(raw: bytes | None) -> tuple:
+    def distances(group: tuple, h: np.ndarray, points: int, letters: Counter, total: int) -> tuple:
+        """``(sum, class distance, word distance, lang)`` of the nearest language."""
+        langs, class_refs, vocabulary, is_member, word_refs = group
+        scores, class_d, word_d = np.zeros(len(langs)), None, None
+        if points >= rules.class_min_chars:
+            p = np.bincount(class_of[class_of >= 0], h[class_of >= 0], len(CLASSES)) / points
+            scores += (class_d := js_distance(p, class_refs))
+        if total >= rules.word_min_words:
+            q = np.array([letters.get(w, 0) for w in vocabulary]) / total * is_member
+            scores += (word_d := js_distance(np.hstack([q, 1 - q.sum(1, keepdims=True)]), word_refs))
+        best = int(np.argmin(scores))
+        return float(scores[best]), *(None if d is None else float(d[best]) for d in (class_d, word_d)), langs[best]
+
+    def one(raw: bytes | None, lang: str | None = None) -> tuple:
         raw = raw or b""
         h = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
         points = int(h[class_of >= 0].sum())
@@ -207,33 +234,27 @@ def assessor(references: list[dict], rules: Rules = Rules()):
         n, repeats = len(words), n_repeat_words(words)
         failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
         dc = dw = nearest = None
-        if langs:
-            scores = np.zeros(len(langs))
-            if points >= rules.class_min_chars:
-                p = np.bincount(class_of[class_of >= 0], h[class_of >= 0], len(CLASSES)) / points
-                scores += (class_d := js_distance(p, class_refs))
+        near = True
+        groups = [g for g in (everyone, small.get(lang)) if g and g[0]]
+        if groups and (lang is None or lang in known):
             letters = common_words_of(raw)
-            if (total := sum(letters.values())) >= rules.word_min_words:
-                q = np.array([letters.get(w, 0) for w in vocabulary]) / total * is_member
-                scores += (word_d := js_distance(np.hstack([q, 1 - q.sum(1, keepdims=True)]), word_refs))
-            best = int(np.argmin(scores))
-            nearest = langs[best]
-            dc = float(class_d[best]) if points >= rules.class_min_chars else None
-            dw = float(word_d[best]) if total >= rules.word_min_words else None
-        near = (dc is None or dc <= rules.max_class_distance) and (dw is None or dw <= rules.max_word_distance)
-        return (n, points - int(h[white].sum()), int(h[symbol].sum()), n_dup_lines(raw), repeats, failed, near and not failed, dc, dw, nearest)
+            total = sum(letters.values())
+            _, dc, dw, nearest = min((distances(g, h, points, letters, total) for g in groups), key=lambda d: d[0])
+            near = (dc is None or dc <= rules.max_class_distance) and (dw is None or dw <= rules.max_word_distance)
+        return (n, points - int(h[white].sum()), int(h[symbol].sum()), n_dup_lines(raw), repeats, failed, bool(near and not failed), dc, dw, nearest)
 
     return one
 
 
 def quality_rules(docs: DataFrame, references: list[dict], rules: Rules = Rules(), doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per document: word, symbol and repetition counts of the whole
     text, the base rules' verdict and ``kept``.
 
     A document is kept if the base rules pass and the nearest language is
     within both distances; a distance is null where its guard says that the
-    text is too short, or without any reference, and then doesn't reject. A
+    text is too short, or without any reference (of all or of the document's
+    language, the column ``lang`` if there is one), and then doesn't reject. A
     null or empty text has no words (all counts 0, ``base_failed``). Equal
     rows give equal rows; a null id stays null; further columns of ``docs``
     are not read."""
@@ -241,16 +262,19 @@ def quality_rules(docs: DataFrame, references: list[dict], rules: Rules = Rules(
 
     def start():
         one = assessor(references, rules)
-        return lambda ids, texts: dict(zip(names, [ids, *zip(*map(one, texts))]))
+        return lambda ids, texts, langs: dict(zip(names, [ids, *zip(*(one(t, k and k.decode()) for t, k in zip(texts, langs)))]))
 
-    return map_rows(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")), SCHEMA, start)
+    own = F.col(lang) if lang in docs.columns else F.lit(None)
+    return map_rows(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"), own.cast("string")), SCHEMA, start)
 
 
-def passes(text, references: list[dict], rules: Rules = Rules()):
+def passes(text, references: list[dict], rules: Rules = Rules(), lang=None):
     """The verdict as a column, for filters that keep a table's own columns."""
     @F.pandas_udf("boolean")
-    def verdict(texts):
+    def verdict(texts, langs):
+        import pandas as pd
+
         one = assessor(references, rules)
-        return texts.map(lambda t: bool(one(None if t is None else t.encode())[6]))
+        return pd.Series([one(None if t is None else t.encode(), k)[6] for t, k in zip(texts, langs)], dtype=bool)
 
-    return verdict(text)
+    return verdict(text, (F.lit(None) if lang is None else lang).cast("string"))

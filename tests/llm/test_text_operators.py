@@ -87,6 +87,24 @@ def test_quality_divergence_rejects_junk(spark):
     assert quality.language_references(df.limit(0)) == [] and quality.quality_rules(df.limit(0), refs).count() == 0
 
 
+def test_quality_keeps_clean_texts_of_small_languages(spark):
+    import random
+    rnd = random.Random(4)
+    en, ru = "the of and to in water river stone house light".split(), "и в не на что река камень вода дом свет".split()
+    rows = [(i, " ".join(rnd.choice(en) for _ in range(300)), "en") for i in range(120)]
+    small = " ".join(rnd.choice(ru) + rnd.choice(ru) + rnd.choice(ru) for _ in range(25))
+    rows += [(200, small, "ru"), (201, small, "en"), (202, small, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = quality.language_references(df)
+    assert [(r["lang"], r["share"] < 0.001) for r in refs] == [("en", False), ("ru", True)]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(df, refs).collect()}
+    assert got[200] and not got[201] and not got[202], "its reference judges its own documents only"
+    few = quality.language_references(df, quality.Rules(max_languages=1))
+    assert [r["lang"] for r in few] == ["en"]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(df, few).collect()}
+    assert got[200] and not got[201] and not got[202], "no reference of its language: passes"
+
+
 def encoded(text):
     from tokenizers import Tokenizer
     return Tokenizer.from_file(WORD_BPE).encode(text or "", add_special_tokens=False).ids
