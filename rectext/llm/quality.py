@@ -46,10 +46,10 @@ def _class_of_byte() -> np.ndarray:
 class Rules:
     """``min_words`` / ``max_repeat_percent``: the base rules.
 
-    ``max_class_distance`` / ``max_word_distance``: largest distance to the
-    nearest language. Histograms of short texts are noise: the class rule
-    needs ``class_min_chars`` characters, the word rule ``word_min_words``
-    words. ``common_share``: a
+    Distance to a language: a histogram of ``n`` things is noise of about
+    1 / sqrt(n), so the limits are ``sqrt(floor ** 2 + noise ** 2 / n)`` with
+    ``n`` the characters (class rule) or words (word rule); the rules need
+    ``class_min_chars`` and ``word_min_words`` of them. ``common_share``: a
     common word's least share of its language's words (so at most 1 /
     common_share words a language). ``language_share``: least share of all
     words from which a language's reference judges every document; that of
@@ -59,10 +59,12 @@ class Rules:
 
     min_words: int = 20
     max_repeat_percent: int = 30
-    max_class_distance: float = 0.33
-    max_word_distance: float = 0.26
+    class_floor: float = 0.22
+    class_noise: float = 4.5
+    word_floor: float = 0.2
+    word_noise: float = 2.0
     class_min_chars: int = 200
-    word_min_words: int = 150
+    word_min_words: int = 40
     common_share: float = 0.005
     language_share: float = 0.001
     max_languages: int = 1000
@@ -238,9 +240,10 @@ def assessor(references: list[dict], rules: Rules = Rules()):
         groups = [g for g in (everyone, small.get(lang)) if g and g[0]]
         if groups and (lang is None or lang in known):
             letters = common_words_of(raw)
-            total = sum(letters.values())
+            total = max(n, sum(letters.values()))  # tokens without a letter are words that are not common
             _, dc, dw, nearest = min((distances(g, h, points, letters, total) for g in groups), key=lambda d: d[0])
-            near = (dc is None or dc <= rules.max_class_distance) and (dw is None or dw <= rules.max_word_distance)
+            near = ((dc is None or dc <= np.hypot(rules.class_floor, rules.class_noise / np.sqrt(points)))
+                    and (dw is None or dw <= np.hypot(rules.word_floor, rules.word_noise / np.sqrt(total))))
         return (n, points - int(h[white].sum()), int(h[symbol].sum()), n_dup_lines(raw), repeats, failed, bool(near and not failed), dc, dw, nearest)
 
     return one

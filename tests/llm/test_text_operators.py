@@ -105,6 +105,22 @@ def test_quality_keeps_clean_texts_of_small_languages(spark):
     assert got[200] and not got[201] and not got[202], "no reference of its language: passes"
 
 
+def test_quality_limits_follow_length():
+    import random
+    rnd = random.Random(6)
+    common = [w.encode() for w in "the of and to in is on for with this".split()]
+    other = lambda: "".join(rnd.choice("abcdefghilmnoprstu") for _ in range(7)).encode()
+    prose = lambda n: b" ".join(rnd.choice(common) if rnd.random() < 0.3 else other() for _ in range(n)) + b"."
+    whole = prose(20000)
+    h, letters = Counter(whole), quality.common_words_of(whole)
+    shares = [sum(n for b, n in h.items() if quality._class_of_byte()[b] == i) / len(whole) for i in range(len(quality.CLASSES))]
+    ref = {"lang": "en", "classes": shares, "words": sorted((w, letters[w] / 20000) for w in common), "share": 1.0}
+    kept = lambda raw: quality.assessor([ref])(raw, "en")[6]
+    assert all(kept(prose(n)) for n in (45, 60, 100, 140, 400) for _ in range(20)), "clean texts of any length"
+    bars = lambda n: b" | ".join(other() for _ in range(n))
+    assert not any(kept(bars(n)) for n in (30, 60, 97, 140) for _ in range(20)), "a table's cells, letter runs below 150"
+
+
 def encoded(text):
     from tokenizers import Tokenizer
     return Tokenizer.from_file(WORD_BPE).encode(text or "", add_special_tokens=False).ids
