@@ -77,6 +77,17 @@ FAMILIES = (
     ("cc-by", "creative commons", r"creative commons attribution", (r"2 0", r"2 5", r"3 0", r"4 0")),
 )
 
+# The same for abbreviations, which name a license without the word.
+# The versions are all in one expression, the longer forms first.
+SHORT = (
+    ("agpl", "agpl", r"(?:gnu )?agpl", r"[13](?: 0)?"),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl", r"(?:2 [01]|3 0|[23])"),
+    ("gpl", "gpl", r"(?:gnu )?gpl", r"[123](?: 0)?"),
+    ("mpl", "mpl", r"mpl", r"(?:1 [01]|2 0|[12])"),
+    ("epl", "epl", r"epl", r"[12](?: 0)?"),
+    *((f"cc-by{x}", "cc by", f"cc by{x.replace('-', ' ')}", r"(?:2 [05]|[1345] 0|[12345])") for x in ("-nc-nd", "-nc-sa", "-nc", "-nd", "-sa", "")),
+)
+
 # Wordings of a notice, with priority and score. {n} stands for
 # the family's name, {v} for a version.
 VERSIONED = (
@@ -92,6 +103,18 @@ PLAIN = (
     (r"{n} licen[cs]e agreement", 45, 0.75),
     (r"(?:the )?{n} licen[cs]e", 40, 0.7),
 )
+# Of abbreviations: v3, v 3, version 3 or 3, with or without a blank before it.
+SHORT_VERSIONED = (
+    (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?{n}(?: licen[cs]e)? ?(?:version |v ?)?{v}(?: only| or (?:any )?later)?", 90, 1.0),
+    (r"{n}(?: licen[cs]e)? ?(?:version |v ?)?{v}(?: only| or (?:any )?later)?", 80, 0.9),
+    (r"version {v} of the {n}(?: licen[cs]e)?", 80, 0.9),
+)
+SHORT_PLAIN = (
+    (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?{n}", 60, 0.85),
+    (r"(?:covered|governed) by (?:the )?{n}", 55, 0.8),
+    (r"under (?:the )?(?:terms of )?(?:the )?{n}", 50, 0.75),
+    (r"{n} (?:licen[cs]ed?|code)", 40, 0.7),
+)
 # Sentences of license texts and identifiers: label, keyword, expression.
 SENTENCES = (
     ("mit", "free of charge", r"permission is hereby granted free of charge to any person obtaining a copy"),
@@ -134,6 +157,8 @@ def rules() -> list[Rule]:
         name = name.removesuffix(" public") + "(?: public)?" if name.endswith(" public") and not name.endswith("general public") else name
         out += [Rule(label, key, p.format(n=name, v=f"(?:{v})"), rank, score) for v in versions for p, rank, score in VERSIONED]
         out += [Rule(label, key, p.format(n=name), rank, score) for p, rank, score in PLAIN]
+    for label, key, name, version in SHORT:
+        out += [Rule(label, key, p.format(n=name, v=version), rank, score) for p, rank, score in (*SHORT_VERSIONED, *SHORT_PLAIN)]
     return sorted(out, key=lambda r: (-r.priority, r.label, r.pattern))
 
 

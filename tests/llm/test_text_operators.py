@@ -60,6 +60,17 @@ def test_license_rules_are_many_and_suppress():
         assert licenses.suppressed(found) == plain
 
 
+def test_license_abbreviations(spark):
+    cases = {"It is licensed under the GPL v3.": "gpl", "GPLv2 or later": "gpl", "See GPL-3.0-only": "gpl", "under the LGPL 2.1": "lgpl", "LGPL, version 3": "lgpl",
+             "AGPLv3": "agpl", "MPL 2.0": "mpl", "released under the EPL-1.0": "epl", "CC BY-SA 4.0": "cc-by-sa", "cc-by-nc-nd 3.0": "cc-by-nc-nd",
+             "Text under CC BY": "cc-by", "version 2 of the GNU GPL": "gpl", "GPL licensed": "gpl",
+             "a simple example": "", "cc by mail": "", "the EPL season": "", "deployment 2.0": "", "gplus 3": ""}
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = by_id(licenses.license_scan(df))
+    assert [r["labels"] for r in got] == list(cases.values())
+    assert all(r["base_labels"] == "" and (r["score"] > 0) == (r["labels"] != "") for r in got)
+
+
 def test_quality_counts(docs):
     got = by_id(quality.quality_rules(docs, []))
     for r in got:
