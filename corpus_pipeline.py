@@ -44,9 +44,15 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near-duplicates."""
-    others = near_dedup.near_duplicates(docs).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """The first document of each class of near-duplicates, and one row of
+    those with its id and text. A row without an id goes if its text is that
+    of a document with one."""
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
+    # The verdict is the same for rows of equal id and text, so it is joined by both.
+    others = (near_dedup.near_duplicates(docs, with_key=True).filter(~F.col("kept"))
+              .select(F.col("doc_id").alias("_other"), F.col("text_key").alias("_other_key")).distinct())
+    left = keyed.join(others, F.col("doc_id").cast("long").eqNullSafe(F.col("_other")) & F.col("_key").eqNullSafe(F.col("_other_key")), "left_anti")
+    return left.groupBy("doc_id", "_key").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -272,9 +272,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return map_rows(x, "a long, b long", start)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: int = 8, block: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: int = 8, block: int = 512, doc_id: str = "doc_id", text: str = "text",
+                    with_key: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id,
-    kept``. Texts are linked if 100 * intersection >= percent * union of
+    kept`` (and ``text_key``, ``xxhash64`` of the text, if asked). Texts are linked if 100 * intersection >= percent * union of
     their sets of 5-word shingles (A-Z lower-cased; a shorter text is one
     shingle); ``component_id`` is the smallest id reachable over links.
 
@@ -314,7 +315,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: in
     joined = components(found.unionByName(several))
     of_node = nodes.select("set_key", "node", "rep").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_set = of_node.join(of_node.groupBy("component").agg(F.min("rep").alias("smallest")), "component").select("set_key", "smallest")
-    out = sets.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
+    out = sets.select("doc_id", "text_key", "n_shingles", "set_key").join(of_set, "set_key", "left")
     component = F.coalesce("smallest", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", *["text_key"] * with_key, "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.col("smallest").isNull()).alias("kept"))

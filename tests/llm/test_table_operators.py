@@ -233,3 +233,18 @@ def test_line_dedup_removes_short_passages_like_brute_force(spark):
         if i in own:
             assert r["text"] == (own[i][1] if own[i][0] else rows[i][1]), "the whole passage goes, own text stays"
             assert r["n_removed"] == (own[i][0] > 0)
+
+
+def test_pipeline_leaves_one_row_of_each_class(spark):
+    import corpus_pipeline
+    rnd = random.Random(13)
+    texts = [" ".join(rnd.choice(WORDS) for _ in range(60)) for _ in range(4)]
+    near = texts[0] + " tail"
+    rows = [(1, texts[0]), (2, near), (None, texts[0]), (None, near), (1, texts[0]), (3, texts[1]), (3, texts[1]), (3, texts[1]),
+            (None, texts[2]), (None, texts[2]), (4, texts[3])]
+    df = spark.createDataFrame([(d, t, "en", f"s{i}", len(t)) for i, (d, t) in enumerate(rows)],
+                               "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = corpus_pipeline.one_of_near_copies(spark, df, "")
+    assert left.columns == df.columns
+    got = sorted(((r["doc_id"] or 0, r["text"], r["source"]) for r in left.collect()))
+    assert got == sorted([(1, texts[0], "s0"), (3, texts[1], "s5"), (0, texts[2], "s8"), (4, texts[3], "s10")])
