@@ -6,8 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from rectext.llm import (lang_id, licenses, line_dedup, near_dedup, packing, quality, quotations, sentence_pieces, token_counts,
-                         vp_search)
+from rectext.llm import (lang_id, licenses, line_dedup, near_dedup, packing, quality, quotations, sentence_pieces, sharding,
+                         token_counts, vp_search)
 from rectext.llm.common import saved, table
 
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,9 +69,14 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.limits_table(saved(token_counts.length_histogram(lengths), "length-histogram"))
 
 
+def op12_sharding(spark, sf_dir):
+    """``documents`` in 24 shards, each with the mixture of sources of the whole."""
+    return sharding.place_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quotation_linking, op2_license_scan, op3_quality_rules, op4_vantage_point_search, op5_language_id, op6_line_dedup,
-    op7_near_dedup, op8_sentence_pieces, op9_packing, op10_token_counts)}
+    op7_near_dedup, op8_sentence_pieces, op9_packing, op10_token_counts, op12_sharding)}
 
 ORACLE = {
     # The mail form quotes the turn before at level one, so each turn answers it.
@@ -92,4 +97,27 @@ ORACLE = {
             FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
         FROM scored QUALIFY rank <= 20""",
+    "op12_sharding": """
+        WITH crc_table AS (
+            SELECT list(c ORDER BY i) AS tab FROM (
+                SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                FROM (SELECT unnest(range(256)) AS i))),
+        bytes AS (
+            SELECT *, list_transform(string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', '\\1 ', 'g'), ' ')[:-2],
+                                     lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
+        base AS (
+            SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 8 AS size, source,
+                   xor(list_reduce([4294967295::BIGINT] || b, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32,
+                   CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS src,
+                   md5('0|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS key
+            FROM bytes, crc_table),
+        ranked AS (
+            SELECT *, (row_number() OVER (PARTITION BY src ORDER BY key) - 1 + ('0x' || md5(src)[1:8])::BIGINT / 4294967296.0::DOUBLE)
+                      / count(*) OVER (PARTITION BY src) AS fraction FROM base),
+        placed AS (
+            SELECT *, row_number() OVER (ORDER BY fraction, src, key) - 1 AS pos, count(*) OVER () AS n FROM ranked),
+        cut AS (SELECT *, (pos * 24) // n AS shard FROM placed)
+        SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+               (pos - (shard * n + 23) // 24)::BIGINT AS slot, NULL::INTEGER AS grown_shard, source, fraction
+        FROM cut""",
 }
