@@ -6,8 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from rectext.llm import (lang_id, licenses, line_dedup, near_dedup, packing, quality, quotations, sentence_pieces, sharding,
-                         token_counts, vp_search)
+from rectext.llm import (lang_id, lexical_search, licenses, line_dedup, near_dedup, packing, quality, quotations, sentence_pieces,
+                         sharding, token_counts, vp_search)
 from rectext.llm.common import saved, table
 
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -74,9 +74,15 @@ def op12_sharding(spark, sf_dir):
     return sharding.place_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark, sf_dir):
+    """``documents`` ranked for each ``benchmark`` item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quotation_linking, op2_license_scan, op3_quality_rules, op4_vantage_point_search, op5_language_id, op6_line_dedup,
-    op7_near_dedup, op8_sentence_pieces, op9_packing, op10_token_counts, op12_sharding)}
+    op7_near_dedup, op8_sentence_pieces, op9_packing, op10_token_counts, op12_sharding,
+    op13_lexical_search)}
 
 ORACLE = {
     # The mail form quotes the turn before at level one, so each turn answers it.
@@ -120,4 +126,28 @@ ORACLE = {
         SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
                (pos - (shard * n + 23) // 24)::BIGINT AS slot, NULL::INTEGER AS grown_shard, source, fraction
         FROM cut""",
+    "op13_lexical_search": """
+        WITH docs AS (
+            SELECT * FROM (
+                SELECT doc_id, row_number() OVER () AS r,
+                       regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+                FROM documents WHERE text IS NOT NULL) WHERE len(terms) > 0),
+        total AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs),
+        items AS (
+            SELECT item_id, term, count(*) AS qtf FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark)
+            GROUP BY item_id, term),
+        counts AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+                   FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY r, term),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), total),
+        scores AS (
+            SELECT item_id, r, any_value(doc_id) AS doc_id,
+                   sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM items JOIN counts USING (term) JOIN weights USING (term), total GROUP BY item_id, r)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 20""",
 }
