@@ -6,8 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from rectext.llm import (lang_id, lexical_search, licenses, line_dedup, near_dedup, packing, quality, quotations, sentence_pieces,
-                         sharding, token_counts, vp_search)
+from rectext.llm import (hard_negatives, lang_id, lexical_search, licenses, line_dedup, near_dedup, packing, quality, quotations,
+                         sentence_pieces, sharding, token_counts, vp_search)
 from rectext.llm.common import saved, table
 
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,6 +69,13 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.limits_table(saved(token_counts.length_histogram(lengths), "length-histogram"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """``embeddings``: negatives for the nearest of the own label of each row whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", label.alias("label"), hard_negatives.whole_vector("embedding").alias("vector")), F.col("vec_id") % 50 == 0)
+
+
 def op12_sharding(spark, sf_dir):
     """``documents`` in 24 shards, each with the mixture of sources of the whole."""
     return sharding.place_documents(table(spark, sf_dir, "documents"))
@@ -81,8 +88,8 @@ def op13_lexical_search(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_quotation_linking, op2_license_scan, op3_quality_rules, op4_vantage_point_search, op5_language_id, op6_line_dedup,
-    op7_near_dedup, op8_sentence_pieces, op9_packing, op10_token_counts, op12_sharding,
-    op13_lexical_search)}
+    op7_near_dedup, op8_sentence_pieces, op9_packing, op10_token_counts, op11_hard_negatives,
+    op12_sharding, op13_lexical_search)}
 
 ORACLE = {
     # The mail form quotes the turn before at level one, so each turn answers it.
@@ -103,6 +110,23 @@ ORACLE = {
             FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
         FROM scored QUALIFY rank <= 20""",
+    "op11_hard_negatives": """
+        WITH good AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id AS id, b.label = a.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM good a JOIN good b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, id) AS p FROM scored WHERE same QUALIFY p <= 5),
+        negatives AS (
+            SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.a, p.p ORDER BY n.score DESC, n.id) AS rank
+            FROM positives p JOIN scored n ON n.a = p.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+            QUALIFY rank <= 3)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negatives""",
     "op12_sharding": """
         WITH crc_table AS (
             SELECT list(c ORDER BY i) AS tab FROM (
