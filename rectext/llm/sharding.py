@@ -14,14 +14,13 @@ way, by ranges of the fractional rank.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rectext.llm.common import saved
 
-#: Rows that one range of hashes or of fractional ranks holds on average.
-RANGE_ROWS = 100_000
-
 
 def shuffle_key(doc_id: Column, text: Column, seed: int) -> Column:
     """The seeded hash that orders rows within a source; nulls count as empty."""
@@ -33,7 +32,7 @@ def _unit(hexadecimal: Column) -> Column:
     return F.conv(F.substring(hexadecimal, 1, 8), 16, 10).cast("long")
 
 
-def interleave(rows: DataFrame, shards: int, source: str = "source", key: str = "key", range_rows: int = RANGE_ROWS) -> DataFrame:
+def interleave(rows: DataFrame, shards: int, source: str = "source", key: str = "key", ranges: int | None = None) -> DataFrame:
     """``rows`` with ``shard`` (int, from 0) and ``slot`` (long, gapless from
     0 in each shard), and ``fraction``, the fractional rank. ``key`` is a
     column of hexadecimal hashes (see ``shuffle_key``); rows of one source
@@ -42,7 +41,9 @@ def interleave(rows: DataFrame, shards: int, source: str = "source", key: str =
     Null sources are a source of their own; an empty table gives no rows;
     with fewer rows than shards some shards stay empty. Input columns named
     like the three results are replaced, all others pass through whatever
-    their names. Ties of the fractional rank go by source, then key."""
+    their names. Ties of the fractional rank go by source, then key. ``ranges``: into how
+    many ranges hashes and fractional ranks are cut, by default the square
+    root of the rows, so that neither a range nor the list of them is long."""
     if shards < 1:
         raise ValueError("shards must be at least 1")
     names = [c for c in rows.columns if c not in ("shard", "slot", "fraction")]
@@ -50,7 +51,7 @@ def interleave(rows: DataFrame, shards: int, source: str = "source", key: str =
     src = F.when(F.col(source).isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.col(source).cast("string")))
     x = rows.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), src.alias("src"), F.col(key).alias("key"))
     n = x.count()
-    ranges = max(1, -(-n // range_rows))
+    ranges = ranges or math.isqrt(n) + 1
     x = x.withColumn("part", F.shiftright(_unit(F.col("key")) * ranges, 32).cast("int"))
 
     in_source = Window.partitionBy("src")
@@ -63,7 +64,7 @@ def interleave(rows: DataFrame, shards: int, source: str = "source", key: str =
               .select("row", "src", "key", "fraction", F.least(F.floor(F.col("fraction") * ranges), F.lit(ranges - 1)).cast("int").alias("part")))
     ranked = saved(ranked, "interleave-ranked")
 
-    # One row a range: n / range_rows rows in all.
+    # One row a range.
     starts = (ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
               .select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))
     place = F.row_number().over(Window.partitionBy("part").orderBy("fraction", "src", "key"))
