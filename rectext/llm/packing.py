@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rectext.llm.common import map_rows
-from rectext.llm.words_bpe import WordEncoder
+from rectext.llm.words_bpe import encoder
 
 SEQUENCE = 4096
 END = 2
@@ -49,7 +49,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def start():
-        coder = WordEncoder(tokenizer)
+        coder = encoder(tokenizer)
         tail = end.to_bytes(4, "little")
 
         def f(ids, texts):

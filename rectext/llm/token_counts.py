@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rectext.llm.common import map_rows
-from rectext.llm.words_bpe import WordEncoder
+from rectext.llm.words_bpe import encoder
 
 
 def encoded_lengths(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens`` of every whole text (null or empty: 0 tokens)."""
     def start():
-        coder = WordEncoder(tokenizer)
+        coder = encoder(tokenizer)
         return lambda ids, texts: {"doc_id": ids, "n_tokens": [len(coder.encode(t.decode())) // 4 if t else 0 for t in texts]}
 
     return map_rows(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")), "doc_id long, n_tokens long", start)
