@@ -1,15 +1,18 @@
-"""Line dedup by repeated runs of units.
-
-A unit is a sentence or what a line has beside its sentences; one of
-``long_line`` words or more is cut further, after words that their own hash
-chooses. Where a unit ends is told by the text next to it, so a passage has
-the same units wherever it stands. A run of units counts if it has
-``min_words`` words and two units, or one that alone has ``long_line`` words.
-Every run that stands at an earlier place of the corpus as well, byte for
-byte, is removed, in its full length: for each unit the shortest run that
-begins with it and the shortest that ends with it are compared, and together
-they cover exactly the units of all repeated runs. A unit's first place in the
-corpus is never removed.
+"""Line dedup by content-defined chunks.
+
+A text's units are its sentences and lines; a long one is cut further, after
+words that their own hash chooses. A rolling hash over the hashes of
+neighbouring units chooses the boundaries of chunks, so a passage has the same
+chunks, but for its ends, wherever it stands. Chunks alone can't find a
+passage of few units, as no whole chunk may lie inside it; so the shortest run
+that counts from each unit on (mostly a pair of neighbours) is a seed as well.
+A run counts if it has ``min_words`` words and two units, or is one unit of
+``long_line`` words.
+
+Seeds that occur again anywhere in the corpus are joined to their first place.
+Neighbouring seeds with one and the same first text become a span, spans are
+compared byte by byte, lengthened unit by unit while the bytes agree, and
+removed. A seed's first place is never removed for that seed's sake.
 """
 
 from __future__ import annotations
@@ -17,149 +20,279 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rectext.llm.common import map_rows, saved
+from rectext.llm.common import arrow_schema, saved
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """``long_line``: words from which a sentence is cut further, after one
-    word of ``cut_every`` on average. ``min_words``: runs of fewer words are
-    left alone (so are single units of less than ``long_line`` words)."""
+    """``long_line``: words from which a unit is cut further, after one word
+    of ``cut_every`` on average. ``min_words``: runs of fewer words are left
+    alone (so are single units of less than ``long_line`` words). ``window``:
+    units that the rolling hash covers; a boundary stands where it is least
+    among its ``reach`` neighbours on either side."""
 
     long_line: int = 40
     min_words: int = 12
     cut_every: int = 4
-
-
-# A mark ends a sentence if white space or the end of the text follows.
-_SENTENCE = re.compile(rb"\S[^\n.!?]*+(?:[.!?]++(?=\S)[^\n.!?]*+)*+[.!?]*+")
-_WORD = re.compile(rb"\S+")
+    window: int = 2
+    reach: int = 1
+
+
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_STOP = np.isin(np.arange(256), [ord(c) for c in ".!?"])
+# Fixed value: an odd factor of the rolling hash.
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def all_units(raws: list[bytes], how: Chunking, digest) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Units of several texts: the texts joined by line ends, and of each unit
+    its start and end there, its words and the number of its text. White space
+    between units belongs to none. ``digest(bytes) -> int`` hashes a word."""
+    joined = b"\n".join(raws) + b"\n"
+    a = np.frombuffer(joined, np.uint8)
+    space = _SPACE[a]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    edge = edge if space[0] else np.r_[0, edge]
+    start, end = edge[::2], edge[1::2]             # of words
+    if not len(start):
+        return joined, *(np.zeros(0, np.int64) for _ in range(4))
+    line = np.searchsorted(np.flatnonzero(a == 10), start)         # lines before
+    last = _STOP[a[end - 1]] | np.r_[line[1:] != line[:-1], True]  # the word ends its unit
+
+    def sizes(last):
+        at = np.flatnonzero(last)
+        return at, np.diff(np.r_[-1, at])
+
+    at, n = sizes(last)
+    for j in np.flatnonzero(n >= how.long_line):
+        for w in range(at[j] - n[j] + 1, at[j]):
+            last[w] = digest(joined[start[w]:end[w]]) % how.cut_every == 0
+    at, n = sizes(last)
+    base = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    return joined, start[at - n + 1], end[at], n, np.searchsorted(base, start[at], "right") - 1
 
 
 def units(raw: bytes, how: Chunking, digest) -> list[tuple[int, int, int]]:
-    """``(start, end, words)`` by byte of all units of a text; white space
-    between them belongs to none. ``digest(bytes) -> int`` hashes a word."""
-    out = []
-    for m in _SENTENCE.finditer(raw):
-        s, sentence = m.start(), m[0].rstrip()
-        n = len(sentence.split())
-        if n < how.long_line:
-            out.append((s, s + len(sentence), n))
-            continue
-        n = 0
-        for w in _WORD.finditer(raw, s, s + len(sentence)):
-            first, n = (first if n else w.start()), n + 1
-            if digest(w[0]) % how.cut_every == 0:
-                out.append((first, w.end(), n))
-                n = 0
-        if n:
-            out.append((first, s + len(sentence), n))
-    return out
-
-
-def runs(raw: bytes, how: Chunking, digest) -> set[tuple[int, int]]:
-    """``(start, end)`` by byte of each unit's shortest run that counts, from
-    the unit on and up to the unit."""
-    found, out = units(raw, how, digest), set()
-    i = words = 0                                  # units i..j, of so many words
-    longest = -1                                   # the last begin for which a run was found
-    for j, (_, end, n) in enumerate(found):
-        words += n
-        begin = None
-        while i <= j and (words >= how.min_words and i < j or i == j and n >= how.long_line):
-            begin = i
-            if i > longest:
-                out.add((found[i][0], end))
-                longest = i
-            words -= found[i][2]
-            i += 1
-        if begin is not None:                      # the last that counts is the shortest up to j
-            out.add((found[begin][0], end))
-            i, words = begin, words + found[begin][2]
-    return out
+    """``(start, end, words)`` of all units of one text."""
+    _, start, end, n, _ = all_units([raw], how, digest)
+    return list(zip(start.tolist(), end.tolist(), n.tolist()))
+
+
+def chunk_starts(hashes: np.ndarray, text: np.ndarray, how: Chunking) -> np.ndarray:
+    """Whether a chunk begins with each unit: at a text's first unit, and
+    where the rolling hash over the last ``window`` units is least among its neighbours."""
+    n = len(hashes)
+    roll = np.zeros(n, np.uint64)
+    for i in range(how.window):                    # unit j and the window - 1 before it
+        power = np.uint64(pow(int(_FACTOR), i + 1, 1 << 64))
+        roll[i:] += hashes[:n - i] * power
+    roll ^= roll >> np.uint64(29)
+    roll *= _FACTOR
+    least = np.ones(n, bool)
+    for i in range(1, how.reach + 1):
+        least[i:] &= (roll[i:] < roll[:-i]) | (text[i:] != text[:-i])
+        least[:-i] &= (roll[:-i] <= roll[i:]) | (text[i:] != text[:-i])
+    first = np.r_[True, text[1:] != text[:-1]]
+    full = np.r_[np.zeros(how.window - 1, bool), text[how.window - 1:] == text[:n - how.window + 1]] if n >= how.window else np.zeros(n, bool)
+    return first | least & full
+
+
+def seeds(raws: list[bytes], how: Chunking, digest) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, start, end, hash)`` of all seeds, sorted by text and start
+    (bytes within the text): chunks of two units or more, and from each unit
+    the shortest run that counts."""
+    joined, s, e, n, text = all_units(raws, how, digest)
+    m = len(s)
+    if not m:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    total = np.r_[0, np.cumsum(n)]                 # words before each unit
+    last = np.maximum(np.arange(m) + 1, np.searchsorted(total[1:], total[:-1] + how.min_words))
+    last = np.where(n >= how.long_line, np.arange(m), last)
+    run = np.flatnonzero(last < m)
+    run = run[text[last[run]] == text[run]]
+    view = memoryview(joined)
+    hashes = np.array([digest(view[i:j]) for i, j in zip(s.tolist(), e.tolist())], np.uint64)
+    begin = np.flatnonzero(chunk_starts(hashes, text, how))
+    close = np.r_[begin[1:], m] - 1
+    chunk = (close > begin) & (total[close + 1] - total[begin] >= how.min_words)
+    pairs = np.unique(np.r_[run * (m + 1) + last[run], begin[chunk] * (m + 1) + close[chunk]])
+    i, j = pairs // (m + 1), pairs % (m + 1)
+    base = np.cumsum([0, *(len(r) + 1 for r in raws)])[text[i]]
+    h = np.array([digest(view[x:y]) for x, y in zip(s[i].tolist(), e[j].tolist())], np.uint64).view(np.int64)
+    return text[i], s[i] - base, e[j] - base, h
+
+
+# A null id counts as the largest number.
+_LAST = (1 << 63) - 1
+
+
+def _key(doc_id: str, text: str) -> list:
+    """A row is told by its id and a hash of its text, so equal rows are one document."""
+    return [F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_LAST)).alias("_id"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("_key")]
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A row is told by its id and a hash of its text: equal rows are one document."""
-    return docs.withColumns({"_id": F.col(doc_id).cast("long"), "_key": F.xxhash64(F.col(text).cast("string")), "_text": F.col(text).cast("string")})
+    """``_id, _key, row``: the row travels as one struct."""
+    row = F.struct(*[(F.col(f"`{c}`").cast("string") if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return docs.select(*_key(doc_id, text), row.alias("row"))
 
 
-def _on_row(a: str, b: str):
-    return F.col(f"{a}._key").eqNullSafe(F.col(f"{b}._key")) & F.col(f"{a}._id").eqNullSafe(F.col(f"{b}._id"))
+def found_seeds(docs: DataFrame, how: Chunking, doc_id: str, text: str, block: int = 1 << 22) -> DataFrame:
+    """``_id, _key, hash, start, end``: arrays, one row a text that has a seed."""
+    ddl = "_id long, _key long, hash array<long>, start array<int>, end array<int>"
+    schema = arrow_schema(ddl)
 
+    def run(batches):
+        import xxhash
 
-def repeated_runs(docs: DataFrame, how: Chunking) -> DataFrame:
-    """``_id, _key, hash, start, end, first``: runs (of ``_id, _key,
-    _text``) whose hash occurs twice or more; ``first`` marks one place of
-    each hash, that with the smallest id, key and start."""
-    ddl = "_id long, _key long, hash long, start int, end int"
+        def rows(ids, keys, raws):
+            at, start, end, h = seeds(raws, how, xxhash.xxh3_64_intdigest)
+            has, first = np.unique(at, return_index=True)
+            cut = np.r_[first, len(at)].astype(np.int32)
+            lists = [pa.ListArray.from_arrays(cut, pa.array(x)) for x in (h, start.astype(np.int32), end.astype(np.int32))]
+            return pa.RecordBatch.from_arrays([pa.array([ids[i] for i in has], pa.int64()), pa.array([keys[i] for i in has], pa.int64()),
+                                               *[x.cast(f.type) for x, f in zip(lists, list(schema)[2:])]], schema=schema)
+
+        for batch in batches:
+            ids, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary())
+            a = size = 0
+            for b in range(batch.num_rows):        # blocks of bounded size
+                size += len(texts[b].as_buffer() or b"") if texts[b].is_valid else 0
+                if size > block or b == batch.num_rows - 1:
+                    yield rows(ids[a:b + 1], keys[a:b + 1], [t or b"" for t in texts.slice(a, b + 1 - a).to_pylist()])
+                    a, size = b + 1, 0
+
+    return docs.select(*_key(doc_id, text), F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(run, ddl)
+
+
+def repeated_seeds(found: DataFrame) -> DataFrame:
+    """``_id, _key, start, end, ref_id, ref_key, ref_start``: seeds that
+    stand elsewhere first, with that place: of all the one with the smallest
+    id (null last), key and start."""
+    every = found.select("_id", "_key", F.inline(F.arrays_zip("hash", "start", "end")))
+    # Numbers only, which Spark adds up in place; the first place of an id follows from the few rows that are left.
+    again = saved(every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")).filter("n > 1").select("hash", "least"), "line-again")
+    left = saved(every.join(again, "hash"), "line-repeated")
+    # Saved, so that the join below has a plain shuffle on both sides, which Spark can split at a common seed.
+    at = saved(left.filter("_id = least").groupBy("hash").agg(F.min(F.struct("_key", "start")).alias("at"))
+               .select("hash", F.col("at._key").alias("ref_key"), F.col("at.start").alias("ref_start")), "line-first")
+    return left.join(at, "hash").filter("not (_id = least and _key = ref_key and start = ref_start)").select("_id", "_key", "start", "end", F.col("least").alias("ref_id"), "ref_key", "ref_start")
+
+
+def merged(places: list[tuple]) -> list[tuple]:
+    """``(start, end, ref_id, ref_key, ref_start)`` of one text: places that
+    overlap or meet and lie at one distance from their first place become one."""
+    out, open_at = [], {}
+    for s, e, ref_id, ref_key, r in sorted(places, key=lambda p: p[:2]):
+        k = (ref_id, ref_key, s - r)
+        i = open_at.get(k)
+        if i is not None and s <= out[i][1]:
+            out[i][1] = max(e, out[i][1])
+        else:
+            open_at[k] = len(out)
+            out.append([s, e, ref_id, ref_key, r])
+    return [tuple(x) for x in out]
 
-    def start():
-        import xxhash
 
-        def f(ids, keys, texts):
-            rows = [(i, k, xxhash.xxh3_64_intdigest(t[s:e]) - (1 << 63), s, e)
-                    for i, k, t in zip(ids, keys, texts) if t for s, e in runs(t, how, xxhash.xxh3_64_intdigest)]
-            return dict(zip(("_id", "_key", "hash", "start", "end"), map(list, zip(*rows)) if rows else [[]] * 5))
+# What stands after a span in its first text: enough for units too short to be a seed's.
+_AFTER = re.compile(rb"(?:\s*\S+){0,12}\s?")
 
-        return f
 
-    found = saved(map_rows(docs.select("_id", "_key", "_text").filter("_text is not null"), ddl, start), "found")
-    # Numbers only, which Spark adds up in place; the first place of an id follows from the few rows that are left.
-    again = saved(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")).filter("n > 1").select("hash", "least"), "again")
-    left = saved(found.join(again, "hash"), "repeated")
-    # Saved, so that the join below has a plain shuffle on both sides, which Spark can split at a common run.
-    at = saved(left.filter(F.col("_id").eqNullSafe(F.col("least"))).groupBy("hash").agg(F.min(F.struct("_key", "start")).alias("at")), "first")
-    return (left.join(at, "hash")
-            .withColumn("first", F.col("_id").eqNullSafe(F.col("least")) & (F.col("at._key") == F.col("_key")) & (F.col("at.start") == F.col("start")))
-            .select("_id", "_key", "hash", "start", "end", "first"))
+def lengthened(raw: bytes, end: int, after: bytes, how: Chunking, digest) -> int:
+    """The end of the last whole unit behind ``end`` that stands in ``after`` too."""
+    n = next((i for i, (x, y) in enumerate(zip(raw[end:end + len(after)], after)) if x != y), min(len(after), len(raw) - end))
+    if not after[:n].strip():
+        return end
+    for s, e, _ in units(raw, how, digest):
+        if s >= end and (e - end > n or e - end < len(after) and not _SPACE[after[e - end]]):
+            break
+        end = max(end, e) if s >= end else end
+    return end
 
 
-def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with each text's repeated runs removed, and ``n_removed``
-    (passages: runs that overlap are one) and ``removed_bytes``. The first
-    occurrence of a run, by document id, stays, but for units that it shares
-    with a run found still earlier.
+def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text",
+               n_removed: str = "n_removed", removed_bytes: str = "removed_bytes") -> DataFrame:
+    """``docs`` with the passages removed that stand earlier as well, and
+    ``n_removed`` (passages: spans that overlap are one) and
+    ``removed_bytes``, under names of choice. The first occurrence, by document id, stays, but for
+    units that it shares with a passage found still earlier.
 
     Null and empty texts stay as they are, with nothing removed; a text of
     which all units go becomes empty. Equal rows count as one document, so
     each of them keeps its first occurrences. A null id sorts last. Other
-    columns pass through, whatever their names; an empty table stays empty."""
-    clash = [c for c in docs.columns if c in ("_id", "_key", "_text", "n_removed", "removed_bytes", "cuts", "_left")]
-    if clash:                                      # set aside, given back below
-        inner = docs.select(*[F.col(f"`{c}`").alias(f"__{c}" if c in clash else c) for c in docs.columns])
-        done = line_dedup(inner, how, doc_id, text)
-        return done.select(*[F.col(f"`__{c}`" if c in clash else f"`{c}`").alias(c) for c in docs.columns],
-                           *[c for c in ("n_removed", "removed_bytes") if c not in clash])
+    columns pass through, whatever their names: where one is named like a
+    result, that result is left out. An empty table stays empty."""
+    found = saved(found_seeds(docs, how, doc_id, text), "line-seeds")
+    place = F.struct("start", "end", "ref_id", "ref_key", "ref_start")
+    per_text = repeated_seeds(found).groupBy("_id", "_key").agg(F.collect_list(place).alias("places"))
+    ddl = "_id long, _key long, start int, end int, ref_id long, ref_key long, ref_start int, size int"
+    schema = arrow_schema(ddl)
+
+    def to_spans(batches):
+        for batch in batches:
+            rows = [(i, k, *p, p[1] - p[0]) for i, k, places in zip(*[c.to_pylist() for c in batch.columns]) for p in merged([tuple(x.values()) for x in places])]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
+
+    spans = saved(per_text.mapInArrow(to_spans, ddl), "line-spans")
     rows = _keyed(docs, doc_id, text)
-    per_row = repeated_runs(rows, how).groupBy("_id", "_key").agg(F.collect_set(F.struct("hash", "start", "end", "first")).alias("cuts"))
-
-    def places():
-        def f(ids, keys, texts, *cuts):
-            out = [(i, k, h, s, e, first, t[s:e]) for i, k, t, *found in zip(ids, keys, texts, *cuts) for h, s, e, first in zip(*found)]
-            return dict(zip(("_id", "_key", "hash", "start", "end", "first", "bytes"), map(list, zip(*out)) if out else [[]] * 7))
-        return f
-
-    held = (rows.select("_id", "_key", "_text").alias("d").join(per_row.alias("c"), _on_row("d", "c"))
-            .select("d._id", "d._key", "d._text", *[F.col(f"c.cuts.{x}").alias(x) for x in ("hash", "start", "end", "first")]))
-    places_of = saved(map_rows(held, "_id long, _key long, hash long, start int, end int, first boolean, bytes binary", places), "places")
-    firsts = saved(places_of.filter("first").select("hash", "bytes").distinct(), "firsts")   # saved for the same reason as above
-    same = (places_of.filter("not first").alias("o").join(firsts.alias("f"), "hash")
-            .filter(F.col("o.bytes") == F.col("f.bytes")).groupBy("_id", "_key").agg(F.collect_set(F.struct("start", "end")).alias("cuts")))
-
-    schema = docs.schema
-    names = docs.columns
-    joined = (rows.alias("d").join(same.alias("c"), _on_row("d", "c"), "left")
-              .select(*[F.col(f"d.`{c}`") for c in names], F.col("c.cuts").alias("cuts"), F.col("d._text").alias("_text")))
-    kept = _without(joined)
-    return kept.select(*[(F.when(F.col("cuts").isNull(), F.col("_text")).otherwise(F.col("_left.text")).cast(schema[text].dataType) if c == text
-                          else F.col(f"`{c}`")).alias(c) for c in names],
-                       F.coalesce("_left.n", F.lit(0)).cast("long").alias("n_removed"),
-                       F.coalesce("_left.size", F.lit(0)).cast("long").alias("removed_bytes"))
+
+    # The bytes of each first place, once for all who ask.
+    asked = (spans.groupBy("ref_id", "ref_key").agg(F.collect_set(F.struct("ref_start", "size")).alias("asked")))
+    slices_ddl = "ref_id long, ref_key long, ref_start int, size int, bytes binary, after binary"
+    slices_schema = arrow_schema(slices_ddl)
+
+    def to_slices(batches):
+        for batch in batches:
+            texts = batch.column("row").field(text).cast(pa.large_binary()).to_pylist()
+            out = []
+            for i, k, places, raw in zip(*[batch.column(c).to_pylist() for c in ("ref_id", "ref_key", "asked")], texts):
+                for p in places:
+                    s, e = p["ref_start"], p["ref_start"] + p["size"]
+                    out.append((i, k, s, p["size"], raw[s:e], _AFTER.match(raw, e)[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out) if out else [[]] * len(slices_schema), slices_schema)], schema=slices_schema)
+
+    # Rows that are one document have one text: any of them will do, so equal slices count once.
+    place = ["ref_id", "ref_key", "ref_start", "size"]
+    slices = (rows.join(asked, (F.col("_id") == F.col("ref_id")) & (F.col("_key") == F.col("ref_key"))).select("ref_id", "ref_key", "asked", "row")
+              .mapInArrow(to_slices, slices_ddl).dropDuplicates(place))
+    cuts = spans.join(slices, place).groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "bytes", "after")).alias("cuts"))
+    results = [c for c in (n_removed, removed_bytes) if c not in docs.columns]
+    out_schema = T.StructType([*[T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in docs.schema],
+                               *[T.StructField(c, T.LongType()) for c in results]])
+
+    def to_texts(batches):
+        import xxhash
+
+        for batch in batches:
+            row, at = batch.column("row"), docs_columns.index(text)
+            # Texts without a cut aren't touched.
+            cut = np.flatnonzero(np.array(batch.column("cuts").is_valid()))
+            n, size = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            texts = row.field(at)
+            if len(cut):
+                new = texts.cast(pa.large_binary()).to_pylist()
+                for i in cut.tolist():
+                    raw, gone = new[i], []
+                    for c in batch.column("cuts")[i].as_py():
+                        s, e = c["start"], c["start"] + len(c["bytes"])
+                        if raw[s:e] == c["bytes"]:
+                            gone.append((s, lengthened(raw, e, c["after"], how, xxhash.xxh3_64_intdigest)))
+                    if gone:
+                        new[i], n[i], size[i] = without(raw, gone)
+                texts = pa.array(new, pa.large_binary()).cast(texts.type)
+            told = {n_removed: pa.array(n), removed_bytes: pa.array(size)}
+            yield pa.RecordBatch.from_arrays([*[texts if i == at else row.field(i) for i in range(row.type.num_fields)], *[told[c] for c in results]],
+                                             names=[*docs_columns, *results])
+
+    docs_columns = docs.columns
+    kept = rows.join(cuts, ["_id", "_key"], "left").select("row", "cuts").mapInArrow(to_texts, out_schema)
+    return kept.withColumn(text, F.col(f"`{text}`").cast(docs.schema[text].dataType))
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -188,16 +321,3 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
         else:
             broken = broken or b"\n" in part
     return out, len(merged), sum(e - s for s, e in merged)
-
-
-def _without(joined: DataFrame) -> DataFrame:
-    """``_left``: ``_text`` without the byte ranges ``cuts``, their number and size."""
-    @F.pandas_udf("text string, n long, size long")
-    def cut(text, cuts):
-        import pandas as pd
-
-        rows = [(None, 0, 0) if t is None or not len(c) else without(t.encode(), [(x["start"], x["end"]) for x in c]) for t, c in zip(text, cuts)]
-        return pd.DataFrame([(t if t is None else t.decode(), n, size) for t, n, size in rows], columns=["text", "n", "size"])
-
-    spans = F.coalesce("cuts", F.array().cast("array<struct<start:int,end:int>>"))
-    return joined.withColumn("_left", F.when(F.col("cuts").isNotNull(), cut(F.when(F.col("cuts").isNotNull(), F.col("_text")), spans)))
