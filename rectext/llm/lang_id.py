@@ -12,7 +12,7 @@ calibrates its probabilities.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -28,15 +28,17 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class Fit:
     """``sample``: bound on the documents of each language that the fit
-    sees. ``languages``: bound on languages (the commonest; ties by name);
-    ``least``: documents a language needs. ``alpha, beta``: FTRL step sizes,
-    ``l1, l2``: elastic net, ``epochs``: passes over the sample. One in
+    sees; ``rows``: bound on all of them, shared equally (``least`` a language
+    if there are very many). ``weights``: bound on languages x features; the
+    features are halved from ``dim`` until it holds. ``alpha, beta``: FTRL step
+    sizes, ``l1, l2``: elastic net, ``epochs``: passes over the sample. One in
     ``calibrate`` sample documents is for the temperature."""
 
     dim: int = 1 << 15
     sample: int = 400
-    languages: int = 200
-    least: int = 5
+    rows: int = 8000
+    least: int = 8
+    weights: int = 1 << 23
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 1e-4
@@ -44,6 +46,13 @@ class Fit:
     epochs: int = 3
     calibrate: int = 4
 
+    def of(self, languages: int) -> "Fit":
+        """The bounds for so many languages: every language that occurs is learned."""
+        dim = self.dim
+        while dim > 64 and dim * languages > self.weights:
+            dim //= 2
+        return replace(self, dim=dim, sample=min(self.sample, max(self.least, self.rows // languages)))
+
 
 _OTHER = re.compile(r"[\W\d_]+")
 # Odd multipliers of the characters of an n-gram.
@@ -125,13 +134,13 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def fit(labelled: DataFrame, how: Fit = Fit()) -> dict | None:
     """Model from ``doc_id, text, lang``; None without any language to
     learn. Frequencies cover all rows; the sample is drawn by a hash of the
-    id, at most ``how.sample`` rows a language, whatever the input's size."""
-    known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") >= how.least).orderBy(F.desc("n"), "lang").limit(how.languages).collect()}
+    id, at most ``how.sample`` rows a language, whatever the input's size.
+    Every language of a text with a letter is learned."""
+    known = labelled.filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
-    langs = sorted(sizes)
+    langs, how = sorted(sizes), how.of(len(sizes))
 
     out = arrow_schema("feature int, n long")
 
@@ -182,11 +191,9 @@ def fit(labelled: DataFrame, how: Fit = Fit()) -> dict | None:
     return {"langs": langs, "weights": weights.astype(np.float32), "idf": idf, "temperature": fitted[0]["temperature"] if fitted else 1.0, "dim": how.dim}
 
 
-def predict(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: str = "text", lang_column: str = "lang_pred") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (calibrated probability) of
-    the whole text. A text that is null or has no letter is ``und`` with
-    score 0, as is every text without a model. Only the text is read; equal
-    texts get equal results, other columns pass through."""
+def guessed(docs: DataFrame, model: dict | None, text: str, into: str) -> DataFrame:
+    """``docs`` with a struct ``into`` of ``lang`` and ``score``. The model
+    runs once a text, also where a filter on the struct follows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang:string,score:double>")
@@ -203,8 +210,39 @@ def predict(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: s
             out.append((m["langs"][best], float(p[best])))
         return pd.DataFrame(out, columns=["lang", "score"])
 
-    x = docs.withColumn("_guess", guess(F.col(text).cast("string")))
-    return x.withColumns({lang_column: F.col("_guess.lang"), "score": F.col("_guess.score")}).drop("_guess")
+    # Spark would push a filter on the result below the projection, and so run the model there as well.
+    return docs.withColumn(into, guess.asNondeterministic()(F.col(f"`{text}`").cast("string")))
+
+
+def unused(name: str, names: list[str]) -> str:
+    while name in names:
+        name += "_"
+    return name
+
+
+def predict(docs: DataFrame, model: dict | None, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with columns ``lang`` and ``score`` (calibrated probability)
+    of the whole text, under names of choice. A text that is null or has no
+    letter is ``und`` with score 0, as is every text without a model. Only the
+    text is read; equal texts get equal results, an empty table stays empty.
+    Columns of ``docs`` named like a result are replaced, all others pass through."""
+    g = unused("guess", [*docs.columns, lang, score])
+    return guessed(docs, model, text, g).withColumns({lang: F.col(f"{g}.lang"), score: F.col(f"{g}.score")}).drop(g)
+
+
+def recognised(docs: DataFrame, least: float, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", how: Fit = Fit()) -> DataFrame:
+    """The documents whose language is predicted with a score of ``least`` or
+    more; that language becomes their ``lang``. The model learns from the
+    documents that aren't held out.
+
+    Documents without a letter (null and empty texts too) go, and so do all
+    if there is nothing to learn from; repeated rows are kept or go alike.
+    Documents without an id aren't learned from, but judged. All other columns
+    stay as they are, whatever their names; an empty table stays empty."""
+    model = fit(_labelled(docs, doc_id, text, lang), how)
+    g = unused("guess", docs.columns)
+    seen = guessed(docs, model, text, g).filter((F.col(f"{g}.lang") != UNKNOWN) & (F.col(f"{g}.score") >= least))
+    return seen.select(*[F.col(f"{g}.lang").alias(c) if c == lang else F.col(f"`{c}`") for c in docs.columns])
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 5):
@@ -212,9 +250,15 @@ def held_out(doc_id: str = "doc_id", folds: int = 5):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == 0, F.lit(False))
 
 
+def _labelled(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
+    """``doc_id, text, lang`` of what may be learned from."""
+    return (docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
+            .filter(F.col("doc_id").isNotNull() & ~held_out()))
+
+
 def identify(docs: DataFrame, how: Fit = Fit(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Fit on the documents that aren't held out (and have an id and a
     language), predict all: ``doc_id, held_out, lang_pred, score``."""
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    model = fit(base.filter(F.col("doc_id").isNotNull() & ~held_out()), how)
+    model = fit(_labelled(docs, doc_id, text, lang), how)
+    base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     return predict(base.select("doc_id", held_out().alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")

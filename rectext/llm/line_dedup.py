@@ -295,6 +295,24 @@ def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_i
     return kept.withColumn(text, F.col(f"`{text}`").cast(docs.schema[text].dataType))
 
 
+def without_repeats(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """``docs`` without passages that an earlier document has; a document of
+    which no word is left goes. ``n_chars``, if there is such a column,
+    follows the text where something was removed.
+
+    Null, empty and blank texts stay as they are. Equal rows count as one
+    document and stay or go together; a null id sorts last. Other columns
+    stay, whatever their names; an empty table stays empty."""
+    n, size = "removed", "removed_size"
+    while {n, size} & set(docs.columns):
+        n, size = n + "_", size + "_"
+    out = line_dedup(docs, how, doc_id, text, n, size).filter((F.col(n) == 0) | F.col(f"`{text}`").rlike(r"\S"))
+    if n_chars in docs.columns:
+        kind = docs.schema[n_chars].dataType
+        out = out.withColumn(n_chars, F.when(F.col(n) > 0, F.length(F.col(f"`{text}`")).cast(kind)).otherwise(F.col(f"`{n_chars}`")))
+    return out.select(*[f"`{c}`" for c in docs.columns])
+
+
 def without(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     """``raw`` without the byte ranges ``spans``, which may overlap; how many
     ranges these are when joined, and their bytes. White space at a seam

@@ -30,6 +30,7 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rectext.llm.common import map_rows, saved
 from rectext.llm.components import components
@@ -319,3 +320,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: in
     component = F.coalesce("smallest", "doc_id")
     return out.select("doc_id", *["text_key"] * with_key, "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.col("smallest").isNull()).alias("kept"))
+
+
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The first document of each class of near-duplicates, and of rows with
+    equal id and text the smallest (by all columns that have an order).
+
+    Null and blank texts are linked with nothing and stay, one row of each id.
+    A row without an id goes if its text is that of a document with one, else
+    one row of its text stays. Columns stay as they are, whatever their names;
+    an empty table stays empty."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").cast("long").alias("id"),
+                       F.xxhash64(F.col(f"`{text}`").cast("string")).alias("key"))
+    # The verdict is the same for rows of equal id and text, so it is joined by both.
+    others = (near_duplicates(docs, doc_id=doc_id, text=text, with_key=True).filter(~F.col("kept"))
+              .select(F.col("doc_id").alias("other"), F.col("text_key").alias("other_key")).distinct())
+    left = rows.join(others, F.col("id").eqNullSafe(F.col("other")) & F.col("key").eqNullSafe(F.col("other_key")), "left_anti")
+    order = F.struct(*[F.col(f"row.`{f.name}`") for f in docs.schema if _orderable(f.dataType)])
+    return left.groupBy("id", "key").agg(F.min_by("row", order).alias("row")).select("row.*")

@@ -281,3 +281,14 @@ def passes(text, references: list[dict], rules: Rules = Rules(), lang=None):
         return pd.Series([one(None if t is None else t.encode(), k)[6] for t, k in zip(texts, langs)], dtype=bool)
 
     return verdict(text, (F.lit(None) if lang is None else lang).cast("string"))
+
+
+def good_documents(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> DataFrame:
+    """The documents that the rules keep, judged by references measured over
+    ``docs`` themselves (see ``quality_rules``).
+
+    Null and empty texts have too few words and go, whole texts of any length
+    are read; repeated rows stay or go together; a null language is judged by
+    all references. Columns stay as they are, whatever their names; an empty
+    table stays empty."""
+    return docs.filter(passes(F.col(f"`{text}`"), language_references(docs, rules, text, lang), rules, F.col(f"`{lang}`")))
