@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and reread as the next one's ``docs``. All but the last
-return the columns of ``documents``.
+return the columns of ``documents``. What a stage does with nulls, repeated
+rows and the like is stated at the function that it calls.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,34 +25,22 @@ MIN_SCORE = 0.35
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language, which becomes their ``lang``."""
-    model = lang_id.fit(docs.filter(F.col("doc_id").isNotNull() & ~lang_id.held_out()).select("doc_id", "text", "lang"))
-    seen = lang_id.predict(docs, model).filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_SCORE))
-    return seen.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return lang_id.recognised(docs, MIN_SCORE)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return docs.filter(quality.passes(F.col("text"), quality.language_references(docs), lang=F.col("lang")))
+    return quality.good_documents(docs)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without chunks of lines that an earlier document has; a document
-    of which nothing is left goes."""
-    out = line_dedup.line_dedup(docs)
-    left = (F.col("n_removed") == 0) | F.col("text").rlike(r"\S")
-    return out.filter(left).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Texts without passages that an earlier document has."""
+    return line_dedup.without_repeats(docs)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near-duplicates, and one row of
-    those with its id and text. A row without an id goes if its text is that
-    of a document with one."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    # The verdict is the same for rows of equal id and text, so it is joined by both.
-    others = (near_dedup.near_duplicates(docs, with_key=True).filter(~F.col("kept"))
-              .select(F.col("doc_id").alias("_other"), F.col("text_key").alias("_other_key")).distinct())
-    left = keyed.join(others, F.col("doc_id").cast("long").eqNullSafe(F.col("_other")) & F.col("_key").eqNullSafe(F.col("_other_key")), "left_anti")
-    return left.groupBy("doc_id", "_key").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    """The first document of each class of near-duplicates."""
+    return near_dedup.representatives(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
