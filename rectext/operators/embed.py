@@ -38,15 +38,23 @@ def embed_text(df: DataFrame, text_col: str = "text", out_col: str = "embedding"
         return df.withColumn(out_col, udf(F.col(text_col)))
 
     own = tokens(F.col(text_col)) if max_tokens is None else truncate_tokens(F.col(text_col), max_tokens)
-    buckets = F.transform(F.filter(F.coalesce(own, F.array().cast("array<string>")), lambda t: t != ""),
-                          lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim)))
-    staged = df.withColumn("_buckets", buckets)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.size(F.filter("_buckets", lambda x: x == b)))
-    staged = staged.withColumn("_counts", counts)
-    norm = F.sqrt(F.aggregate("_counts", F.lit(0).cast("bigint"), lambda s, c: s + c * c).cast("double"))
-    return (staged.withColumn("_norm", norm)
-            .withColumn(out_col, F.transform("_counts", lambda c: F.when(F.col("_norm") > 0, c / F.col("_norm")).otherwise(0.0).cast("float")))
-            .drop("_buckets", "_counts", "_norm"))
+    # A text's buckets as one string, a character a token: what a bucket counts is then the
+    # characters that go when its own is left out, which Spark does in compiled code.
+    symbols = "".join(chr((48 if dim <= 64 else 0x100) + i) for i in range(dim))
+    bucket = lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+    marks = F.transform(F.filter(F.coalesce(own, F.array().cast("array<string>")), lambda t: t != ""), lambda t: F.substring(F.lit(symbols), bucket(t).cast("int") + 1, F.lit(1)))
+    names = [_unused(n, df.columns) for n in ("marks", "counts", "norm")]
+    marked, counts, norm = (F.col(n) for n in names)
+    staged = df.withColumn(names[0], F.array_join(marks, ""))
+    staged = staged.withColumn(names[1], F.array(*[F.length(marked) - F.length(F.replace(marked, F.lit(c), F.lit(""))) for c in symbols]))
+    staged = staged.withColumn(names[2], F.sqrt(F.aggregate(counts, F.lit(0).cast("bigint"), lambda s, c: s + c.cast("bigint") * c).cast("double")))
+    return staged.withColumn(out_col, F.transform(counts, lambda c: F.when(norm > 0, c / norm).otherwise(0.0).cast("float"))).drop(*names)
+
+
+def _unused(name: str, names: list[str]) -> str:
+    while name in names:
+        name += "_"
+    return name
 
 
 def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:

@@ -62,17 +62,20 @@ def encode_label(label: Column) -> Column:
     return F.try_element_at(m, label)
 
 
+# White space at either end; the look-behind keeps a run of blanks inside from being tried at each of its places.
+_ENDS = r"^\s+|(?<!\s)\s+$"
+
 MAX_TOKENS = 512
 SPECIAL_TOKENS = 2
 
 
 def tokens(text: Column) -> Column:
     """Whitespace tokens of a text (leading / trailing whitespace ignored)."""
-    return F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), r"\s+")
+    return F.split(F.regexp_replace(text, _ENDS, ""), r"\s+")
 
 
 def truncate_tokens(text: Column, max_tokens: int = MAX_TOKENS - SPECIAL_TOKENS) -> Column:
     """M3: the first ``max_tokens`` whitespace tokens (510 = 512 minus the two
     special tokens of the encoder), as an array. The text isn't split past
     the cut."""
-    return F.slice(F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), r"\s+", max_tokens + 1), 1, max_tokens)
+    return F.slice(F.split(F.regexp_replace(text, _ENDS, ""), r"\s+", max_tokens + 1), 1, max_tokens)

@@ -93,7 +93,7 @@ def stringify_ids(text: Column, id_key: str = "$oid") -> Column:
 
     An object id is an object whose only key is ``$oid``; inside JSON strings
     quotes are escaped, so text that merely looks like one is not touched."""
-    pattern = r'\{\s*"' + _re_escape(id_key) + r'"\s*:\s*("(?:[^"\\]|\\.)*")\s*\}'
+    pattern = r'\{\s*"' + _re_escape(id_key) + r'"\s*:\s*("[^"\\]*+(?:\\.[^"\\]*+)*+")\s*\}'
     return F.regexp_replace(text, pattern, "$1")
 
 

@@ -77,3 +77,19 @@ def test_stringify_ids(spark):
     out = df.select(stringify_ids(F.col("j"))).first()[0]
     assert out == ('{"_id":"abc","l":["d",{"x":"e"}],"s":"{\\"$oid\\":\\"f\\"}","n":100.0,'
                    '"o":{"$oid":"g","more":1}}')
+
+
+def test_long_ids_and_runs_of_blanks_take_linear_time(spark):
+    import time
+    from pyspark.sql import functions as F
+    from rectext.operators.features import tokens, truncate_tokens
+    from rectext.operators.records import stringify_ids
+    n = 100_000
+    rows = [('{"a": {"$oid": "' + "x" * n + '"}}',), ('{"a": {"$oid": "' + '\\"' * n + '"}}',), ('{"a": {"$oid": "' + "x" * n,)]
+    began = time.time()
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(stringify_ids(F.col("t"))).collect()]
+    assert got == ['{"a": "' + "x" * n + '"}', '{"a": "' + '\\"' * n + '"}', rows[2][0]]
+    blanks = spark.createDataFrame([("a" + " " * n + "b",), (" " * n + "a" + "\n" * n,), (" " * n,)], "t string")
+    got = blanks.select(tokens(F.col("t")), truncate_tokens(F.col("t"), 1)).collect()
+    assert [tuple(r) for r in got] == [(["a", "b"], ["a"]), (["a"], ["a"]), ([""], [""])]
+    assert time.time() - began < 15
