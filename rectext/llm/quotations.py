@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rectext.llm.common import saved
 
 # A line's quote marks, and the words that introduce a quotation.
-MARKS = r"^(?:[ \t]*>)+[ \t]?"
+MARKS = r"^[ \t>]*>[ \t]?"
 INTRODUCES = r"(?i)(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$"
 
 
@@ -34,6 +34,14 @@ def _without_introductions(lines: Column) -> Column:
         F.when(x["body"].rlike(INTRODUCES) & (F.get(lines, i + 1)["level"] == x["level"] + 1), F.lit("")).otherwise(x["body"]).alias("body")))
 
 
+def _without_blank_ends(text: Column) -> Column:
+    """Without blank lines before the first and after the last line with a
+    word. No group is repeated here: Java would go one call deeper for each."""
+    led = F.regexp_replace(text, r"\A[ \t\n]*\n", "")
+    tail = F.regexp_extract(led, r"(?<![ \t\n])([ \t\n]*+)\z", 1)
+    return F.concat(F.substring(led, F.lit(1), F.length(led) - F.length(tail)), F.regexp_extract(tail, r"\A[ \t]*+", 0))
+
+
 def _blank(x: Column) -> Column:
     return ~x["body"].rlike(r"\S")
 
@@ -89,7 +97,7 @@ def link_quotations(messages: DataFrame, thread: str = "conv_id", order: str = "
     m = m.withColumns({"passages": _passages(F.col("lines")), "max_level": F.array_max(F.transform("lines", lambda x: x["level"]))})
     own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["body"]), "\n")
     # Of the passages only hashes are kept: the texts would be several times the input.
-    m = saved(m.select("thread", "ord", F.regexp_replace(F.regexp_replace(own, r"^(?:[ \t]*\n)+", ""), r"(?:\n[ \t]*)+$", "").alias("own_text"), "max_level",
+    m = saved(m.select("thread", "ord", _without_blank_ends(own).alias("own_text"), "max_level",
                        F.size(F.filter("passages", lambda x: x["level"] > 0)).alias("n_quoted"), _units(F.col("passages"), line_words).alias("units")), "messages")
     units = m.filter("ord is not null and thread is not null").select("thread", "ord", F.inline("units"))
     originals = units.filter("level = 0").groupBy("thread", "hash").agg(F.min("ord").alias("first"))
