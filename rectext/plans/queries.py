@@ -30,6 +30,7 @@ from rectext.sinks.writers import (append_ignore, drop_reload, load_by_source, r
                                    read_csv_by_key, read_table, write_collections, write_csv_by_key)
 from rectext.sources.json_files import (discover_files, read_lines, scan_json_array, scan_json_auto,
                                         scan_ndjson)
+from rectext.sources.json_arrays import scan_json_array_split
 from rectext.sources.text import sample_lines
 from rectext.streaming.incremental import featurize_stream
 
@@ -306,6 +307,20 @@ def q_scan_json_array(spark, sf):
                        F.try_variant_get(v, "$.c_mktsegment", "string").alias("c_mktsegment"))
 
 
+@query("scan_json_array_split", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def q_scan_json_array_split(spark, sf):
+    """S6 by splits: all customers as one indented array a million of them,
+    each file read by as many tasks as it has splits."""
+    root = work_dir(spark, "scan_json_array_split")
+    cust = table(spark, sf, "customer")
+    write_array_files(cust, root, chunked(F.lit("customers"), ".json", F.col("c_custkey"), CUSTOMER_SPAN), "c_custkey").collect()
+    recs = scan_json_array_split(spark, [r["path"] for r in discover_files(spark, root).select("path").collect()])
+    v = F.col("v")
+    return recs.filter(v.isNotNull()).select(*[F.try_variant_get(v, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                                               for f in cust.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").schema])
+
+
 @query("scan_json_auto", f"""
 SELECT {CUSTOMER_ARRAY_SQL} AS source, 'array' AS format, 'c' || CAST(c_custkey AS VARCHAR) AS record_key
 FROM customer

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rectext.operators.records import CORRUPT_COL, parse_lines
+from rectext.sources.json_arrays import array_items, is_one_value
 
 # The file name patterns of JSON inputs (case-insensitive).
 JSON_GLOB = "*.{[jJ][sS][oO][nN],[nN][dD][jJ][sS][oO][nN]}"
@@ -119,24 +120,12 @@ def scan_json_array(spark: SparkSession, paths, keep_raw: bool = False) -> DataF
     return parse_lines(files.select("source_file", F.explode("items").alias("value")), keep_raw=keep_raw)
 
 
-def file_format_stats(lines_records: DataFrame) -> DataFrame:
-    """Per file: record candidates, valid records, corrupt candidates (and
-    the file size when the scan carries ``file_size``). A partial aggregate
-    per task, then one row per file: skew-proof."""
-    size = [F.max("file_size").alias("length")] if "file_size" in lines_records.columns else []
-    return lines_records.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n_candidates"),
-        F.count_if(F.col("v").isNotNull()).alias("n_valid"),
-        F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("n_corrupt"), *size)
-
-
-def array_files(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
-                ignore_corrupt_files: bool = False) -> list[str]:
-    """Files that hold one JSON array (or one indented object): the first
-    line that isn't blank begins so, isn't a JSON value itself, and the whole
-    file parses. Only the first split of a file is looked at and only the
-    paths of such files, which Spark's listing holds on the driver anyway,
-    come back."""
+def array_candidates(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
+                     ignore_corrupt_files: bool = False) -> list[str]:
+    """Files whose first line that isn't blank begins an array or an object
+    without being a JSON value itself. Only the first split of a file is
+    looked at, and only the paths of such files, which Spark's listing holds on
+    the driver anyway, come back."""
     reader = spark.read
     if ignore_corrupt_files:
         reader = reader.option("ignoreCorruptFiles", "true")
@@ -151,22 +140,25 @@ def array_files(spark: SparkSession, root, recursive: bool = True, glob: str | N
              .groupBy("source_file").agg(F.min_by("value", "n").alias("line")))
     line = F.trim(F.col("line"))
     found = first.filter((F.col("line").rlike(r"^\s*\[") & F.try_parse_json(line).isNull()) | (line == "{") | (line == "["))
-    candidates = [r["source_file"] for r in found.select("source_file").collect()]
-    return [r["source_file"] for r in _whole_files(spark, candidates, ignore_corrupt_files).filter("items is not null").select("source_file").collect()]
+    return [r["source_file"] for r in found.select("source_file").collect()]
 
 
 def scan_json_records(spark: SparkSession, root, recursive: bool = True, glob: str | None = JSON_GLOB,
                       ignore_corrupt_files: bool = False, keep_raw: bool = False) -> DataFrame:
     """Record candidates of all files, each in its own format:
     ``source_file, v`` (null when corrupt), ``_corrupt_record, format`` (and
-    ``_raw``). Array files are read whole, all others line by line."""
-    arrays = array_files(spark, root, recursive, glob, ignore_corrupt_files)
+    ``_raw``). A file that begins like an array over several lines (or an
+    indented object) and of which every item parses is one; it is read by as
+    many tasks as it has splits. All others are read line by line."""
+    candidates = array_candidates(spark, root, recursive, glob, ignore_corrupt_files)
     lines = read_lines(spark, root, recursive, glob, ignore_corrupt_files=ignore_corrupt_files)
-    if not arrays:
+    if not candidates:
         return parse_lines(lines, keep_raw=keep_raw).withColumn("format", F.lit("ndjson"))
-    names = spark.createDataFrame([(x,) for x in arrays], "source_file string")
+    items = array_items(spark, candidates, ignore_corrupt_files)
+    damaged = items.filter(~is_one_value(F.col("value"))).select("source_file").distinct()
+    names = spark.createDataFrame([(x,) for x in candidates], "source_file string").join(damaged, "source_file", "left_anti")
     ndjson = parse_lines(lines.join(names, "source_file", "left_anti"), keep_raw=keep_raw)
-    whole = scan_json_array(spark, arrays, keep_raw=keep_raw)
+    whole = parse_lines(items.join(names, "source_file", "left_semi"), keep_raw=keep_raw)
     return ndjson.withColumn("format", F.lit("ndjson")).unionByName(whole.withColumn("format", F.lit("array")))
 
 
