@@ -17,6 +17,7 @@ removed. A seed's first place is never removed for that seed's sake.
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass
 
@@ -185,35 +186,42 @@ def repeated_seeds(found: DataFrame) -> DataFrame:
     return left.join(at, "hash").filter("not (_id = least and _key = ref_key and start = ref_start)").select("_id", "_key", "start", "end", F.col("least").alias("ref_id"), "ref_key", "ref_start")
 
 
-def merged(places: list[tuple]) -> list[tuple]:
-    """``(start, end, ref_id, ref_key, ref_start)`` of one text: places that
-    overlap or meet and lie at one distance from their first place become one."""
-    out, open_at = [], {}
-    for s, e, ref_id, ref_key, r in sorted(places, key=lambda p: p[:2]):
-        k = (ref_id, ref_key, s - r)
-        i = open_at.get(k)
-        if i is not None and s <= out[i][1]:
-            out[i][1] = max(e, out[i][1])
-        else:
-            open_at[k] = len(out)
-            out.append([s, e, ref_id, ref_key, r])
-    return [tuple(x) for x in out]
+def merged(text: np.ndarray, start: np.ndarray, end: np.ndarray, ref_id: np.ndarray, ref_key: np.ndarray, ref_start: np.ndarray) -> tuple:
+    """Places of several texts: those of one text that overlap or meet and lie
+    at one distance from their first place become one. Returns the rows that
+    begin one, and where it ends."""
+    if not len(text):
+        return np.zeros(0, np.int64), end
+    by = np.lexsort((end, start, start - ref_start, ref_key, ref_id, text))
+    t, s, e = text[by], start[by].astype(np.int64), end[by].astype(np.int64)
+    other = np.zeros(len(by), bool)
+    for x in (t, ref_id[by], ref_key[by], s - ref_start[by]):
+        other[1:] |= x[1:] != x[:-1]
+    group = np.cumsum(other)
+    reach = np.maximum.accumulate(e + (group << 32)) - (group << 32)       # the farthest end so far in the group
+    begins = np.r_[True, other[1:] | (s[1:] > reach[:-1])]
+    first = np.flatnonzero(begins)
+    return by[first], reach[np.r_[first[1:], len(by)] - 1]
 
 
 # What stands after a span in its first text: enough for units too short to be a seed's.
 _AFTER = re.compile(rb"(?:\s*\S+){0,12}\s?")
+_NEXT = re.compile(rb"\s*\S+")
 
 
-def lengthened(raw: bytes, end: int, after: bytes, how: Chunking, digest) -> int:
-    """The end of the last whole unit behind ``end`` that stands in ``after`` too."""
-    n = next((i for i, (x, y) in enumerate(zip(raw[end:end + len(after)], after)) if x != y), min(len(after), len(raw) - end))
-    if not after[:n].strip():
+def lengthened(raw: bytes, end: int, after: bytes, unit_ends) -> int:
+    """The end of the last whole unit behind ``end`` that stands in ``after``
+    too; ``unit_ends()`` gives the ends of the text's units."""
+    word = _NEXT.match(after)
+    if not word or not raw.startswith(word[0], end):
         return end
-    for s, e, _ in units(raw, how, digest):
-        if s >= end and (e - end > n or e - end < len(after) and not _SPACE[after[e - end]]):
+    n = len(os.path.commonprefix([raw[end:end + len(after)], after]))
+    ends, out = unit_ends(), end
+    for e in ends[np.searchsorted(ends, end, "right"):].tolist():
+        if e - end > n or e - end < len(after) and not _SPACE[after[e - end]]:
             break
-        end = max(end, e) if s >= end else end
-    return end
+        out = e
+    return out
 
 
 def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text",
@@ -236,8 +244,13 @@ def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_i
 
     def to_spans(batches):
         for batch in batches:
-            rows = [(i, k, *p, p[1] - p[0]) for i, k, places in zip(*[c.to_pylist() for c in batch.columns]) for p in merged([tuple(x.values()) for x in places])]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
+            lists = batch.column("places")
+            at = np.repeat(np.arange(batch.num_rows), np.array(lists.value_lengths()))
+            s, e, ref_id, ref_key, r = (np.array(x) for x in lists.flatten().flatten())
+            first, end = merged(at, s, e, ref_id, ref_key, r)
+            ids, keys = (np.array(batch.column(c))[at[first]] for c in ("_id", "_key"))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ids, keys, s[first], end, ref_id[first], ref_key[first], r[first], end - s[first]), schema)],
+                                             schema=schema)
 
     spans = saved(per_text.mapInArrow(to_spans, ddl), "line-spans")
     rows = _keyed(docs, doc_id, text)
@@ -250,12 +263,15 @@ def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_i
     def to_slices(batches):
         for batch in batches:
             texts = batch.column("row").field(text).cast(pa.large_binary()).to_pylist()
-            out = []
-            for i, k, places, raw in zip(*[batch.column(c).to_pylist() for c in ("ref_id", "ref_key", "asked")], texts):
-                for p in places:
-                    s, e = p["ref_start"], p["ref_start"] + p["size"]
-                    out.append((i, k, s, p["size"], raw[s:e], _AFTER.match(raw, e)[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out) if out else [[]] * len(slices_schema), slices_schema)], schema=slices_schema)
+            lists = batch.column("asked")
+            at = np.repeat(np.arange(batch.num_rows), np.array(lists.value_lengths()))
+            start, size = (np.array(x) for x in lists.flatten().flatten())
+            cut, after = [], []
+            for i, s, e in zip(at.tolist(), start.tolist(), (start + size).tolist()):
+                cut.append(texts[i][s:e])
+                after.append(_AFTER.match(texts[i], e)[0])
+            ids, keys = (np.array(batch.column(c))[at] for c in ("ref_id", "ref_key"))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ids, keys, start, size, cut, after), slices_schema)], schema=slices_schema)
 
     # Rows that are one document have one text: any of them will do, so equal slices count once.
     place = ["ref_id", "ref_key", "ref_start", "size"]
@@ -277,12 +293,20 @@ def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_i
             texts = row.field(at)
             if len(cut):
                 new = texts.cast(pa.large_binary()).to_pylist()
-                for i in cut.tolist():
-                    raw, gone = new[i], []
-                    for c in batch.column("cuts")[i].as_py():
-                        s, e = c["start"], c["start"] + len(c["bytes"])
-                        if raw[s:e] == c["bytes"]:
-                            gone.append((s, lengthened(raw, e, c["after"], how, xxhash.xxh3_64_intdigest)))
+                lists = batch.column("cuts").take(pa.array(cut))
+                start, parts, after = (x.to_pylist() for x in lists.flatten().flatten())
+                ends = np.cumsum(np.array(lists.value_lengths())).tolist()
+                for i, a, b in zip(cut.tolist(), [0, *ends], ends):
+                    raw, gone, known = new[i], [], []
+
+                    def unit_ends():
+                        if not known:
+                            known.append(all_units([raw], how, xxhash.xxh3_64_intdigest)[2])
+                        return known[0]
+
+                    for s, part, more in zip(start[a:b], parts[a:b], after[a:b]):
+                        if raw.startswith(part, s):
+                            gone.append((s, lengthened(raw, s + len(part), more, unit_ends)))
                     if gone:
                         new[i], n[i], size[i] = without(raw, gone)
                 texts = pa.array(new, pa.large_binary()).cast(texts.type)
@@ -323,19 +347,21 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
             merged[-1][1] = max(e, merged[-1][1])
         else:
             merged.append([s, e])
-    out, broken = b"", False
+    out, broken = [], False                        # parts of the result, none of them blank
     for s, e in zip([0, *(e for _, e in merged)], [*(s for s, _ in merged), len(raw)]):
         part = raw[s:e]
         if s and out:
-            body = out.rstrip()
-            broken, out = broken or b"\n" in out[len(body):], body
+            body = out[-1].rstrip()
+            broken, out[-1] = broken or b"\n" in out[-1][len(body):], body
         if part.strip():
             lead = part[:len(part) - len(part.lstrip())]
             if s:
                 broken = broken or b"\n" in lead
                 part = part[lead.rfind(b"\n") + 1:] if b"\n" in lead else part[len(lead):]
-                out += (b"\n" if broken else b" ") if out else b""
-            out, broken = out + part, False
+                if out:
+                    out.append(b"\n" if broken else b" ")
+            out.append(part)
+            broken = False
         else:
             broken = broken or b"\n" in part
-    return out, len(merged), sum(e - s for s, e in merged)
+    return b"".join(out), len(merged), sum(e - s for s, e in merged)
