@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rectext.functions.render import render_records, render_typed
+from rectext.functions.render import render_typed
+from rectext.functions.shapes import render_shaped
 from rectext.operators.records import drop_corrupt, parse_lines
 
 FEATURE_COLUMNS = ["text_representation", "timestamp", "label", "source_file"]
 
 
 def featurize_records(records: DataFrame, keep: list[str] | None = None,
-                      with_error: bool = False) -> DataFrame:
-    """Render valid records (column ``v``) into the published feature schema."""
+                      with_error: bool = False, shapes: list[str] | None = None) -> DataFrame:
+    """Render valid records (column ``v``) into the published feature schema;
+    those of ``shapes`` (``common_shapes``) the fast way."""
     keep = keep if keep is not None else ["source_file"]
-    out = render_records(records, "v", keep=keep, with_error=with_error)
+    out = render_shaped(records, shapes or [], "v", keep=keep, with_error=with_error)
     first = ["text_representation", "timestamp", "label"]
     return out.select(*first, *[c for c in out.columns if c not in first])
 

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from rectext.functions.names import base_name, safe_name
 from rectext.functions.render import format_list, iso_epoch, typed_text
+from rectext.functions.shapes import common_shapes
 from rectext.operators.audit import collection_count, corrupt_count
 from rectext.operators.embed import embed_text, map_batches
 from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize, featurize_records,
                                         featurize_typed, tokens, truncate_tokens)
-from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, prune_nulls_json,
+from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines, prune_nulls_json,
                                        stringify_ids)
 from rectext.plans import jobs
 from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL, EVENT_SPAN, ISO_FORMAT, chunked,
@@ -460,13 +461,16 @@ def q_import_insert_ignore(spark, sf):
     return summary.select("file", "collection", "attempted", "inserted", "total_in_collection")
 
 
-@query("featurize_files", f"""
+FEATURIZE_FILES_SQL = f"""
 SELECT '[c_acctbal] ' || CAST(c_acctbal AS VARCHAR) || ' [c_custkey] ' || CAST(c_custkey AS VARCHAR) || ' [c_mktsegment] ' || c_mktsegment
        || ' [c_name] ' || c_name || ' [c_nationkey] ' || CAST(c_nationkey AS VARCHAR) AS text_representation,
        CAST(NULL AS DOUBLE) AS "timestamp", CAST(NULL AS VARCHAR) AS label, {CUSTOMER_ARRAY_SQL} AS source_file
 FROM customer
 UNION ALL
-SELECT {EVENT_TEXT_SQL}, {EVENT_TS_SQL}, event_type, {EVENT_SOURCE_SQL} FROM events WHERE event_id % 10 <> 7""")
+SELECT {EVENT_TEXT_SQL}, {EVENT_TS_SQL}, event_type, {EVENT_SOURCE_SQL} FROM events WHERE event_id % 10 <> 7"""
+
+
+@query("featurize_files", FEATURIZE_FILES_SQL)
 def q_featurize_files(spark, sf):
     """J1 over a folder of indented array files and NDJSON files with cut lines."""
     root = work_dir(spark, "featurize_files")
@@ -476,6 +480,24 @@ def q_featurize_files(spark, sf):
     return features.select("text_representation", "timestamp", "label", _basename("source_file").alias("source_file"))
 
 
+@query("featurize_files_typed", FEATURIZE_FILES_SQL)
+def q_featurize_files_typed(spark, sf):
+    """S4 + J1: the same folder, its common record shapes inferred from a
+    sample and rendered by compiled expressions."""
+    root = work_dir(spark, "featurize_files_typed")
+    _write_customer_arrays(spark, sf, root)
+    _write_event_files(spark, sf, root)
+    features, _, _ = jobs.featurize_files(spark, root, by_shape=True)
+    return features.select("text_representation", "timestamp", "label", _basename("source_file").alias("source_file"))
+
+
+@query("featurize_shaped", FEATURIZE_SQL)
+def q_featurize_shaped(spark, sf):
+    """S4 + J1 core: event lines without a declared schema, rendered by the shapes of a sample."""
+    records = drop_corrupt(parse_lines(event_lines(spark, sf).select("value", "source_file")))
+    return featurize_records(records, keep=["source_file"], shapes=common_shapes(records)).select(*FEATURE_COLUMNS)
+
+
 # ------------------------------------------------------------------ cleaning: P4-P8
 
 NULLED_SQL = """
