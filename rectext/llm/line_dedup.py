@@ -17,6 +17,7 @@ removed. A seed's first place is never removed for that seed's sake.
 
 from __future__ import annotations
 
+import math
 import os
 import re
 from dataclasses import dataclass
@@ -51,10 +52,20 @@ _STOP = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def all_units(raws: list[bytes], how: Chunking, digest) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hash(a: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word's length, first, middle and last bytes: enough to
+    choose cuts by, as equal words have equal ones."""
+    h = (end - start).astype(np.uint64)
+    for at in (start, (start + end) // 2, end - 1, np.minimum(start + 1, end - 1)):
+        h = (h ^ a[at]) * _FACTOR
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def all_units(raws: list[bytes], how: Chunking) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Units of several texts: the texts joined by line ends, and of each unit
     its start and end there, its words and the number of its text. White space
-    between units belongs to none. ``digest(bytes) -> int`` hashes a word."""
+    between units belongs to none."""
     joined = b"\n".join(raws) + b"\n"
     a = np.frombuffer(joined, np.uint8)
     space = _SPACE[a]
@@ -71,17 +82,17 @@ def all_units(raws: list[bytes], how: Chunking, digest) -> tuple[bytes, np.ndarr
         return at, np.diff(np.r_[-1, at])
 
     at, n = sizes(last)
-    for j in np.flatnonzero(n >= how.long_line):
-        for w in range(at[j] - n[j] + 1, at[j]):
-            last[w] = digest(joined[start[w]:end[w]]) % how.cut_every == 0
-    at, n = sizes(last)
+    if (n >= how.long_line).any():
+        word = np.flatnonzero(np.repeat(n >= how.long_line, n))
+        last[word] |= word_hash(a, start[word], end[word]) % np.uint64(how.cut_every) == 0
+        at, n = sizes(last)
     base = np.cumsum([0, *(len(r) + 1 for r in raws)])
     return joined, start[at - n + 1], end[at], n, np.searchsorted(base, start[at], "right") - 1
 
 
-def units(raw: bytes, how: Chunking, digest) -> list[tuple[int, int, int]]:
+def units(raw: bytes, how: Chunking, digest=None) -> list[tuple[int, int, int]]:
     """``(start, end, words)`` of all units of one text."""
-    _, start, end, n, _ = all_units([raw], how, digest)
+    _, start, end, n, _ = all_units([raw], how)
     return list(zip(start.tolist(), end.tolist(), n.tolist()))
 
 
@@ -108,7 +119,7 @@ def seeds(raws: list[bytes], how: Chunking, digest) -> tuple[np.ndarray, np.ndar
     """``(text, start, end, hash)`` of all seeds, sorted by text and start
     (bytes within the text): chunks of two units or more, and from each unit
     the shortest run that counts."""
-    joined, s, e, n, text = all_units(raws, how, digest)
+    joined, s, e, n, text = all_units(raws, how)
     m = len(s)
     if not m:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
@@ -178,8 +189,9 @@ def repeated_seeds(found: DataFrame) -> DataFrame:
     id (null last), key and start."""
     every = found.select("_id", "_key", F.inline(F.arrays_zip("hash", "start", "end")))
     # Numbers only, which Spark adds up in place; the first place of an id follows from the few rows that are left.
+    # The hint: one small row a hash to look up, instead of sorting all seeds.
     again = saved(every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")).filter("n > 1").select("hash", "least"), "line-again")
-    left = saved(every.join(again, "hash"), "line-repeated")
+    left = saved(every.join(again.hint("shuffle_hash"), "hash"), "line-repeated")
     # Saved, so that the join below has a plain shuffle on both sides, which Spark can split at a common seed.
     at = saved(left.filter("_id = least").groupBy("hash").agg(F.min(F.struct("_key", "start")).alias("at"))
                .select("hash", F.col("at._key").alias("ref_key"), F.col("at.start").alias("ref_start")), "line-first")
@@ -255,26 +267,32 @@ def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_i
     spans = saved(per_text.mapInArrow(to_spans, ddl), "line-spans")
     rows = _keyed(docs, doc_id, text)
 
-    # The bytes of each first place, once for all who ask.
-    asked = (spans.groupBy("ref_id", "ref_key").agg(F.collect_set(F.struct("ref_start", "size")).alias("asked")))
-    slices_ddl = "ref_id long, ref_key long, ref_start int, size int, bytes binary, after binary"
+    # The bytes of each first place, once for all who ask, or once for each of their salts: a passage
+    # that very many texts share is then joined by as many tasks, and no place has more copies than texts that ask.
+    salts = math.isqrt(spans.count()) // 16 + 1
+    spans = spans.withColumn("salt", F.pmod(F.xxhash64("_id", "_key"), F.lit(salts)).cast("int"))
+    asked = (spans.groupBy("ref_id", "ref_key", "ref_start", "size").agg(F.collect_set("salt").alias("salts"))
+             .groupBy("ref_id", "ref_key").agg(F.collect_list(F.struct("ref_start", "size", "salts")).alias("asked")))
+    slices_ddl = "ref_id long, ref_key long, ref_start int, size int, salt int, bytes binary, after binary"
     slices_schema = arrow_schema(slices_ddl)
 
     def to_slices(batches):
         for batch in batches:
             texts = batch.column("row").field(text).cast(pa.large_binary()).to_pylist()
             lists = batch.column("asked")
-            at = np.repeat(np.arange(batch.num_rows), np.array(lists.value_lengths()))
-            start, size = (np.array(x) for x in lists.flatten().flatten())
+            start, size, salts_of = lists.flatten().flatten()
+            times = np.array(salts_of.value_lengths())
+            at = np.repeat(np.repeat(np.arange(batch.num_rows), np.array(lists.value_lengths())), times)
+            start, size, salt = np.repeat(np.array(start), times), np.repeat(np.array(size), times), np.array(salts_of.flatten())
             cut, after = [], []
             for i, s, e in zip(at.tolist(), start.tolist(), (start + size).tolist()):
                 cut.append(texts[i][s:e])
                 after.append(_AFTER.match(texts[i], e)[0])
             ids, keys = (np.array(batch.column(c))[at] for c in ("ref_id", "ref_key"))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ids, keys, start, size, cut, after), slices_schema)], schema=slices_schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ids, keys, start, size, salt, cut, after), slices_schema)], schema=slices_schema)
 
     # Rows that are one document have one text: any of them will do, so equal slices count once.
-    place = ["ref_id", "ref_key", "ref_start", "size"]
+    place = ["ref_id", "ref_key", "ref_start", "size", "salt"]
     slices = (rows.join(asked, (F.col("_id") == F.col("ref_id")) & (F.col("_key") == F.col("ref_key"))).select("ref_id", "ref_key", "asked", "row")
               .mapInArrow(to_slices, slices_ddl).dropDuplicates(place))
     cuts = spans.join(slices, place).groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "bytes", "after")).alias("cuts"))
@@ -301,7 +319,7 @@ def line_dedup(docs: DataFrame, how: Chunking = Chunking(), doc_id: str = "doc_i
 
                     def unit_ends():
                         if not known:
-                            known.append(all_units([raw], how, xxhash.xxh3_64_intdigest)[2])
+                            known.append(all_units([raw], how)[2])
                         return known[0]
 
                     for s, part, more in zip(start[a:b], parts[a:b], after[a:b]):
