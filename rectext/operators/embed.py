@@ -65,3 +65,70 @@ def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
         for pdf in batches:
             yield fn(pdf)
     return df.mapInPandas(run, schema)
+
+
+def isolated(fn: Callable, pdf, schema, failed: Callable):
+    """``fn(pdf)`` with rows that make it raise set apart: a frame that raises
+    is halved until such a row is alone, and ``failed(row, error)`` (a dict)
+    takes its place. ``schema`` (Arrow): what ``fn`` returns must fit it.
+    Returns a list of frames in the order of the rows."""
+    import pyarrow as pa
+
+    out, todo = [], [(0, len(pdf))]
+    while todo:
+        start, end = todo.pop()
+        part = pdf.iloc[start:end]
+        try:
+            got = fn(part.reset_index(drop=True))
+            pa.Table.from_pandas(got, schema=schema, preserve_index=False)
+            out.append(got)
+        except Exception as error:                 # a user's function may raise anything
+            if end - start == 1:
+                out.append(failed(part.iloc[0], error))
+            elif end > start:
+                middle = (start + end) // 2
+                todo += [(middle, end), (start, middle)]
+    return out
+
+
+def map_batches_isolated(df: DataFrame, fn: Callable, schema, defaults: dict | None = None, keep: list[str] | None = None,
+                         error_col: str = "is_error", reason_col: str = "reason") -> DataFrame:
+    """U1 + P12: as ``map_batches`` for functions that treat each row by
+    itself, but a row for which ``fn`` raises becomes an error row and the job
+    goes on. ``schema`` is what ``fn`` returns; the result has ``is_error`` and
+    ``reason`` (type and text of the error) beside it.
+
+    An error row has the values of ``defaults`` (others null) and, of the
+    columns ``keep``, those of its input row. A batch without an error is one
+    call; each bad row costs about the logarithm of the batch in calls. ``fn``
+    must not depend on which rows come together; an empty batch isn't passed
+    to it. A frame of another length than the batch's is not an error."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    own = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(own)
+    names, keep, defaults = own.fieldNames(), keep or [], defaults or {}
+    out = T.StructType([*own.fields, T.StructField(error_col, T.BooleanType()), T.StructField(reason_col, T.StringType())])
+
+    def failed(row, error):
+        return {n: row[n] if n in keep else defaults.get(n) for n in names} | {reason_col: f"{type(error).__name__}: {error}"}
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            parts = isolated(fn, pdf, arrow, failed)
+            frames = []
+            for p in parts:
+                if isinstance(p, dict):
+                    p = pd.DataFrame({n: pd.Series([p[n]], dtype=object) for n in names} | {reason_col: [p[reason_col]]})
+                    frames.append(p.assign(**{error_col: True})[[*names, error_col, reason_col]])
+                else:
+                    frames.append(p.assign(**{error_col: False, reason_col: None})[[*names, error_col, reason_col]])
+            # Object columns, so that numbers beside a missing value keep their type.
+            whole = {c: [x for f in frames for x in f[c].tolist()] for c in [*names, error_col, reason_col]}
+            yield pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in whole.items()})
+
+    return df.mapInPandas(run, out)

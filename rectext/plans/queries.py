@@ -15,7 +15,7 @@ from rectext.functions.names import base_name, safe_name
 from rectext.functions.render import format_list, iso_epoch, typed_text
 from rectext.functions.shapes import common_shapes
 from rectext.operators.audit import collection_count, corrupt_count
-from rectext.operators.embed import embed_text, map_batches
+from rectext.operators.embed import embed_text, map_batches, map_batches_isolated
 from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize, featurize_records,
                                         featurize_typed, tokens, truncate_tokens)
 from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines, prune_nulls_json,
@@ -206,6 +206,27 @@ def _write_event_files(spark, sf, root, kinds=("damaged",), extra_bad_file=False
     write_named_lines(named, root, "name", "value", ["event_id"]).collect()
 
 
+@query("custom_map_isolated", """
+SELECT event_id, CASE WHEN event_id % 9 = 0 THEN '' ELSE '[user_id] ' || CAST(user_id AS VARCHAR) || ' [type] ' || event_type END AS text_representation,
+       CASE WHEN event_id % 9 = 0 THEN NULL ELSE epoch_us(ts) / 1e6 END AS "timestamp",
+       CASE WHEN event_id % 9 = 0 THEN NULL ELSE event_type END AS label, event_id % 9 = 0 AS is_error,
+       CASE WHEN event_id % 9 = 0 THEN 'ValueError: no text for event ' || CAST(event_id AS VARCHAR) END AS reason
+FROM events""")
+def q_custom_map_isolated(spark, sf):
+    """U1 + P12: a user's renderer that raises on every ninth event; those
+    rows become error rows with the reason, all others their text."""
+    def render(pdf):
+        bad = pdf["event_id"][pdf["event_id"] % 9 == 0]
+        if len(bad):
+            raise ValueError(f"no text for event {bad.iloc[0]}")
+        text = "[user_id] " + pdf["user_id"].astype(str) + " [type] " + pdf["event_type"]
+        return pdf[["event_id"]].assign(text_representation=text, timestamp=pdf["seconds"], label=pdf["event_type"])
+
+    ev = spread(table(spark, sf, "events")).select("event_id", "user_id", "event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("seconds"))
+    return map_batches_isolated(ev, render, "event_id long, text_representation string, timestamp double, label string",
+                                {"text_representation": ""}, keep=["event_id"])
+
+
 @query("featurize_stream", FEATURIZE_SQL)
 def q_featurize_stream(spark, sf):
     """J1 as Structured Streaming: event records written as NDJSON files, one
