@@ -18,6 +18,8 @@ from rectext.operators.features import featurize_records
 from rectext.operators.records import CORRUPT_COL, drop_corrupt, parse_lines, stringify_ids
 from rectext.sinks.writers import (CSV_PARTITION, FEATURE_SCHEMA, clear_partitions, insert_ignore, load_by_source, read_collections, read_table,
                                    write_collections, write_csv_by_key)
+from rectext.sinks.buckets import load_buckets
+from rectext.sinks.keys import add_keys, has_keys, replace_keys, without_stored
 from rectext.sources.json_files import FLAT_JSON_GLOB, JSON_GLOB, listed_files, scan_json_auto, scan_json_records
 from rectext.session import path_exists, work_dir
 from rectext.sources.text import line_count, read_text
@@ -27,8 +29,9 @@ def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str
                     recursive: bool = True, glob: str = JSON_GLOB, ignore_corrupt_files: bool = False,
                     by_shape: bool = False):
     """All JSON files under ``root`` -> feature rows, written per source
-    file (``fmt`` = ``csv`` for K1 or ``table`` for K3). A load replaces the
-    rows of all these files, also of a file that has no record left.
+    file (``fmt`` = ``csv`` for K1, ``table`` for K3, ``buckets`` for K3 in a
+    fixed number of folders). A load replaces the rows of all these files,
+    also of a file that has no record left.
 
     Returns ``(features, audit, metrics)``: the lazy feature frame, the lazy
     per-file audit (A5; a second pass, run only if asked) and an
@@ -50,7 +53,9 @@ def featurize_files(spark: SparkSession, root, out: str | None = None, fmt: str
         F.count_if(F.col("timestamp").isNull() & ~F.col("is_error")).alias("n_without_timestamp"),
     ).select("text_representation", "timestamp", "label", "source_file")
     files = listed_files(spark, root, recursive, glob)
-    if out is not None:
+    if out is not None and fmt == "buckets":
+        load_buckets(features, out, files)
+    elif out is not None:
         write, folder = (write_csv_by_key, CSV_PARTITION) if fmt == "csv" else (load_by_source, "source_file")
         if path_exists(spark, out):
             # Rendered once into the shared folder: the rows to load, and the files that gave any, come from there.
@@ -81,7 +86,11 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
     records, ``inserted`` ones and the collection's total.
 
     The input is parsed once: the new documents are written to the shared
-    folder first, and table and counts come from there."""
+    folder first, and table and counts come from there. Stored keys are kept
+    beside the table (``sinks.keys``), so adding to it doesn't read its
+    documents. The documents are written before their keys: after a job that
+    died in between, delete the key folder (``<target>.keys``), and the next
+    import makes it anew."""
     files = (listed_files(spark, folder, recursive=False, glob=FLAT_JSON_GLOB)
              .withColumn("collection", safe_name(F.col("source_file"))))
     recs = scan_json_auto(spark, folder, recursive=False, glob=FLAT_JSON_GLOB, keep_raw=True)
@@ -99,19 +108,25 @@ def import_documents(spark: SparkSession, folder: str, target: str, drop_existin
     base = work_dir(spark, "import")
     docs.write.parquet(base + "/parsed")
     docs = spark.read.schema(docs.schema).parquet(base + "/parsed")
-    existing = None
+    candidates = insert_ignore(docs, None, ["collection", key])
     if not drop_existing and path_exists(spark, target):
-        existing = read_collections(spark, target).select(
-            "collection", F.get_json_object(F.col("value"), "$." + key).alias(key))
-    insert_ignore(docs, existing, ["collection", key]).write.parquet(base + "/new")
+        if not has_keys(spark, target):            # a table from before it had keys: its documents are read, once
+            add_keys(read_collections(spark, target).select("collection", F.get_json_object(F.col("value"), "$." + key).alias("key")), target)
+        candidates.write.parquet(base + "/candidates")
+        candidates = without_stored(spark.read.schema(docs.schema).parquet(base + "/candidates"), target, key)
+    candidates.select(*docs.columns).write.parquet(base + "/new")
     new_docs = spark.read.schema(docs.schema).parquet(base + "/new")
+    new_keys = new_docs.select("collection", F.col(key).alias("key"))
     if drop_existing:
         write_collections(new_docs, target)
         if path_exists(spark, target):
             emptied = files.join(new_docs.select("collection").distinct(), "collection", "left_anti").select("collection").distinct()
             clear_partitions(spark, target, "collection", [r["collection"] for r in emptied.collect()])
+        if has_keys(spark, target):
+            replace_keys(new_keys, target, [r["collection"] for r in files.select("collection").distinct().collect()])
     else:
         new_docs.select("value", "collection").write.mode("append").partitionBy("collection").text(target)
+        add_keys(new_keys, target)
     totals = (collection_count(read_collections(spark, target)) if path_exists(spark, target)
               else spark.createDataFrame([], "collection string, n_documents long"))
     return import_summary(files.withColumn("file", base_name(F.col("source_file"))), docs, new_docs, totals)

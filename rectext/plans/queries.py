@@ -26,6 +26,7 @@ from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL
                                   timestamp_form_lines,
                                   write_array_files)
 from rectext.session import spread, work_dir
+from rectext.sinks.buckets import load_buckets, read_buckets
 from rectext.sinks.files import write_named_lines
 from rectext.sinks.writers import (append_ignore, drop_reload, load_by_source, read_collections,
                                    read_csv_by_key, read_table, write_collections, write_csv_by_key)
@@ -628,6 +629,22 @@ def q_load_by_source(spark, sf):
     return read_table(spark, tbl)
 
 
+LOAD_SQL = ORACLE["load_by_source"]
+
+
+@query("load_buckets", LOAD_SQL + " WHERE event_id % 4 <> 3")
+def q_load_buckets(spark, sf):
+    """K3 in hash buckets: a full load, then one load that replaces the rows
+    of one source file and empties another."""
+    tbl = work_dir(spark, "features_buckets")
+    feats = featurize(event_lines(spark, sf)).select(*FEATURE_COLUMNS)
+    load_buckets(feats, tbl)
+    again = feats.filter(F.col("source_file").rlike("^events_1[.-]")).withColumn("label", F.upper("label"))
+    sources = feats.select("source_file").filter(F.col("source_file").rlike("^events_[13][.-]")).distinct()
+    load_buckets(again, tbl, sources)
+    return read_buckets(spark, tbl)
+
+
 @query("insert_ignore", """
 SELECT 'c' || CAST(c_custkey AS VARCHAR) AS _id, c_name, 'A' AS batch FROM customer
 UNION ALL
