@@ -1,43 +1,55 @@
 """Nearest neighbours by largest inner product with vantage-point trees.
 
-The index deals the vectors to shards by a hash of their id and stores each
-shard in the order of its tree: a node's vantage point, then the half of its
-points that are nearest to it, then the other half; small ends are leaves.
-Inner product becomes a distance by one more coordinate,
-sqrt(M^2 - |x|^2) with M the largest norm, and queries scaled to norm M: the
-nearest point then has the largest product, and the triangle inequality holds.
-
-A search passes a half whose points must all be farther than ``factor``
-times the distance of the k-th best found so far. Factor one never passes a
-better point, so the result is exact; smaller factors look at less.
-
-Queries meet shards in blocks of at most ``block`` queries: (shard, block)
-is one task's group, both bounded.
+With one more coordinate, sqrt(M^2 - |x|^2) for the largest norm M, all
+vectors lie on a sphere, and a product s of a query q stands for the angle
+arccos(s / (M |q|)), a metric: the largest product is the smallest angle. A
+node of a tree has a vantage point; the half of its points that are nearest
+to it and the other half are its children, and it keeps the least and largest
+angle of either. By the triangle inequality no point of a half is nearer to
+the query than the query's distance from that range; a half is passed if this
+bound exceeds ``factor`` times the angle of the k-th best found so far. Factor
+one never passes a better point, so the result is exact; smaller factors look
+at less.
+
+The top of the tree comes from a bounded sample: it deals every row to a cell,
+and a cell to shards of about ``shard_rows`` rows, each with a tree of its own
+and its ranges from the vantage points above it. Queries first search their
+own shard, where they are indexed; then blocks of bounded size go to all tasks,
+and each task searches those of its shards that the bounds leave. Leaves are
+multiplied as matrices; what comes near the k-th best is computed again in the
+order of the components, which is the score that counts.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rectext.llm.common import saved
+from rectext.llm.common import arrow_schema, saved
+from rectext.llm.hard_negatives import between
 
-LEAF = 64
-INDEX = "shard int, place int, size int, radius double, vec_id long, lift double, vector array<double>"
+#: Points of a leaf, cells at most; rows and components of the sample that the top of the tree is made from.
+LEAF, CELLS, SAMPLE, SAMPLE_VALUES = 128, 2048, 8192, 1 << 20
+#: Room for rounding: in angles, and of products relative to the norms.
+ROOM, NEAR = 1e-6, 1e-9
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id, vector, norm2``: vectors without null, infinite or NaN
+    """``row, vec_id, vector, norm2``: vectors without null, infinite or NaN
     components that aren't zero, and that have the commonest length (the
-    shorter of equally common ones)."""
+    shorter of equally common ones: products need equal lengths). Every such
+    row, also those that share an id."""
     x = (vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
          .filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()
                  & F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vector", lambda v: v != 0)))
-    usual = x.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).select("d")
-    return (x.join(F.broadcast(usual), F.size("vector") == F.col("d"))
-            .select("vec_id", "vector", F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v).alias("norm2")))
+    x = saved(x.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector", F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v).alias("norm2")), "vp-rows")
+    usual = x.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").head()
+    return x.filter(F.size("vector") == (usual["d"] if usual else 0))
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -49,143 +61,292 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def tree_order(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of the points, and for each place the size of the subtree that
-    begins there and its radius (median distance; NaN: not a vantage point)."""
-    order, sizes, radii = [], [], []
-    todo = [np.arange(len(points))]
+def pair_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The same of rows of ``q`` and ``x`` that belong together."""
+    out = q[:, 0] * x[:, 0]
+    for i in range(1, q.shape[1]):
+        out += q[:, i] * x[:, i]
+    return out
+
+
+def on_sphere(x: np.ndarray, norm: float) -> np.ndarray:
+    return np.column_stack([x, np.sqrt(np.maximum(norm**2 - (x * x).sum(1), 0))]) / norm
+
+
+def halves(points: np.ndarray, own: np.ndarray) -> tuple[int, np.ndarray, np.ndarray] | None:
+    """Vantage point (the point farthest from the first), nearer and farther
+    half of the others, with their angles; None if all points coincide."""
+    far = int(own[np.argmax(between(points[own], points[own[:1]])[:, 0])])
+    rest = own[own != far]
+    d = between(points[rest], points[far:far + 1])[:, 0]
+    if d.max() <= ROOM:
+        return None
+    by = np.argsort(d, kind="stable")
+    return far, rest[by], d[by]
+
+
+def top_tree(points: np.ndarray, rows_each: float, shard_rows: int, cells: int = CELLS) -> list[tuple]:
+    """Nodes ``(vantage point, radius, near child, far child)`` from a sample
+    of which a point stands for ``rows_each`` rows; a child is a node's number
+    or ``-1 - cell``. No node if all rows fit one shard."""
+    nodes, todo, n_cells = [], [(np.arange(len(points)), None)], 1
     while todo:
-        own = todo.pop()
-        if len(own) <= leaf:
-            order += own.tolist()
-            sizes += [len(own), *[0] * (len(own) - 1)]
-            radii += [np.nan] * len(own)
+        todo.sort(key=lambda x: len(x[0]))
+        own, parent = todo.pop()
+        if len(own) * rows_each <= shard_rows or len(own) < 8 or n_cells >= cells or not (cut := halves(points, own)):
             continue
-        # The vantage point: of a few candidates the one farthest from the first.
-        far = own[np.argmax(((points[own] - points[own[0]]) ** 2).sum(1))]
-        rest = own[own != far]
-        d = np.sqrt(((points[rest] - points[far]) ** 2).sum(1))
-        by = np.argsort(d, kind="stable")
+        far, rest, d = cut
         half = len(rest) // 2
-        order.append(int(far))
-        sizes.append(len(own))
-        radii.append(float(d[by[half - 1]]))
-        todo += [rest[by[half:]], rest[by[:half]]]
-    return np.array(order, np.int64), np.array(sizes, np.int64), np.array(radii)
+        nodes.append([points[far], float(d[half - 1]), None, None])
+        if parent:
+            nodes[parent[0]][parent[1]] = len(nodes) - 1
+        n_cells += 1
+        todo += [(rest[:half], (len(nodes) - 1, 2)), (rest[half:], (len(nodes) - 1, 3))]
+    cell = 0
+    for node in nodes:
+        for j in (2, 3):
+            if node[j] is None:
+                node[j], cell = -1 - cell, cell + 1
+    return [tuple(n) for n in nodes]
 
 
-def build_index(vectors: DataFrame, shards: int, largest2: float) -> DataFrame:
-    """``INDEX`` rows of ``vec_id, vector, norm2``. Of rows with the same id
-    the one with the smallest vector counts."""
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf["vector"].tolist())
-        by = np.lexsort((*x.T[::-1], pdf["vec_id"].to_numpy()))
-        ids = pdf["vec_id"].to_numpy()[by]
-        by = by[np.r_[True, ids[1:] != ids[:-1]]]
-        x, ids = x[by], pdf["vec_id"].to_numpy()[by]
-        lift = np.sqrt(np.maximum(largest2 - (x * x).sum(1), 0))
-        order, sizes, radii = tree_order(np.column_stack([x, lift]))
-        return pd.DataFrame({"shard": pdf["shard"].iloc[0], "place": np.arange(len(order)), "size": sizes, "radius": radii,
-                             "vec_id": ids[order], "lift": lift[order], "vector": list(x[order])})
-
-    return (vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-            .groupBy("shard").applyInPandas(build, INDEX))
-
-
-def search_shard(q: np.ndarray, ids: np.ndarray, x: np.ndarray, lift: np.ndarray, own: np.ndarray, size: np.ndarray,
-                 radius: np.ndarray, largest: float, k: int, factor: float, leaf: int = LEAF):
-    """Best ``k`` (ids, scores) of each query ``q`` (ids ``ids``) in a
-    shard's tree, and the number of products computed."""
-    m = len(q)
-    best_s, best_i = np.full((m, k), -np.inf), np.full((m, k), np.iinfo(np.int64).max)
-    norm = np.sqrt((q * q).sum(1))
-    points = np.column_stack([x, lift])
-    scale = (largest / norm)[:, None]
-    lifted = np.column_stack([q * scale, np.zeros(m)])
-    work = 0
-
-    def offer(who, s, cand):
-        s = np.where(cand[None] == ids[who][:, None], -np.inf, s)
-        all_s, all_i = np.hstack([best_s[who], s]), np.hstack([best_i[who], np.broadcast_to(cand, s.shape)])
-        all_i = np.where(all_s == -np.inf, np.iinfo(np.int64).max, all_i)
-        by = np.lexsort((all_i, -all_s))[:, :k]
-        best_s[who], best_i[who] = np.take_along_axis(all_s, by, 1), np.take_along_axis(all_i, by, 1)
-
-    def reach(who):
-        """Distance of the k-th best so far (infinite if fewer), with a little room for rounding."""
-        s = best_s[who, k - 1] * (largest / norm[who])
+def cells_of(points: np.ndarray, nodes: list) -> np.ndarray:
+    out, todo = np.zeros(len(points), np.int64), [(0, np.arange(len(points)))] if nodes else []
+    while todo:
+        at, own = todo.pop()
+        vantage, radius, near, far = nodes[at]
+        inside = between(points[own], vantage[None])[:, 0] <= radius
+        for child, mine in ((near, own[inside]), (far, own[~inside])):
+            if child < 0:
+                out[mine] = -1 - child
+            elif len(mine):
+                todo.append((child, mine))
+    return out
+
+
+def cell_paths(nodes: list) -> dict[int, list[int]]:
+    """For each cell the nodes above it."""
+    out, todo = {}, [(0, [0])] if nodes else []
+    while todo:
+        at, path = todo.pop()
+        for c in nodes[at][2:]:
+            if c < 0:
+                out[-1 - c] = path
+            else:
+                todo.append((c, [*path, c]))
+    return out or {0: []}
+
+
+def tree_order(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """Order of a shard's points, and its nodes: ``(place of the vantage
+    point, end, begin of the far half, least and largest angle of the near
+    half, and of the far one)``. Behind the vantage point come the near half
+    and the far half; a half of ``leaf`` points, or of points that coincide, is
+    a leaf and has no node."""
+    order, nodes, todo = np.arange(len(points)), [], [(0, len(points))]
+    while todo:
+        start, end = todo.pop()
+        if end - start <= leaf or not (cut := halves(points, order[start:end])):
+            continue
+        far, rest, d = cut
+        half = len(rest) // 2
+        order[start:end] = np.r_[far, rest]
+        middle = start + 1 + half
+        nodes.append((start, end, middle, d[0], d[half - 1], d[half], d[-1]))
+        todo += [(start + 1, middle), (middle, end)]
+    return order, np.array(nodes, np.float64).reshape(-1, 7)
+
+
+class Nearest:
+    """The best ``k`` of each query so far, by score in the order of the
+    components, ties by smaller id."""
+
+    def __init__(self, queries: dict, k: int):
+        n = len(queries["id"])
+        self.q, self.k = queries, k
+        self.low = queries.get("low", np.full(n, -np.inf)).copy()              # a score must reach it
+        self.slot, self.ids, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def offer(self, who: np.ndarray, s: np.ndarray, ids: np.ndarray, x: np.ndarray, slack: np.ndarray) -> None:
+        """``s``: products of queries ``who`` and rows ``x`` (with ``ids``), to within ``slack``."""
+        a, b = np.nonzero((s >= (self.low[who] - slack[who])[:, None]) & (ids[None] != self.q["id"][who][:, None]))
+        if not len(a):
+            return
+        slot, score = who[a], pair_products(self.q["vector"][who[a]], x[b])
+        stay = score >= self.low[slot]
+        slot, score, ids = np.r_[self.slot, slot[stay]], np.r_[self.score, score[stay]], np.r_[self.ids, ids[b][stay]]
+        by = np.lexsort((ids, -score, slot))
+        at = slot[by]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+        by = by[np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)])) < self.k]
+        self.slot, self.score, self.ids = slot[by], score[by], ids[by]
+        full = np.bincount(self.slot, minlength=len(self.low)) >= self.k
+        low = np.full(len(self.low), np.inf)
+        np.minimum.at(low, self.slot, self.score)
+        self.low = np.where(full, np.maximum(low, self.low), self.low)
+
+    def reach(self, who: np.ndarray, norm: float, factor: float) -> np.ndarray:
+        """The angle of the k-th best so far, times ``factor``; before there are k all is in reach."""
         with np.errstate(invalid="ignore"):
-            return np.where(np.isinf(s), np.inf, np.sqrt(np.maximum(2 * largest**2 - 2 * s, 0))) * factor + 1e-9 * largest
-
-    def visit(at, n, who):
-        nonlocal work
-        # Nearest halves come first; what remains waits with its bound.
-        stack = [(at, n, who, np.zeros(len(who)))]
-        while stack:
-            at, n, who, bound = stack.pop()
-            stay = bound <= reach(who)
-            who = who[stay]
-            if not len(who):
-                continue
-            if n <= leaf:
-                s = products(q[who], x[at:at + n])
-                work += s.size
-                offer(who, s, own[at:at + n])
-                continue
-            s = products(q[who], x[at:at + 1])
+            angle = np.arccos(np.clip(self.low[who] / (self.q["norm"][who] * norm), -1, 1))
+        return np.where(np.isinf(self.low[who]), np.inf, angle * factor) + ROOM
+
+
+def search_shard(shard: dict, who: np.ndarray, found: Nearest, norm: float, factor: float) -> int:
+    """Offers ``found`` what a shard has for the queries ``who``; returns how many products that took."""
+    q, norms, work = found.q["vector"], found.q["norm"], 0
+    slack = NEAR * norms * norm
+    node_at = {int(n[0]): n for n in shard["nodes"]}
+    # What remains waits with its bound; halves in which a query lies come first.
+    todo = [(0, len(shard["id"]), who, np.zeros(len(who)))]
+    while todo:
+        start, end, who, bound = todo.pop()
+        who = who[bound <= found.reach(who, norm, factor)]
+        if not len(who) or end <= start:
+            continue
+        node = node_at.get(start)
+        if node is None or node[1] != end:
+            s = q[who] @ shard["vector"][start:end].T
             work += s.size
-            offer(who, s, own[at:at + 1])
-            d = np.sqrt(np.maximum(((lifted[who] - points[at]) ** 2).sum(1), 0))
-            r, half = radius[at], (n - 1) // 2
-            near, far = (at + 1, half), (at + 1 + half, n - 1 - half)
-            inside = d <= r
-            # Each query goes to its own half first: those waiting lie deeper in the stack.
-            for first, second, members in ((near, far, inside), (far, near, ~inside)):
-                if members.any():
-                    w = who[members]
-                    stack.append((*second, w, np.abs(d[members] - r)))
-                    stack.append((*first, w, np.zeros(len(w))))
-
-    visit(0, len(own), np.arange(m))
-    return best_i, best_s, work
-
-
-def search(index: DataFrame, queries: DataFrame, shards: int, blocks: int, largest: float, k: int = 20, factor: float = 1.0) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the best ``k`` of all shards for
-    ``queries`` (``vec_id, vector``), never a query's own id."""
-    def run(key, tree: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(tree) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        tree = tree.sort_values("place")
-        ids = asked["vec_id"].to_numpy()
-        best_i, best_s, _ = search_shard(np.array(asked["vector"].tolist()), ids, np.array(tree["vector"].tolist()), tree["lift"].to_numpy(),
-                                         tree["vec_id"].to_numpy(), tree["size"].to_numpy(), tree["radius"].to_numpy(), largest, k, factor)
-        found = best_s > -np.inf
-        return pd.DataFrame({"query_id": np.repeat(ids, found.sum(1)), "vec_id": best_i[found], "score": best_s[found]})
-
-    asked = (queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-             .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    trees = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    hits = (trees.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
-            .applyInPandas(run, "query_id long, vec_id long, score double"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0, shard_rows: int = 8192, block: int = 4096,
-            vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Each row whose id is divisible by ``every`` against all rows but its
-    own: the ``k`` with the largest inner product (ties: smaller id).
+            found.offer(who, s, shard["id"][start:end], shard["vector"][start:end], slack)
+            continue
+        s = q[who] @ shard["vector"][start:start + 1].T
+        work += s.size
+        found.offer(who, s, shard["id"][start:start + 1], shard["vector"][start:start + 1], slack)
+        angle = np.arccos(np.clip(s[:, 0] / (norms[who] * norm), -1, 1))
+        middle, (a, b, c, d) = int(node[2]), node[3:]
+        near, far = np.maximum(np.maximum(angle - b, a - angle), 0), np.maximum(np.maximum(angle - d, c - angle), 0)
+        first = near <= far
+        for m in (first, ~first):
+            if m.any():
+                ends = [(start + 1, middle, who[m], near[m]), (middle, end, who[m], far[m])]
+                todo += ends[::-1] if m is first else ends
+    return work
+
+
+SHARD = "cell int, ids binary, vectors binary, nodes binary, above binary, asked binary, low binary"
+
+
+def read_shard(r: dict, dim: int) -> dict:
+    return {"cell": r["cell"], "id": np.frombuffer(r["ids"], "<i8"), "vector": np.frombuffer(r["vectors"]).reshape(-1, dim),
+            "nodes": np.frombuffer(r["nodes"]).reshape(-1, 7), "above": np.frombuffer(r["above"]).reshape(-1, 2)}
+
+
+def queries_of(ids: np.ndarray, vectors: np.ndarray) -> dict:
+    return {"id": ids, "vector": vectors, "norm": np.sqrt((vectors * vectors).sum(1))}
+
+
+def build_index(rows: DataFrame, n: int, dim: int, norm: float, shard_rows: int, every: int, k: int, factor: float) -> tuple[DataFrame, list]:
+    """The table of shards (``SHARD``) and the top of the tree. A shard's
+    queries have searched it: ``low`` is what their k-th best reaches there."""
+    spark = rows.sparkSession
+    sample = rows.select("vector").orderBy(F.xxhash64("row"), "row").limit(max(64, min(SAMPLE, SAMPLE_VALUES // max(dim, 1)))).collect()
+    points = on_sphere(np.array([r["vector"] for r in sample], float).reshape(len(sample), dim), norm)
+    nodes = top_tree(points, n / max(len(sample), 1), shard_rows) if len(sample) else []
+    sent = spark.sparkContext.broadcast(nodes)
+    ddl = "row long, vec_id long, vector binary, cell int"
+    schema = arrow_schema(ddl)
+
+    def to_cells(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array(batch.column("vector").flatten()).reshape(-1, dim)
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("vec_id"), pa.array([v.tobytes() for v in x], pa.binary()),
+                                                  pa.array(cells_of(on_sphere(x, norm), sent.value), pa.int32())], schema=schema)
+
+    placed = saved(rows.select("row", "vec_id", "vector").mapInArrow(to_cells, ddl), "vp-cells")
+    sizes = {r["cell"]: r["n"] for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}          # CELLS at most
+    parts = F.create_map(*[F.lit(y) for c, m in (sizes or {0: 1}).items() for y in (c, -(-m // shard_rows))])
+    shard = F.pmod(F.xxhash64("row", F.lit(1)), F.element_at(parts, F.col("cell"))).cast("int")
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row")
+        x = np.frombuffer(b"".join(pdf["vector"])).reshape(-1, dim)
+        u = on_sphere(x, norm)
+        order, tree = tree_order(u)
+        cell = int(pdf["cell"].iloc[0])
+        above = np.array([(d.min(), d.max()) for d in (between(u, sent.value[i][0][None]) for i in cell_paths(sent.value)[cell])]).reshape(-1, 2)
+        own = {"cell": cell, "ids": pdf["vec_id"].to_numpy("<i8")[order].tobytes(), "vectors": x[order].tobytes(), "nodes": tree.tobytes(), "above": above.tobytes()}
+        read = read_shard(own, dim)
+        asked = np.flatnonzero(read["id"] % every == 0)
+        found = Nearest(queries_of(read["id"][asked], read["vector"][asked]), k)
+        search_shard(read, np.arange(len(asked)), found, norm, factor)
+        return pd.DataFrame([own | {"asked": asked.astype("<i4").tobytes(), "low": found.low.tobytes()}])
+
+    return saved(placed.withColumn("shard", shard).groupBy("cell", "shard").applyInPandas(build, SHARD), "vp-shards"), nodes
+
+
+def asked_table(shards: DataFrame, dim: int) -> DataFrame:
+    ddl = "vec_id long, low double, vector binary"
+    schema = arrow_schema(ddl)
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                at = np.frombuffer(r["asked"], "<i4")
+                if len(at):
+                    s = read_shard(r, dim)
+                    yield pa.RecordBatch.from_pydict({"vec_id": s["id"][at], "low": np.frombuffer(r["low"]), "vector": [v.tobytes() for v in s["vector"][at]]}, schema=schema)
+
+    return shards.mapInArrow(run, ddl)
+
+
+def hits(shards: DataFrame, nodes: list, queries: dict, dim: int, norm: float, k: int, factor: float) -> DataFrame:
+    """``query_id, vec_id, score`` of one block: the best ``k`` of each task's
+    shards; a row without ``vec_id`` says how many products (``score``) of
+    how many (``query_id``) the task computed."""
+    sent = shards.sparkSession.sparkContext.broadcast((nodes, queries))
+    ddl = "query_id long, vec_id long, score double"
+    schema = arrow_schema(ddl)
+
+    def run(batches):
+        nodes, queries = sent.value
+        found, paths, work, rows = Nearest(queries, k), cell_paths(nodes), 0, 0
+        angle = [np.arccos(np.clip(queries["vector"] @ n[0][:-1] / queries["norm"], -1, 1)) for n in nodes]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard = read_shard({c: batch.column(c)[i].as_py() for c in ("cell", "ids", "vectors", "nodes", "above")}, dim)
+                bound = np.zeros(len(queries["id"]))
+                for node, (a, b) in zip(paths[shard["cell"]], shard["above"]):
+                    bound = np.maximum(bound, np.maximum(angle[node] - b, a - angle[node]))
+                who = np.flatnonzero(bound <= found.reach(np.arange(len(bound)), norm, factor))
+                work += search_shard(shard, who, found, norm, factor)
+                rows += len(shard["id"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[queries["id"][found.slot], rows * len(queries["id"])]), pa.array([*found.ids.tolist(), None], pa.int64()),
+                                          pa.array(np.r_[found.score, float(work)])], schema=schema)
+
+    return shards.select("cell", "ids", "vectors", "nodes", "above").mapInArrow(run, ddl)
+
+
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0, shard_rows: int = 8192, block: int = 16384,
+            vec_id: str = "vec_id", vector: str = "embedding", shares: list | None = None) -> DataFrame:
+    """Each row whose id is divisible by ``every`` against all rows but those
+    of its own id: ``query_id, rank, vec_id, score``, the ``k`` with the
+    largest inner product (ties: smaller id).
 
     Unusable vectors (see ``usable``) and null ids take no part; an empty
-    table gives no rows. Other columns are not read. Shards hold about
-    ``shard_rows`` vectors, blocks about ``block`` queries."""
-    good = usable(vectors, vec_id, vector)
-    n, asked, largest2 = good.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0), F.max("norm2")).first()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-asked // block))
-    largest2 = float(largest2 or 1.0) * (1 + 1e-12)
-    index = saved(build_index(good, shards, largest2), "vp-index")
-    queries = index.select("vec_id", "vector").filter(F.col("vec_id") % every == 0)
-    return search(index, queries, shards, blocks, float(np.sqrt(largest2)), k, factor)
+    table gives no rows. Rows that share an id are all searched, each with its
+    own vector; where queries share one, the best of all of them are ranked
+    together. Other columns are not read. Shards hold about ``shard_rows``
+    vectors, blocks about ``block`` queries. ``shares`` gets each block's share
+    of all products that was computed (beside the searches in the queries' own shards)."""
+    spark = vectors.sparkSession
+    rows = usable(vectors, vec_id, vector)
+    n, asked, largest2, dim = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0), F.max("norm2"), F.max(F.size("vector"))).first()
+    norm = math.sqrt(float(largest2 or 1.0)) * (1 + 1e-12)
+    shards, nodes = build_index(rows, n, dim or 1, norm, shard_rows, every, k, factor)
+    table = saved(asked_table(shards, dim or 1), "vp-asked")
+    blocks, out = max(1, -(-asked // block)), None
+    for b in range(blocks):
+        got = table.filter(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)) == b).orderBy("vec_id", "vector").collect()
+        queries = queries_of(np.array([r["vec_id"] for r in got], np.int64), np.frombuffer(b"".join(r["vector"] for r in got)).reshape(len(got), dim or 1))
+        queries["low"] = np.array([r["low"] for r in got], float)
+        found = saved(hits(shards, nodes, queries, dim or 1, norm, k, factor), "vp-hits")
+        if shares is not None:
+            done = found.filter("vec_id is null").agg(F.sum("score"), F.sum("query_id")).first()
+            shares.append(done[0] / max(done[1] or 0, 1))
+        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        best = (found.filter("vec_id is not null").withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+        out = best if out is None else out.unionByName(best)
+    return out
