@@ -12,17 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rectext.functions.names import base_name, safe_name
+from rectext.functions.pytext import py_text_of_json
 from rectext.functions.render import format_list, iso_epoch, typed_text
 from rectext.functions.shapes import common_shapes
 from rectext.operators.audit import collection_count, corrupt_count
 from rectext.operators.embed import embed_text, map_batches, map_batches_isolated
 from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize, featurize_records,
                                         featurize_typed, tokens, truncate_tokens)
+from rectext.operators.ids import stringify_typed_ids
 from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines, prune_nulls_json,
                                        stringify_ids)
 from rectext.plans import jobs
 from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL, EVENT_SPAN, ISO_FORMAT, chunked,
-                                  chunked_sql, document_lines, event_lines, event_source, table,
+                                  chunked_sql, document_lines, event_lines, event_source, json_scalar, table,
                                   timestamp_form_lines,
                                   write_array_files)
 from rectext.session import spread, work_dir
@@ -577,6 +579,28 @@ def q_stringify_ids(spark, sf):
                     F.array_join(F.try_variant_get(v, "$.refs", "array<string>"), ",").alias("refs"))
 
 
+@query("stringify_ids_typed", ORACLE["stringify_ids"])
+def q_stringify_ids_typed(spark, sf):
+    """P6 on typed columns: the same ids at three depths, by the schema."""
+    c = table(spark, sf, "customer")
+    oid = lambda col: F.struct(F.lpad(F.col(col).cast("string"), 24, "0").alias("$oid"))
+    rec = c.select(oid("c_custkey").alias("_id"), "c_name", F.struct(oid("c_nationkey").alias("owner")).alias("meta"),
+                   F.array(oid("c_custkey"), oid("c_nationkey")).alias("refs"))
+    return stringify_typed_ids(rec).select("_id", "c_name", F.col("meta.owner").alias("owner"), F.array_join("refs", ",").alias("refs"))
+
+
+@query("python_text", """
+SELECT event_id, '{''id'': ' || CAST(event_id AS VARCHAR) || ', ''tags'': [''' || event_type || ''', None, True], ''v'': [{''value'': '
+       || CAST(value AS VARCHAR) || ', ''props'': {''k'': ' || (props::JSON ->> 'k') || '}}], ''q'': "it''s"}' AS text_representation
+FROM events""")
+def q_python_text(spark, sf):
+    """Nested lists and objects as Python prints them."""
+    ev = spread(table(spark, sf, "events"))
+    nested = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"tags":['), json_scalar(F.col("event_type")), F.lit(',null,true],"v":[{"value":'),
+                      F.col("value").cast("string"), F.lit(',"props":'), F.col("props"), F.lit('}],"q":"it\'s"}'))
+    return ev.select("event_id", py_text_of_json(nested).alias("text_representation"))
+
+
 @query("safe_name", r"""
 SELECT page_id, coalesce(nullif(regexp_replace(
          CASE WHEN regexp_full_match(regexp_extract(regexp_extract(url, '([^/]*)$', 1), '^(.*?)(\.[^.]*)?$', 1), '\.*')
