@@ -27,10 +27,10 @@ class WordEncoder:
     """``encode(text) -> bytes``: the ids as little-endian unsigned 32-bit
     numbers. What stands between blanks is looked up whole; what is new is
     cut into pieces, and new pieces go to the tokenizer many at a time.
-    ``cache`` bounds the entries kept (old ones go by halves): about 300 MB
+    ``cache`` bounds the entries kept (old ones go by halves): about 150 MB
     for words of six letters."""
 
-    def __init__(self, path: str, cache: int = 1_000_000):
+    def __init__(self, path: str, cache: int = 500_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
