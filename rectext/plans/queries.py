@@ -20,6 +20,7 @@ from rectext.operators.embed import embed_text, map_batches, map_batches_isolate
 from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize, featurize_records,
                                         featurize_typed, tokens, truncate_tokens)
 from rectext.operators.ids import stringify_typed_ids
+from rectext.operators.subwords import SPECIAL, subword_inputs
 from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines, prune_nulls_json,
                                        stringify_ids)
 from rectext.plans import jobs
@@ -783,6 +784,52 @@ def q_embed_text(spark, sf):
     return embed_text(d, "text").select("doc_id", "embedding")
 
 
+# ------------------------------------------------------------------ M3 / M2 by subwords
+
+# Vocabulary by rule: the special tokens, beginnings (to 4 letters) and inner parts (to 3) of the words of `benchmark`.
+SUBWORD_SQL = r"""
+WITH RECURSIVE bw AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark),
+tokens AS (
+    SELECT substr(w, 1, l) AS t FROM bw, range(1, 5) r(l) WHERE l <= len(w)
+    UNION SELECT '##' || substr(w, p, l) FROM bw, range(2, 60) q(p), range(1, 4) r(l) WHERE p + l - 1 <= len(w)),
+vocabulary AS (SELECT t, (row_number() OVER (ORDER BY t) + 3)::INTEGER AS id FROM tokens),
+words AS (
+    SELECT doc_id, unnest(x) AS w, generate_subscripts(x, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[\p{P}$+<=>^`|~]|[^\s\p{P}$+<=>^`|~]+') AS x FROM documents)),
+matched(w, pos, ids) AS (
+    SELECT w, 1::BIGINT, []::INTEGER[] FROM (SELECT DISTINCT w FROM words) WHERE len(w) <= 100
+    UNION ALL
+    SELECT w, (pos + l)::BIGINT, list_append(ids, id)
+    FROM (SELECT m.w, m.pos, m.ids, l, v.id, row_number() OVER (PARTITION BY m.w ORDER BY l DESC) AS best
+          FROM matched m, range(1, 5) r(l), vocabulary v
+          WHERE m.pos + l - 1 <= len(m.w) AND v.t = (CASE WHEN m.pos = 1 THEN '' ELSE '##' END) || substr(m.w, m.pos, l))
+    WHERE best = 1),
+whole AS (SELECT w, ids FROM matched WHERE pos = len(w) + 1),
+cut AS (
+    SELECT doc_id, list_slice(flatten(list(coalesce(ids, [0]) ORDER BY i)), 1, 510) AS ids
+    FROM words LEFT JOIN whole USING (w) GROUP BY doc_id)
+SELECT doc_id, list_concat([1], coalesce(ids, []), [2])::INTEGER[] AS input_ids, (len(coalesce(ids, [])) + 2)::INTEGER AS n_ids
+FROM documents LEFT JOIN cut USING (doc_id)"""
+
+
+def _benchmark_vocabulary(spark, sf) -> list[str]:
+    words = (table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w")).distinct())
+    n = F.length("w")
+    begins = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.least(n, F.lit(4))), lambda i: F.substring("w", F.lit(1), i))).alias("t"))
+    inner = words.filter(n > 1).select(F.explode(F.flatten(F.transform(F.sequence(F.lit(2), n), lambda p: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(3), n - p + 1)), lambda k: F.concat(F.lit("##"), F.substring(F.col("w"), p, k)))))).alias("t"))
+    # At most 26 + 26^2 + 26^3 + 26^4 beginnings and 26 + 26^2 + 26^3 inner parts; the size is checked where it is sent.
+    return [*SPECIAL.values(), *[r["t"] for r in begins.union(inner).distinct().orderBy("t").collect()]]
+
+
+@query("subword_inputs", SUBWORD_SQL)
+def q_subword_inputs(spark, sf):
+    """M3: documents as subword ids with special tokens, cut to 512, and the number of unmasked ones."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    out = subword_inputs(docs, F.col("text"), _benchmark_vocabulary(spark, sf))
+    return out.select("doc_id", "input_ids", F.aggregate("attention_mask", F.lit(0), lambda s, x: s + x).alias("n_ids"))
+
+
 # ------------------------------------------------------------------ J4
 
 @query("featurize_load", f"""
