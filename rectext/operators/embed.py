@@ -57,6 +57,40 @@ def _unused(name: str, names: list[str]) -> str:
     return name
 
 
+def embed_inputs(df: DataFrame, make_predict_fn: Callable, keep: list[str], ids: str = "input_ids", pad_id: int = 0, batch_size: int = 64,
+                 out_col: str = "embedding", padding_col: str = "n_padding") -> DataFrame:
+    """M2 on token ids (``subword_inputs``): columns ``keep``, the model's
+    vector ``out_col`` (array<float>) and ``padding_col``, the pads that the
+    row got in its batch.
+
+    Rows are sorted by length within each partition and go to the model
+    ``batch_size`` at a time, each batch padded to its own longest row, so
+    little is padded whatever the lengths are. ``make_predict_fn()`` runs once
+    a task and returns ``predict(ids[n, length], mask[n, length]) -> [n, dim]``,
+    for an encoder usually the first token's state. Null ids give null. The
+    sort is within a partition, so nothing is shuffled."""
+    known = df.filter(F.col(ids).isNotNull()).select(*[f"`{c}`" for c in keep], F.col(f"`{ids}`").alias(ids)).sortWithinPartitions(F.size(ids))
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out_col, T.ArrayType(T.FloatType())), T.StructField(padding_col, T.IntegerType())])
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        predict = make_predict_fn()
+        for pdf in batches:
+            for at in range(0, len(pdf), batch_size):
+                part = pdf.iloc[at:at + batch_size]
+                lengths = part[ids].map(len).to_numpy()
+                tokens = np.full((len(part), lengths.max()), pad_id, np.int64)
+                mask = np.arange(lengths.max()) < lengths[:, None]
+                tokens[mask] = np.concatenate(part[ids].tolist())
+                vectors = np.asarray(predict(tokens, mask.astype(np.int64)), np.float32)
+                yield part[keep].assign(**{out_col: pd.Series(list(vectors), index=part.index), padding_col: (lengths.max() - lengths).astype(np.int32)})
+
+    unknown = df.filter(F.col(ids).isNull()).select(*[f"`{c}`" for c in keep], F.lit(None).cast("array<float>").alias(out_col), F.lit(0).alias(padding_col))
+    return known.mapInPandas(run, schema).unionByName(unknown)
+
+
 def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """Run ``fn(pandas.DataFrame) -> pandas.DataFrame`` on every Arrow
     batch of every partition (``mapInPandas`` with the iterator signature it

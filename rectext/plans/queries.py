@@ -16,7 +16,7 @@ from rectext.functions.pytext import py_text_of_json
 from rectext.functions.render import format_list, iso_epoch, typed_text
 from rectext.functions.shapes import common_shapes
 from rectext.operators.audit import collection_count, corrupt_count
-from rectext.operators.embed import embed_text, map_batches, map_batches_isolated
+from rectext.operators.embed import embed_inputs, embed_text, map_batches, map_batches_isolated
 from rectext.operators.features import (FEATURE_COLUMNS, encode_label, featurize, featurize_records,
                                         featurize_typed, tokens, truncate_tokens)
 from rectext.operators.ids import stringify_typed_ids
@@ -830,6 +830,24 @@ def q_subword_inputs(spark, sf):
     return out.select("doc_id", "input_ids", F.aggregate("attention_mask", F.lit(0), lambda s, x: s + x).alias("n_ids"))
 
 
+@query("embed_subwords", f"""
+SELECT doc_id, [(list_sum([(x * j) % 97 FOR x IN input_ids])::DOUBLE / n_ids)::FLOAT FOR j IN range(1, 9)] AS embedding
+FROM ({SUBWORD_SQL}) t""")
+def q_embed_subwords(spark, sf):
+    """M2 by a model on subword ids: batches of equal lengths, padded to their
+    longest. The model here is a fixed one: its first token takes the mean
+    over all unmasked tokens of (id x j) mod 97, j = 1..8."""
+    def make_predict_fn():
+        def predict(tokens, mask):
+            states = (tokens[:, :, None] * range(1, 9)) % 97 * mask[:, :, None]
+            return states.sum(1) / mask.sum(1)[:, None]
+        return predict
+
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    inputs = subword_inputs(docs, F.col("text"), _benchmark_vocabulary(spark, sf))
+    return embed_inputs(inputs, make_predict_fn, ["doc_id"], pad_id=3).select("doc_id", "embedding")
+
+
 # ------------------------------------------------------------------ J4
 
 @query("featurize_load", f"""

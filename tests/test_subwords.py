@@ -69,3 +69,28 @@ def test_padding_nulls_and_bad_vocabularies(spark, tmp_path):
         subword_inputs(df, F.col("t"), ["a"])
     with pytest.raises(ValueError):
         subword_inputs(df, F.col("t"), vocabulary, max_length=1)
+
+
+def test_batches_of_like_lengths_pad_little(spark):
+    import numpy as np
+    from rectext.operators.embed import embed_inputs
+    rnd = random.Random(3)
+    rows = [(i, [rnd.randrange(4, 99) for _ in range(rnd.choice([2, 5, 40, 300, 512]))], "x") for i in range(900)] + [(9000, None, "x"), (9001, [7], "x")]
+    df = spark.createDataFrame(rows, "i long, input_ids array<int>, embedding string").repartition(3)
+
+    def make():
+        loads = []
+
+        def predict(tokens, mask):
+            assert tokens.shape == mask.shape and len(tokens) <= 32 and (tokens[mask == 0] == 3).all()
+            return np.column_stack([(tokens * mask).sum(1), mask.sum(1)])
+        loads.append(1)
+        return predict
+
+    got = {r["i"]: r for r in embed_inputs(df, make, ["i"], pad_id=3, batch_size=32).collect()}
+    assert len(got) == 902 and got[9000]["embedding"] is None
+    for i, ids, _ in rows:
+        assert ids is None or got[i]["embedding"] == [float(sum(ids)), float(len(ids))]
+    tokens, padded = sum(len(x) for _, x, _ in rows if x), sum(r["n_padding"] for r in got.values())
+    assert padded / (padded + tokens) < 0.2, "padded to the longest of all it would be two thirds"
+    assert embed_inputs(df.limit(0), make, ["i"]).count() == 0
