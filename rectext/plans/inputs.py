@@ -8,7 +8,7 @@ writers, which run one small action.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rectext.session import spread
@@ -149,3 +149,27 @@ def write_array_files(df: DataFrame, root: str, name: Column, order: str) -> Dat
     recs = df.select(name.alias("name"), F.col(order).alias("_o"), pretty_record(df).alias("value"))
     return write_named_lines(recs, root, "name", "value", ["_o"],
                              header="[\n", separator=",\n", footer="\n]\n")
+
+
+# Inputs whose file names aren't what a query is about: Spark's own text writer, one folder a name.
+LINES_GLOB = "*.txt"
+
+
+def write_lines(named: DataFrame, root: str, order: str) -> None:
+    """``name, value`` as text files below ``root/name=<name>/``, the lines of
+    a name in one file, in ``order``; written and committed by Spark."""
+    (named.repartition("name").sortWithinPartitions("name", order).select("value", "name")
+     .write.mode("append").partitionBy("name").text(root))
+
+
+def write_arrays(df: DataFrame, root: str, name: Column, order: str) -> None:
+    """Rows as indented JSON arrays, one below each ``root/name=<name>/``."""
+    w = Window.partitionBy("name").orderBy("_o")
+    recs = df.select(name.alias("name"), F.col(order).alias("_o"), pretty_record(df).alias("value"))
+    first, last = F.lag("_o").over(w).isNull(), F.lead("_o").over(w).isNull()
+    write_lines(recs.withColumn("value", F.concat(F.when(first, F.lit("[\n")).otherwise(""), F.col("value"), F.when(last, F.lit("\n]")).otherwise(","))), root, "_o")
+
+
+def name_of(source_file: str = "source_file") -> Column:
+    """The name under which ``write_lines`` wrote a file."""
+    return F.regexp_extract(F.col(source_file), r"/name=([^/]+)/", 1)

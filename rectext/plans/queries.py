@@ -24,10 +24,10 @@ from rectext.operators.subwords import SPECIAL, subword_inputs
 from rectext.operators.records import (CORRUPT_COL, drop_all_null, drop_corrupt, parse_lines, prune_nulls_json,
                                        stringify_ids)
 from rectext.plans import jobs
-from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL, EVENT_SPAN, ISO_FORMAT, chunked,
-                                  chunked_sql, document_lines, event_lines, event_source, json_scalar, table,
+from rectext.plans.inputs import (CUSTOMER_SPAN, DOCUMENT_SPAN, EVENT_SOURCE_SQL, EVENT_SPAN, ISO_FORMAT, LINES_GLOB, chunked,
+                                  chunked_sql, document_lines, event_lines, event_source, json_scalar, name_of, table,
                                   timestamp_form_lines,
-                                  write_array_files)
+                                  write_array_files, write_arrays, write_lines)
 from rectext.session import spread, work_dir
 from rectext.sinks.buckets import load_buckets, read_buckets
 from rectext.sinks.files import write_named_lines
@@ -207,7 +207,7 @@ def _write_event_files(spark, sf, root, kinds=("damaged",), extra_bad_file=False
             chunked(F.lit("events_bad"), ".ndjson", F.col("event_id"), EVENT_SPAN).alias("name"),
             "value", "event_id")
         named = named.unionByName(bad)
-    write_named_lines(named, root, "name", "value", ["event_id"]).collect()
+    write_lines(named, root, "event_id")
 
 
 @query("custom_map_isolated", """
@@ -238,9 +238,9 @@ def q_featurize_stream(spark, sf):
     (checkpointed), the table read back."""
     base = work_dir(spark, "stream")
     _write_event_files(spark, sf, base + "/in", kinds=("plain",))
-    featurize_stream(spark, base + "/in", base + "/table", base + "/checkpoint").awaitTermination()
+    featurize_stream(spark, base + "/in", base + "/table", base + "/checkpoint", glob=LINES_GLOB).awaitTermination()
     t = read_table(spark, base + "/table")
-    return t.select("text_representation", "timestamp", "label", _basename("source_file").alias("source_file"))
+    return t.select("text_representation", "timestamp", "label", name_of().alias("source_file"))
 
 
 @query("scan_ndjson", f"""
@@ -252,8 +252,8 @@ def q_scan_ndjson(spark, sf):
     """Permissive NDJSON scan of files with cut lines."""
     root = work_dir(spark, "scan_ndjson")
     _write_event_files(spark, sf, root)
-    recs = scan_ndjson(spark, root)
-    return recs.select(_basename("source_file").alias("source"),
+    recs = scan_ndjson(spark, root, glob=LINES_GLOB)
+    return recs.select(name_of().alias("source"),
                        F.try_variant_get("v", "$.event_id", "bigint").alias("event_id"),
                        F.col(CORRUPT_COL).isNotNull().alias("is_corrupt"))
 
@@ -266,10 +266,10 @@ def q_drop_corrupt(spark, sf):
     """P1 / P2 + J1: corrupt lines dropped, the rest featurized."""
     root = work_dir(spark, "drop_corrupt")
     _write_event_files(spark, sf, root)
-    recs = drop_corrupt(scan_ndjson(spark, root))
+    recs = drop_corrupt(scan_ndjson(spark, root, glob=LINES_GLOB))
     feats = featurize_records(recs, keep=["source_file"])
     return feats.select("text_representation", "timestamp", "label",
-                        _basename("source_file").alias("source_file"))
+                        name_of().alias("source_file"))
 
 
 @query("corrupt_count", f"""
@@ -279,8 +279,8 @@ def q_corrupt_count(spark, sf):
     """A2: corrupt lines per file."""
     root = work_dir(spark, "corrupt_count")
     _write_event_files(spark, sf, root)
-    cc = corrupt_count(scan_ndjson(spark, root))
-    return cc.select(_basename("source_file").alias("source"), "n_corrupt")
+    cc = corrupt_count(scan_ndjson(spark, root, glob=LINES_GLOB))
+    return cc.select(name_of().alias("source"), "n_corrupt")
 
 
 @query("batch_audit", f"""
@@ -299,8 +299,8 @@ def q_batch_audit(spark, sf):
     """Per-file audit, including a file with no valid line."""
     root = work_dir(spark, "batch_audit")
     _write_event_files(spark, sf, root, kinds=("bad_iso", "nested_ts", "damaged"), extra_bad_file=True)
-    _, audit, _ = jobs.featurize_files(spark, root)
-    return audit.select(_basename("source_file").alias("source"), "n_records", "n_corrupt", "n_errors",
+    _, audit, _ = jobs.featurize_files(spark, root, glob=LINES_GLOB)
+    return audit.select(name_of().alias("source"), "n_records", "n_corrupt", "n_errors",
                         "n_without_timestamp", "is_empty")
 
 
@@ -312,7 +312,7 @@ def _write_customer_arrays(spark, sf, root):
     cust = table(spark, sf, "customer")
     name = chunked(F.concat(F.lit("customers_"), F.col("c_nationkey").cast("string")), ".json",
                    F.col("c_custkey"), CUSTOMER_SPAN)
-    write_array_files(cust, root, name, "c_custkey").collect()
+    write_arrays(cust, root, name, "c_custkey")
 
 
 @query("scan_json_array", f"""
@@ -322,10 +322,10 @@ def q_scan_json_array(spark, sf):
     """Pretty-printed JSON array files (one per nation)."""
     root = work_dir(spark, "scan_json_array")
     _write_customer_arrays(spark, sf, root)
-    files = [r["path"] for r in discover_files(spark, root).select("path").collect()]
+    files = [r["path"] for r in discover_files(spark, root, glob=LINES_GLOB).select("path").collect()]
     recs = scan_json_array(spark, files).filter(F.col("v").isNotNull())
     v = F.col("v")
-    return recs.select(_basename("source_file").alias("source"),
+    return recs.select(name_of().alias("source"),
                        F.try_variant_get(v, "$.c_custkey", "bigint").alias("c_custkey"),
                        F.try_variant_get(v, "$.c_name", "string").alias("c_name"),
                        F.try_variant_get(v, "$.c_nationkey", "int").alias("c_nationkey"),
@@ -340,8 +340,8 @@ def q_scan_json_array_split(spark, sf):
     each file read by as many tasks as it has splits."""
     root = work_dir(spark, "scan_json_array_split")
     cust = table(spark, sf, "customer")
-    write_array_files(cust, root, chunked(F.lit("customers"), ".json", F.col("c_custkey"), CUSTOMER_SPAN), "c_custkey").collect()
-    recs = scan_json_array_split(spark, [r["path"] for r in discover_files(spark, root).select("path").collect()])
+    write_arrays(cust, root, chunked(F.lit("customers"), ".json", F.col("c_custkey"), CUSTOMER_SPAN), "c_custkey")
+    recs = scan_json_array_split(spark, [r["path"] for r in discover_files(spark, root, glob=LINES_GLOB).select("path").collect()])
     v = F.col("v")
     return recs.filter(v.isNotNull()).select(*[F.try_variant_get(v, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
                                                for f in cust.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").schema])
@@ -357,11 +357,11 @@ def q_scan_json_auto(spark, sf):
     root = work_dir(spark, "scan_json_auto")
     _write_customer_arrays(spark, sf, root)
     _write_event_files(spark, sf, root, kinds=("plain",))
-    recs = scan_json_auto(spark, root)
+    recs = scan_json_auto(spark, root, glob=LINES_GLOB)
     v = F.col("v")
     key = F.coalesce(F.concat(F.lit("c"), F.try_variant_get(v, "$.c_custkey", "string")),
                      F.concat(F.lit("e"), F.try_variant_get(v, "$.event_id", "string")))
-    return recs.select(_basename("source_file").alias("source"), "format", key.alias("record_key"))
+    return recs.select(name_of().alias("source"), "format", key.alias("record_key"))
 
 
 # file layout for discovery, by source number n: n % 5 ->
@@ -501,8 +501,8 @@ def q_featurize_files(spark, sf):
     root = work_dir(spark, "featurize_files")
     _write_customer_arrays(spark, sf, root)
     _write_event_files(spark, sf, root)
-    features, _, _ = jobs.featurize_files(spark, root)
-    return features.select("text_representation", "timestamp", "label", _basename("source_file").alias("source_file"))
+    features, _, _ = jobs.featurize_files(spark, root, glob=LINES_GLOB)
+    return features.select("text_representation", "timestamp", "label", name_of().alias("source_file"))
 
 
 @query("featurize_files_typed", FEATURIZE_FILES_SQL)
@@ -512,8 +512,8 @@ def q_featurize_files_typed(spark, sf):
     root = work_dir(spark, "featurize_files_typed")
     _write_customer_arrays(spark, sf, root)
     _write_event_files(spark, sf, root)
-    features, _, _ = jobs.featurize_files(spark, root, by_shape=True)
-    return features.select("text_representation", "timestamp", "label", _basename("source_file").alias("source_file"))
+    features, _, _ = jobs.featurize_files(spark, root, glob=LINES_GLOB, by_shape=True)
+    return features.select("text_representation", "timestamp", "label", name_of().alias("source_file"))
 
 
 @query("featurize_shaped", FEATURIZE_SQL)

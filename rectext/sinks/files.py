@@ -20,8 +20,6 @@ def _arrow_fs(uri: str):
     import pyarrow.fs as pafs
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
-    elif "://" not in uri:
-        uri = "file://" + uri
     return pafs.FileSystem.from_uri(uri)
 
 
@@ -33,7 +31,10 @@ def write_named_lines(df: DataFrame, root: str, name_col: str = "name", value_co
     ``footer``. The defaults give one line per value; ``"[\n"``, ``",\n"``,
     ``"\n]\n"`` give a JSON array. Returns a lazy DataFrame ``name, n_lines``
     (one row per file); run an action on it to write (it is small)."""
-    root = root.rstrip("/")
+    # A root without scheme lies in the cluster's default file system, as Spark's readers take it.
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    root = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
     order_cols = order_cols or []
     parts = df.repartition(num_partitions, name_col) if num_partitions else df.repartition(name_col)
     parts = parts.sortWithinPartitions(name_col, *order_cols).select(
