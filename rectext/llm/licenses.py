@@ -65,7 +65,7 @@ FAMILIES = (
     ("unicode", "unicode", r"unicode", (r"3",)),
     ("cecill", "cecill", r"cecill(?: (?:b|c))?", (r"1 0", r"2 0", r"2 1")),
     ("mulan", "mulan", r"mulan (?:psl|permissive software)", (r"1", r"2")),
-    ("wtfpl", "public license", r"do what the \w+ you want to public", ()),
+    ("wtfpl", "you want to public", r"do what the \w+ you want to public", ()),
     ("sspl", "server side", r"server side public", (r"1",)),
     ("elastic", "elastic", r"elastic", (r"2 0",)),
     ("busl", "business source", r"business source", (r"1 1",)),
@@ -137,8 +137,14 @@ SENTENCES = (
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
     ("zlib", "as is", r"this software is provided as is without any express or implied warranty in no event will the authors"),
     ("boost", "spdx", r"spdx license identifier bsl 1 0"),
-    ("proprietary", "all rights reserved", r"(?:confidential and proprietary all rights reserved|proprietary and confidential)"),
+    ("proprietary", "all rights reserved", r"confidential and proprietary all rights reserved"),
+    ("proprietary", "proprietary and confidential", r"proprietary and confidential"),
 )
+# Identifiers of package metadata, alone (label, expression) and behind the word license (label, expression).
+IDENTIFIERS = (("apache", r"apache 2 0"), ("bsd-3-clause", r"bsd 3 clause"), ("bsd-3-clause", r"3 clause bsd"), ("bsd-2-clause", r"bsd 2 clause"),
+               ("bsd-2-clause", r"2 clause bsd"), ("mit", r"mit x11"), ("boost", r"bsl 1 0"), ("artistic", r"artistic 2 0"))
+FIELDS = (("mit", r"mit"), ("isc", r"isc"), ("bsd", r"bsd"), ("zlib", r"zlib"), ("unlicense", r"unlicense"), ("wtfpl", r"wtfpl"), ("gpl", r"gplv?[23]?"), ("lgpl", r"lgplv?[23]?"),
+          ("agpl", r"agplv?3?"), ("proprietary", r"proprietary"), ("public-domain", r"public domain"))
 
 
 @dataclass(frozen=True)
@@ -154,11 +160,15 @@ def rules() -> list[Rule]:
     """All signature rules, highest priority first."""
     out = [Rule(label, key, expression, 95, 1.0) for label, key, expression in SENTENCES]
     for label, key, name, versions in FAMILIES:
-        name = name.removesuffix(" public") + "(?: public)?" if name.endswith(" public") and not name.endswith("general public") else name
+        name = name.removesuffix(" public") + "(?: public)?" if name.endswith(" public") and not (name.endswith("general public") or "public" in key) else name
         out += [Rule(label, key, p.format(n=name, v=f"(?:{v})"), rank, score) for v in versions for p, rank, score in VERSIONED]
         out += [Rule(label, key, p.format(n=name), rank, score) for p, rank, score in PLAIN]
     for label, key, name, version in SHORT:
-        out += [Rule(label, key, p.format(n=name, v=version), rank, score) for p, rank, score in (*SHORT_VERSIONED, *SHORT_PLAIN)]
+        # The letters EPL alone name other things as well: there a verb or the word license must stand with them.
+        plain = [x for x in SHORT_PLAIN if label != "epl" or not x[0].startswith("under")]
+        out += [Rule(label, key, p.format(n=name, v=version), rank, score) for p, rank, score in (*SHORT_VERSIONED, *plain)]
+    out += [Rule(label, expression, expression, 70, 0.8) for label, expression in IDENTIFIERS]
+    out += [Rule(label, word, f"{word} {expression}", 42, 0.7) for label, expression in FIELDS for word in ("license", "licence")]
     return sorted(out, key=lambda r: (-r.priority, r.label, r.pattern))
 
 

@@ -71,6 +71,26 @@ def test_license_abbreviations(spark):
     assert all(r["base_labels"] == "" and (r["score"] > 0) == (r["labels"] != "") for r in got)
 
 
+def test_license_metadata_forms(spark):
+    cases = {"License: MIT": "mit", "license = Apache-2.0": "apache", "BSD-3-Clause": "bsd-3-clause", "the 2-clause BSD license": "bsd-2-clause", "Licence: GPLv3": "gpl",
+             "This file is proprietary and confidential.": "proprietary", "confidential and proprietary, all rights reserved": "proprietary",
+             "under the EPL rules": "", "released under the EPL": "epl", "licensed mitigation": "", "a driving license mitigates": ""}
+    got = by_id(licenses.license_scan(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")))
+    assert [set(r["labels"].split(",")) >= {want} if want else r["labels"] == "" for r, want in zip(got, cases.values())] == [True] * len(cases), [r["labels"] for r in got]
+
+
+def test_keyword_gate_loses_no_rule(spark):
+    """Every rule's own keyword stands in what it matches, so the gate can't hide it: each
+    pattern's plainest reading is found by the scan."""
+    import re
+    for rule in licenses.rules():
+        plain = rule.pattern.replace(r"\w+", "x")
+        while "(?:" in plain:                      # first alternative of each group; optional ones left out
+            plain = re.sub(r"\(\?:([^()|]*)[^()]*\)(\??)", lambda m: "" if m[2] else m[1], plain)
+        plain = re.sub(r"\[([^\]])[^\]]*\](\??)|(.)\?", lambda m: (("" if m[2] else m[1]) if m[1] else ""), plain)
+        assert re.fullmatch(rule.pattern, plain) and rule.keyword in plain, (rule, plain)
+
+
 def test_quality_counts(docs):
     got = by_id(quality.quality_rules(docs, []))
     for r in got:
