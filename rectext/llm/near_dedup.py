@@ -274,7 +274,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: int = 8, block: int = 512, doc_id: str = "doc_id", text: str = "text",
-                    with_key: bool = False) -> DataFrame:
+                    with_key: bool = False, exact: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id,
     kept`` (and ``text_key``, ``xxhash64`` of the text, if asked). Texts are linked if 100 * intersection >= percent * union of
     their sets of 5-word shingles (A-Z lower-cased; a shorter text is one
@@ -284,7 +284,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: in
     with the same id are one document with several texts. A row with a null
     id takes the class of equal texts that have an id (and isn't kept then);
     without one its ``component_id`` is null and it is kept. Other columns
-    are not read; an empty table gives no rows."""
+    are not read; an empty table gives no rows.
+
+    The sketches' bounds lie five standard deviations out. ``exact`` does
+    without them: all classes go through the lists of full sets, every pair
+    is compared on full sets (several times the work)."""
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = saved(sketches(named, k), "sketches")
     nodes = classes(sets)
@@ -296,14 +300,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 128, pivots: in
                 .agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text"))
 
     def links(pairs):
-        near = saved(union_sketch_filter(pairs, nodes, percent), "near")
+        near = pairs.select("a", "b") if exact else saved(union_sketch_filter(pairs, nodes, percent), "near")
         ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
         return saved(confirmed(near, texts_of(ends), percent), "links")
 
     groups = saved(clusters(sketch_lists(nodes.select("node", "n", "sketch"), k, percent)), "clusters")
     found = links(saved(_pairs(groups.select(F.col("list").alias("a"), F.col("node").alias("b"), F.col("ln").alias("na"), F.col("n").alias("nb")), percent), "pairs"))
     joined = components(found)
-    full = saved(full_sets(texts_of(mixed(groups, joined).select("node").distinct())), "sets")
+    full = saved(full_sets(texts_of(nodes.select("node") if exact else mixed(groups, joined).select("node").distinct())), "sets")
     groups = saved(clusters(full_lists(full, percent)), "clusters")
     found = found.unionByName(links(saved(pivot_pairs(mixed(groups, joined), percent, pivots, 1), "pairs")))
     rest = saved(mixed(groups, components(found)), "mixed")

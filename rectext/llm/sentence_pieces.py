@@ -61,7 +61,10 @@ class Model:
 
 
 def read_model(raw: bytes) -> Model:
-    pieces, spec, norm = [], {}, {}
+    """A model's pieces and settings. Settings that change the result and
+    aren't rebuilt here (blanks kept as they are or marked behind a word, a
+    denormaliser, symbols defined by the user) raise an error."""
+    pieces, spec, norm, back = [], {}, {}, {}
     for number, value in fields(raw):
         if number == 1:
             p = dict(fields(value))
@@ -70,6 +73,12 @@ def read_model(raw: bytes) -> Model:
             spec = dict(fields(value))
         elif number == 3:
             norm = dict(fields(value))
+        elif number == 5:
+            back = dict(fields(value))
+    odd = [name for name, found in (("escape_whitespaces", not norm.get(5, 1)), ("treat_whitespace_as_suffix", spec.get(24, 0)), ("denormalizer", back.get(2)),
+                                    ("user-defined symbols", any(kind == USER_DEFINED for *_, kind in pieces))) if found]
+    if odd:
+        raise ValueError(f"not supported in a model: {', '.join(odd)}")
     return Model(pieces, spec.get(3, UNIGRAM), bool(spec.get(35, 0)), norm.get(2, b""), bool(norm.get(3, 1)), bool(norm.get(4, 1)))
 
 

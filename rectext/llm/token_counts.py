@@ -43,11 +43,9 @@ def limits_table(histogram: DataFrame, band: int = 4096) -> DataFrame:
     h = histogram.withColumn("band", F.floor(F.col("n_tokens") / band)).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     inside = Window.partitionBy("band").orderBy("n_tokens")
     bands = h.groupBy("band").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
-    before = (bands.alias("x").join(bands.select(F.col("band").alias("earlier"), F.col("d").alias("ed"), F.col("t").alias("et")).hint("broadcast"),
-                                    F.col("earlier") <= F.col("band"))
-              .groupBy("band").agg(
-                  F.sum(F.when(F.col("earlier") < F.col("band"), F.col("ed")).otherwise(0)).alias("docs_before"),
-                  F.sum(F.when(F.col("earlier") < F.col("band"), F.col("et")).otherwise(0)).alias("tokens_before")))
+    # One row a band, at most 2^31 / band of them as a text is no longer than that: one task adds them up.
+    earlier = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    before = bands.select("band", F.coalesce(F.sum("d").over(earlier), F.lit(0)).alias("docs_before"), F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("tokens_before"))
     total = bands.agg(F.sum("d").alias("docs_total"), F.sum("t").alias("tokens_total"))
     x = (h.withColumns({"docs_in": F.sum("n_docs").over(inside), "tokens_in": F.sum("tokens").over(inside)})
          .join(before, "band").join(F.broadcast(total)))
