@@ -78,13 +78,17 @@ def _joined(parts: list[Column]) -> Column:
     return F.concat(*glue) if glue else F.lit("")
 
 
-def shaped(v: Column, shape: str) -> Column | None:
-    """``struct<text, timestamp, label, bad>`` of records of this shape; None
-    where a name can't be part of a path, or without any field (such a record isn't valid)."""
-    fields = parse_shape(shape)
+def renderable(shape: str | None) -> bool:
+    """Whether ``shaped`` takes a shape: not where a name can't be part of a
+    path, or without any field (such a record isn't valid)."""
+    fields = parse_shape(shape) if shape else None
     names = [n for n, k in fields or ()] + [s for n, k in fields or () for s, _ in parse_shape(k) or ()]
-    if not fields or any(_path([n]) is None for n in names):
-        return None
+    return bool(fields) and all(_path([n]) is not None for n in names)
+
+
+def shaped(v: Column, shape: str) -> Column:
+    """``struct<text, timestamp, label, bad>`` of records of this (``renderable``) shape."""
+    fields = parse_shape(shape)
     parts, candidate, bad = [], None, F.lit(False)
     for name, kind in fields:
         lower, inner = name.lower(), parse_shape(kind) if kind != "OBJECT<>" else []
@@ -120,10 +124,9 @@ def common_shapes(records: DataFrame, v: str = "v", rows: int = SAMPLE_ROWS) ->
     found = Counter(r[0] for r in records.select(shape_of(F.col(v))).head(rows))
     out, fields = [], 0
     for shape, _ in sorted(found.items(), key=lambda x: (-x[1], x[0] or "")):
-        n = len(parse_shape(shape) or ()) if shape else 0
-        if n and shaped(F.col(v), shape) is not None and len(out) < MAX_SHAPES and fields + n <= MAX_FIELDS:
+        if len(out) < MAX_SHAPES and renderable(shape) and fields + len(parse_shape(shape)) <= MAX_FIELDS:
             out.append(shape)
-            fields += n
+            fields += len(parse_shape(shape))
     return out
 
 

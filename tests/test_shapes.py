@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from rectext.functions.render import render_records
-from rectext.functions.shapes import common_shapes, parse_shape, render_shaped, shape_of
+from rectext.functions.shapes import common_shapes, parse_shape, render_shaped, renderable, shape_of
 
 
 def scalar(rnd):
@@ -39,11 +39,10 @@ def test_shaped_equals_walked(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "i long, t string").select("i", F.try_parse_json("t").alias("v")).repartition(4)
     want = rows(render_records(df, keep=["i"], with_error=True))
     every = [r[0] for r in df.select(shape_of(F.col("v"))).distinct().orderBy(shape_of(F.col("v"))).collect()]
-    from rectext.functions.shapes import shaped
-    usable = [s for s in every if shaped(F.col("v"), s) is not None]
+    usable = [s for s in every if renderable(s)]
     assert len(usable) > 300
-    for at in (0, 170, 290):                       # a few shapes at a time, all others by the walk
-        assert rows(render_shaped(df, usable[at:at + 8], keep=["i"], with_error=True)) == want
+    for at in (0, 200):                            # a few shapes at a time, all others by the walk
+        assert rows(render_shaped(df, usable[at:at + 3], keep=["i"], with_error=True)) == want
     assert rows(render_shaped(df, [], keep=["i"], with_error=True)) == want
 
 
