@@ -101,27 +101,69 @@ def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
+def _fits(got, schema) -> bool:
+    """Whether each column of a frame converts to its field: the part of
+    ``pa.Table.from_pandas`` that can fail, without the cost it has for small frames."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    if not isinstance(got, pd.DataFrame) or not got.columns.is_unique:
+        return False
+    try:
+        columns = [got[f.name] for f in schema]
+        return all(pa.array(c.to_numpy() if isinstance(c.dtype, np.dtype) else c, type=f.type, from_pandas=True).null_count == 0 or f.nullable
+                   for f, c in zip(schema, columns))
+    except Exception:                              # from_pandas tells what is wrong
+        return False
+
+
 def isolated(fn: Callable, pdf, schema, failed: Callable):
-    """``fn(pdf)`` with rows that make it raise set apart: a frame that raises
-    is halved until such a row is alone, and ``failed(row, error)`` (a dict)
-    takes its place. ``schema`` (Arrow): what ``fn`` returns must fit it.
-    Returns a list of frames in the order of the rows."""
+    """``fn(pdf)`` with rows that make it raise set apart; ``failed(row,
+    error)`` (``row``: a dict of its values; gives a dict) takes the place of
+    each. ``schema`` (Arrow): what ``fn`` returns must fit it. Returns a list
+    of frames and such dicts in the order of the rows.
+
+    If the whole frame raises, blocks are tried from the front, about as long
+    as the rows so far leave an even chance of an error. Halving a block that
+    raises finds its first bad row: a half behind one that passes isn't tried
+    for itself. A row counts as bad only if it raises alone."""
     import pyarrow as pa
 
-    out, todo = [], [(0, len(pdf))]
-    while todo:
-        start, end = todo.pop()
-        part = pdf.iloc[start:end]
+    n, out, rows = len(pdf), [], None
+
+    def tried(start, end):
+        """None if the rows pass, else the error."""
         try:
-            got = fn(part.reset_index(drop=True))
-            pa.Table.from_pandas(got, schema=schema, preserve_index=False)
-            out.append(got)
+            got = fn((pdf.iloc[start:end] if end - start < n else pdf).reset_index(drop=True))
+            if not _fits(got, schema):
+                pa.Table.from_pandas(got, schema=schema, preserve_index=False)
         except Exception as error:                 # a user's function may raise anything
-            if end - start == 1:
-                out.append(failed(part.iloc[0], error))
-            elif end > start:
-                middle = (start + end) // 2
-                todo += [(middle, end), (start, middle)]
+            return error
+        out.append(got)
+
+    at, size, passed, bad, error = 0, n, 0, 0, None
+    while at < n:
+        end = min(n, at + size)
+        error = tried(at, end)
+        if error is None:
+            at, passed = end, passed + 1
+            size *= 1 + (passed > 1)
+            continue
+        alone = end - at == 1
+        while end - at > 1:
+            middle = (at + end) // 2
+            first = tried(at, middle)
+            if first is None:
+                at, alone = middle, False
+            else:
+                end, error, alone = middle, first, middle - at == 1
+        if alone or (error := tried(at, end)) is not None:
+            rows = rows or [dict(zip(pdf.columns, x)) for x in pdf.itertuples(index=False, name=None)]
+            out.append(failed(rows[at], error))
+            bad += 1
+        at, passed = end, 0
+        size = max(1, int(0.69 * at / max(bad, 1)))
     return out
 
 
@@ -134,8 +176,8 @@ def map_batches_isolated(df: DataFrame, fn: Callable, schema, defaults: dict | N
 
     An error row has the values of ``defaults`` (others null) and, of the
     columns ``keep``, those of its input row. A batch without an error is one
-    call; each bad row costs about the logarithm of the batch in calls. ``fn``
-    must not depend on which rows come together; an empty batch isn't passed
+    call; each bad row costs about the logarithm of the rows between two bad
+    ones in calls (see ``isolated``). ``fn`` must not depend on which rows come together; an empty batch isn't passed
     to it. A frame of another length than the batch's is not an error."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -153,16 +195,15 @@ def map_batches_isolated(df: DataFrame, fn: Callable, schema, defaults: dict | N
         for pdf in batches:
             if not len(pdf):
                 continue
-            parts = isolated(fn, pdf, arrow, failed)
-            frames = []
-            for p in parts:
-                if isinstance(p, dict):
-                    p = pd.DataFrame({n: pd.Series([p[n]], dtype=object) for n in names} | {reason_col: [p[reason_col]]})
-                    frames.append(p.assign(**{error_col: True})[[*names, error_col, reason_col]])
-                else:
-                    frames.append(p.assign(**{error_col: False, reason_col: None})[[*names, error_col, reason_col]])
             # Object columns, so that numbers beside a missing value keep their type.
-            whole = {c: [x for f in frames for x in f[c].tolist()] for c in [*names, error_col, reason_col]}
+            whole: dict = {c: [] for c in [*names, error_col, reason_col]}
+            for p in isolated(fn, pdf, arrow, failed):
+                bad = isinstance(p, dict)
+                for n in names:
+                    whole[n] += [p[n]] if bad else p[n].tolist()
+                size = 1 if bad else len(p)
+                whole[error_col] += [bad] * size
+                whole[reason_col] += [p[reason_col] if bad else None] * size
             yield pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in whole.items()})
 
     return df.mapInPandas(run, out)

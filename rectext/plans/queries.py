@@ -220,11 +220,14 @@ def q_custom_map_isolated(spark, sf):
     """U1 + P12: a user's renderer that raises on every ninth event; those
     rows become error rows with the reason, all others their text."""
     def render(pdf):
-        bad = pdf["event_id"][pdf["event_id"] % 9 == 0]
+        import pandas as pd
+
+        ids = pdf["event_id"].to_numpy()
+        bad = ids[ids % 9 == 0]
         if len(bad):
-            raise ValueError(f"no text for event {bad.iloc[0]}")
-        text = "[user_id] " + pdf["user_id"].astype(str) + " [type] " + pdf["event_type"]
-        return pdf[["event_id"]].assign(text_representation=text, timestamp=pdf["seconds"], label=pdf["event_type"])
+            raise ValueError(f"no text for event {bad[0]}")
+        text = [None if pd.isna(t) else f"[user_id] {u} [type] {t}" for u, t in zip(pdf["user_id"].astype(str).tolist(), pdf["event_type"].tolist())]
+        return pd.DataFrame({"event_id": pdf["event_id"], "text_representation": text, "timestamp": pdf["seconds"], "label": pdf["event_type"]})
 
     ev = spread(table(spark, sf, "events")).select("event_id", "user_id", "event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("seconds"))
     return map_batches_isolated(ev, render, "event_id long, text_representation string, timestamp double, label string",

@@ -49,3 +49,33 @@ def test_rows_may_be_dropped_or_added(spark):
     fn = lambda pdf: pdf[pdf["id"] % 2 == 0] if 5 not in set(pdf["id"]) else 1 / 0
     got = map_batches_isolated(spark.range(10).coalesce(1), fn, "id long").orderBy(F.col("id").asc_nulls_last()).collect()
     assert [(r["id"], r["is_error"]) for r in got] == [(0, False), (2, False), (4, False), (6, False), (8, False), (None, True)]
+
+
+def test_many_bad_rows_cost_about_half_a_call_a_row():
+    n, calls = 5000, []
+    order = [i * 7 % n for i in range(n)]
+
+    def fn(pdf):
+        calls.append(len(pdf))
+        wrong = [i for i in pdf["i"] if i % 9 == 0]
+        if wrong:
+            raise ValueError(f"bad {wrong[0]}")
+        return pdf
+
+    parts = isolated(fn, pd.DataFrame({"i": [i if i % 2 else (i * 31) % n for i in order]}), pa.schema([("i", pa.int64())]), lambda row, e: {"i": row["i"], "error": str(e)})
+    bad = [p for p in parts if isinstance(p, dict)]
+    assert all(p["error"] == f"bad {p['i']}" for p in bad) and sum(len(p) for p in parts if not isinstance(p, dict)) + len(bad) == n
+    assert len(calls) < 0.65 * n, len(calls)
+
+
+def test_a_row_that_passes_alone_is_no_error_row():
+    seen = []
+
+    def fn(pdf):                                   # raises for the frame as a whole only
+        seen.append(len(pdf))
+        if len(pdf) > 1:
+            raise ValueError("several rows")
+        return pdf
+
+    parts = isolated(fn, pd.DataFrame({"i": range(20)}), pa.schema([("i", pa.int64())]), lambda row, e: {"i": -1})
+    assert [int(p["i"].iloc[0]) for p in parts] == list(range(20))
