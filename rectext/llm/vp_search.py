@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from rectext.llm.common import arrow_schema, saved
 from rectext.llm.hard_negatives import between
 
-#: Points of a leaf, cells at most; rows and components of the sample that the top of the tree is made from.
+#: Points of a leaf at least (or a quarter of a shard), cells at most; rows and components of the sample that the top of the tree is made from.
 LEAF, CELLS, SAMPLE, SAMPLE_VALUES = 128, 2048, 8192, 1 << 20
 #: Room for rounding: in angles, and of products relative to the norms.
 ROOM, NEAR = 1e-6, 1e-9
@@ -169,7 +169,14 @@ class Nearest:
 
     def offer(self, who: np.ndarray, s: np.ndarray, ids: np.ndarray, x: np.ndarray, slack: np.ndarray) -> None:
         """``s``: products of queries ``who`` and rows ``x`` (with ``ids``), to within ``slack``."""
-        a, b = np.nonzero((s >= (self.low[who] - slack[who])[:, None]) & (ids[None] != self.q["id"][who][:, None]))
+        least = self.low[who] - slack[who]
+        new = np.flatnonzero(np.isinf(least))
+        if len(ids) > self.k and len(new):         # the k-th best of these rows is a bound for queries without one
+            own = np.where(ids[None] == self.q["id"][who[new]][:, None], -np.inf, s[new])
+            least[new] = np.partition(own, len(ids) - self.k, axis=1)[:, len(ids) - self.k] - 2 * slack[who[new]]
+        a, b = np.nonzero(s >= least[:, None])
+        other = ids[b] != self.q["id"][who[a]]
+        a, b = a[other], b[other]
         if not len(a):
             return
         slot, score = who[a], pair_products(self.q["vector"][who[a]], x[b])
@@ -263,7 +270,7 @@ def build_index(rows: DataFrame, n: int, dim: int, norm: float, shard_rows: int,
         pdf = pdf.sort_values("row")
         x = np.frombuffer(b"".join(pdf["vector"])).reshape(-1, dim)
         u = on_sphere(x, norm)
-        order, tree = tree_order(u)
+        order, tree = tree_order(u, max(LEAF, shard_rows // 4))
         cell = int(pdf["cell"].iloc[0])
         above = np.array([(d.min(), d.max()) for d in (between(u, sent.value[i][0][None]) for i in cell_paths(sent.value)[cell])]).reshape(-1, 2)
         own = {"cell": cell, "ids": pdf["vec_id"].to_numpy("<i8")[order].tobytes(), "vectors": x[order].tobytes(), "nodes": tree.tobytes(), "above": above.tobytes()}

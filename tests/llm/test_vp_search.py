@@ -79,3 +79,18 @@ def test_same_result_from_sql_on_repeated_ids(spark):
     got = vp_search.nearest(spark.createDataFrame(embeddings)).select("query_id", "rank", "vec_id", "score").collect()
     short = lambda rows: sorted((q, r, i, round(s, 9)) for q, r, i, s in rows)
     assert short(want) == short(map(tuple, got))
+
+
+def test_first_rows_give_queries_a_bound(monkeypatch):
+    rnd = np.random.default_rng(5)
+    x, ids = rnd.normal(size=(2000, 8)), np.arange(2000)
+    x[50:90] = x[3]                                # ties: the smaller ids win
+    scored, plain_products = [], vp_search.pair_products
+    monkeypatch.setattr(vp_search, "pair_products", lambda a, b: scored.append(len(a)) or plain_products(a, b))
+    found = vp_search.Nearest(vp_search.queries_of(ids[:4], x[:4]), 20)
+    found.offer(np.arange(4), x[:4] @ x.T, ids, x, np.full(4, 1e-9))
+    assert sum(scored) <= 4 * 20 + 41, scored
+    for q in range(4):
+        s = vp_search.products(x[q:q + 1], x)[0]
+        want = sorted((-s[j], j) for j in range(2000) if j != q)[:20]
+        assert [(-a, int(b)) for a, b in zip(found.score[found.slot == q], found.ids[found.slot == q])] == want
