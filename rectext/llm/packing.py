@@ -54,8 +54,8 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
 
         def f(ids, texts):
             rows = []
-            for i, raw in zip(ids, texts):
-                b = coder.encode(raw.decode()) + tail if raw else tail
+            for i, b in zip(ids, coder.encode_all([raw.decode() if raw else "" for raw in texts])):
+                b += tail
                 n = len(b) // 4
                 for s, k in cuts(n, longest):
                     piece = b[4 * s:4 * (s + k)]

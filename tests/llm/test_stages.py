@@ -111,3 +111,16 @@ def test_words_encode_like_the_tokenizer_for_all_pairs_of_characters():
     for a in chars:
         text = " ".join(f"x{a}{b}y {a}{b} {b}'s" for b in chars)
         assert coder.encode(text) == ids(text)
+
+
+def test_many_texts_at_once_have_the_tokenizers_ids():
+    import public_tokenizers
+
+    from rectext.llm.words_bpe import WordEncoder
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["", " ", "  a  b ", "\t\nA", "ÀÉ ß\r\nµ¼ 12x don't CAN'T", "<|endoftext|> a", "日本 a", "a\x0bb a\xa0b", "~!@#$%^&*()_+{}|:\"<>?`-=[];',./ ''s'll'", "ab" * 999]
+    texts += [" ".join(f"{w}{i % 7}é" for w in ("one", "Zwei", "trois,")) for i in range(200)]
+    for cache, block in ((500_000, 4_000_000), (8, 50)):
+        coder = WordEncoder(path, cache=cache, block=block)
+        assert coder.encode_all(texts) == [coder.whole(t) for t in texts]
+    assert coder.encode_all([]) == [] and [coder.encode(t) for t in texts[:9]] == coder.encode_all(texts[:9])
