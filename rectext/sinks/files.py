@@ -14,6 +14,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+#: Bytes of texts that a writer joins at once (one longer text goes by itself).
+WRITE_BYTES = 4 << 20
 
 
 def _arrow_fs(uri: str):
@@ -40,34 +45,47 @@ def write_named_lines(df: DataFrame, root: str, name_col: str = "name", value_co
     parts = parts.sortWithinPartitions(name_col, *order_cols).select(
         F.col(name_col).alias("name"), F.col(value_col).alias("value"))
 
+    ddl = "name string, n_lines long"
+    out, glue = to_arrow_schema(T._parse_datatype_string(ddl)), separator.encode("utf-8")
+
     def write(batches):
         import posixpath
 
-        import pandas as pd
+        import numpy as np
+        import pyarrow as pa
         fs, base = _arrow_fs(root)
         cur, stream, n = None, None, 0
-        done = []
+        done: list = []
 
         def close():
             stream.write(footer.encode("utf-8"))
             stream.close()
             done.append((cur, n))
 
-        for pdf in batches:
-            for name, grp in pdf.groupby("name", sort=False):
-                if name != cur:
+        for batch in batches:
+            names = batch.column("name").dictionary_encode()
+            at, known = names.indices.to_numpy(zero_copy_only=False), names.dictionary.to_pylist()
+            values = batch.column("value").cast(pa.large_binary())
+            sizes = np.diff(np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1])
+            starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
+            for start, end in zip(starts, [*starts[1:], len(at)]):
+                if known[at[start]] != cur:
                     if stream is not None:
                         close()
-                    target = posixpath.join(base, name)
+                    cur, n = known[at[start]], 0
+                    target = posixpath.join(base, cur)
                     fs.create_dir(posixpath.dirname(target), recursive=True)
-                    stream, cur, n = fs.open_output_stream(target), name, 0
+                    stream = fs.open_output_stream(target)
                     stream.write(header.encode("utf-8"))
-                vals = grp["value"].fillna("")
-                text = separator.join(vals)
-                stream.write(((separator if n else "") + text).encode("utf-8"))
-                n += len(vals)
+                # A few MB at a time are copied, whatever a batch holds.
+                part = (np.cumsum(sizes[start:end]) - sizes[start:end]) // WRITE_BYTES
+                cuts = start + np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+                for i, j in zip(cuts, [*cuts[1:], end]):
+                    text = glue.join(x or b"" for x in values[i:j].to_pylist())
+                    stream.write((glue if n else b"") + text)
+                    n += int(j - i)
         if stream is not None:
             close()
-        yield pd.DataFrame(done, columns=["name", "n_lines"])
+        yield pa.RecordBatch.from_pydict({"name": [x for x, _ in done], "n_lines": [x for _, x in done]}, schema=out)
 
-    return parts.mapInPandas(write, "name string, n_lines long")
+    return parts.mapInArrow(write, ddl)

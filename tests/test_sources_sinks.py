@@ -276,3 +276,19 @@ def test_audit_names_files_without_records(spark, tmp_path):
     _, audit, _ = featurize_files(spark, root, glob="*", ignore_corrupt_files=True)
     rows = {os.path.basename(r["source_file"]): (r["n_records"], r["is_empty"]) for r in audit.collect()}
     assert rows == {"a.json": (1, False), "blank.json": (0, True), "none.json": (0, True), "cut.json.gz": (0, True)}
+
+
+def test_named_lines_join_a_few_mb_at_once(spark, tmpuri, monkeypatch):
+    from rectext.sinks import files
+    assert files.WRITE_BYTES <= 8 << 20            # what a writer copies, whatever a batch holds
+    rows = [(i, f"d/{i % 3}.txt", None if i == 7 else "é" * (i * 37 % 400)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, name string, value string").repartition(4)
+    files_before = files.WRITE_BYTES
+    for size in (files_before, 100):
+        monkeypatch.setattr(files, "WRITE_BYTES", size)
+        root = f"{tmpuri}/{size}"
+        done = files.write_named_lines(df, root, order_cols=["id"], header="<", footer=">", separator=",").collect()
+        assert sorted(map(tuple, done)) == [("d/0.txt", 67), ("d/1.txt", 67), ("d/2.txt", 66)]
+        for k in range(3):
+            with open(os.path.join(local_path(root), "d", f"{k}.txt"), encoding="utf-8") as f:
+                assert f.read() == "<" + ",".join(v or "" for _, n, v in rows if n == f"d/{k}.txt") + ">"
