@@ -138,7 +138,10 @@ class Coder:
         return text.replace(" ", MARK)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [self.blocks.findall(self.normalised(t)) for t in texts]
+        return self.encode_normalised([self.normalised(t) for t in texts])
+
+    def encode_normalised(self, texts: list[str]) -> list[list[int]]:
+        cut = [self.blocks.findall(t) for t in texts]
         coded = iter(self.tokenizer.encode_batch_fast([c for row in cut for c in row], add_special_tokens=False))
         return [[i for _ in row for i in next(coded).ids] for row in cut]
 
@@ -174,10 +177,11 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
             rows = []
             for at in range(0, len(raws), group):          # bounds the lists of ids held at once
                 texts = [r.decode() if r else "" for r in raws[at:at + group]]
-                got = coder.encode(texts)
+                normal = [coder.normalised(t) for t in texts]
+                got = coder.encode_normalised(normal)
                 said = checker.encode(texts, num_threads=1) if checker else [None] * len(texts)
-                for i, t, x, y, back in zip(ids[at:at + group], texts, got, said, coder.decode(got)):
-                    plain = coder.normalised(t).replace(MARK, " ")
+                for i, t, x, y, back in zip(ids[at:at + group], normal, got, said, coder.decode(got)):
+                    plain = t.replace(MARK, " ")
                     rows.append((i, len(x), zlib.crc32(array.array("I", x).tobytes()), None if y is None else x == y,
                                  back == (plain[1:] if coder.model.dummy_prefix else plain), x if with_ids else None))
             return dict(zip(names, map(list, zip(*rows))))
