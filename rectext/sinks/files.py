@@ -64,11 +64,13 @@ def write_named_lines(df: DataFrame, root: str, name_col: str = "name", value_co
 
         for batch in batches:
             names = batch.column("name").dictionary_encode()
-            at, known = names.indices.to_numpy(zero_copy_only=False), names.dictionary.to_pylist()
+            at, known = names.indices.fill_null(-1).to_numpy(zero_copy_only=False), names.dictionary.to_pylist()
             values = batch.column("value").cast(pa.large_binary())
             sizes = np.diff(np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1])
             starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
             for start, end in zip(starts, [*starts[1:], len(at)]):
+                if at[start] < 0:                  # a row without a name belongs to no file
+                    continue
                 if known[at[start]] != cur:
                     if stream is not None:
                         close()

@@ -292,3 +292,8 @@ def test_named_lines_join_a_few_mb_at_once(spark, tmpuri, monkeypatch):
         for k in range(3):
             with open(os.path.join(local_path(root), "d", f"{k}.txt"), encoding="utf-8") as f:
                 assert f.read() == "<" + ",".join(v or "" for _, n, v in rows if n == f"d/{k}.txt") + ">"
+    # rows without a name belong to no file
+    some = df.withColumn("name", F.when(F.col("id") % 2 == 0, F.col("name")))
+    done = files.write_named_lines(some, tmpuri + "/some", order_cols=["id"]).collect()
+    assert sorted(map(tuple, done)) == [("d/0.txt", 34), ("d/1.txt", 33), ("d/2.txt", 33)]
+    assert files.write_named_lines(df.withColumn("name", F.lit(None).cast("string")), tmpuri + "/none").collect() == []
