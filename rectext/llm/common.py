@@ -34,18 +34,31 @@ def columns(batch: pa.RecordBatch) -> list[list]:
             for c in batch.columns]
 
 
+def parts(rows, block: int = 4 << 20):
+    """An Arrow batch or array in parts of about ``block`` bytes (one row at
+    least), so that only these become Python objects at once. Between them
+    Arrow gives back what it has freed: Python workers outlive their tasks,
+    and would else keep it through all later stages."""
+    step = max(1, len(rows) * block // max(1, rows.nbytes))
+    for at in range(0, len(rows), step):
+        pa.default_memory_pool().release_unused()
+        yield rows.slice(at, step)
+    pa.default_memory_pool().release_unused()
+
+
 def map_rows(df: DataFrame, ddl: str, start) -> DataFrame:
     """``mapInArrow`` where ``start()`` runs once per task and returns
-    ``f(*columns) -> dict of output columns``. Rows stream through in Arrow
-    batches, so memory holds one batch (``spark.sql.execution.arrow.
-    maxRecordsPerBatch`` / ``maxBytesPerBatch``), not a partition."""
+    ``f(*columns) -> dict of output columns``; ``f`` takes each row by itself.
+    Rows stream through in Arrow batches, so memory holds one batch
+    (``spark.sql.execution.arrow.maxRecordsPerBatch`` / ``maxBytesPerBatch``),
+    not a partition, and a few MB of it as Python objects."""
     out = arrow_schema(ddl)
 
     def run(batches):
         f = start()
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(f(*columns(batch)), schema=out)
+            for part in parts(batch):
+                yield pa.RecordBatch.from_pydict(f(*columns(part)), schema=out)
 
     return df.mapInArrow(run, ddl)
 

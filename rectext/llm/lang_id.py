@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rectext.llm.common import arrow_schema, columns, map_rows
+from rectext.llm.common import arrow_schema, columns, map_rows, parts
 
 UNKNOWN = "und"
 
@@ -147,9 +147,10 @@ def fit(labelled: DataFrame, how: Fit = Fit()) -> dict | None:
     def frequencies(batches):
         df, n = np.zeros(how.dim, np.int64), 0
         for batch in batches:
-            for (raw,) in zip(*columns(batch)):
-                df[ngram_counts(raw.decode(), how.dim)[0]] += 1
-                n += 1
+            for part in parts(batch):
+                for (raw,) in zip(*columns(part)):
+                    df[ngram_counts(raw.decode(), how.dim)[0]] += 1
+                    n += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"feature": [*at.tolist(), -1], "n": [*df[at].tolist(), n]}, schema=out)
 
@@ -196,19 +197,22 @@ def guessed(docs: DataFrame, model: dict | None, text: str, into: str) -> DataFr
     runs once a text, also where a filter on the struct follows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<lang:string,score:double>")
-    def guess(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def guess(texts: pa.Array) -> pa.Array:
         m = sent.value
-        out = []
-        for t in texts:
-            if m is None or not has_letter(t):
-                out.append((UNKNOWN, 0.0))
-                continue
-            at, c = ngram_counts(t, m["dim"])
-            p = softmax((tfidf(at, c, m["idf"]) @ m["weights"][at] + m["weights"][-1]) / m["temperature"])
-            best = int(np.argmax(p))
-            out.append((m["langs"][best], float(p[best])))
-        return pd.DataFrame(out, columns=["lang", "score"])
+        langs, scores = [], []
+        for part in parts(texts):
+            for t in part.to_pylist():
+                if m is None or not has_letter(t):
+                    langs.append(UNKNOWN)
+                    scores.append(0.0)
+                    continue
+                at, c = ngram_counts(t, m["dim"])
+                p = softmax((tfidf(at, c, m["idf"]) @ m["weights"][at] + m["weights"][-1]) / m["temperature"])
+                best = int(np.argmax(p))
+                langs.append(m["langs"][best])
+                scores.append(float(p[best]))
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     # Spark would push a filter on the result below the projection, and so run the model there as well.
     return docs.withColumn(into, guess.asNondeterministic()(F.col(f"`{text}`").cast("string")))

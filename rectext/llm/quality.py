@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rectext.llm.common import arrow_schema, columns, map_rows, saved
+from rectext.llm.common import arrow_schema, columns, map_rows, parts, saved
 
 # White space of a word (tab, \n, \v, \f, \r, space) and symbols.
 WHITE = b" \t\n\x0b\x0c\r"
@@ -154,8 +154,8 @@ def language_references(docs: DataFrame, rules: Rules = Rules(), text: str = "te
             classes.clear()
             return pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), out)], schema=out)
 
-        for batch in batches:
-            for raw, key in zip(*columns(batch)):
+        for part in (p for batch in batches for p in parts(batch)):
+            for raw, key in zip(*columns(part)):
                 words.setdefault(key, Counter()).update(_LETTERS.findall(raw.lower()))
                 h = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
                 classes.setdefault(key, np.zeros(len(CLASSES), np.int64))
@@ -273,12 +273,11 @@ def quality_rules(docs: DataFrame, references: list[dict], rules: Rules = Rules(
 
 def passes(text, references: list[dict], rules: Rules = Rules(), lang=None):
     """The verdict as a column, for filters that keep a table's own columns."""
-    @F.pandas_udf("boolean")
-    def verdict(texts, langs):
-        import pandas as pd
-
+    @F.arrow_udf("boolean")
+    def verdict(texts: pa.Array, langs: pa.Array) -> pa.Array:
         one = assessor(references, rules)
-        return pd.Series([one(None if t is None else t.encode(), k)[6] for t, k in zip(texts, langs)], dtype=bool)
+        rows = (row for part in parts(pa.RecordBatch.from_arrays([texts, langs], ["text", "lang"])) for row in zip(*columns(part)))
+        return pa.array([one(t, None if k is None else k.decode())[6] for t, k in rows], pa.bool_())
 
     return verdict(text, (F.lit(None) if lang is None else lang).cast("string"))
 

@@ -31,10 +31,10 @@ class WordEncoder:
     unsigned 32-bit numbers (``encode``: of one text). Arrow splits texts of
     ``block`` characters at their blanks and tells the distinct chunks, which
     are cut into pieces; pieces are looked up, and new ones go to the tokenizer.
-    ``cache`` bounds the entries kept (old ones go by halves): about 150 MB
+    ``cache`` bounds the entries kept (old ones go by halves): about 30 MB
     for words of six letters."""
 
-    def __init__(self, path: str, cache: int = 500_000, block: int = 4_000_000):
+    def __init__(self, path: str, cache: int = 200_000, block: int = 4_000_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer

@@ -124,3 +124,41 @@ def test_many_texts_at_once_have_the_tokenizers_ids():
         coder = WordEncoder(path, cache=cache, block=block)
         assert coder.encode_all(texts) == [coder.whole(t) for t in texts]
     assert coder.encode_all([]) == [] and [coder.encode(t) for t in texts[:9]] == coder.encode_all(texts[:9])
+
+
+def test_few_mb_of_a_batch_become_python_objects_at_once(spark):
+    import pyarrow as pa
+
+    from rectext.llm.common import map_rows, parts
+
+    df = spark.range(0, 1500, 1, 1).selectExpr("id", "if(id % 7 = 0, null, repeat(chr(cast(97 + id % 26 as int)), 20000)) AS text")
+    counted = map_rows(df, "id long, size long, together long",
+                       lambda: lambda ids, texts: {"id": ids, "size": [len(t or b"") for t in texts], "together": [sum(len(t or b"") for t in texts)] * len(ids)})
+    rows = sorted(counted.collect())
+    assert [r["id"] for r in rows] == list(range(1500))
+    assert all(r["size"] == (20000 if r["id"] % 7 else 0) for r in rows)
+    assert max(r["together"] for r in rows) <= 6 << 20     # all 25 MB before
+
+    texts = pa.array(["a" * 900, None, "", "b" * 3000, *"xyz"] * 50)
+    got = list(parts(texts, 4000))
+    assert len(got) > 10 and pa.concat_arrays(got).equals(texts)
+    assert not list(parts(texts[:0])) and len(list(parts(pa.array(["a" * 99]), 1))) == 1
+    batch = pa.RecordBatch.from_arrays([pa.array(range(350)), texts], ["n", "t"])
+    assert pa.Table.from_batches(parts(batch, 4000)).combine_chunks().equals(pa.Table.from_batches([batch]))
+
+
+def test_models_as_columns_take_every_row_once(spark):
+    """Null and empty texts and languages among texts of several parts of a batch."""
+    from rectext.llm import lang_id, quality
+
+    texts = [None, "", " 12 ", "the cat and the dog " * 9000, "el perro y la gata " * 9000] * 12
+    docs = spark.createDataFrame([(i, t, (None, "", "en", "es")[i % 4]) for i, t in enumerate(texts)], "doc_id long, text string, lang string").coalesce(1)
+    model = {"langs": ["en", "es"], "weights": np.zeros((65, 2), np.float32), "idf": np.ones(64), "temperature": 1.0, "dim": 64}
+    model["weights"][-1] = [0, 1]
+    got = sorted(lang_id.predict(docs, model).select("doc_id", "lang_pred", "score").collect())
+    assert [r["lang_pred"] for r in got] == ["es" if i % 5 > 2 else "und" for i in range(60)]
+    assert all(r["score"] == 0 if r["lang_pred"] == "und" else r["score"] > 0.7 for r in got)
+    refs = quality.language_references(docs)
+    one = quality.assessor(refs)
+    said = sorted(docs.select("doc_id", quality.passes(docs["text"], refs, lang=docs["lang"]).alias("kept")).collect())
+    assert [r["kept"] for r in said] == [one(None if t is None else t.encode(), (None, "", "en", "es")[i % 4])[6] for i, t in enumerate(texts)]
