@@ -8,17 +8,22 @@ fallback. ``parity`` compares the ids with the ``sentencepiece`` library.
 
 from __future__ import annotations
 
+import array
 import re
 import struct
 import zlib
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rectext.llm.common import map_rows
 
 MARK = "▁"
+CUT = "\0"            # put between words; texts that hold it are not cut there
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -82,10 +87,10 @@ def read_model(raw: bytes) -> Model:
     return Model(pieces, spec.get(3, UNIGRAM), bool(spec.get(35, 0)), norm.get(2, b""), bool(norm.get(3, 1)), bool(norm.get(4, 1)))
 
 
-def build(model: Model, spelled_marks: bool = False):
+def build(model: Model):
     """A ``Tokenizer`` with the model's pieces. Its input is what
-    ``normalised`` gives: marks for blanks, with the prefix. With
-    ``spelled_marks`` decoding keeps a mark that byte pieces spell."""
+    ``normalised`` gives: marks for blanks, with the prefix. Decoding keeps a
+    mark that byte pieces spell."""
     from tokenizers import Tokenizer, decoders, models
     ids = {p: i for i, (p, _, _) in enumerate(model.pieces)}
     unk = next((i for i, p in enumerate(model.pieces) if p[2] == UNKNOWN), 0)
@@ -100,10 +105,8 @@ def build(model: Model, spelled_marks: bool = False):
     else:
         raise ValueError(f"model type {model.kind} has no counterpart in the tokenizers library")
     t = Tokenizer(core)
-    mark, lead = decoders.Replace(MARK, " "), [decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []
-    # One replacement in the joined text is cheaper than one in each piece, but also takes marks spelled by byte pieces.
-    order = [mark, decoders.ByteFallback(), decoders.Fuse()] if spelled_marks else [decoders.ByteFallback(), decoders.Fuse(), mark]
-    t.decoder = decoders.Sequence([*order, *lead])
+    lead = [decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []
+    t.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *lead])
     return t
 
 
@@ -111,7 +114,9 @@ class Coder:
     """``encode(texts)`` and ``decode(ids)``. A long text is cut into blocks
     that end before a run of marks (no piece goes on into one), so that the
     work grows with its length; all blocks go to the tokenizer in one batch,
-    which its ``threads`` share."""
+    which its ``threads`` share. For the same reason a word with the marks
+    before it has the same ids in every text of a BPE model: of the texts
+    given at once, each distinct word goes there once."""
 
     def __init__(self, path: str, threads: int = 2, block: int = 4096):
         import os
@@ -121,12 +126,17 @@ class Coder:
         from tokenizers import normalizers
         self.charsmap = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
         self.tokenizer = build(self.model)
-        inner = any(MARK in p.lstrip(MARK) for p, _, kind in self.model.pieces if kind in (NORMAL, USER_DEFINED))
+        usable = {p for p, _, kind in self.model.pieces if kind in (NORMAL, USER_DEFINED)}
+        inner = any(MARK in p.lstrip(MARK) for p in usable)
         self.blocks = re.compile("(?s).+" if inner or self.model.kind == UNIGRAM and not self.model.byte_fallback
                                  else f"(?s).{{1,{block}}}{MARK}*[^{MARK}]*")
-        # What decodes rows with the first byte of a mark's UTF-8 form as a byte piece.
-        self.spelling = build(self.model, spelled_marks=True) if self.model.byte_fallback else None
-        self.first_byte = next((i for i, (p, _, kind) in enumerate(self.model.pieces) if kind == BYTE and p == "<0xE2>"), -1)
+        self.by_word = self.model.kind == BPE and not inner and MARK in usable
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(len(self.model.pieces))]
+        self.opens = np.array([t in usable and t.startswith(MARK) for t in tokens])
+        self.marks = np.array([t in usable and not t.strip(MARK) for t in tokens])
+        byte = re.compile("<0x([0-9A-Fa-f]{2})>")
+        # What each id stands for in a decoded text; the last entry is for ids the model doesn't have.
+        self.spelt = pa.array([bytes.fromhex(m[1]) if (m := byte.fullmatch(t)) else t.replace(MARK, " ").encode() for t in tokens] + [b""], pa.large_binary())
 
     def normalised(self, text: str) -> str:
         if self.charsmap:
@@ -138,18 +148,56 @@ class Coder:
         return text.replace(" ", MARK)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.encode_normalised([self.normalised(t) for t in texts])
-
-    def encode_normalised(self, texts: list[str]) -> list[list[int]]:
-        cut = [self.blocks.findall(t) for t in texts]
-        coded = iter(self.tokenizer.encode_batch_fast([c for row in cut for c in row], add_special_tokens=False))
-        return [[i for _ in row for i in next(coded).ids] for row in cut]
-
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        out = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        for at, row in enumerate(ids):
-            if self.first_byte in row:
-                out[at] = self.spelling.decode(row, skip_special_tokens=False)
+        return [x.tolist() for x in self.encode_normalised([self.normalised(t) for t in texts])]
+
+    def encode_normalised(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's ids, as little-endian unsigned 32-bit numbers."""
+        out: list = [None] * len(texts)
+        # Texts with marks before each word and nowhere else.
+        worded = [i for i, t in enumerate(texts) if self.by_word and t[:1] == MARK != t[-1] and CUT not in t]
+        for i, x in zip(worded, self.of_words([texts[i] for i in worded])):
+            out[i] = x
+        rest = [i for i, x in enumerate(out) if x is None]
+        cut = [self.blocks.findall(texts[i]) for i in rest]
+        coded = iter(self.of_blocks([c for row in cut for c in row]))
+        for i, row in zip(rest, cut):
+            out[i] = np.concatenate([np.empty(0, "<u4"), *(next(coded) for _ in row)])
+        return out
+
+    def of_blocks(self, blocks: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(blocks, add_special_tokens=False)]
+
+    def of_words(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        words = pc.split_pattern(pa.array([t.replace(MARK, CUT + MARK).replace(MARK + CUT, MARK)[1:] for t in texts], pa.large_string()), CUT)
+        ends, coded = words.offsets.to_numpy(), words.flatten().dictionary_encode()
+        at, distinct = coded.indices.to_numpy(), "".join(coded.dictionary.to_pylist())
+        ids = np.concatenate(self.of_blocks(self.blocks.findall(distinct)))
+        # A distinct word begins where a piece does with a mark, and no mark stands before it.
+        start = np.flatnonzero(self.opens[ids] & ~np.r_[False, self.marks[ids[:-1]]])
+        size = np.diff(start, append=len(ids))[at]
+        begin = np.r_[0, np.cumsum(size)]
+        out = ids[np.arange(begin[-1]) + np.repeat(start[at] - begin[:-1], size)]
+        of_text = begin[ends - ends[0]].tolist()
+        return [out[a:b] for a, b in zip(of_text, of_text[1:])]
+
+    def decode(self, ids: list) -> list[str]:
+        """Texts of lists or arrays of ids. What the ids stand for is joined
+        as bytes; where byte pieces aren't UTF-8, the tokenizer decodes."""
+        if not ids:
+            return []
+        end = np.cumsum([len(row) for row in ids])
+        flat = np.concatenate([np.asarray(row, "<u4") for row in ids])
+        spelt = self.spelt.take(pa.array(np.minimum(flat, len(self.spelt) - 1)))
+        at = np.frombuffer(spelt.buffers()[1], np.int64)[np.r_[0, end]].tolist()
+        raw, out = memoryview(spelt.buffers()[2] or b""), []
+        for row, a, b in zip(ids, at, at[1:]):
+            try:
+                text = str(raw[a:b], "utf-8")
+                out.append(text[1:] if self.model.dummy_prefix and text[:1] == " " else text)
+            except UnicodeDecodeError:
+                out.append(self.tokenizer.decode([*map(int, row)], skip_special_tokens=False))
         return out
 
 
@@ -157,7 +205,7 @@ SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, parity boolean, round_trip
 
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", verify: bool = True,
-                     with_ids: bool = True, threads: int = 2, group: int = 64) -> DataFrame:
+                     with_ids: bool = True, threads: int = 2) -> DataFrame:
     """One row per document over its whole text: the ids, their crc32
     (little-endian unsigned 32-bit), ``parity`` (equal to the sentencepiece
     library's ids; null without ``verify``) and ``round_trip`` (decoding
@@ -166,7 +214,6 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def start():
-        import array
         coder = Coder(path, threads)
         checker = None
         if verify:
@@ -175,15 +222,13 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
 
         def f(ids, raws):
             rows = []
-            for at in range(0, len(raws), group):          # bounds the lists of ids held at once
-                texts = [r.decode() if r else "" for r in raws[at:at + group]]
-                normal = [coder.normalised(t) for t in texts]
-                got = coder.encode_normalised(normal)
-                said = checker.encode(texts, num_threads=1) if checker else [None] * len(texts)
-                for i, t, x, y, back in zip(ids[at:at + group], normal, got, said, coder.decode(got)):
-                    plain = t.replace(MARK, " ")
-                    rows.append((i, len(x), zlib.crc32(array.array("I", x).tobytes()), None if y is None else x == y,
-                                 back == (plain[1:] if coder.model.dummy_prefix else plain), x if with_ids else None))
+            texts = [r.decode() if r else "" for r in raws]
+            normal = [coder.normalised(t) for t in texts]
+            got = coder.encode_normalised(normal)
+            for i, text, t, x, back in zip(ids, texts, normal, got, coder.decode(got)):
+                plain, own = t.replace(MARK, " "), x.tobytes()
+                rows.append((i, len(x), zlib.crc32(own), array.array("I", checker.encode_as_ids(text)).tobytes() == own if checker else None,
+                             back == (plain[1:] if coder.model.dummy_prefix else plain), x.tolist() if with_ids else None))
             return dict(zip(names, map(list, zip(*rows))))
 
         return f

@@ -70,6 +70,74 @@ def test_settings_that_are_not_rebuilt_raise(change):
         sentence_pieces.read_model(unigram(False, **change))
 
 
+def merged(byte_fallback, mark, prefix, one_blank):
+    """A written-out BPE model: merges in the order of the scores."""
+    texts = [*(["▁"] if mark else []), *"abehnot.", "th", "the", "an", "on", "to", "ot", "at", "en"]
+    texts += ["▁t", "▁the", "▁a", "▁an", "▁▁", "▁▁▁"] if mark else []
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    pieces += [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] if byte_fallback else []
+    pieces += [(t, -float(i), 1) for i, t in enumerate(texts)]
+    norm = message((1, "identity"), (3, int(prefix)), (4, int(one_blank)))
+    return b"".join(message((1, message((1, t), (2, s), (3, k)))) for t, s, k in pieces) + message((2, message((3, 2), *([(35, 1)] if byte_fallback else []))), (3, norm))
+
+
+@pytest.mark.parametrize("byte_fallback, mark, prefix, one_blank", [(True, True, True, False), (False, True, True, False), (True, False, True, False), (True, True, False, False), (True, True, True, True)])
+def test_bpe_models_encode_like_the_library(tmp_path, byte_fallback, mark, prefix, one_blank):
+    import sentencepiece
+    raw = merged(byte_fallback, mark, prefix, one_blank)
+    path = tmp_path / "b.model"
+    path.write_bytes(raw)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    coder = sentence_pieces.Coder(str(path), block=7)
+    rnd = random.Random(6)
+    texts = ["", " ", "▁", "a▁", "the  an", "the▁▁an", "Ω▁Ω ΩΩ", "the the\nthe", "the" * 20, "the\0 the \0an", " \0"]
+    texts += ["".join(rnd.choice("thehanoeto.  ▁éΩ\n") for _ in range(rnd.randrange(60))) for _ in range(400)]
+    texts = [t.replace("▁", " ") for t in texts] if one_blank else texts
+    said = [sp.encode(t) for t in texts]
+    assert coder.encode(texts) == said and [coder.encode([t])[0] for t in texts] == said
+    assert coder.decode(said) == [coder.tokenizer.decode(x, skip_special_tokens=False) for x in said]
+
+
+class Counted:
+    """A tokenizer that keeps what it was asked."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.encoded, self.decoded = tokenizer, 0, 0
+
+    def encode_batch_fast(self, texts, **kw):
+        self.encoded += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **kw)
+
+    def decode(self, ids, **kw):
+        self.decoded += 1
+        return self.tokenizer.decode(ids, **kw)
+
+    def decode_batch(self, rows, **kw):
+        self.decoded += len(rows)
+        return self.tokenizer.decode_batch(rows, **kw)
+
+
+def test_a_word_is_encoded_once_and_utf8_needs_no_tokenizer():
+    import sentencepiece
+    from rectext.llm.queries import PIECE_BPE
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    coder = sentence_pieces.Coder(PIECE_BPE)
+    coder.tokenizer = Counted(coder.tokenizer)
+    words = ["river", "stone,", "été", "日本", "😀", "a\tb", "x" * 30]
+    rnd = random.Random(7)
+    texts = [" ".join(rnd.choice(words) for _ in range(50)) for _ in range(200)]
+    got = coder.encode(texts)
+    assert got == [sp.encode(t) for t in texts]
+    assert coder.tokenizer.encoded == sum(len(w) + 1 for w in words)
+    spaced = ["  " + t.replace(" é", "   é") for t in texts]              # words behind runs of blanks
+    assert coder.encode(spaced) == [sp.encode(t) for t in spaced]
+    assert coder.tokenizer.encoded < 2000
+    assert coder.decode(got) == texts and coder.tokenizer.decoded == 0
+    rows = [[rnd.randrange(3, 300) if rnd.random() < 0.6 else rnd.randrange(32100) for _ in range(rnd.randrange(12))] for _ in range(2000)]
+    assert coder.decode(rows) == coder.tokenizer.tokenizer.decode_batch(rows, skip_special_tokens=False)
+    assert 0 < coder.tokenizer.decoded < len(rows), "byte pieces that aren't UTF-8"
+
+
 def test_exact_near_dedup_equals_the_sketches_result(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = [sorted(map(tuple, near_dedup.near_duplicates(docs, exact=e).collect())) for e in (False, True)]
