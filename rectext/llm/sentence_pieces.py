@@ -113,19 +113,19 @@ def build(model: Model):
 class Coder:
     """``encode(texts)`` and ``decode(ids)``. A long text is cut into blocks
     that end before a run of marks (no piece goes on into one), so that the
-    work grows with its length; all blocks go to the tokenizer in one batch,
-    which its ``threads`` share. For the same reason a word with the marks
+    work grows with its length; ``group`` blocks go to the tokenizer in one
+    batch, which its ``threads`` share. For the same reason a word with the marks
     before it has the same ids in every text of a BPE model: of the texts
     given at once, each distinct word goes there once."""
 
-    def __init__(self, path: str, threads: int = 2, block: int = 4096):
+    def __init__(self, path: str, threads: int = 2, block: int = 4096, group: int = 64):
         import os
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = "true", str(threads)
         with open(path, "rb") as f:
             self.model = read_model(f.read())
         from tokenizers import normalizers
         self.charsmap = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
-        self.tokenizer = build(self.model)
+        self.tokenizer, self.group = build(self.model), group
         usable = {p for p, _, kind in self.model.pieces if kind in (NORMAL, USER_DEFINED)}
         inner = any(MARK in p.lstrip(MARK) for p in usable)
         self.blocks = re.compile("(?s).+" if inner or self.model.kind == UNIGRAM and not self.model.byte_fallback
@@ -165,7 +165,8 @@ class Coder:
         return out
 
     def of_blocks(self, blocks: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(blocks, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4") for at in range(0, len(blocks), self.group)          # bounds the encodings held at once
+                for e in self.tokenizer.encode_batch_fast(blocks[at:at + self.group], add_special_tokens=False)]
 
     def of_words(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
@@ -205,7 +206,7 @@ SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, parity boolean, round_trip
 
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", verify: bool = True,
-                     with_ids: bool = True, threads: int = 2) -> DataFrame:
+                     with_ids: bool = True, threads: int = 2, group: int = 64) -> DataFrame:
     """One row per document over its whole text: the ids, their crc32
     (little-endian unsigned 32-bit), ``parity`` (equal to the sentencepiece
     library's ids; null without ``verify``) and ``round_trip`` (decoding
@@ -214,7 +215,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def start():
-        coder = Coder(path, threads)
+        coder = Coder(path, threads, group=group)
         checker = None
         if verify:
             import sentencepiece

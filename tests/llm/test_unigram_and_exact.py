@@ -102,10 +102,10 @@ class Counted:
     """A tokenizer that keeps what it was asked."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.encoded, self.decoded = tokenizer, 0, 0
+        self.tokenizer, self.encoded, self.decoded, self.most = tokenizer, 0, 0, 0
 
     def encode_batch_fast(self, texts, **kw):
-        self.encoded += sum(map(len, texts))
+        self.encoded, self.most = self.encoded + sum(map(len, texts)), max(self.most, len(texts))
         return self.tokenizer.encode_batch_fast(texts, **kw)
 
     def decode(self, ids, **kw):
@@ -136,6 +136,10 @@ def test_a_word_is_encoded_once_and_utf8_needs_no_tokenizer():
     rows = [[rnd.randrange(3, 300) if rnd.random() < 0.6 else rnd.randrange(32100) for _ in range(rnd.randrange(12))] for _ in range(2000)]
     assert coder.decode(rows) == coder.tokenizer.tokenizer.decode_batch(rows, skip_special_tokens=False)
     assert 0 < coder.tokenizer.decoded < len(rows), "byte pieces that aren't UTF-8"
+    few = sentence_pieces.Coder(PIECE_BPE, block=50, group=3)
+    few.tokenizer = Counted(few.tokenizer)
+    whole = [t + " " for t in texts[:20]]                                 # not cut into words
+    assert few.encode(whole) == [sp.encode(t) for t in whole] and few.tokenizer.most == 3
 
 
 def test_exact_near_dedup_equals_the_sketches_result(spark):
