@@ -23,6 +23,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of Arrow data that are dealt with at once.
+BLOCK = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from here on hands Python Arrow batches of about
+    ``BLOCK`` bytes (one row at least), unless it has a setting of its own.
+    Spark's default of 64 MB takes several times as much off the heap, once
+    for each core: the JVM doubles a buffer by copying it, and Python holds
+    the batch again. Both keep it through all later stages."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, str(BLOCK))
+    return df
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T._parse_datatype_string(ddl))
 
@@ -34,7 +51,7 @@ def columns(batch: pa.RecordBatch) -> list[list]:
             for c in batch.columns]
 
 
-def parts(rows, block: int = 4 << 20):
+def parts(rows, block: int = BLOCK):
     """An Arrow batch or array in parts of about ``block`` bytes (one row at
     least), so that only these become Python objects at once. Between them
     Arrow gives back what it has freed: Python workers outlive their tasks,
@@ -49,9 +66,8 @@ def parts(rows, block: int = 4 << 20):
 def map_rows(df: DataFrame, ddl: str, start) -> DataFrame:
     """``mapInArrow`` where ``start()`` runs once per task and returns
     ``f(*columns) -> dict of output columns``; ``f`` takes each row by itself.
-    Rows stream through in Arrow batches, so memory holds one batch
-    (``spark.sql.execution.arrow.maxRecordsPerBatch`` / ``maxBytesPerBatch``),
-    not a partition, and a few MB of it as Python objects."""
+    Rows stream through in Arrow batches (``in_batches``), so memory holds a
+    few MB, not a partition."""
     out = arrow_schema(ddl)
 
     def run(batches):
@@ -60,7 +76,7 @@ def map_rows(df: DataFrame, ddl: str, start) -> DataFrame:
             for part in parts(batch):
                 yield pa.RecordBatch.from_pydict(f(*columns(part)), schema=out)
 
-    return df.mapInArrow(run, ddl)
+    return in_batches(df).mapInArrow(run, ddl)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rectext.llm.common import arrow_schema, columns, map_rows, parts
+from rectext.llm.common import arrow_schema, columns, in_batches, map_rows, parts
 
 UNKNOWN = "und"
 
@@ -154,7 +154,7 @@ def fit(labelled: DataFrame, how: Fit = Fit()) -> dict | None:
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"feature": [*at.tolist(), -1], "n": [*df[at].tolist(), n]}, schema=out)
 
-    counted = known.select("text").mapInArrow(frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    counted = in_batches(known.select("text")).mapInArrow(frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(how.dim + 1)
     for r in counted:
         df[r["feature"]] = r["n"]                  # feature -1, the number of documents, comes last
@@ -215,7 +215,7 @@ def guessed(docs: DataFrame, model: dict | None, text: str, into: str) -> DataFr
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     # Spark would push a filter on the result below the projection, and so run the model there as well.
-    return docs.withColumn(into, guess.asNondeterministic()(F.col(f"`{text}`").cast("string")))
+    return in_batches(docs).withColumn(into, guess.asNondeterministic()(F.col(f"`{text}`").cast("string")))
 
 
 def unused(name: str, names: list[str]) -> str:

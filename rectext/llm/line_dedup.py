@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rectext.llm.common import arrow_schema, saved
+from rectext.llm.common import arrow_schema, in_batches, saved
 
 
 @dataclass(frozen=True)
@@ -180,7 +180,7 @@ def found_seeds(docs: DataFrame, how: Chunking, doc_id: str, text: str, block: i
                     yield rows(ids[a:b + 1], keys[a:b + 1], [t or b"" for t in texts.slice(a, b + 1 - a).to_pylist()])
                     a, size = b + 1, 0
 
-    return docs.select(*_key(doc_id, text), F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(run, ddl)
+    return in_batches(docs.select(*_key(doc_id, text), F.col(f"`{text}`").cast("string").alias("t"))).mapInArrow(run, ddl)
 
 
 def repeated_seeds(found: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rectext.llm.common import arrow_schema, columns, map_rows, parts, saved
+from rectext.llm.common import arrow_schema, columns, in_batches, map_rows, parts, saved
 
 # White space of a word (tab, \n, \v, \f, \r, space) and symbols.
 WHITE = b" \t\n\x0b\x0c\r"
@@ -166,7 +167,7 @@ def language_references(docs: DataFrame, rules: Rules = Rules(), text: str = "te
             yield emptied()
 
     known = docs.select(F.col(text), F.col(lang)).filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    counted = saved(known.mapInArrow(count, "lang string, kind string, item binary, n long")
+    counted = saved(in_batches(known).mapInArrow(count, "lang string, kind string, item binary, n long")
                     .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), "language-counts")
     everything = counted.filter("kind = 'word'").agg(F.sum("n")).first()[0] or 0
     found = (counted.groupBy("lang").agg(*[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in ("word", "class")])
@@ -274,10 +275,11 @@ def quality_rules(docs: DataFrame, references: list[dict], rules: Rules = Rules(
 def passes(text, references: list[dict], rules: Rules = Rules(), lang=None):
     """The verdict as a column, for filters that keep a table's own columns."""
     @F.arrow_udf("boolean")
-    def verdict(texts: pa.Array, langs: pa.Array) -> pa.Array:
+    def verdict(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         one = assessor(references, rules)
-        rows = (row for part in parts(pa.RecordBatch.from_arrays([texts, langs], ["text", "lang"])) for row in zip(*columns(part)))
-        return pa.array([one(t, None if k is None else k.decode())[6] for t, k in rows], pa.bool_())
+        for texts, langs in batches:
+            rows = (row for part in parts(pa.RecordBatch.from_arrays([texts, langs], ["text", "lang"])) for row in zip(*columns(part)))
+            yield pa.array([one(t, None if k is None else k.decode())[6] for t, k in rows], pa.bool_())
 
     return verdict(text, (F.lit(None) if lang is None else lang).cast("string"))
 

@@ -162,3 +162,29 @@ def test_models_as_columns_take_every_row_once(spark):
     one = quality.assessor(refs)
     said = sorted(docs.select("doc_id", quality.passes(docs["text"], refs, lang=docs["lang"]).alias("kept")).collect())
     assert [r["kept"] for r in said] == [one(None if t is None else t.encode(), (None, "", "en", "es")[i % 4])[6] for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("step", [lambda d: near_dedup.sketches(d, 8), lambda d: lang_id.predict(d, None), lambda d: quality.good_documents(d, lang="text"),
+                                  lambda d: line_dedup.found_seeds(d, line_dedup.Chunking(), "doc_id", "text")])
+def test_few_mb_go_to_python_in_one_batch(spark, step):
+    """Wide texts, few of them: a batch of 10,000 rows would hold them all."""
+    import pyarrow as pa
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    step(spark.createDataFrame([(1, "a few words")], "doc_id long, text string"))
+    wide = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat(chr(cast(97 + id % 26 as int)), 8000) AS text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]})
+
+    got = wide.mapInArrow(sizes, "rows long, size long").collect()
+    assert sum(r["rows"] for r in got) == 3000 and max(r["size"] for r in got) <= 5 << 20      # 24 MB before
+    one = wide.select("doc_id", F.array_repeat("doc_id", 1000).alias("x"), F.lit(0).alias("g")).groupBy("g")
+    both = one.cogroup(one).applyInPandas(lambda a, b: a[["doc_id"]].merge(b[["doc_id"]]), "doc_id long")
+    assert sorted(r["doc_id"] for r in both.collect()) == list(range(3000))     # groups stay whole over batches
+    spark.conf.set(key, "1m")
+    step(wide.limit(1))
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
